@@ -588,7 +588,7 @@ def compliance_matrix_strict(spark, sf):
 
 def cross_framework(spark, sf):
     out = compliance.cross_framework_summary(compliance_matrix(spark, sf), "doc_id")
-    return out.withColumn("average_score", r8("average_score"))
+    return out.withColumn("average_score", F.round("average_score", 6))
 
 
 def found_issues(spark, sf):

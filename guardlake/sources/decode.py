@@ -6,6 +6,7 @@ defaults for missing fields.  Text that does not parse gives a row whose
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from guardlake import schemas as S
 
@@ -14,7 +15,7 @@ ZERO = 0.0
 
 def read_json_log(spark, path, schema, **options):
     """JSON-lines log as typed columns; bad lines land in ``_corrupt_record``."""
-    full = f"{schema}, _corrupt_record STRING"
+    full = T.DataType.fromDDL(f"STRUCT<{schema}, _corrupt_record: STRING>")
     return spark.read.schema(full).options(columnNameOfCorruptRecord="_corrupt_record", **options).json(path)
 
 
@@ -25,7 +26,7 @@ def read_text_log(spark, path):
 
 def _parse(df, json_col, schema):
     text = F.col(json_col)
-    parsed = df.withColumn("_j", F.from_json(text, schema))
+    parsed = df.withColumn("_j", F.from_json(text, f"STRUCT<{schema}>"))
     object_like = F.coalesce(F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{"), F.lit(False))
     return parsed.withColumn("malformed", ~object_like)
 
