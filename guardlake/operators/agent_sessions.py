@@ -36,14 +36,8 @@ def agent_mode(calls, *, deep_every_n=0, escalate_after_flags=3, base_mode=None,
     )
     prior = F.col("_n") - 1
     run = prior - F.coalesce(F.col("_clear"), F.lit(0))
-    escalated = (run >= escalate_after_flags) if escalate_after_flags > 0 else F.lit(False)
-    periodic = ((prior > 0) & (prior % deep_every_n == 0)) if deep_every_n > 0 else F.lit(False)
-    base = F.lit(None).cast("string") if base_mode is None else base_mode
-    if isinstance(base, str):
-        base = F.lit(base)
-    return out.withColumns(
-        {"prior_calls": prior, "flag_run": run, "mode": F.when(escalated | periodic, "deep").otherwise(base)}
-    ).drop("_n", "_clear")
+    mode = depth_rule(prior, run, deep_every_n, escalate_after_flags, base_mode)
+    return out.withColumns({"prior_calls": prior, "flag_run": run, "mode": mode}).drop("_n", "_clear")
 
 
 def accept_calls(
@@ -69,19 +63,8 @@ def accept_calls(
         splits=splits,
         first_position={"_first_expired": F.col("_expired")},
     )
-    n = F.col("_n")
-    # The count limit closes a session only if that many calls were let through first.
-    blocked = F.col("_critical").isNotNull() if block_after_critical else F.lit(False)
-    room = F.col("_critical") >= max_calls if block_after_critical else F.lit(True)
-    reached_max = (
-        (n > max_calls)
-        & F.coalesce(room, F.lit(True))
-        & F.coalesce(F.col("_first_expired") > max_calls, F.lit(True))
-    )
-    reason = (
-        F.when(reached_max, "max_tool_calls")
-        .when(F.col("_expired"), "ttl_expired")
-        .when(blocked, "critical_violation")
+    reason = reject_reason(
+        F.col("_n"), F.col("_critical"), F.col("_first_expired"), F.col("_expired"), max_calls, block_after_critical
     )
     return (
         rows.withColumn("reject_reason", reason)
@@ -90,6 +73,31 @@ def accept_calls(
     )
 
 
+def reject_reason(n, critical_at, expired_at, expired, max_calls, block_after_critical):
+    """Why the ``n``-th attempt is refused, or null.
+
+    ``critical_at`` and ``expired_at`` are the positions of the first earlier
+    attempt with a critical violation or past the time limit.  The count limit
+    closes a session only if that many calls were let through first.
+    """
+    unblocked = F.coalesce(critical_at >= max_calls, F.lit(True)) if block_after_critical else F.lit(True)
+    in_time = F.coalesce(expired_at > max_calls, F.lit(True))
+    blocked = critical_at.isNotNull() if block_after_critical else F.lit(False)
+    return (
+        F.when((n > max_calls) & unblocked & in_time, "max_tool_calls")
+        .when(expired, "ttl_expired")
+        .when(blocked, "critical_violation")
+    )
+
+
+def depth_rule(prior, run, deep_every_n, escalate_after_flags, base_mode):
+    """Depth after ``prior`` calls of which the last ``run`` were flagged."""
+    escalated = (run >= escalate_after_flags) if escalate_after_flags > 0 else F.lit(False)
+    periodic = ((prior > 0) & (prior % deep_every_n == 0)) if deep_every_n > 0 else F.lit(False)
+    base = F.lit(base_mode).cast("string") if not hasattr(base_mode, "alias") else base_mode
+    return F.when(escalated | periodic, "deep").otherwise(base)
+
+
 def session_status(attempts):
     """One row per session from :func:`accept_calls`: status, when closed, calls kept and refused."""
     closing = F.col("reject_reason").isin("max_tool_calls", "ttl_expired")

@@ -169,8 +169,12 @@ def event_tool_registry(spark, sf_dir):
 
 def requests(spark, sf_dir):
     """A request log: each event asks one of five endpoints."""
+    return requests_from_events(read(spark, sf_dir, "events"))
+
+
+def requests_from_events(events):
     K, eid = F.col("k"), F.col("event_id")
-    return read(spark, sf_dir, "events").withColumn("k", k()).select(
+    return events.withColumn("k", k()).select(
         eid.alias("request_id"),
         "ts",
         F.when(F.col("event_type") == "click", "eval")

@@ -547,4 +547,13 @@ SELECT conv_id, turn, skipped, NOT skipped AND d_safety < 4.0 AS blocked, CASE W
     "encode_tool_calls": f"""WITH {CALLS} SELECT call_id, 'agent/tool-call' AS endpoint, '{{"tool_name":"' || tool_name || '","tool_params":{{"k":' || k || '}}}}' AS body FROM calls""",
     "encode_compliance": f"""WITH {CALLS} SELECT call_id, 'compliance/check' AS endpoint, '{{"content":"some content",' || CASE WHEN k % 2 = 0 THEN '"framework":"india_dpdp"' ELSE '"frameworks":["eu_ai_act","gdpr"]' END ||
   CASE WHEN k % 4 = 0 THEN ',"strict_mode":false' ELSE '' END || '}}' AS body FROM calls""",
+    "stream_session_metrics": f"""WITH {CALLS}, g AS (SELECT session_id, count(*) AS turn_count, round(avg(score), 8) AS average_score, min(score) AS min_score, max(score) AS max_score,
+  count(*) FILTER (score >= 7.0) AS passing, count(*) FILTER (score < 7.0) AS below_threshold_count, max(CASE WHEN n = total THEN score END) AS last_score FROM calls GROUP BY session_id)
+SELECT *, CASE WHEN (turn_count + 1) % 5 = 0 OR last_score < 7.0 THEN 'deep' ELSE 'basic' END AS next_mode FROM g""",
+    "stream_agent_sessions": f"""WITH {_accepted(40, 20 * 24 * 60, True)}, t AS (SELECT *, max(CASE WHEN decision <> 'FLAG' THEN n END) OVER (PARTITION BY session_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clear FROM final)
+SELECT call_id, accepted, reject_reason, CASE WHEN NOT accepted THEN NULL WHEN n - 1 - coalesce(clear, 0) >= 3 OR (n > 1 AND (n - 1) % 7 = 0) THEN 'deep' ELSE 'basic' END AS mode FROM t""",
+    "stream_request_metrics": f"""WITH {REQUESTS} SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, endpoint, count(*) AS requests, count(error_type) AS errors, sum(credits_consumed) AS credits_consumed,
+  CAST(sum(duration_ms) AS BIGINT) AS duration_total FROM log GROUP BY ALL""",
+    "stream_review_queue": f"""WITH {CALLS}, q AS ({each("SELECT call_id, '{d}' AS dimension, {c} AS score FROM calls WHERE {c} < 3.0", " UNION ALL ")})
+SELECT 'rev_' || substring(sha256(call_id || ':' || dimension), 1, 12) AS item_id, call_id AS source_key, dimension, score FROM q""",
 }

@@ -1,6 +1,7 @@
 """Session settings the jobs are designed for."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +38,9 @@ def ensure_checkpoint_dir(spark):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="guardlake-checkpoint-")
     sc.setCheckpointDir(configured)
+
+
+def scratch_folder(spark, name):
+    """New folder for written intermediate tables, under the session's checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
