@@ -556,4 +556,10 @@ SELECT call_id, accepted, reject_reason, CASE WHEN NOT accepted THEN NULL WHEN n
   CAST(sum(duration_ms) AS BIGINT) AS duration_total FROM log GROUP BY ALL""",
     "stream_review_queue": f"""WITH {CALLS}, q AS ({each("SELECT call_id, '{d}' AS dimension, {c} AS score FROM calls WHERE {c} < 3.0", " UNION ALL ")})
 SELECT 'rev_' || substring(sha256(call_id || ':' || dimension), 1, 12) AS item_id, call_id AS source_key, dimension, score FROM q""",
+    "stream_request_first_seen": f"""WITH {REQUESTS} SELECT DISTINCT endpoint, '{{"mode":"basic","content":"item ' || (k % 10) || '"}}' AS body FROM req""",
 }
+SQL["stream_regenerations"] = f"""WITH {EVENTS}, g AS (
+  SELECT user_id AS session_id, bool_or(k >= 90) AS met, count(*) AS steps, max(ts) AS last FROM ev WHERE event_type = 'signup' GROUP BY user_id),
+m AS (SELECT max(last) - INTERVAL 1 MINUTE AS watermark FROM g)
+SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps FROM g CROSS JOIN m WHERE met OR last + INTERVAL 15 MINUTE <= watermark"""
+SQL["stream_request_dedup"] = SQL["request_dedup"]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from guardlake.operators import telemetry
+from guardlake.operators import dedup, telemetry
 from guardlake.plans import fixtures as fx
 from guardlake.schemas import EVENTS
 from guardlake.session import scratch_folder
@@ -68,13 +68,21 @@ def stream_review_queue(spark, sf):
 
 
 def stream_request_dedup(spark, sf):
-    """Requests let through by the streaming time-to-live filter."""
+    """Which stored answer serves each request, live and exact."""
     folder = scratch_folder(spark, "request-dedup")
+    rows = fx.requests_from_events(event_stream(spark, sf))
+    tracker = trackers.RequestDedupTracker(f"{folder}/state", f"{folder}/out", ttl_seconds=3600)
+    _run(tracker.start(rows.withColumn("key", dedup.request_key("endpoint", "body")), f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/out").select("request_id", "answer_id", "from_cache")
+
+
+def stream_request_first_seen(spark, sf):
+    """Requests let through by Spark's own duplicate filter."""
+    folder = scratch_folder(spark, "request-first-seen")
     rows = fx.requests_from_events(event_stream(spark, sf)).withColumn("ts", F.col("ts").cast("timestamp"))
-    live = trackers.stream_dedup(rows.withColumn("key", F.concat("endpoint", "body")), ["key"])
+    live = trackers.stream_dedup(rows.withColumn("key", dedup.request_key("endpoint", "body")), ["key"])
     _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint"))
-    sent = spark.read.parquet(f"{folder}/out")
-    return sent.groupBy("endpoint").agg(F.countDistinct("body").alias("bodies"))
+    return spark.read.parquet(f"{folder}/out").select("endpoint", "body").distinct()
 
 
 def stream_regenerations(spark, sf):
@@ -95,6 +103,7 @@ STREAMS = (
     stream_request_metrics,
     stream_review_queue,
     stream_request_dedup,
+    stream_request_first_seen,
     stream_regenerations,
 )
 

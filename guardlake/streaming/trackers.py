@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from guardlake.operators.agent_sessions import ORDER, SESSION, depth_rule, is_critical, reject_reason
 from guardlake.operators.conversations import mode_rule
+from guardlake.operators.dedup import dedup_requests
 from guardlake.operators.ordered import ordered_columns
 from guardlake.schemas import CACHE_TTL_SECONDS, DEFAULT_THRESHOLD, REGENERATION_TTL_MINUTES
 
@@ -33,10 +34,11 @@ def stream_conversation_metrics(turns, key="conv_id", order="turn", *, threshold
 
 
 def stream_dedup(requests, key_cols, ts="ts", *, ttl_seconds=CACHE_TTL_SECONDS):
-    """Requests that have to be sent.
+    """Requests that have to be sent, by Spark's own duplicate filter.
 
-    Approximates the exact batch chain: a key is let through again once the
-    watermark passes its first sighting by the time to live.
+    Approximates the exact chain: a key is let through again only in a batch that
+    starts after the watermark passed its first sighting by the time to live.
+    :class:`RequestDedupTracker` is exact.
     """
     return requests.withWatermark(ts, f"{int(ttl_seconds)} seconds").dropDuplicatesWithinWatermark(list(key_cols))
 
@@ -94,6 +96,66 @@ def distinct_items(spark, path, id_col="item_id"):
     return rows.groupBy(id_col).agg(F.any_value(F.struct(*[c for c in rows.columns if c != id_col])).alias("r")).select(id_col, "r.*")
 
 
+class SlottedState:
+    """Small per-key table carried from batch to batch.
+
+    Batch n writes slot n mod 3 and reads that of batch n-1, so a replayed batch
+    finds its input unchanged and old versions take no further room.
+    """
+
+    def __init__(self, path, schema):
+        self.path, self.schema = path, schema
+
+    def read(self, spark, batch_id):
+        """State after a batch; empty before the first."""
+        if batch_id < 0:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(f"{self.path}/slot={batch_id % 3}")
+
+    def write(self, df, batch_id):
+        df.write.mode("overwrite").parquet(f"{self.path}/slot={batch_id % 3}")
+
+
+class RequestDedupTracker:
+    """Live request dedup with the exact time-to-live chain, batches taken in arrival order.
+
+    State holds each key's last sent request while its answer is still valid.
+    """
+
+    def __init__(self, state_path, out_path, *, ttl_seconds=CACHE_TTL_SECONDS, ts="ts", id_col="request_id", id_type="bigint"):
+        self.store = SlottedState(state_path, f"key string, sent_us bigint, sent_id {id_type}")
+        self.out_path, self.ttl, self.ts, self.id_col = out_path, int(ttl_seconds), ts, id_col
+
+    def process(self, batch, batch_id):
+        """``batch`` needs a ``key`` column (see request_key)."""
+        prior = self.store.read(batch.sparkSession, batch_id - 1)
+        rows = batch.withColumn("_us", F.unix_micros(F.col(self.ts).cast("timestamp"))).join(prior, "key", "left")
+        served = F.coalesce(F.col("_us") <= F.col("sent_us") + self.ttl * 1_000_000, F.lit(False))
+        hits = rows.where(served).withColumns({"answer_id": F.col("sent_id"), "from_cache": F.lit(True)})
+        fresh = dedup_requests(rows.where(~served), ["key"], ts=self.ts, id_col=self.id_col, ttl_seconds=self.ttl)
+        out = hits.unionByName(fresh)
+        target = f"{self.out_path}/batch_id={batch_id}"
+        out.drop("_us", "sent_us", "sent_id").write.mode("overwrite").parquet(target)
+        sent = (
+            batch.sparkSession.read.parquet(target)
+            .where(~F.col("from_cache"))
+            .groupBy("key")
+            .agg(F.max(F.struct(F.unix_micros(F.col(self.ts).cast("timestamp")).alias("us"), F.col(self.id_col).alias("id"))).alias("m"))
+            .select("key", F.col("m.us").alias("sent_us"), F.col("m.id").alias("sent_id"))
+        )
+        state = prior.join(sent.select("key"), "key", "left_anti").unionByName(sent)
+        newest = state.select(F.max("sent_us")).scalar()
+        self.store.write(state.where(F.col("sent_us") >= newest - self.ttl * 1_000_000), batch_id)
+
+    def start(self, requests, checkpoint, **trigger):
+        return (
+            requests.writeStream.foreachBatch(self.process)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+
+
 STATE = (
     "session_id bigint, started_at timestamp_ntz, attempts bigint, flag_run bigint, "
     "critical_at bigint, expired_at bigint, closed_at timestamp_ntz, last_seen timestamp_ntz"
@@ -104,10 +166,9 @@ class AgentSessionTracker:
     """Live agent sessions: depth, acceptance and closing of each call as it arrives.
 
     Per micro-batch the positions inside the batch come from the skew-safe
-    ordered columns and are shifted by the session's state.  State is one row per
-    session, written per batch under ``state_path``; batch n reads the version of
-    batch n-1, so a replay gives the same result.  Sessions silent for longer
-    than ``forget_minutes`` of event time leave the state.
+    ordered columns and are shifted by the session's state, one row per session.
+    Sessions silent for longer than ``forget_minutes`` of event time leave the
+    state.
     """
 
     def __init__(
@@ -124,18 +185,14 @@ class AgentSessionTracker:
         forget_minutes=None,
         state_schema=STATE,
     ):
-        self.state_path, self.out_path = state_path, out_path
+        self.store, self.out_path = SlottedState(state_path, state_schema), out_path
         self.max_calls, self.ttl_minutes = max_calls, ttl_minutes
         self.block_after_critical = block_after_critical
         self.depth = (deep_every_n, escalate_after_flags, base_mode)
         self.forget_minutes = forget_minutes
-        self.state_schema = state_schema
 
     def state(self, spark, batch_id):
-        """State after a batch; empty before the first."""
-        if batch_id < 0:
-            return spark.createDataFrame([], self.state_schema)
-        return spark.read.schema(self.state_schema).parquet(f"{self.state_path}/version={batch_id}")
+        return self.store.read(spark, batch_id)
 
     def process(self, batch, batch_id):
         spark = batch.sparkSession
@@ -209,7 +266,7 @@ class AgentSessionTracker:
             state = state.where(
                 F.col("last_seen") >= newest - F.expr(f"INTERVAL {int(self.forget_minutes)} MINUTES")
             )
-        state.write.mode("overwrite").parquet(f"{self.state_path}/version={batch_id}")
+        self.store.write(state, batch_id)
 
     def start(self, calls, checkpoint, **trigger):
         return (
