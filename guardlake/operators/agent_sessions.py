@@ -228,24 +228,24 @@ def _profile(calls, chunk_rows=None):
 
     per_chunk = rows.groupBy(*SESSION, CHUNK, "tool_name").agg(
         *[e.alias(k) for k, e in {**sums, **picks, **firsts}.items()],
-        F.min(F.struct("n", "ts"))["ts"].alias("tool_first"),
-        F.min(F.when(blocked, F.struct("n", "tool_next"))).alias("block"),
+        # Times rise with position, so plain minima belong to the first call and
+        # to the first blocked call; they keep the aggregate on the hash path.
+        F.min("ts").alias("tool_first"),
+        F.min(F.when(blocked, n)).alias("block_n"),
+        F.min(F.when(blocked, F.col("tool_next"))).alias("block_next"),
     )
     chunks = Window.partitionBy(*SESSION, "tool_name").orderBy(CHUNK)
-    retry = F.coalesce(F.col("block.tool_next"), F.lead("tool_first").over(chunks))
-    per_chunk = per_chunk.withColumn(
-        "block", F.when(F.col("block").isNotNull(), F.struct(F.col("block.n").alias("n"), retry.alias("retry_at")))
-    )
+    retry = F.coalesce(F.col("block_next"), F.lead("tool_first").over(chunks))
+    per_chunk = per_chunk.withColumn("retry_at", F.when(F.col("block_n").isNotNull(), retry))
 
     def merge(names, fn):
         return [fn(k).alias(k) for k in names]
 
     per_tool = per_chunk.groupBy(*SESSION, "tool_name").agg(
-        *merge(sums, F.sum), *merge(picks, F.max), *merge(firsts, F.min), F.min("block").alias("block")
+        *merge(sums, F.sum), *merge(picks, F.max), *merge(firsts, F.min), *merge(["block_n", "retry_at"], F.min)
     )
     retried = F.when(
-        F.col("block.retry_at").isNotNull(),
-        F.struct(F.col("block.n").alias("n"), F.col("tool_name"), F.col("block.retry_at").alias("retry_at")),
+        F.col("retry_at").isNotNull(), F.struct(F.col("block_n").alias("n"), F.col("tool_name"), F.col("retry_at"))
     )
     return per_tool.groupBy(*SESSION).agg(
         *merge(sums, F.sum),

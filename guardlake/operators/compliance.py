@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from guardlake.functions import compliance_threshold, format_score, preview, resolve_framework, score_label, severity_level
-from guardlake.functions.dimensions import dimension_map
+from guardlake.schemas import DIMENSIONS, dim_column
 
 # Fixed values, ours: framework, requirement id, article, dimension sources, severity when failed.
 REQUIREMENTS = (
@@ -55,9 +55,11 @@ def expand_frameworks(df, frameworks):
 def expand_requirements(df, requirements):
     """One row per content, framework and requirement.
 
-    The catalogue is a fixed list of rules, never data, so it is broadcast.
+    The catalogue is a fixed list of rules, never data, so it is broadcast.  It
+    brings a flag per dimension it draws on, which keeps later arithmetic flat.
     """
-    return df.join(F.broadcast(requirements), "framework", "inner")
+    flagged = requirements.withColumns({f"uses_{d}": F.array_contains("dimension_sources", d) for d in DIMENSIONS})
+    return df.join(F.broadcast(flagged), "framework", "inner")
 
 
 def _case(c, pairs):
@@ -75,15 +77,16 @@ def evaluate_requirements(df, requirements, strict=False):
     the threshold, warned within one point below (our band), else failed.
     """
     rows = expand_requirements(df, requirements)
-    scores = dimension_map()
-    known = F.array_compact(F.transform("dimension_sources", lambda d: F.try_element_at(scores, d)))
-    mean = F.aggregate(known, F.lit(0.0), lambda a, v: a + v) / F.nullif(F.size(known), F.lit(0))
+    used = {d: F.when(F.col(f"uses_{d}"), F.col(dim_column(d))) for d in DIMENSIONS if dim_column(d) in df.columns}
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in used.values()), F.lit(0.0))
+    known = sum((c.isNotNull().cast("int") for c in used.values()), F.lit(0))
+    mean = total / F.nullif(known, F.lit(0))
     rows = rows.withColumns(
         {"requirement_score": F.coalesce(mean, F.col("score")), "threshold": compliance_threshold(strict)}
     )
     value, bar = F.col("requirement_score"), F.col("threshold")
     status = F.when(value >= bar, "passed").when(value >= bar - WARN_BAND, "warned").otherwise("failed")
-    return rows.withColumn("status", status)
+    return rows.withColumn("status", status).drop(*[f"uses_{d}" for d in DIMENSIONS])
 
 
 def compliance_check(df, key, requirements, strict=False):

@@ -12,7 +12,6 @@ from guardlake.operators.ordered import ordered_columns, rows_per_chunk, split_p
 from guardlake.schemas import CACHE_TTL_SECONDS
 from guardlake.session import ensure_checkpoint_dir
 
-ROWS_PER_KEY = 1 << 16
 
 
 def request_key(endpoint, body):
@@ -39,7 +38,7 @@ def dedup_requests(
     runs one small job when the frame is built.
     """
     keys, ttl = list(key_cols), int(ttl_seconds) * 1_000_000
-    size = rows_per_chunk(df, chunk_rows if chunk_rows is not None else ROWS_PER_KEY)
+    size = rows_per_chunk(df, chunk_rows)
     rows = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
     order = ["_t", id_col]
     splits = split_points(rows, keys, order, size)

@@ -187,13 +187,32 @@ def agent_policy(df, mode="log_only", default=None, per_tool=None, *, tool_col="
     In-session policies pass no ``per_tool``, so only the defaults apply.
     ``halted`` marks blocked calls in ``block`` mode, which do not run.
     """
-    df = with_thresholds(df, default, per_tool, tool_col=tool_col)
-    t = F.col("thresholds")
-    df = df.withColumn("violated_dimensions", failed_dimensions_by(t["dimension_minimums"]))
+    if isinstance(per_tool, DataFrame):
+        df = with_thresholds(df, default, per_tool, tool_col=tool_col)
+        t = F.col("thresholds")
+        df = df.withColumn("violated_dimensions", failed_dimensions_by(t["dimension_minimums"]))
+        block_below, flag_below = t["block_below"], t["flag_below"]
+    else:
+        # A configuration is known here, so each tool's rules become plain expressions.
+        default = default or {}
+        own = {tool: {**default, **limits} for tool, limits in (per_tool or {}).items()}
+
+        def by_tool(value):
+            cases = value(default)
+            for tool, limits in own.items():
+                cases = F.when(F.col(tool_col) == tool, value(limits)).otherwise(cases)
+            return cases
+
+        block_below, flag_below = (
+            by_tool(lambda limits, f=f: F.lit(limits.get(f)).cast("double")) for f in ("block_below", "flag_below")
+        )
+        df = df.withColumn(
+            "violated_dimensions", by_tool(lambda limits: failed_dimensions(limits.get("dimension_minimums") or {}))
+        )
     violated = F.size("violated_dimensions") > 0
     score, decision = F.col("score"), F.col("decision")
-    low = F.coalesce(score < t["block_below"], F.lit(False))
-    doubtful = F.coalesce(score < t["flag_below"], F.lit(False))
+    low = F.coalesce(score < block_below, F.lit(False))
+    doubtful = F.coalesce(score < flag_below, F.lit(False))
     refused = decision.eqNullSafe(F.lit("BLOCK"))
     marked = decision.eqNullSafe(F.lit("FLAG"))
     blocked = refused | low | violated
@@ -208,8 +227,8 @@ def agent_policy(df, mode="log_only", default=None, per_tool=None, *, tool_col="
             violated,
             F.concat(F.lit("Dimension minimum violated: ["), F.array_join("violated_dimensions", ", "), F.lit("]")),
         )
-        .when(low, below("block", t["block_below"]))
-        .when(flagged, below("flag", t["flag_below"]))
+        .when(low, below("block", block_below))
+        .when(flagged, below("flag", flag_below))
         .otherwise("")
     )
     return df.withColumns(

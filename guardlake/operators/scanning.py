@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from guardlake.functions import preview
-from guardlake.operators.scoring import CARD, EMAIL, IPV4, TOKEN
+from guardlake.operators.scoring import CARD, EMAIL, IPV4, NEEDLES, TOKEN, has_match
 
 # Entity types in the order redaction applies them.
 PII_RULES = (
@@ -13,17 +13,34 @@ PII_RULES = (
     ("ip", IPV4, "[IP]", ("gdpr",)),
 )
 
-# Attack type, pattern, severity.
+# Attack type, pattern, severity, and words of which a match holds one
+# (in lower case; testing them first spares most rows the regex).
 INJECTION_RULES = (
     (
         "direct_instruction_override",
         r"(?i)\b(?:ignore|disregard|forget)\b[^.\n]{0,40}\b(?:previous|prior|above|earlier)\b[^.\n]{0,40}\b(?:instructions?|rules?|prompts?)\b",
         "critical",
+        ("ignore", "disregard", "forget"),
     ),
-    ("data_exfiltration", r"(?i)\b(?:send|post|upload|reveal|print)\b[^.\n]{0,60}\b(?:password|api key|secret|system prompt)\b", "critical"),
-    ("jailbreak", r"(?i)\b(?:jailbreak|developer mode|without any restrictions)\b", "high"),
-    ("role_hijack", r"(?i)\byou are now\b|\bpretend to be\b|\bact as (?:an?|the) (?:admin|root|system)\b", "high"),
-    ("context_manipulation", r"(?i)(?:^|\n)\s*(?:system|assistant)\s*:", "medium"),
+    (
+        "data_exfiltration",
+        r"(?i)\b(?:send|post|upload|reveal|print)\b[^.\n]{0,60}\b(?:password|api key|secret|system prompt)\b",
+        "critical",
+        ("password", "api key", "secret", "system prompt"),
+    ),
+    (
+        "jailbreak",
+        r"(?i)\b(?:jailbreak|developer mode|without any restrictions)\b",
+        "high",
+        ("jailbreak", "developer mode", "without any restrictions"),
+    ),
+    (
+        "role_hijack",
+        r"(?i)\byou are now\b|\bpretend to be\b|\bact as (?:an?|the) (?:admin|root|system)\b",
+        "high",
+        ("you are now", "pretend to be", "act as "),
+    ),
+    ("context_manipulation", r"(?i)(?:^|\n)\s*(?:system|assistant)\s*:", "medium", ("system", "assistant")),
 )
 SEVERITY_RANK = {"low": 1, "medium": 2, "high": 3, "critical": 4}
 INJECTION_CREDITS = 0.5
@@ -58,30 +75,37 @@ def redact(c):
     """Text with every entity replaced by its tag."""
     out = _c(c)
     for _, pattern, tag, _ in PII_RULES:
-        out = F.regexp_replace(out, F.lit(pattern), F.lit(tag))
+        cleaned = F.regexp_replace(out, F.lit(pattern), F.lit(tag))
+        if pattern in NEEDLES:
+            cleaned = F.when(F.contains(out, F.lit(NEEDLES[pattern])), cleaned).otherwise(out)
+        out = cleaned
     return out
 
 
 def scan_pii(df, text_col="text"):
     """Add ``entities``, ``pii_found``, ``redacted_text`` (null when nothing found), ``compliance_flags``."""
     text = F.col(text_col)
-    found = {kind: text.rlike(pattern) for kind, pattern, _, _ in PII_RULES}
+    # Each rule is tested once; only texts it hits are searched and rewritten.
+    hit = {kind: F.coalesce(F.col(f"_hit_{kind}"), F.lit(False)) for kind, _, _, _ in PII_RULES}
+    out = df.withColumns({f"_hit_{kind}": has_match(text, pattern) for kind, pattern, _, _ in PII_RULES})
     none = F.array().cast("array<struct<type:string,value:string,offset:int,should_redact:boolean>>")
-    parts = [F.when(found[k], _entities(text, k, p)).otherwise(none) for k, p, _, _ in PII_RULES]
+    parts = [F.when(hit[k], _entities(text, k, p)).otherwise(none) for k, p, _, _ in PII_RULES]
     flags = F.array_distinct(
-        F.array_compact(
-            F.array(*[F.when(found[k], F.lit(flag)) for k, _, _, flags in PII_RULES for flag in flags])
-        )
+        F.array_compact(F.array(*[F.when(hit[k], F.lit(flag)) for k, _, _, flags in PII_RULES for flag in flags]))
     )
-    out = df.withColumn("entities", F.concat(*parts))
-    any_found = F.size("entities") > 0
+    any_hit = F.lit(False)
+    redacted = text
+    for kind, pattern, tag, _ in PII_RULES:
+        any_hit = any_hit | hit[kind]
+        redacted = F.when(hit[kind], F.regexp_replace(redacted, F.lit(pattern), F.lit(tag))).otherwise(redacted)
     return out.withColumns(
         {
-            "pii_found": any_found,
-            "redacted_text": F.when(any_found, redact(text)),
+            "entities": F.when(any_hit, F.concat(*parts)).otherwise(none),
+            "pii_found": any_hit,
+            "redacted_text": F.when(any_hit, redacted),
             "compliance_flags": flags,
         }
-    )
+    ).drop(*[f"_hit_{kind}" for kind, _, _, _ in PII_RULES])
 
 
 def pii_entities(df, key, text_col="text"):
@@ -94,43 +118,46 @@ def check_injection(df, text_col="text", rules=INJECTION_RULES):
 
     Of the rules that hit, the most severe decides; the earlier rule wins a tie.
     """
-    text = F.col(text_col)
-    hits = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    text.rlike(pattern),
-                    F.struct(
-                        F.lit(-SEVERITY_RANK[severity]).alias("rank"),
-                        F.lit(i).alias("i"),
-                        F.lit(kind).alias("kind"),
-                        F.lit(severity).alias("severity"),
-                    ),
-                )
-                for i, (kind, pattern, severity) in enumerate(rules)
-            ]
-        )
+    text, low = F.col(text_col), F.col("_low")
+
+    def hits(pattern, words):
+        worth = F.lit(False)
+        for word in words:
+            worth = worth | F.contains(low, F.lit(word))
+        return worth & text.rlike(pattern)
+
+    # Most severe first, so the first branch that holds decides.
+    ranked = sorted(enumerate(rules), key=lambda r: (-SEVERITY_RANK[r[1][2]], r[0]))
+    which = None
+    for i, (_, pattern, _, words) in ranked:
+        hit = hits(pattern, words)
+        which = F.when(hit, i) if which is None else which.when(hit, i)
+    out = df.withColumn("_low", F.lower(text)).withColumn("_rule", which).drop("_low")
+
+    def of_rule(value):
+        chosen = None
+        for i, rule in enumerate(rules):
+            at = F.col("_rule") == i
+            chosen = F.when(at, value(rule)) if chosen is None else chosen.when(at, value(rule))
+        return chosen
+
+    out = out.withColumns(
+        {
+            "injection_detected": F.col("_rule").isNotNull(),
+            "attack_type": F.coalesce(of_rule(lambda r: F.lit(r[0])), F.lit("none")),
+            "severity": F.coalesce(of_rule(lambda r: F.lit(r[2])), F.lit("none")),
+            "payload_preview": of_rule(lambda r: preview(F.regexp_extract(text, r[1], 0), 200)),
+        }
     )
-    out = df.withColumn("_hit", F.array_min(hits))
-    payload = None
-    for kind, pattern, _ in rules:
-        is_kind = F.col("_hit.kind") == kind
-        value = preview(F.regexp_extract(text, pattern, 0), 200)
-        payload = F.when(is_kind, value) if payload is None else payload.when(is_kind, value)
-    detected = F.col("_hit").isNotNull()
-    severity = F.col("_hit.severity")
+    severity = F.col("severity")
     return out.withColumns(
         {
-            "injection_detected": detected,
-            "attack_type": F.coalesce("_hit.kind", F.lit("none")),
-            "severity": F.coalesce(severity, F.lit("none")),
-            "payload_preview": payload,
             "injection_action": F.when(severity.isin("high", "critical"), "BLOCK")
-            .when(detected, "FLAG")
+            .when(F.col("injection_detected"), "FLAG")
             .otherwise("PASS"),
             "injection_credits": F.lit(INJECTION_CREDITS),
         }
-    ).drop("_hit")
+    ).drop("_rule")
 
 
 def recommend_action(df):

@@ -16,9 +16,23 @@ CARD = r"\b[0-9]{16}\b"
 TOKEN = r'token = "[0-9a-f]{40}"'
 
 
+# Text any match must contain; testing it first spares most rows the regex.
+NEEDLES = {EMAIL: "@", TOKEN: "token = "}
+
+
+def has_match(c, pattern):
+    c = F.col(c) if isinstance(c, str) else c
+    found = c.rlike(pattern)
+    return F.contains(c, F.lit(NEEDLES[pattern])) & found if pattern in NEEDLES else found
+
+
 def count_matches(c, pattern):
+    """Number of matches; 0 without running the regex where the needle is missing."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_count(c, F.lit(pattern))
+    count = F.regexp_count(c, F.lit(pattern))
+    if pattern not in NEEDLES:
+        return count
+    return F.when(c.isNull() | F.contains(c, F.lit(NEEDLES[pattern])), count).otherwise(0)
 
 
 def with_signals(df, text_col="text"):

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 
 from guardlake.operators.ordered import ordered_columns
 from guardlake.schemas import DIM_COLUMNS, VIOLATION
+from guardlake.sources.readers import read_table
+
+
+SPREAD = {"documents": ("doc_id",), "events": ("event_id",)}
 
 
 def read(spark, sf_dir, table):
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return read_table(spark, f"{sf_dir}/{table}.parquet", *SPREAD.get(table, ()))
 
 
 def k():
@@ -63,7 +67,7 @@ def calls_from_events(events):
         .when(K % 10 == 1, F.array(F.lit("ssn"), F.lit("dob")))
         .otherwise(F.array().cast("array<string>"))
         .alias("pii_fields"),
-        F.array_compact(F.array(one)).cast(f"array<{VIOLATION}>").alias("violations"),
+        F.when(one.isNull(), F.array().cast(f"array<{VIOLATION}>")).otherwise(F.array(one)).alias("violations"),
         F.when(eid % 5 == 0, 1.5).otherwise(0.5).alias("credits"),
         F.col("props").alias("params"),
         F.when((K < 30) & (eid % 2 == 0), '{"k":99}').alias("suggested_params"),

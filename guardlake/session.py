@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording a stack trace per column call takes longer than planning itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

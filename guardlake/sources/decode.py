@@ -1,8 +1,8 @@
 """JSON logs to typed columns.
 
 Each decoder parses one JSON text column with a fixed schema and applies the
-defaults for missing fields.  Text that does not parse gives a row whose
-``malformed`` is true and whose fields hold the defaults.
+defaults for missing fields.  ``malformed`` marks text that is missing, is no JSON
+object or does not fit the schema; fields that could not be read hold the defaults.
 """
 
 from pyspark.sql import functions as F
@@ -26,9 +26,9 @@ def read_text_log(spark, path):
 
 def _parse(df, json_col, schema):
     text = F.col(json_col)
-    parsed = df.withColumn("_j", F.from_json(text, f"STRUCT<{schema}>"))
-    object_like = F.coalesce(F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{"), F.lit(False))
-    return parsed.withColumn("malformed", ~object_like)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = df.withColumn("_j", F.from_json(text, f"STRUCT<{schema}, _corrupt: STRING>", options))
+    return parsed.withColumn("malformed", text.isNull() | F.col("_j._corrupt").isNotNull())
 
 
 def _or(path, default):
@@ -216,7 +216,7 @@ def decode_tool_profile(df, json_col):
 def decode_compliance(df, json_col):
     """Compliance result; children as arrays (see :func:`explode_requirements`)."""
     out = _parse(df, json_col, S.COMPLIANCE)
-    return out.select(*[c for c in df.columns if c != json_col], "_j.*", "malformed")
+    return out.select(*[c for c in df.columns if c != json_col], "_j.*", "malformed").drop("_corrupt")
 
 
 def decode_multi_compliance(df, json_col):
@@ -242,7 +242,7 @@ def explode_issues(compliance, *keys):
 def decode_regeneration(df, json_col):
     """Regeneration result; the history as an array (see :func:`explode_iterations`)."""
     out = _parse(df, json_col, S.REGENERATION)
-    return out.select(*[c for c in df.columns if c != json_col], "_j.*", "malformed")
+    return out.select(*[c for c in df.columns if c != json_col], "_j.*", "malformed").drop("_corrupt")
 
 
 def explode_iterations(regenerations, *keys):

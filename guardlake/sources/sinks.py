@@ -28,9 +28,8 @@ def score_fanout(df, trace_col, *, threshold_met_col=None, comment_col=None, exp
         if c in df.columns:
             why = F.try_element_at(F.col(explanations_col), F.lit(d)) if explanations_col else null
             items.append(F.when(F.col(c).isNotNull(), item(f"{SCORE_PREFIX}{d}", F.col(c), why)))
-    return df.select(
-        F.col(trace_col).alias("trace_id"), *ids, F.inline(F.array_compact(F.array(*items)))
-    )
+    rows = df.select(F.col(trace_col).alias("trace_id"), *ids, F.explode(F.array(*items)).alias("_item"))
+    return rows.where(F.col("_item").isNotNull()).select("trace_id", *ids, "_item.*")
 
 
 def review_items(
@@ -51,19 +50,17 @@ def review_items(
 
     The item id is a hash of key and dimension, so a repeated run gives the same items.
     """
-    low = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(dim_column(d)) < threshold,
-                    F.struct(F.lit(d).alias("dimension"), F.col(dim_column(d)).alias("score")),
-                )
-                for d in DIMENSIONS
-                if dim_column(d) in df.columns
-            ]
+    scored = [d for d in DIMENSIONS if dim_column(d) in df.columns]
+    low = [
+        F.when(
+            F.col(dim_column(d)) < threshold,
+            F.struct(F.lit(d).alias("dimension"), F.col(dim_column(d)).alias("score")),
         )
-    )
-    rows = df.where(F.size(low) > 0).select("*", F.explode(low).alias("_low"))
+        for d in scored
+    ]
+    extra = [c for c in (incident_col, metadata_col, explanations_col) if c]
+    rows = df.select(*dict.fromkeys([key_col, content_col, ts_col, *extra]), F.explode(F.array(*low)).alias("_low"))
+    rows = rows.where(F.col("_low").isNotNull())
     null = F.lit(None).cast("string")
     dimension = F.col("_low.dimension")
     item_id = F.concat(

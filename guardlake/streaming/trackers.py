@@ -13,7 +13,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from guardlake.operators.agent_sessions import ORDER, SESSION, depth_rule, is_critical, reject_reason
 from guardlake.operators.conversations import mode_rule
 from guardlake.operators.dedup import dedup_requests
-from guardlake.operators.ordered import ordered_columns
+from guardlake.operators.ordered import ordered_columns, rows_per_chunk, split_points
 from guardlake.schemas import CACHE_TTL_SECONDS, DEFAULT_THRESHOLD, REGENERATION_TTL_MINUTES
 
 
@@ -199,30 +199,28 @@ class AgentSessionTracker:
         prior = self.state(spark, batch_id - 1)
         renamed = prior.select(*SESSION, *[F.col(c).alias(f"s_{c}") for c in prior.columns if c not in SESSION])
         seen = F.coalesce(F.col("s_attempts"), F.lit(0))
+        calls = batch.join(renamed, SESSION, "left")
 
         not_flag = ~F.col("decision").eqNullSafe(F.lit("FLAG"))
+        splits = split_points(batch, SESSION, ORDER, rows_per_chunk(batch))
         rows = ordered_columns(
-            batch,
+            calls,
             SESSION,
             ORDER,
+            splits=splits,
+            keep_chunk=True,
             number="_n",
             first={"_first": "ts"},
             last_position={"_clear": not_flag},
             first_position={"_critical": is_critical()},
         )
-        rows = rows.join(renamed, SESSION, "left")
         started = F.coalesce(F.col("s_started_at"), F.col("_first"))
         limit = F.expr(f"INTERVAL {int(self.ttl_minutes * 60)} SECONDS")
         rows = rows.withColumns({"_started": started, "_expired": F.col("ts") >= started + limit})
-        # Times do not go back inside a batch, so the calls in time are counted per session.
-        in_time = rows.groupBy(*SESSION).agg(
-            F.count_if(~F.col("_expired")).alias("_in_time"), F.count_if("_expired").alias("_late")
-        )
-        rows = rows.join(in_time, SESSION)
-        expired_at = F.coalesce(
-            F.col("s_expired_at"),
-            F.when((F.col("_late") > 0) & (F.col("_n") > F.col("_in_time") + 1), seen + F.col("_in_time") + 1),
+        rows = ordered_columns(
+            rows, SESSION, ORDER, splits=splits, first_position={"_first_expired": F.col("_expired")}
         )
+        expired_at = F.coalesce(F.col("s_expired_at"), seen + F.col("_first_expired"))
         n = seen + F.col("_n")
         critical_at = F.coalesce(F.col("s_critical_at"), seen + F.col("_critical"))
         reason = reject_reason(
@@ -239,7 +237,7 @@ class AgentSessionTracker:
                 "mode": F.when(reason.isNull(), depth_rule(n - 1, run, *self.depth)),
             }
         ).withColumn("accepted", F.col("reject_reason").isNull())
-        helper = ["_n", "_first", "_clear", "_critical", "_started", "_expired", "_in_time", "_late"]
+        helper = ["_n", "_first", "_clear", "_critical", "_started", "_expired", "_first_expired"]
         out.drop(*helper, *[c for c in renamed.columns if c not in SESSION]).write.mode("overwrite").parquet(
             f"{self.out_path}/batch_id={batch_id}"
         )
