@@ -7,6 +7,7 @@ from guardlake.functions.bands import (  # noqa: F401
     format_score,
     is_blank,
     is_passing,
+    let,
     normalize_dimension,
     preview,
     resolve_framework,

@@ -18,6 +18,11 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, body):
+    """``body(value)`` with the value worked out once, also when used inside array lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _band(c, bands, rest):
     c = _c(c)
     out = None

@@ -6,6 +6,7 @@ breaks ties, so no map order is ever relied on.
 
 from pyspark.sql import functions as F
 
+from guardlake.functions.bands import let
 from guardlake.schemas import DEFAULT_THRESHOLD, DIM_COLUMNS, DIMENSIONS, dim_column
 
 
@@ -102,9 +103,11 @@ def failed_dimensions(thresholds, prefix=""):
 def failed_dimensions_by(minimums, prefix=""):
     """Like :func:`failed_dimensions` with per-row minimums ``ARRAY<STRUCT<dim, min>>``."""
     minimums = F.col(minimums) if isinstance(minimums, str) else minimums
-    scores = dimension_map(prefix)
-    failing = F.filter(
-        minimums, lambda m: F.coalesce(F.try_element_at(scores, m["dim"]) < m["min"], F.lit(False))
+    failing = let(
+        dimension_map(prefix),
+        lambda scores: F.filter(
+            minimums, lambda m: F.coalesce(F.try_element_at(scores, m["dim"]) < m["min"], F.lit(False))
+        ),
     )
     return F.coalesce(F.transform(failing, lambda m: m["dim"]), F.array().cast("array<string>"))
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from guardlake.functions import preview
+from guardlake.functions import let, preview
 from guardlake.operators.scoring import CARD, EMAIL, IPV4, NEEDLES, TOKEN, has_match
 
 # Entity types in the order redaction applies them.
@@ -50,25 +50,49 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def _total(values):
+    return F.aggregate(values, F.lit(0), lambda a, v: a + v)
+
+
 def _entities(text, kind, pattern):
     """Matches of one type as ``(type, value, offset, should_redact)``; offsets count code points.
 
-    The parts between matches and the matches themselves give the offsets.
+    The lengths of the parts between matches and of the matches themselves add
+    up to the offsets.  They are summed by blocks of about the square root of
+    their number, so texts with very many matches stay cheap.
     """
-    gaps = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
 
-    def entity(m, i):
-        before = F.aggregate(F.slice(steps, F.lit(1), i), F.lit(0), lambda a, s: a + s)
+    def located(found):
+        matches, gaps = found["matches"], found["gaps"]
+        steps = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(matches))).cast("int"))
+        return let(F.struct(steps.alias("steps"), width.alias("width")), lambda s: blocked(found, s["steps"], s["width"]))
+
+    def blocked(found, steps, width):
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(steps) / width).cast("int")),
+            lambda b: _total(F.slice(steps, b * width + 1, width)),
+        )
+        starts = let(blocks, lambda sums: F.transform(sums, lambda _, b: _total(F.slice(sums, F.lit(1), b))))
+        return let(starts, lambda at: F.transform(found["matches"], lambda m, i: entity(found, steps, width, at, m, i)))
+
+    def entity(found, steps, width, starts, m, i):
+        block = F.floor(i / width).cast("int")
+        before = F.get(starts, block) + _total(F.slice(steps, block * width + 1, i - block * width))
         return F.struct(
             F.lit(kind).alias("type"),
             m.alias("value"),
-            (before + F.length(F.get(gaps, i))).alias("offset"),
+            (before + F.length(F.get(found["gaps"], i))).alias("offset"),
             F.lit(True).alias("should_redact"),
         )
 
-    return F.transform(matches, entity)
+    return let(
+        F.struct(
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"),
+            F.split(text, pattern, -1).alias("gaps"),
+        ),
+        located,
+    )
 
 
 def redact(c):

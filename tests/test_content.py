@@ -30,8 +30,9 @@ def test_entities_and_redaction(spark):
     assert (row[1].pii_found, row[1].redacted_text, row[1].entities) == (False, None, [])
 
 
-def test_offsets_match_a_plain_search(spark):
-    text = "x".join(f"u{i}@h{i}.net {i}.{i}.{i}.{i}" for i in range(120))
+@pytest.mark.parametrize("n", [1, 2, 120, 5000])
+def test_offsets_match_a_plain_search(spark, n):
+    text = "x".join(f"u{i}@h{i}.net {i}.{i}.{i}.{i}" for i in range(n))
     entities = scanning.pii_entities(texts(spark, text), "id").collect()
     for kind, pattern in (("email", scoring.EMAIL), ("ip", scoring.IPV4)):
         want = [(m.group(), m.start()) for m in re.finditer(pattern, text)]
