@@ -12,13 +12,13 @@ def dimension_averages(df):
     return [F.avg(c).alias(f"avg_{c}") for c in DIM_COLUMNS if c in df.columns]
 
 
-def aggregate_scores(df, *keys):
+def aggregate_scores(df, *keys, rollup=False):
     """Mean, min, max, count overall and mean per dimension.
 
-    Without keys an empty input yields no row.  Pass ``df.rollup`` keys by
-    grouping beforehand if subtotals are wanted.
+    Without keys an empty input yields no row.  ``rollup`` adds subtotals.
     """
-    out = df.groupBy(*keys).agg(
+    grouped = df.rollup(*keys) if rollup else df.groupBy(*keys)
+    out = grouped.agg(
         F.avg("score").alias("average_score"),
         F.min("score").alias("min_score"),
         F.max("score").alias("max_score"),

@@ -60,6 +60,16 @@ def _value(column_or_function, df):
     return column_or_function(df) if callable(column_or_function) else column_or_function
 
 
+def replace_failed(enforced, callback):
+    """Fill ``replacement`` of failed rows from a Python or pandas function column.
+
+    Such functions run for every row they meet, whatever condition stands around
+    them, so failed rows are set apart first.  An empty text means none.
+    """
+    failed = enforced.where(~F.col("passed")).withColumn("replacement", F.nullif(callback, F.lit("")))
+    return enforced.where("passed").unionByName(failed)
+
+
 def split_blocked(df):
     """The rows that go on and the rows that were blocked."""
     return df.where(~F.col("blocked")), df.where("blocked")
@@ -293,6 +303,7 @@ __all__ = [
     "guardrail",
     "js_number",
     "observe",
+    "replace_failed",
     "split_blocked",
     "with_thresholds",
 ]

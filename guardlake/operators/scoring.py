@@ -5,6 +5,7 @@ A scorer is ``scorer(df, text_col, mode) -> df`` that adds ``score``,
 its rules are this project's, not a model.
 """
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from guardlake.schemas import DIM_COLUMNS, LOW_CONFIDENCE
@@ -79,6 +80,25 @@ def rule_scorer(df, text_col="text", mode="basic"):
     )
 
 
+def pandas_scorer(fn):
+    """Scorer from ``fn(texts, mode) -> DataFrame`` over batches of texts, for outside models.
+
+    ``fn`` gets a pandas Series and returns a pandas DataFrame with ``score``,
+    ``confidence`` and any ``d_*`` columns; absent dimensions stay unscored.
+    """
+    fields = ["score", "confidence", *DIM_COLUMNS]
+
+    def scorer(df, text_col, mode):
+        @F.pandas_udf(", ".join(f"{f} double" for f in fields))
+        def run(texts: pd.Series) -> pd.DataFrame:
+            return fn(texts, mode).reindex(columns=fields).astype("float64")
+
+        out = df.withColumn("_scored", run(F.col(text_col)))
+        return out.withColumns({f: F.col(f"_scored.{f}") for f in fields}).drop("_scored")
+
+    return scorer
+
+
 def score(df, text_col="text", scorer=rule_scorer, mode="basic"):
     """Run a scorer and note the depth it ran at."""
     return scorer(df, text_col, mode).withColumn("mode", F.lit(mode))

@@ -314,6 +314,29 @@ SELECT call_id, CASE WHEN abs(total_w - 100.0) > 1.0 THEN 'weights_sum' END AS w
   CASE WHEN k % 17 = 0 THEN 'session_id_required' WHEN k % 4 = 0 THEN 'empty_content' END AS continue_error FROM x""",
     "aggregate_scores": f"""WITH {CALLS} SELECT tool_name, round(avg(score), 8) AS average_score, min(score) AS min_score, max(score) AS max_score,
   count(*) AS total_evaluations, {AVERAGES} FROM calls GROUP BY tool_name""",
+    "aggregate_scores_rollup": f"""WITH {CALLS} SELECT tool_name, decision, round(avg(score), 8) AS average_score, count(*) AS total_evaluations
+FROM calls GROUP BY ROLLUP (tool_name, decision)""",
+    "plugin_scorer": """SELECT doc_id, (length(text) % 101) / 10.0 AS score, 0.9::DOUBLE AS confidence, (length(text) % 11)::DOUBLE AS d_safety,
+  NULL::DOUBLE AS d_privacy, 'deep' AS mode FROM documents""",
+    "custom_callback": f"""WITH {SCORED}, f AS (SELECT *, {failed({"privacy": 7.0, "safety": 5.0})} AS bad FROM scored)
+SELECT doc_id, len(bad) = 0 AS passed, coalesce(array_to_string(bad, ','), '') AS failed,
+  CASE WHEN len(bad) > 0 AND length(text) % 2 = 0 THEN nullif(substring(text, 1, 5), '') END AS replacement FROM f""",
+    "evaluate_documents": f"""WITH {SCORED}, v AS (SELECT lang, (70 + p_t + 60) / 30.0 AS s, d_privacy FROM scored JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)
+  WHERE NOT regexp_full_match(text, {q(BLANK)}) AND length(text) BETWEEN 10 AND 10000)
+SELECT lang, round(avg(s), 8) AS average_score, min(s) AS min_score, count(*) AS total_evaluations, round(avg(d_privacy), 8) AS avg_d_privacy FROM v GROUP BY lang""",
+    "guarded_conversations": f"""WITH n AS (SELECT *, {{penalty}} AS p, lead(role) OVER w AS nr, lead(text) OVER w AS nt FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+x AS (SELECT *, lead(p) OVER (PARTITION BY conv_id ORDER BY turn) AS np FROM n),
+y AS (SELECT conv_id, turn, coalesce(nr = 'assistant', FALSE) AS answered, NOT regexp_full_match(text, {q(BLANK)}) AND greatest(0, 100 - p) < 80 AS bad_in,
+  nr = 'assistant' AND NOT regexp_full_match(nt, {q(BLANK)}) AS has_out, greatest(0, 100 - np) AS np_t, nt,
+  CASE WHEN length(nt) BETWEEN 50 AND 10000 THEN 9.0 ELSE 5.0 END::DOUBLE AS ui FROM x WHERE role = 'user'),
+z AS (SELECT *, list_filter([CASE WHEN has_out AND np_t < 90 THEN 'privacy' END, CASE WHEN has_out AND ui < 6.0 THEN 'user_impact' END], lambda x: x IS NOT NULL) AS f FROM y)
+SELECT conv_id, turn, answered, CASE WHEN bad_in THEN 'input' WHEN len(f) > 0 THEN 'output' END AS stage, bad_in OR len(f) > 0 AS blocked,
+  CASE WHEN bad_in THEN 'privacy' ELSE coalesce(array_to_string(f, ','), '') END AS failed, CASE WHEN NOT bad_in AND has_out THEN 0.8 END::DOUBLE AS out_confidence,
+  CASE WHEN NOT bad_in AND has_out THEN ui END AS out_d_user_impact, CASE WHEN NOT bad_in AND len(f) = 0 AND answered THEN length(nt) END AS result_chars FROM z""".replace(
+        "{penalty}",
+        f"25 * len(regexp_extract_all(text, {q(EMAIL)})) + 15 * len(regexp_extract_all(text, {q(IPV4)})) + "
+        f"40 * len(regexp_extract_all(text, {q(CARD)})) + 40 * len(regexp_extract_all(text, {q(TOKEN)}))",
+    ),
     "conversation_metrics": f"""WITH {TURNS} SELECT conv_id, round(avg(score), 8) AS average_score, min(score) AS min_score, max(score) AS max_score,
   count(*) AS turn_count, round(count(*) FILTER (score >= 7.0) * 100.0 / count(*), 8) AS passing_rate, {AVERAGES}
 FROM turns WHERE role <> 'system' GROUP BY conv_id""",

@@ -3,11 +3,12 @@
 Results hold scalars only: lists are joined to text, means rounded to 8 digits.
 """
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from guardlake import functions as C
 from guardlake.operators import agent_sessions as agent
-from guardlake.operators import aggregates, compliance, conversations, dedup, plan_verdicts, policy
+from guardlake.operators import aggregates, compliance, conversations, dedup, guarded, plan_verdicts, policy
 from guardlake.operators import regeneration, registry, scanning, scoring, telemetry, validation
 from guardlake.plans import fixtures as fx
 from guardlake.schemas import DIM_COLUMNS, DIMENSIONS, LOW_CONFIDENCE, SCORE_FIELD
@@ -176,6 +177,11 @@ def aggregate_scores(spark, sf):
     )
 
 
+def aggregate_scores_rollup(spark, sf):
+    out = aggregates.aggregate_scores(fx.agent_calls(spark, sf), "tool_name", "decision", rollup=True)
+    return out.select("tool_name", "decision", r8("average_score").alias("average_score"), "total_evaluations")
+
+
 def conversation_metrics(spark, sf):
     turns = conversations.check_inputs(fx.turn_evaluations(spark, sf), F.col("role") == "system", ["safety"])
     out = aggregates.session_metrics(turns, "conv_id")
@@ -562,6 +568,48 @@ def score_distinct(spark, sf):
     return out.select("doc_id", "d_privacy", r8("score").alias("score"), "mode")
 
 
+def length_model(texts, mode):
+    """Stand-in for an outside model: scores from text length."""
+    size = texts.str.len()
+    confidence = 0.5 if mode == "basic" else 0.9
+    return pd.DataFrame({"score": (size % 101) / 10.0, "confidence": confidence, "d_safety": (size % 11) * 1.0})
+
+
+def plugin_scorer(spark, sf):
+    docs = fx.read(spark, sf, "documents").select("doc_id", "text")
+    out = scoring.score(docs, scorer=scoring.pandas_scorer(length_model), mode="deep")
+    return out.select("doc_id", "score", "confidence", "d_safety", "d_privacy", "mode")
+
+
+def custom_callback(spark, sf):
+    @F.pandas_udf("string")
+    def rewrite(texts: pd.Series) -> pd.Series:
+        return texts.where(texts.str.len() % 2 == 0, "").str.slice(0, 5)
+
+    scored = scoring.score(fx.labelled_documents(spark, sf))
+    enforced = policy.enforce_policy(scored, "CUSTOM", {"privacy": 7.0, "safety": 5.0})
+    return policy.replace_failed(enforced, rewrite("text")).select(
+        "doc_id", "passed", joined("failed_dimensions").alias("failed"), "replacement"
+    )
+
+
+def evaluate_documents(spark, sf):
+    docs = fx.read(spark, sf, "documents").select("doc_id", "text", "lang")
+    out = guarded.evaluate_and_aggregate(docs, "lang")
+    return out.select(
+        "lang", r8("average_score").alias("average_score"), "min_score", "total_evaluations", r8("avg_d_privacy").alias("avg_d_privacy")
+    )
+
+
+def guarded_conversations(spark, sf):
+    turns = fx.read(spark, sf, "conversations")
+    pairs = conversations.pair_turns(turns, "conv_id", ["turn"], carry=("text",))
+    out = guarded.guard_conversations(pairs, {"privacy": 8.0}, {"privacy": 9.0, "user_impact": 6.0}, upgrade_below=LOW_CONFIDENCE)
+    return out.select(
+        "conv_id", "turn", "answered", "stage", "blocked", joined("failed_dimensions").alias("failed"), "out_confidence", "out_d_user_impact", F.length("result").alias("result_chars")
+    )
+
+
 # --- compliance ------------------------------------------------------------
 
 REQUESTED = ("gdpr", "ccpa", "dpdp", "ai_act", "euaia")
@@ -1035,6 +1083,7 @@ BATCH = (
     rejected_content,
     request_validation,
     aggregate_scores,
+    aggregate_scores_rollup,
     conversation_metrics,
     conversation_scores_summary,
     input_checks,
@@ -1071,6 +1120,10 @@ BATCH = (
     rule_scorer,
     low_confidence_upgrade,
     score_distinct,
+    plugin_scorer,
+    custom_callback,
+    evaluate_documents,
+    guarded_conversations,
     compliance_matrix,
     compliance_matrix_strict,
     cross_framework,
