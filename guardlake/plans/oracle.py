@@ -586,3 +586,24 @@ SQL["stream_regenerations"] = f"""WITH {EVENTS}, g AS (
 m AS (SELECT max(last) - INTERVAL 1 MINUTE AS watermark FROM g)
 SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps FROM g CROSS JOIN m WHERE met OR last + INTERVAL 15 MINUTE <= watermark"""
 SQL["stream_request_dedup"] = SQL["request_dedup"]
+
+# Result types as the jobs give them, where SQL's own counting type is wider.
+TYPES = {
+    "guardrail_pairs": {"result_chars": "INTEGER"},
+    "guard_turn_policies": {"result_chars": "INTEGER"},
+    "guarded_conversations": {"result_chars": "INTEGER"},
+    "agent_risk_summary": {"patterns_detected": "INTEGER"},
+    "tool_result_scan": {"entities": "INTEGER", "redacted_chars": "INTEGER"},
+    "rule_scorer": {"n_email": "INTEGER", "n_ip": "INTEGER", "n_card": "INTEGER", "n_token": "INTEGER"},
+    "top_issues": {"rank": "INTEGER"},
+    "best_iteration": {"best_chars": "INTEGER"},
+    "decode_evaluations": {"chars": "INTEGER"},
+    "decode_scans": {"entities": "INTEGER"},
+    "decode_plan_steps": {"step_index": "INTEGER"},
+    "decode_compliance_results": {"requirements_checked": "INTEGER"},
+    "decode_regenerations": {"position": "INTEGER", "iteration": "INTEGER", "chars": "INTEGER"},
+    "extracted_answers": {"chars": "INTEGER", "completion_tokens": "BIGINT"},
+}
+for _name, _columns in TYPES.items():
+    _casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in _columns.items())
+    SQL[_name] = f"SELECT * REPLACE ({_casts}) FROM ({SQL[_name]})"
