@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from guardlake.functions import failed_dimensions, is_blank
 from guardlake.operators.aggregates import aggregate_scores
-from guardlake.operators.policy import guard_turns
+from guardlake.operators.policy import guard_llm_log, guard_turns
 from guardlake.operators.scoring import rule_scorer, score, score_distinct, upgrade_low_confidence
 from guardlake.operators.validation import content_rules, validate
 from guardlake.schemas import DIM_COLUMNS
+from guardlake.sources.decode import extract_llm_response
+from guardlake.sources.sinks import score_fanout
 
 SCORES = (*DIM_COLUMNS, "score", "confidence")
 
@@ -74,3 +76,22 @@ def _scored_side(rows, text_col, prefix, scorer, thresholds, upgrade_below):
     return scored.unionByName(rows.where(~has_text), allowMissingColumns=True)
 
 
+
+
+def guard_answers(df, json_col, vendor, thresholds=None, *, scorer=rule_scorer, skip_col=None, mode="basic"):
+    """Read logged model answers, score those not skipped or empty, and gate them."""
+    rows = extract_llm_response(df, json_col, vendor)
+    skip = F.col("content") == ""
+    if skip_col:
+        skip = skip | F.coalesce(F.col(skip_col), F.lit(False))
+    rows = rows.withColumn("_skip", skip)
+    # The filter stands below the scorer, which may be a Python function.
+    scored = score(rows.where(~F.col("_skip")), "content", scorer, mode)
+    scored = scored.select(*rows.columns, *SCORES)
+    everything = scored.unionByName(rows.where("_skip"), allowMissingColumns=True)
+    return guard_llm_log(everything, thresholds, skip_col="_skip").drop("_skip")
+
+
+def trace_contents(df, trace_col, text_col="text", *, scorer=rule_scorer, mode="basic", **options):
+    """Score contents and return their score rows (see score_fanout)."""
+    return score_fanout(score(df, text_col, scorer, mode), trace_col, **options)

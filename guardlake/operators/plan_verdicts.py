@@ -1,5 +1,6 @@
 """Plans of agent steps: size rule and verdict."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from guardlake.functions import risk_band
@@ -7,12 +8,22 @@ from guardlake.operators.validation import annotate, plan_rules
 from guardlake.schemas import MAX_PLAN_STEPS
 
 
+def leading_steps(steps, plan_col, count):
+    """The first ``count`` steps of each plan.
+
+    Spark applies the rank limit before the shuffle too, so even a plan that
+    holds a large share of all rows sends at most ``count`` of them per task.
+    """
+    w = Window.partitionBy(plan_col).orderBy("step_index")
+    return steps.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= count).drop("_rank")
+
+
 def plan_verdict(steps, *, plan_col="plan_id", max_steps=MAX_PLAN_STEPS):
     """One row per plan from scored steps ``(plan, step_index, score, decision, credits)``.
 
     A plan over ``max_steps`` is rejected: it carries an error and no verdict.
-    Sizes come first from a partial aggregate, so blocked steps are listed only
-    for plans known to hold at most ``max_steps`` of them.
+    Sizes come from a partial aggregate; blocked steps are listed up to
+    ``max_steps`` per plan, which is all of them for any valid plan.
     """
     blocked = F.col("decision") == "BLOCK"
     score = F.coalesce(F.col("score"), F.lit(0.0))
@@ -23,17 +34,16 @@ def plan_verdict(steps, *, plan_col="plan_id", max_steps=MAX_PLAN_STEPS):
         F.sum(F.coalesce(F.col("credits"), F.lit(0.0))).alias("credits"),
     )
     valid = annotate(per_plan, plan_rules("steps", max_steps))
-    # Only steps of plans known to be small are listed.
     listed = (
-        steps.where(blocked)
-        .join(valid.where(F.col("error_code").isNull()).select(plan_col), plan_col, "left_semi")
+        leading_steps(steps.where(blocked).select(plan_col, "step_index"), plan_col, max_steps)
         .groupBy(plan_col)
         .agg(F.array_sort(F.collect_list("step_index")).alias("blocked_indices"))
     )
+    ok = F.col("error_code").isNull()
+    none = F.array().cast("array<int>")
     out = valid.join(listed, plan_col, "left").withColumn(
-        "blocked_indices", F.coalesce("blocked_indices", F.array().cast("array<int>"))
+        "blocked_indices", F.when(ok, F.coalesce("blocked_indices", none)).otherwise(none)
     )
-    ok = F.col("error_code").isNull()
     all_blocked = F.col("blocked_steps") == F.col("steps")
     any_blocked = F.col("blocked_steps") > 0
     n, k = F.col("steps").cast("string"), F.col("blocked_steps")
@@ -70,10 +80,11 @@ def evaluate_plans(steps, scorer, *, plan_col="plan_id", max_steps=MAX_PLAN_STEP
     ``scorer`` takes the step table and returns it with ``score``, ``decision``
     and ``credits``.  Plans over the limit are not scored.
     """
-    sizes = annotate(
-        steps.groupBy(plan_col).agg(F.count(F.lit(1)).alias("steps")), plan_rules("steps", max_steps)
-    )
-    small = steps.join(sizes.where(F.col("error_code").isNull()).select(plan_col), plan_col, "left_semi")
+    # One step past the limit is enough to tell that a plan is too long.
+    some = leading_steps(steps, plan_col, max_steps + 1)
+    held = F.count(F.lit(1)).over(Window.partitionBy(plan_col))
+    small = some.withColumn("_held", held).where(F.col("_held") <= max_steps).drop("_held")
+    sizes = annotate(steps.groupBy(plan_col).agg(F.count(F.lit(1)).alias("steps")), plan_rules("steps", max_steps))
     verdicts = plan_verdict(scorer(small), plan_col=plan_col, max_steps=max_steps)
     rejected = sizes.where(F.col("error_code").isNotNull())
     return verdicts.unionByName(rejected, allowMissingColumns=True)

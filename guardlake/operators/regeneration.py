@@ -68,6 +68,12 @@ def select_best(candidates, key, target, *, max_iterations=5, carry=("text",)):
     )
 
 
+def attach_best(df, candidates, key, target, *, max_iterations=1, text_col="text"):
+    """Add ``regenerated``, the best rewrite supplied for each row's key, null where there is none."""
+    best = select_best(candidates, key, target, max_iterations=max_iterations, carry=(text_col,))
+    return df.join(best.select(key, F.col(f"best_{text_col}").alias("regenerated")), key, "left")
+
+
 def not_too_harmful(c="score", below=TOO_HARMFUL_BELOW):
     """Content with a score under ``below`` cannot be regenerated."""
     return (F.col(c) if isinstance(c, str) else c) >= below

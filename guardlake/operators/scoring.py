@@ -8,6 +8,7 @@ its rules are this project's, not a model.
 import pandas as pd
 from pyspark.sql import functions as F
 
+from guardlake.functions import restrict_dimensions, weighted_score
 from guardlake.schemas import DIM_COLUMNS, LOW_CONFIDENCE
 
 # Signal patterns, valid in Java and RE2 alike.
@@ -36,14 +37,22 @@ def count_matches(c, pattern):
     return F.when(c.isNull() | F.contains(c, F.lit(NEEDLES[pattern])), count).otherwise(0)
 
 
+SIGNALS = ("n_email", "n_ip", "n_card", "n_token", "n_text")
+
+
 def with_signals(df, text_col="text"):
-    """Add the counts ``n_email, n_ip, n_card, n_token`` over the whole text."""
+    """Add ``n_email, n_ip, n_card, n_token`` over the whole text and its length ``n_text``.
+
+    A map over the texts.  Joins with labels and the like belong after it, on the
+    signals, so that texts are not shuffled.
+    """
     return df.withColumns(
         {
             "n_email": count_matches(text_col, EMAIL),
             "n_ip": count_matches(text_col, IPV4),
             "n_card": count_matches(text_col, CARD),
             "n_token": count_matches(text_col, TOKEN),
+            "n_text": F.length(text_col),
         }
     )
 
@@ -51,9 +60,10 @@ def with_signals(df, text_col="text"):
 def rule_scorer(df, text_col="text", mode="basic"):
     """Score by personal-data and secret counts, and by labels where the table has them.
 
-    Deep mode adds one dimension, ``user_impact`` by text length, and 0.3 confidence.
+    Uses signals the table already has.  Deep mode adds one dimension,
+    ``user_impact`` by text length, and 0.3 confidence.
     """
-    out = with_signals(df, text_col)
+    out = df if all(c in df.columns for c in SIGNALS) else with_signals(df, text_col)
     toxic = F.col("toxic") if "toxic" in df.columns else F.lit(None).cast("int")
     quality = F.col("quality") if "quality" in df.columns else F.lit(None).cast("int")
     penalty = 25 * F.col("n_email") + 15 * F.col("n_ip") + 40 * F.col("n_card") + 40 * F.col("n_token")
@@ -63,8 +73,7 @@ def rule_scorer(df, text_col="text", mode="basic"):
         "d_reliability": F.when(quality == 1, 90).when(quality == 0, 40).otherwise(60),
     }
     if mode == "deep":
-        length = F.length(text_col)
-        tenths["d_user_impact"] = F.when(length.between(50, 10000), 90).otherwise(50)
+        tenths["d_user_impact"] = F.when(F.col("n_text").between(50, 10000), 90).otherwise(50)
     total = sum(tenths.values(), F.lit(0))
     labelled = toxic.isNotNull() | quality.isNotNull()
     confidence = F.when(labelled, 9).otherwise(5)
@@ -99,9 +108,20 @@ def pandas_scorer(fn):
     return scorer
 
 
-def score(df, text_col="text", scorer=rule_scorer, mode="basic"):
-    """Run a scorer and note the depth it ran at."""
-    return scorer(df, text_col, mode).withColumn("mode", F.lit(mode))
+def score(df, text_col="text", scorer=rule_scorer, mode="basic", *, dimensions=None, weights=None):
+    """Run a scorer and note the depth it ran at.
+
+    ``dimensions`` keeps only some dimensions.  ``weights`` (adding up to 100)
+    replace the overall score by the weighted one.
+    """
+    out = scorer(df, text_col, mode).withColumn("mode", F.lit(mode))
+    if dimensions is not None:
+        out = restrict_dimensions(out, dimensions)
+    if weights is not None:
+        if abs(sum(weights.values()) - 100) > 1.0:
+            raise ValueError(f"Weights must sum to 100. Current sum: {sum(weights.values())}")
+        out = out.withColumn("score", weighted_score(weights) / F.lit(100.0))
+    return out
 
 
 def score_distinct(df, text_col="text", scorer=rule_scorer, mode="basic"):

@@ -7,6 +7,7 @@ and divided last, so Spark and another engine give the same doubles.
 from pyspark.sql import functions as F
 
 from guardlake.operators.ordered import ordered_columns
+from guardlake.operators.scoring import SIGNALS, with_signals
 from guardlake.schemas import DIM_COLUMNS, VIOLATION
 from guardlake.sources.readers import read_table
 
@@ -108,9 +109,9 @@ def candidates(spark, sf_dir):
     return ordered_columns(turns, ["conv_id"], ["turn"], number="iteration")
 
 
-def labelled_documents(spark, sf_dir):
-    """Documents with their labels where there are any."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+def document_signals(spark, sf_dir):
+    """Signals of each document with its labels where there are any; texts stay out of the join."""
+    docs = with_signals(read(spark, sf_dir, "documents")).select("doc_id", "lang", *SIGNALS)
     return docs.join(read(spark, sf_dir, "labels"), "doc_id", "left")
 
 

@@ -318,7 +318,7 @@ SELECT call_id, CASE WHEN abs(total_w - 100.0) > 1.0 THEN 'weights_sum' END AS w
 FROM calls GROUP BY ROLLUP (tool_name, decision)""",
     "plugin_scorer": """SELECT doc_id, (length(text) % 101) / 10.0 AS score, 0.9::DOUBLE AS confidence, (length(text) % 11)::DOUBLE AS d_safety,
   NULL::DOUBLE AS d_privacy, 'deep' AS mode FROM documents""",
-    "custom_callback": f"""WITH {SCORED}, f AS (SELECT *, {failed({"privacy": 7.0, "safety": 5.0})} AS bad FROM scored)
+    "custom_callback": f"""WITH {SCORED}, f AS (SELECT *, list_filter([CASE WHEN d_privacy < 7.0 THEN 'privacy' END], lambda x: x IS NOT NULL) AS bad FROM scored)
 SELECT doc_id, len(bad) = 0 AS passed, coalesce(array_to_string(bad, ','), '') AS failed,
   CASE WHEN len(bad) > 0 AND length(text) % 2 = 0 THEN nullif(substring(text, 1, 5), '') END AS replacement FROM f""",
     "evaluate_documents": f"""WITH {SCORED}, v AS (SELECT lang, (70 + p_t + 60) / 30.0 AS s, d_privacy FROM scored JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)
@@ -337,6 +337,22 @@ SELECT conv_id, turn, answered, CASE WHEN bad_in THEN 'input' WHEN len(f) > 0 TH
         f"25 * len(regexp_extract_all(text, {q(EMAIL)})) + 15 * len(regexp_extract_all(text, {q(IPV4)})) + "
         f"40 * len(regexp_extract_all(text, {q(CARD)})) + 40 * len(regexp_extract_all(text, {q(TOKEN)}))",
     ),
+    "weighted_subset_scorer": f"""WITH {SCORED} SELECT doc_id, round((d_safety * 30.0 + d_privacy * 70.0) / 100.0, 8) AS score, d_safety, d_privacy,
+  NULL::DOUBLE AS d_reliability, 'deep' AS mode FROM scored""",
+    "guarded_answers": f"""WITH a AS (SELECT conv_id, turn, turn % 3 = 0 AS skipped, text || '!' AS content FROM conversations WHERE role = 'assistant'),
+s AS (SELECT *, greatest(0, 100 - 25 * len(regexp_extract_all(content, {q(EMAIL)})) - 15 * len(regexp_extract_all(content, {q(IPV4)}))
+  - 40 * len(regexp_extract_all(content, {q(CARD)})) - 40 * len(regexp_extract_all(content, {q(TOKEN)}))) AS p FROM a)
+SELECT conv_id, turn, skipped, NOT skipped AND p < 90 AS blocked, CASE WHEN skipped THEN 0.0 ELSE round((70 + p + 60) / 30.0, 8) END::DOUBLE AS score,
+  CASE WHEN NOT skipped THEN p / 10.0 END AS d_privacy, CASE WHEN NOT skipped AND p < 90 THEN 'response blocked: dimensions [privacy] below threshold' END AS message,
+  CAST(length(content) - 1 + 5 AS BIGINT) AS total_tokens FROM s""",
+    "traced_contents": f"""WITH {SCORED} SELECT CAST(doc_id AS VARCHAR) AS trace_id, name, value, NULL::VARCHAR AS comment FROM (
+  SELECT doc_id, 'rail_score' AS name, (70 + p_t + 60) / 30.0 AS value FROM scored UNION ALL SELECT doc_id, 'rail_confidence', 0.5 FROM scored
+  UNION ALL SELECT doc_id, 'rail_safety', 7.0 FROM scored UNION ALL SELECT doc_id, 'rail_privacy', d_privacy FROM scored UNION ALL SELECT doc_id, 'rail_reliability', 6.0 FROM scored)""",
+    "regenerated_turns": f"""WITH {CANDIDATES}, r AS (SELECT * FROM candidates WHERE iteration <= 5),
+f AS (SELECT conv_id, min(iteration) FILTER (score >= 6.0) AS met FROM r GROUP BY conv_id),
+b AS (SELECT conv_id, text AS best, row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN met IS NULL THEN -score WHEN iteration = met THEN -1 ELSE 0 END, iteration) AS o FROM r JOIN f USING (conv_id))
+SELECT conv_id, NOT (d_safety < 6.0 OR d_privacy < 5.0) AS passed, CASE WHEN d_safety < 6.0 OR d_privacy < 5.0 THEN 6.0 END::DOUBLE AS target_score,
+  CAST(CASE WHEN d_safety < 6.0 OR d_privacy < 5.0 THEN length(best) END AS INTEGER) AS replacement_chars FROM candidates JOIN b USING (conv_id) WHERE iteration = 1 AND o = 1""",
     "conversation_metrics": f"""WITH {TURNS} SELECT conv_id, round(avg(score), 8) AS average_score, min(score) AS min_score, max(score) AS max_score,
   count(*) AS turn_count, round(count(*) FILTER (score >= 7.0) * 100.0 / count(*), 8) AS passing_rate, {AVERAGES}
 FROM turns WHERE role <> 'system' GROUP BY conv_id""",

@@ -550,14 +550,14 @@ def injection_check(spark, sf):
 
 
 def rule_scorer(spark, sf):
-    out = scoring.score(fx.labelled_documents(spark, sf))
+    out = scoring.score(fx.document_signals(spark, sf))
     return out.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_token", "d_safety", "d_privacy", "d_reliability", "confidence", r8("score").alias("score")
     )
 
 
 def low_confidence_upgrade(spark, sf):
-    scored = scoring.score(fx.labelled_documents(spark, sf))
+    scored = scoring.score(fx.document_signals(spark, sf))
     out = scoring.upgrade_low_confidence(scored, below=LOW_CONFIDENCE)
     return out.select("doc_id", "mode", "upgraded", "confidence", "d_user_impact", r8("score").alias("score"))
 
@@ -586,8 +586,8 @@ def custom_callback(spark, sf):
     def rewrite(texts: pd.Series) -> pd.Series:
         return texts.where(texts.str.len() % 2 == 0, "").str.slice(0, 5)
 
-    scored = scoring.score(fx.labelled_documents(spark, sf))
-    enforced = policy.enforce_policy(scored, "CUSTOM", {"privacy": 7.0, "safety": 5.0})
+    scored = scoring.score(fx.read(spark, sf, "documents").select("doc_id", "text"))
+    enforced = policy.enforce_policy(scored, "CUSTOM", {"privacy": 7.0, "safety": 6.0})
     return policy.replace_failed(enforced, rewrite("text")).select(
         "doc_id", "passed", joined("failed_dimensions").alias("failed"), "replacement"
     )
@@ -610,13 +610,41 @@ def guarded_conversations(spark, sf):
     )
 
 
+def weighted_subset_scorer(spark, sf):
+    out = scoring.score(
+        fx.document_signals(spark, sf), mode="deep", dimensions=["privacy", "safety"], weights={"safety": 30, "privacy": 70}
+    )
+    return out.select("doc_id", r8("score").alias("score"), "d_safety", "d_privacy", "d_reliability", "mode")
+
+
+def guarded_answers(spark, sf):
+    rows = answers(spark, sf).select("conv_id", "turn", "blocks", (F.col("turn") % 3 == 0).alias("skip"))
+    out = guarded.guard_answers(rows, "blocks", "blocks", {"privacy": 9.0}, skip_col="skip")
+    return out.select("conv_id", "turn", "skipped", "blocked", r8("score").alias("score"), "d_privacy", "message", "total_tokens")
+
+
+def traced_contents(spark, sf):
+    docs = fx.read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("trace"), "text")
+    return guarded.trace_contents(docs, "trace")
+
+
+def regenerated_turns(spark, sf):
+    """First answers that fail are replaced by the conversation's best rewrite."""
+    rows = fx.candidates(spark, sf)
+    first = rows.where(F.col("iteration") == 1)
+    limits = {"safety": 6.0, "privacy": 5.0}
+    offered = regeneration.attach_best(first, rows, "conv_id", max(limits.values()), max_iterations=5)
+    out = policy.enforce_policy(offered, "REGENERATE", limits, regenerated=F.col("regenerated"))
+    return out.select("conv_id", "passed", "target_score", F.length("replacement").alias("replacement_chars"))
+
+
 # --- compliance ------------------------------------------------------------
 
 REQUESTED = ("gdpr", "ccpa", "dpdp", "ai_act", "euaia")
 
 
 def content_by_framework(spark, sf):
-    return compliance.expand_frameworks(scoring.score(fx.labelled_documents(spark, sf)), REQUESTED)
+    return compliance.expand_frameworks(scoring.score(fx.document_signals(spark, sf)), REQUESTED)
 
 
 def compliance_checks(spark, sf, strict=False):
@@ -1124,6 +1152,10 @@ BATCH = (
     custom_callback,
     evaluate_documents,
     guarded_conversations,
+    weighted_subset_scorer,
+    guarded_answers,
+    traced_contents,
+    regenerated_turns,
     compliance_matrix,
     compliance_matrix_strict,
     cross_framework,
