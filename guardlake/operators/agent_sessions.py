@@ -9,8 +9,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from guardlake.functions import format_score
-from guardlake.operators.ordered import CHUNK, ordered_columns, rows_per_chunk, split_points
+from guardlake.operators.ordered import CHUNK, ordered_columns
 from guardlake.schemas import DIM_COLUMNS, DIMENSIONS
+from guardlake.session import ensure_checkpoint_dir
 
 SESSION = ["session_id"]
 ORDER = ["ts", "call_id"]
@@ -52,44 +53,48 @@ def accept_calls(
     spec = dict(number="_n", first_position={"_critical": is_critical()})
     if started_col is None:
         spec["first"] = {"_started": "ts"}
-    splits = split_points(calls, SESSION, ORDER, rows_per_chunk(calls, chunk_rows))
-    rows = ordered_columns(calls, SESSION, ORDER, splits=splits, keep_chunk=True, **spec)
-    started = F.col(started_col or "_started")
-    expired = F.col("ts") >= started + F.expr(f"INTERVAL {int(ttl_minutes * 60)} SECONDS")
-    rows = ordered_columns(
-        rows.withColumn("_expired", expired),
-        SESSION,
-        ORDER,
-        splits=splits,
-        first_position={"_first_expired": F.col("_expired")},
-    )
-    reason = reject_reason(
-        F.col("_n"), F.col("_critical"), F.col("_first_expired"), F.col("_expired"), max_calls, block_after_critical
-    )
+    rows = ordered_columns(calls, SESSION, ORDER, chunk_rows=chunk_rows, **spec)
+    expired = F.col("ts") >= F.col(started_col or "_started") + ttl_interval(ttl_minutes)
+    reason = reject_reason(F.col("_n"), F.col("_critical"), expired, max_calls, block_after_critical)
     return (
         rows.withColumn("reject_reason", reason)
         .withColumn("accepted", F.col("reject_reason").isNull())
-        .drop("_n", "_critical", "_started", "_expired", "_first_expired")
+        .drop("_n", "_critical", "_started")
     )
 
 
-def reject_reason(n, critical_at, expired_at, expired, max_calls, block_after_critical):
+def ttl_interval(minutes):
+    return F.expr(f"INTERVAL {int(minutes * 60)} SECONDS")
+
+
+def reject_reason(n, critical_at, expired, max_calls, block_after_critical):
     """Why the ``n``-th attempt is refused, or null.
 
-    ``critical_at`` and ``expired_at`` are the positions of the first earlier
-    attempt with a critical violation or past the time limit.  The count limit
-    closes a session only if that many calls were let through first.
+    ``critical_at`` is the position of the first earlier attempt with a critical
+    violation.  Refused attempts do not count, so the number limit binds only if
+    that many calls came before such a violation.
     """
     unblocked = F.coalesce(critical_at >= max_calls, F.lit(True)) if block_after_critical else F.lit(True)
-    in_time = F.coalesce(expired_at > max_calls, F.lit(True))
     blocked = critical_at.isNotNull() if block_after_critical else F.lit(False)
     return (
-        F.when((n > max_calls) & unblocked & in_time, "max_tool_calls")
+        F.when((n > max_calls) & unblocked, "max_tool_calls")
         .when(expired, "ttl_expired")
         .when(blocked, "critical_violation")
     )
 
 
+def close_sessions(calls, as_of, *, chunk_rows=None, **limits):
+    """Final summary of every session over its accepted calls, with status and closing time.
+
+    The attempts feed three aggregates, so they are checkpointed first.
+    """
+    ensure_checkpoint_dir(calls.sparkSession)
+    attempts = accept_calls(calls, chunk_rows=chunk_rows, **limits).checkpoint()
+    return risk_summary(
+        attempts.where("accepted"), as_of, status=session_status(attempts), chunk_rows=chunk_rows
+    )
+
+
 def depth_rule(prior, run, deep_every_n, escalate_after_flags, base_mode):
     """Depth after ``prior`` calls of which the last ``run`` were flagged."""
     escalated = (run >= escalate_after_flags) if escalate_after_flags > 0 else F.lit(False)

@@ -6,9 +6,10 @@ greedy chain: each is the first request later than the one before it plus TTL.
 In a log of request times the answer counts as stored when it was requested.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from guardlake.operators.ordered import ordered_columns, rows_per_chunk, split_points
+from guardlake.operators.ordered import CHUNK, ordered_columns, rows_per_chunk, split_points, with_chunks
 from guardlake.schemas import CACHE_TTL_SECONDS
 from guardlake.session import ensure_checkpoint_dir
 
@@ -39,44 +40,41 @@ def dedup_requests(
     """
     keys, ttl = list(key_cols), int(ttl_seconds) * 1_000_000
     size = rows_per_chunk(df, chunk_rows)
-    rows = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    base = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
     order = ["_t", id_col]
-    splits = split_points(rows, keys, order, size)
-    rows = ordered_columns(rows, keys, order, splits=splits, keep_chunk=True, lag={"_prev": "_t"})
-    starts = F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > ttl)
-    rows = rows.withColumn("_starts", starts)
-    rows = ordered_columns(
-        rows, keys, order, splits=splits, keep_chunk=True, last_value={"_run": (F.col("_starts"), "_t")}
-    )
-    open_rows = rows.where(F.col("_t") - F.col("_run") > ttl).select(*keys, "_run", "_t")
-
-    hot = splits.select(*keys)
-    sent = _walk(_null_safe(open_rows, hot, keys, "left_anti"), keys, ttl)
+    splits = split_points(base, keys, order, size)
+
+    # Runs are only used for keys in one chunk, where plain windows see all rows.
+    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    rows = with_chunks(base, keys, order, splits, cut_flag="_cut")
+    rows = rows.withColumn("_prev", F.lag("_t").over(w))
+    rows = rows.withColumn("_starts", F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > ttl))
+    rows = rows.withColumn("_run", F.last(F.when(F.col("_starts"), F.col("_t")), ignorenulls=True).over(w))
+
+    late = rows.where(~F.col("_cut") & (F.col("_t") - F.col("_run") > ttl)).select(*keys, "_run", "_t")
+    sent = _walk(late, keys, ttl)
+    sent = sent.withColumn("_id", F.lit(None).cast(dict(df.dtypes)[id_col]))
     if not splits.isEmpty():
-        nodes = _null_safe(rows.select(*keys, "_t"), hot, keys, "left_semi").distinct()
-        sent = sent.unionByName(_double(nodes, keys, ttl, size))
-    sent = sent.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], F.col("_t").alias("_sent"))
+        times = with_chunks(base, keys, order, splits, "inner").groupBy(*keys, "_t").agg(F.min(id_col).alias("_id"))
+        sent = sent.unionByName(_double(times, keys, ttl, size))
+    sent = sent.select(
+        *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
+        F.col("_t").alias("_sent"),
+        F.col("_id").alias("_sent_id"),
+    )
 
     match = F.col("_t") == F.col("_sent")
     for i, k in enumerate(keys):
         match = match & F.col(k).eqNullSafe(F.col(f"_s{i}"))
     rows = rows.join(sent, match, "left").drop(*[f"_s{i}" for i in range(len(keys))])
-    first_at_time = F.col("_prev").isNull() | (F.col("_prev") < F.col("_t"))
-    rows = rows.withColumn("_miss", F.col("_starts") | (F.col("_sent").isNotNull() & first_at_time))
-    out = ordered_columns(
-        rows, keys, order, splits=splits, last_value={"answer_id": (F.col("_miss"), id_col)}
+    # Of several requests at one time the first is sent.
+    first_then = F.col("_prev").isNull() | (F.col("_prev") < F.col("_t"))
+    miss = F.when(F.col("_cut"), F.col(id_col).eqNullSafe(F.col("_sent_id"))).otherwise(
+        F.col("_starts") | (F.col("_sent").isNotNull() & first_then)
     )
-    return out.withColumn("from_cache", ~F.col("_miss")).drop("_t", "_prev", "_starts", "_run", "_sent", "_miss")
-
-
-def _null_safe(left, right, keys, how):
-    """Semi or anti join against the few cut keys (bounded by construction, see split_points)."""
-    renamed = right.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)])
-    cond = None
-    for i, k in enumerate(keys):
-        part = F.col(k).eqNullSafe(F.col(f"_h{i}"))
-        cond = part if cond is None else cond & part
-    return left.join(F.broadcast(renamed), cond, how)
+    rows = rows.withColumn("_miss", miss).drop("_prev", "_run", "_starts", "_cut", "_sent", "_sent_id")
+    out = ordered_columns(rows, keys, order, splits=splits, last_value={"answer_id": (F.col("_miss"), id_col)})
+    return out.withColumn("from_cache", ~F.col("_miss")).drop("_t", "_miss")
 
 
 def _walk(open_rows, keys, ttl):
@@ -94,10 +92,11 @@ def _walk(open_rows, keys, ttl):
     return runs.select(*keys, F.explode(walked).alias("_t"))
 
 
-def _double(nodes, keys, ttl, size):
-    """Sent requests of cut keys by pointer doubling over distinct request times."""
-    ensure_checkpoint_dir(nodes.sparkSession)
-    nodes = nodes.checkpoint()
+def _double(times, keys, ttl, size):
+    """Sent requests of cut keys by pointer doubling; ``times`` has each distinct request time with its first id."""
+    ensure_checkpoint_dir(times.sparkSession)
+    times = times.checkpoint()
+    nodes = times.select(*keys, "_t")
     points = nodes.select(*keys, F.col("_t").alias("at"), F.lit(0).alias("probe"), F.col("_t").alias("src"))
     probes = nodes.select(*keys, (F.col("_t") + ttl).alias("at"), F.lit(1).alias("probe"), F.col("_t").alias("src"))
     merged = ordered_columns(
@@ -127,4 +126,8 @@ def _double(nodes, keys, ttl, size):
             cond = cond & F.col(k).eqNullSafe(F.col(f"_j{i}"))
         further = reached.join(hop, cond).select(*keys, F.col("to").alias("_t"))
         reached = reached.unionByName(further).checkpoint()
-    return reached.distinct()
+    same = F.col("_t") == F.col("_via")
+    hit = reached.distinct().select(*[F.col(k).alias(f"_j{i}") for i, k in enumerate(keys)], F.col("_t").alias("_via"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_j{i}"))
+    return times.join(hit, same, "left_semi")

@@ -97,9 +97,14 @@ class OrderedSpec:
     next_value: dict = field(default_factory=dict)
 
 
-def with_chunks(df, keys, order, splits, how="left"):
-    """Add the chunk number of each row; ``how="inner"`` keeps rows of cut keys only."""
+def with_chunks(df, keys, order, splits, how="left", *, cut_flag=None):
+    """Add the chunk number of each row; ``how="inner"`` keeps rows of cut keys only.
+
+    ``cut_flag`` names a column telling whether the row's key is cut.
+    """
     joined = _attach(df, splits, keys, how)
+    if cut_flag:
+        joined = joined.withColumn(cut_flag, F.col("_splits").isNotNull())
     if CHUNK not in df.columns:
         joined = joined.withColumn(CHUNK, _chunk_number(order))
     return joined.drop("_splits")

@@ -154,11 +154,9 @@ timed AS (
   SELECT *, ts >= first_value(ts) OVER w + INTERVAL {minutes} MINUTE AS expired,
   min(CASE WHEN v_severity = 'critical' THEN n END) OVER (PARTITION BY session_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS c
   FROM calls WINDOW w AS (PARTITION BY session_id ORDER BY n)),
-marked AS (
-  SELECT *, min(CASE WHEN expired THEN n END) OVER (PARTITION BY session_id) AS e FROM timed),
 attempts AS (
-  SELECT *, CASE WHEN n > {max_calls} AND {stop} AND coalesce(e > {max_calls}, TRUE) THEN 'max_tool_calls'
-    WHEN expired THEN 'ttl_expired' WHEN {blocked} THEN 'critical_violation' END AS reject_reason FROM marked),
+  SELECT *, CASE WHEN n > {max_calls} AND {stop} THEN 'max_tool_calls'
+    WHEN expired THEN 'ttl_expired' WHEN {blocked} THEN 'critical_violation' END AS reject_reason FROM timed),
 final AS (SELECT *, reject_reason IS NULL AS accepted FROM attempts)"""
 
 

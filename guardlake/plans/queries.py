@@ -391,8 +391,7 @@ def risk_rows(summary):
 
 def agent_closed_summary(spark, sf):
     """Final summary over the accepted calls only, as on closing a session."""
-    rows = attempts(spark, sf)
-    out = agent.risk_summary(rows.where("accepted"), AS_OF, status=agent.session_status(rows))
+    out = agent.close_sessions(fx.agent_calls(spark, sf), AS_OF, max_calls=40, ttl_minutes=20 * 24 * 60)
     return out.select(
         "session_id", "status", "closed_at", "total_tool_calls", "risk_trend", "total_credits", "duration_seconds"
     )

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from guardlake.operators.agent_sessions import ORDER, SESSION, depth_rule, is_critical, reject_reason
+from guardlake.operators.agent_sessions import ORDER, SESSION, depth_rule, is_critical, reject_reason, ttl_interval
 from guardlake.operators.conversations import mode_rule
 from guardlake.operators.dedup import dedup_requests
 from guardlake.operators.ordered import ordered_columns, rows_per_chunk, split_points
@@ -158,7 +158,7 @@ class RequestDedupTracker:
 
 STATE = (
     "session_id bigint, started_at timestamp_ntz, attempts bigint, flag_run bigint, "
-    "critical_at bigint, expired_at bigint, closed_at timestamp_ntz, last_seen timestamp_ntz"
+    "critical_at bigint, closed_at timestamp_ntz, last_seen timestamp_ntz"
 )
 
 
@@ -202,30 +202,22 @@ class AgentSessionTracker:
         calls = batch.join(renamed, SESSION, "left")
 
         not_flag = ~F.col("decision").eqNullSafe(F.lit("FLAG"))
-        splits = split_points(batch, SESSION, ORDER, rows_per_chunk(batch))
         rows = ordered_columns(
             calls,
             SESSION,
             ORDER,
-            splits=splits,
-            keep_chunk=True,
+            splits=split_points(batch, SESSION, ORDER, rows_per_chunk(batch)),
             number="_n",
             first={"_first": "ts"},
             last_position={"_clear": not_flag},
             first_position={"_critical": is_critical()},
         )
         started = F.coalesce(F.col("s_started_at"), F.col("_first"))
-        limit = F.expr(f"INTERVAL {int(self.ttl_minutes * 60)} SECONDS")
-        rows = rows.withColumns({"_started": started, "_expired": F.col("ts") >= started + limit})
-        rows = ordered_columns(
-            rows, SESSION, ORDER, splits=splits, first_position={"_first_expired": F.col("_expired")}
-        )
-        expired_at = F.coalesce(F.col("s_expired_at"), seen + F.col("_first_expired"))
+        rows = rows.withColumn("_started", started)
+        expired = F.col("ts") >= started + ttl_interval(self.ttl_minutes)
         n = seen + F.col("_n")
         critical_at = F.coalesce(F.col("s_critical_at"), seen + F.col("_critical"))
-        reason = reject_reason(
-            n, critical_at, expired_at, F.col("_expired"), self.max_calls, self.block_after_critical
-        )
+        reason = reject_reason(n, critical_at, expired, self.max_calls, self.block_after_critical)
         run = F.when(F.col("_clear").isNotNull(), F.col("_n") - 1 - F.col("_clear")).otherwise(
             F.col("_n") - 1 + F.coalesce(F.col("s_flag_run"), F.lit(0))
         )
@@ -237,7 +229,7 @@ class AgentSessionTracker:
                 "mode": F.when(reason.isNull(), depth_rule(n - 1, run, *self.depth)),
             }
         ).withColumn("accepted", F.col("reject_reason").isNull())
-        helper = ["_n", "_first", "_clear", "_critical", "_started", "_expired", "_first_expired"]
+        helper = ["_n", "_first", "_clear", "_critical", "_started"]
         out.drop(*helper, *[c for c in renamed.columns if c not in SESSION]).write.mode("overwrite").parquet(
             f"{self.out_path}/batch_id={batch_id}"
         )
@@ -253,7 +245,6 @@ class AgentSessionTracker:
             (F.max("_seen") + count).alias("attempts"),
             F.coalesce(count - last_clear, count + F.coalesce(F.max("s_flag_run"), F.lit(0))).alias("flag_run"),
             F.coalesce(F.max("s_critical_at"), F.min(F.when(is_critical(), F.col("attempt")))).alias("critical_at"),
-            F.coalesce(F.max("s_expired_at"), F.min(F.when(F.col("_expired"), F.col("attempt")))).alias("expired_at"),
             F.coalesce(F.max("s_closed_at"), F.min(F.when(closing, F.col("ts")))).alias("closed_at"),
             F.greatest(F.max("ts"), F.max("s_last_seen")).alias("last_seen"),
         )

@@ -15,24 +15,26 @@ def mode_of(past, deep_every_n, escalate_after_flags, base):
 
 
 def accept(calls, max_calls, ttl_us, block_after_critical, deep_every_n=0, escalate=3, base=None):
-    """(accepted, reason, mode) per attempt, in order."""
-    kept, closed, critical, out = [], None, False, []
+    """(accepted, reason, mode) per attempt, in order, and the time the session closed."""
+    kept, closed_at, critical, out = [], None, False, []
     start = calls[0]["ts"] if calls else None
-    for call in calls:
-        if closed is None:
-            if len(kept) >= max_calls:
-                closed = "max_tool_calls"
-            elif call["ts"] - start >= ttl_us:
-                closed = "ttl_expired"
-        if closed is not None:
-            out.append((False, closed, None))
-        elif block_after_critical and critical:
-            out.append((False, "critical_violation", None))
-        else:
+    for i, call in enumerate(calls):
+        late = call["ts"] - start >= ttl_us
+        if closed_at is None and (len(kept) >= max_calls or late):
+            closed_at = call["ts"]
+        blocked = block_after_critical and critical
+        if closed_at is None and not blocked:
             out.append((True, None, mode_of(kept, deep_every_n, escalate, base)))
             kept.append(call)
             critical = critical or call["critical"]
-    return out
+            continue
+        # The reason names the limit this very attempt runs into.
+        if i >= max_calls and not (blocked and len(kept) < max_calls):
+            reason = "max_tool_calls"
+        else:
+            reason = "ttl_expired" if late else "critical_violation"
+        out.append((False, reason, None))
+    return out, closed_at
 
 
 def patterns(calls, as_of):

@@ -64,7 +64,7 @@ def frame(spark, by_session):
     return spark.createDataFrame(rows, SCHEMA).repartition(4)
 
 
-LENGTHS = [0, 1, 2, 3, 4, 5, 5, 12, 40, 160]
+LENGTHS = [0, 1, 2, 3, 4, 5, 5, 12, 40, 160, 30, 30, 30]
 
 
 @pytest.mark.parametrize("chunk_rows", [1 << 20, 6])
@@ -72,14 +72,18 @@ LENGTHS = [0, 1, 2, 3, 4, 5, 5, 12, 40, 160]
 def test_acceptance_and_mode(spark, chunk_rows, block):
     data = sessions(7, LENGTHS)
     calls = frame(spark, data)
-    got = {
-        r.call_id: (r.accepted, r.reject_reason)
-        for r in agent.accept_calls(
-            calls, max_calls=25, ttl_minutes=100, block_after_critical=block, chunk_rows=chunk_rows
-        ).collect()
-    }
+    attempts = agent.accept_calls(
+        calls, max_calls=25, ttl_minutes=100, block_after_critical=block, chunk_rows=chunk_rows
+    )
+    got = {r.call_id: (r.accepted, r.reject_reason) for r in attempts.collect()}
+    by_session = {r.session_id: r for r in agent.session_status(attempts).collect()}
+    status = {c[0]["call_id"]: by_session[s] for s, c in data.items() if c}
     for calls_of in data.values():
-        want = accept(calls_of, 25, 100 * 60_000_000, block)
+        want, closed_at = accept(calls_of, 25, 100 * 60_000_000, block)
+        if calls_of:
+            session = status[calls_of[0]["call_id"]]
+            assert session.closed_at == (None if closed_at is None else T0 + timedelta(microseconds=closed_at))
+            assert session.accepted_calls == sum(ok for ok, _, _ in want)
         for call, (ok, reason, _) in zip(calls_of, want):
             assert got[call["call_id"]] == (ok, reason)
     modes = {
@@ -87,7 +91,7 @@ def test_acceptance_and_mode(spark, chunk_rows, block):
         for r in agent.agent_mode(calls, deep_every_n=5, escalate_after_flags=3, base_mode="basic", chunk_rows=chunk_rows).collect()
     }
     for calls_of in data.values():
-        want = accept(calls_of, 1 << 30, 1 << 60, False, 5, 3, "basic")
+        want, _ = accept(calls_of, 1 << 30, 1 << 60, False, 5, 3, "basic")
         for call, (_, _, mode) in zip(calls_of, want):
             assert modes[call["call_id"]] == mode
 
