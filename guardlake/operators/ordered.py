@@ -137,8 +137,16 @@ def _windows(keys, order):
     w = part.orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
-    return part, w, before, upto, after
+    return part, w, before, upto, _later(part, order)
+
+
+def _later(part, order):
+    """Rows after this one, as a window over the reverse order.
+
+    Spark works a frame up to the end of its group out anew for every row, while
+    a frame from the start of the group only grows.
+    """
+    return part.orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _local(rows, keys, order, spec):
@@ -158,7 +166,7 @@ def _local(rows, keys, order, spec):
     for name, (cond, value) in spec.last_value.items():
         cols[f"_lv_{name}"] = F.last(F.when(cond, _col(value)), ignorenulls=True).over(upto)
     for name, (cond, value) in spec.next_value.items():
-        cols[f"_nv_{name}"] = F.first(F.when(cond, _col(value)), ignorenulls=True).over(after)
+        cols[f"_nv_{name}"] = F.last(F.when(cond, _col(value)), ignorenulls=True).over(after)
     out = rows.withColumns(cols)
     positions = {}
     for name, cond in spec.last_position.items():
@@ -191,7 +199,7 @@ def _carry(local, keys, order, spec):
     per_key = Window.partitionBy(*keys)
     w = per_key.orderBy(CHUNK)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    after = _later(per_key, [CHUNK])
     chunks = chunks.withColumns(
         {
             "_offset": F.coalesce(F.sum("_n").over(before), F.lit(0)),
@@ -212,7 +220,7 @@ def _carry(local, keys, order, spec):
     for name in spec.last_value:
         cols.append(F.last(f"_lvx_{name}", ignorenulls=True).over(before).alias(f"_c_lv_{name}"))
     for name in spec.next_value:
-        cols.append(F.first(f"_nvx_{name}", ignorenulls=True).over(after).alias(f"_c_nv_{name}"))
+        cols.append(F.last(f"_nvx_{name}", ignorenulls=True).over(after).alias(f"_c_nv_{name}"))
     return chunks.select(*keys, CHUNK, *cols)
 
 
