@@ -4,9 +4,10 @@
 when a single session holds a large share of all rows.  Here a key's rows are cut
 into ordered chunks first:
 
-1. Split points are the rows whose hash falls on a fixed residue, about one in
-   ``rows_per_chunk``.  They depend on row values only, so every branch of a plan
-   and every retried task sees the same chunks.  Ordinary keys rarely have one.
+1. Split points are picked among the rows whose hash falls on a fixed residue,
+   about one in ``rows_per_chunk``.  They depend on row values only, so every
+   branch of a plan and every retried task sees the same chunks.  Ordinary keys
+   have none.
 2. Windows run per ``(key, chunk)``.
 3. For split keys only, each chunk is reduced to one summary row; a window over
    those few rows yields what a chunk must know about its neighbours.  The result
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 ROWS_PER_CHUNK = 1 << 20
 ROWS_PER_CHUNK_CONF = "spark.guardlake.rowsPerChunk"
+EVENING = 4
 _STEPS = [1 << k for k in range(20, -1, -1)]
 
 
@@ -34,14 +36,16 @@ def rows_per_chunk(df, override=None):
 
 
 def split_points(df, keys, order, size):
-    """One row per key that is cut: the key and its sorted array of split rows."""
+    """One row per key that is cut: the key and its sorted array of split rows.
+
+    Rows are picked four times as often and every fourth pick is kept, which
+    evens out the chunks and leaves keys well below ``size`` rows whole.
+    """
     at = F.struct(*order)
-    picked = F.pmod(F.xxhash64(*keys, *order), F.lit(size)) == 0
-    return (
-        df.where(picked)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_set(at)).alias("_splits"))
-    )
+    picked = F.pmod(F.xxhash64(*keys, *order), F.lit(max(size // EVENING, 1))) == 0
+    picks = df.where(picked).groupBy(*keys).agg(F.array_sort(F.collect_set(at)).alias("_picks"))
+    kept = F.filter("_picks", lambda _, i: i % EVENING == EVENING - 1)
+    return picks.select(*keys, kept.alias("_splits")).where(F.size("_splits") > 0)
 
 
 
