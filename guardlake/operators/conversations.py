@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from guardlake.functions import restrict_dimensions
+from guardlake.operators.lookups import lookup_join
 from guardlake.operators.ordered import ordered_columns
 from guardlake.schemas import DEFAULT_THRESHOLD
 
@@ -52,10 +53,11 @@ def pair_turns(df, key, order, *, role_col="role", input_role="user", output_rol
     )
 
 
-def since_reset(df, resets, key, ts="ts", reset_ts="reset_at"):
+def since_reset(df, resets, key, ts="ts", reset_ts="reset_at", *, chunk_rows=None):
     """Rows of each session after its latest reset; sessions never reset stay whole."""
     last = resets.groupBy(key).agg(F.max(reset_ts).alias("_reset"))
-    return df.join(last, key, "left").where(F.col("_reset").isNull() | (F.col(ts) > F.col("_reset"))).drop("_reset")
+    rows = lookup_join(df, last, [key], [ts], chunk_rows=chunk_rows)
+    return rows.where(F.col("_reset").isNull() | (F.col(ts) > F.col("_reset"))).drop("_reset")
 
 
 def check_inputs(df, is_input, dims=None):

@@ -50,7 +50,7 @@ def split_points(df, keys, order, size):
 
 
 
-def _attach(left, right, keys, how):
+def attach(left, right, keys, how):
     """Broadcast join on null-safe keys, keeping the left key columns."""
     renamed = right.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
@@ -106,7 +106,7 @@ def with_chunks(df, keys, order, splits, how="left", *, cut_flag=None):
 
     ``cut_flag`` names a column telling whether the row's key is cut.
     """
-    joined = _attach(df, splits, keys, how)
+    joined = attach(df, splits, keys, how)
     if cut_flag:
         joined = joined.withColumn(cut_flag, F.col("_splits").isNotNull())
     if CHUNK not in df.columns:
@@ -132,7 +132,7 @@ def ordered_columns(df, keys, order, *, splits=None, keep_chunk=False, chunk_row
 
     cut = with_chunks(df, keys, order, splits, "inner")
     carry = _carry(_local(cut, keys, order, spec), keys, order, spec)
-    out = _attach(out, carry, keys + [CHUNK], "left")
+    out = attach(out, carry, keys + [CHUNK], "left")
     return _combine(out, [c for c in df.columns if c != CHUNK], spec, keep_chunk)
 
 

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from guardlake.operators.lookups import lookup_join
+
 GENERIC = "generic"
 FALLBACK_RISK = "low"
 
@@ -15,25 +17,26 @@ def effective_registry(registry):
     )
 
 
-def with_tool_profile(calls, registry, *, tool_col="tool_name"):
+def with_tool_profile(calls, registry, *, tool_col="tool_name", id_col="call_id", chunk_rows=None):
     """Add ``profile_*`` columns of each call's tool; unknown tools get the generic profile.
 
-    Neither side is forced to broadcast: Spark does so when the registry's size
-    allows, and splits a hot tool's partition otherwise.
+    The registry is broadcast only if Spark finds it small enough; otherwise the
+    calls of a hot tool are salted.
     """
     table = effective_registry(registry)
     renamed = table.select(
-        F.col("tool_name").alias("_tool"), *[F.col(c).alias(f"profile_{c}") for c in table.columns if c != "tool_name"]
+        F.col("tool_name").alias(tool_col),
+        F.lit(True).alias("_known"),
+        *[F.col(c).alias(f"profile_{c}") for c in table.columns if c != "tool_name"],
     )
-    out = calls.join(renamed, F.col(tool_col) == F.col("_tool"), "left")
-    known = F.col("_tool").isNotNull()
+    out = lookup_join(calls, renamed, [tool_col], [id_col], chunk_rows=chunk_rows)
     return out.withColumns(
         {
-            "profile_name": F.when(known, F.col("_tool")).otherwise(GENERIC),
+            "profile_name": F.when(F.col("_known"), F.col(tool_col)).otherwise(GENERIC),
             "profile_risk_level": F.coalesce("profile_risk_level", F.lit(FALLBACK_RISK)),
             "profile_source": F.coalesce("profile_source", F.lit("system")),
         }
-    ).drop("_tool")
+    ).drop("_known")
 
 
 def watch_hits(params, watch):

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from guardlake.functions import restrict_dimensions, weighted_score
+from guardlake.operators.lookups import lookup_join
 from guardlake.schemas import DIM_COLUMNS, LOW_CONFIDENCE
 
 # Signal patterns, valid in Java and RE2 alike.
@@ -124,18 +125,19 @@ def score(df, text_col="text", scorer=rule_scorer, mode="basic", *, dimensions=N
     return out
 
 
-def score_distinct(df, text_col="text", scorer=rule_scorer, mode="basic"):
+def score_distinct(df, text_col="text", scorer=rule_scorer, mode="basic", *, id_cols=None, chunk_rows=None):
     """Score each distinct text once and attach the result to all its copies.
 
     Worth it when the scorer is costly.  Copies are reduced before the shuffle,
-    and only the hash of a text, not the text, is joined back.  The hot side of
-    that join is the row side, which adaptive skew handling may split.
+    and only the hash of a text, not the text, is joined back.  Copies of a hot
+    text are told apart by ``id_cols`` (by default all other columns) and salted.
     """
+    ids = list(id_cols) if id_cols else [c for c in df.columns if c != text_col]
     keyed = df.withColumn("_content_key", F.sha2(F.col(text_col), 256))
     distinct = keyed.groupBy("_content_key").agg(F.any_value(text_col).alias(text_col))
     scored = score(distinct, text_col, scorer, mode).drop(text_col)
-    new = [c for c in scored.columns if c != "_content_key"]
-    return keyed.join(scored.select("_content_key", *new), "_content_key", "left").drop("_content_key")
+    out = lookup_join(keyed, scored, ["_content_key"], ids or ["_content_key"], chunk_rows=chunk_rows)
+    return out.drop("_content_key")
 
 
 def upgrade_low_confidence(df, text_col="text", scorer=rule_scorer, below=LOW_CONFIDENCE):
