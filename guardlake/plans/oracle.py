@@ -600,6 +600,22 @@ SQL["stream_regenerations"] = f"""WITH {EVENTS}, g AS (
 m AS (SELECT max(last) - INTERVAL 1 MINUTE AS watermark FROM g)
 SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps FROM g CROSS JOIN m WHERE met OR last + INTERVAL 15 MINUTE <= watermark"""
 SQL["stream_request_dedup"] = SQL["request_dedup"]
+SQL["encode_endpoints"] = f"""WITH {CALLS}
+SELECT call_id, 'safe-regenerate' AS endpoint, '{{"content":"text ' || call_id || '","max_regenerations":' || (k % 5) || CASE WHEN k % 2 = 0 THEN ',"regeneration_model":"external"' ELSE '' END ||
+  CASE WHEN k % 3 = 0 THEN ',"policy_hint":{{"tone":"calm"}}' ELSE '' END || '}}' AS body FROM calls
+UNION ALL SELECT call_id, 'safe-regenerate/continue', '{{"session_id":"' || call_id || '","regenerated_content":"better"}}' FROM calls
+UNION ALL SELECT call_id, 'agent/tool-result', '{{"tool_name":"' || tool_name || '","tool_result":{{"data":{{"k":' || k || '}}}}' || CASE WHEN k % 2 = 0 THEN ',"checks":["pii"]' ELSE '' END || '}}' FROM calls
+UNION ALL SELECT call_id, 'agent/prompt-injection', '{{"content":"hello"' || CASE WHEN k % 2 = 0 THEN ',"content_source":"user_input"' ELSE '' END || '}}' FROM calls
+UNION ALL SELECT call_id, 'agent/registry/tools', '{{"tool_name":"' || tool_name || '","risk_level":"high"' || CASE WHEN k % 2 = 0 THEN ',"thresholds":{{"block_below":4.5}}' ELSE '' END || '}}' FROM calls"""
+SQL["decode_multi_compliance"] = f"""WITH {_requirements(7.0)} SELECT doc_id, framework, compliance_score, label, CAST(requirements_checked AS INTEGER) AS requirements_checked,
+  CAST(count(*) OVER (PARTITION BY doc_id) AS INTEGER) AS frameworks_evaluated FROM labelled_checks"""
+SQL["cross_framework_log"] = f"""WITH {_requirements(7.0)}, s AS (SELECT doc_id, count(*) AS n, arg_min(framework, {{'s': compliance_score, 'f': framework}}) AS weakest, min(compliance_score) AS score FROM checks GROUP BY doc_id)
+SELECT doc_id, 'INFO' AS level, '[Compliance] Cross-framework summary: frameworks=' || n || ' | weakest=' || weakest || ' (' || printf('%.2f', score) || ')' AS line FROM s"""
+SQL["blocked_plans"] = f"""WITH {STEPS}, p AS (SELECT plan_id, count(*) AS steps, count(*) FILTER (decision = 'BLOCK') AS b,
+  string_agg(CAST(step_index AS VARCHAR), ', ' ORDER BY step_index) FILTER (decision = 'BLOCK') AS idx FROM steps GROUP BY plan_id)
+SELECT plan_id, CASE WHEN b = steps THEN 'BLOCK_ALL' ELSE 'PARTIAL_BLOCK' END AS overall_decision, CAST(b AS INTEGER) AS blocked,
+  CASE WHEN b = steps THEN 'All ' || steps || ' steps are blocked.' ELSE (steps - b) || ' of ' || steps || ' steps can proceed. Blocked steps: [' || idx || '].' END AS plan_summary
+FROM p WHERE steps <= 20 AND b > 0"""
 
 # Result types as the jobs give them, where SQL's own counting type is wider.
 TYPES = {

@@ -1100,6 +1100,78 @@ def encode_compliance(spark, sf):
     return encode.encode_requests(rows, "compliance/check").select("call_id", "endpoint", "body")
 
 
+def encode_endpoints(spark, sf):
+    """Bodies of the remaining endpoints for every call."""
+    K = F.col("k")
+    calls = fx.agent_calls(spark, sf)
+    number = F.col("call_id").cast("string")
+    bodies = {
+        "safe-regenerate": {
+            "content": F.concat(F.lit("text "), number),
+            "max_regenerations": K % 5,
+            "regeneration_model": F.when(K % 2 == 0, "external"),
+            "policy_hint": F.when(K % 3 == 0, '{"tone":"calm"}'),
+        },
+        "safe-regenerate/continue": {"session_id": number, "regenerated_content": F.lit("better")},
+        "agent/tool-result": {
+            "tool_name": F.col("tool_name"),
+            "tool_result": F.concat(F.lit('{"data":'), F.col("params"), F.lit("}")),
+            "checks": F.when(K % 2 == 0, F.array(F.lit("pii"))),
+        },
+        "agent/prompt-injection": {"content": F.lit("hello"), "content_source": F.when(K % 2 == 0, "user_input").otherwise("")},
+        "agent/registry/tools": {
+            "tool_name": F.col("tool_name"),
+            "risk_level": F.lit("high"),
+            "thresholds": F.when(K % 2 == 0, F.struct(F.lit(4.5).alias("block_below"))),
+        },
+    }
+    parts = [
+        encode.encode_requests(calls.select("call_id", *[e.alias(n) for n, e in fields.items()]), endpoint).select(
+            "call_id", "endpoint", "body"
+        )
+        for endpoint, fields in bodies.items()
+    ]
+    return _union(parts)
+
+
+def decode_multi_compliance(spark, sf):
+    """Multi-framework results written as JSON, read back one row per framework."""
+    checks = compliance_matrix(spark, sf)
+    result = F.struct(
+        F.col("framework"),
+        F.struct(F.col("compliance_score").alias("score"), F.col("label")).alias("compliance_score"),
+        "requirements_checked",
+    )
+    body = checks.groupBy("doc_id").agg(
+        F.to_json(
+            F.struct(
+                F.map_from_entries(F.collect_list(F.struct("framework", result.alias("result")))).alias("results"),
+                F.struct(F.count(F.lit(1)).alias("frameworks_evaluated")).alias("cross_framework_summary"),
+            )
+        ).alias("json")
+    )
+    return decode.decode_multi_compliance(body, "json").select(
+        "doc_id",
+        F.col("framework_key").alias("framework"),
+        F.col("compliance_score.score").alias("compliance_score"),
+        F.col("compliance_score.label").alias("label"),
+        "requirements_checked",
+        F.col("summary.frameworks_evaluated").alias("frameworks_evaluated"),
+    )
+
+
+def cross_framework_log(spark, sf):
+    summary = compliance.cross_framework_summary(compliance_matrix(spark, sf), "doc_id")
+    return compliance.cross_framework_log(summary, "doc_id").select(
+        "doc_id", "level", F.regexp_replace("line", r"avg_score=[0-9.]+ \| ", "").alias("line")
+    )
+
+
+def blocked_plans(spark, sf):
+    out = plan_verdicts.blocked_plans(plan_verdicts.plan_verdict(fx.plan_steps(spark, sf)))
+    return out.select("plan_id", "overall_decision", F.size("blocked_indices").alias("blocked"), "plan_summary")
+
+
 BATCH = (
     score_bands,
     names_and_aliases,
@@ -1189,6 +1261,10 @@ BATCH = (
     encode_requests,
     encode_tool_calls,
     encode_compliance,
+    encode_endpoints,
+    decode_multi_compliance,
+    cross_framework_log,
+    blocked_plans,
 )
 
 
