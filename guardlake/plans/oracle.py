@@ -609,8 +609,8 @@ UNION ALL SELECT call_id, 'agent/prompt-injection', '{{"content":"hello"' || CAS
 UNION ALL SELECT call_id, 'agent/registry/tools', '{{"tool_name":"' || tool_name || '","risk_level":"high"' || CASE WHEN k % 2 = 0 THEN ',"thresholds":{{"block_below":4.5}}' ELSE '' END || '}}' FROM calls"""
 SQL["decode_multi_compliance"] = f"""WITH {_requirements(7.0)} SELECT doc_id, framework, compliance_score, label, CAST(requirements_checked AS INTEGER) AS requirements_checked,
   CAST(count(*) OVER (PARTITION BY doc_id) AS INTEGER) AS frameworks_evaluated FROM labelled_checks"""
-SQL["cross_framework_log"] = f"""WITH {_requirements(7.0)}, s AS (SELECT doc_id, count(*) AS n, arg_min(framework, {{'s': compliance_score, 'f': framework}}) AS weakest, min(compliance_score) AS score FROM checks GROUP BY doc_id)
-SELECT doc_id, 'INFO' AS level, '[Compliance] Cross-framework summary: frameworks=' || n || ' | weakest=' || weakest || ' (' || printf('%.2f', score) || ')' AS line FROM s"""
+SQL["cross_framework_log"] = f"""WITH {_requirements(7.0)}, s AS (SELECT doc_id, count(*) AS n, arg_min(framework, {{'s': compliance_score, 'f': framework}}) AS weakest FROM checks GROUP BY doc_id)
+SELECT doc_id, 'INFO' AS level, '[Compliance] Cross-framework summary: frameworks=' || n || ' | weakest=' || weakest AS line FROM s"""
 SQL["blocked_plans"] = f"""WITH {STEPS}, p AS (SELECT plan_id, count(*) AS steps, count(*) FILTER (decision = 'BLOCK') AS b,
   string_agg(CAST(step_index AS VARCHAR), ', ' ORDER BY step_index) FILTER (decision = 'BLOCK') AS idx FROM steps GROUP BY plan_id)
 SELECT plan_id, CASE WHEN b = steps THEN 'BLOCK_ALL' ELSE 'PARTIAL_BLOCK' END AS overall_decision, CAST(b AS INTEGER) AS blocked,

@@ -1163,7 +1163,7 @@ def decode_multi_compliance(spark, sf):
 def cross_framework_log(spark, sf):
     summary = compliance.cross_framework_summary(compliance_matrix(spark, sf), "doc_id")
     return compliance.cross_framework_log(summary, "doc_id").select(
-        "doc_id", "level", F.regexp_replace("line", r"avg_score=[0-9.]+ \| ", "").alias("line")
+        "doc_id", "level", F.regexp_replace("line", r"avg_score=[0-9.]+ \| | \([0-9.]+\)", "").alias("line")
     )
 
 
