@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from guardlake.operators.ordered import EVENING, attach, rows_per_chunk
 
 
+def telling_columns(df, exclude):
+    """Plain-valued columns other than ``exclude``, which together tell rows apart as well as the table can."""
+    nested = ("array", "map", "struct", "variant")
+    return [c for c, t in df.dtypes if c not in exclude and not t.startswith(nested)] or list(exclude)
+
+
 def hot_keys(df, keys, spread_by, size):
     """Keys with clearly more than ``size`` rows, and how many salts each needs."""
     picked = F.pmod(F.xxhash64(*keys, *spread_by), F.lit(max(size // EVENING, 1))) == 0

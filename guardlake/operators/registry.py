@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from guardlake.operators.lookups import lookup_join
+from guardlake.operators.lookups import lookup_join, telling_columns
 
 GENERIC = "generic"
 FALLBACK_RISK = "low"
@@ -17,19 +17,22 @@ def effective_registry(registry):
     )
 
 
-def with_tool_profile(calls, registry, *, tool_col="tool_name", id_col="call_id", chunk_rows=None):
+def with_tool_profile(calls, registry, *, tool_col="tool_name", id_cols=None, chunk_rows=None):
     """Add ``profile_*`` columns of each call's tool; unknown tools get the generic profile.
 
     The registry is broadcast only if Spark finds it small enough; otherwise the
-    calls of a hot tool are salted.
+    calls of a hot tool are salted by ``id_cols`` (by default ``call_id``, or all
+    plain columns if there is none).
     """
+    default = ["call_id"] if "call_id" in calls.columns else telling_columns(calls, [tool_col])
+    ids = list(id_cols) if id_cols else default
     table = effective_registry(registry)
     renamed = table.select(
         F.col("tool_name").alias(tool_col),
         F.lit(True).alias("_known"),
         *[F.col(c).alias(f"profile_{c}") for c in table.columns if c != "tool_name"],
     )
-    out = lookup_join(calls, renamed, [tool_col], [id_col], chunk_rows=chunk_rows)
+    out = lookup_join(calls, renamed, [tool_col], ids, chunk_rows=chunk_rows)
     return out.withColumns(
         {
             "profile_name": F.when(F.col("_known"), F.col(tool_col)).otherwise(GENERIC),

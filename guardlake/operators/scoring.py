@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from guardlake.functions import restrict_dimensions, weighted_score
-from guardlake.operators.lookups import lookup_join
+from guardlake.operators.lookups import lookup_join, telling_columns
 from guardlake.schemas import DIM_COLUMNS, LOW_CONFIDENCE
 
 # Signal patterns, valid in Java and RE2 alike.
@@ -130,13 +130,13 @@ def score_distinct(df, text_col="text", scorer=rule_scorer, mode="basic", *, id_
 
     Worth it when the scorer is costly.  Copies are reduced before the shuffle,
     and only the hash of a text, not the text, is joined back.  Copies of a hot
-    text are told apart by ``id_cols`` (by default all other columns) and salted.
+    text are told apart by ``id_cols`` (by default all other plain columns) and salted.
     """
-    ids = list(id_cols) if id_cols else [c for c in df.columns if c != text_col]
+    ids = list(id_cols) if id_cols else telling_columns(df, [text_col])
     keyed = df.withColumn("_content_key", F.sha2(F.col(text_col), 256))
     distinct = keyed.groupBy("_content_key").agg(F.any_value(text_col).alias(text_col))
     scored = score(distinct, text_col, scorer, mode).drop(text_col)
-    out = lookup_join(keyed, scored, ["_content_key"], ids or ["_content_key"], chunk_rows=chunk_rows)
+    out = lookup_join(keyed, scored, ["_content_key"], ids, chunk_rows=chunk_rows)
     return out.drop("_content_key")
 
 
