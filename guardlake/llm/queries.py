@@ -1,9 +1,10 @@
 """The registered queries of this subpackage, one per operator, over whole tables."""
 
+import public_tokenizers
+from guardlake.llm import bpe, exact_dedup, mixing, token_counts, token_files, topk
+from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
-from guardlake.llm import exact_dedup, mixing, topk
-
 #: Target shares of the sources of ``documents``.
 SOURCE_WEIGHTS = {f"src{i}": 2.0 if i % 4 == 0 else 1.0 for i in range(20)}
 
@@ -17,6 +18,23 @@ def op2_topk_search(spark, sf_dir):
     return topk.top_k(vectors, vectors.where("id % 100 = 0"), 10)
 
 
+def op3_bpe(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digest_documents(_table(spark, sf_dir, "documents"), path)
+
+
+def op4_token_files(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    folder = scratch_folder(spark, "token-files")
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), path, folder, end_id=2)
+    return token_files.digest_token_files(spark, folder)
+
+
+def op5_token_counts(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path, limit=2048)
+
+
 def op6_exact_dedup(spark, sf_dir):
     marked = exact_dedup.mark_copies(_table(spark, sf_dir, "documents"), keep="largest")
     return marked.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -27,7 +45,7 @@ def op7_mix_sources(spark, sf_dir):
     return mixed.select("row.doc_id", "row.source", "copy", "place", "row.text")
 
 
-QUERIES = [op2_topk_search, op6_exact_dedup, op7_mix_sources]
+QUERIES = [op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources]
 
 
 def queries():
