@@ -84,9 +84,10 @@ def utf8(column):
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(offsets, size=1 << 20):
-    """Cut documents into runs of about ``size`` bytes (one longer document is a run by itself)."""
+def blocks(offsets, size=1 << 20, each=0):
+    """Cut documents into runs of about ``size`` bytes, ``each`` added per document (one longer document is a run by itself)."""
     n, first = len(offsets) - 1, 0
+    offsets = offsets + np.arange(n + 1) * each
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(n, max(last, first + 1))

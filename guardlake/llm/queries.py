@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, one per operator, over whole tables."""
 
 import public_tokenizers
-from guardlake.llm import bpe, exact_dedup, mixing, token_counts, token_files, topk
+from guardlake.llm import bpe, exact_dedup, mixing, quality, token_counts, token_files, topk
 from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
@@ -45,7 +45,23 @@ def op7_mix_sources(spark, sf_dir):
     return mixed.select("row.doc_id", "row.source", "copy", "place", "row.text")
 
 
-QUERIES = [op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources]
+#: Scores below this are rejected.
+QUALITY_LIMIT = 0.3
+
+
+def op10_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    voter = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    scored, score = quality.score_documents(docs, voter, columns=["doc_id"])
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= QUALITY_LIMIT).cast("int").alias("predicted"),
+    )
+
+
+QUERIES = [op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op10_quality]
 
 
 def queries():
