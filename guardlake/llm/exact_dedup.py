@@ -37,7 +37,8 @@ def mark_copies(docs, doc_id="doc_id", text="text", keep="smallest", partitions=
     splitters range-partition the rows by the head and a hash of the normalised
     text, an external sort puts equal texts side by side, and the window compares
     neighbours over the whole text.  Frequent texts are dealt out in several
-    pieces whose heads, a few rows each, are then merged.
+    pieces; the size and kept id of their whole groups come from an aggregate
+    that each map task starts by itself.
 
     Defined cases: a null text equals an empty one; a null id is never the kept
     one while the group has another; of rows with the same id and text one is
@@ -68,12 +69,13 @@ def mark_copies(docs, doc_id="doc_id", text="text", keep="smallest", partitions=
         F.first("id").over(whole).alias("run_id"),
         F.count(F.lit(1)).over(whole).alias("run_size"),
     ).withColumn("sha", F.sha2("norm", 256))
-    best = F.min("run_id") if keep == "smallest" else F.max("run_id")
+    # Whole groups of the frequent texts, a row per text and map task before the shuffle.
+    best = F.min("id") if keep == "smallest" else F.max("id")
     merged = (
-        runs.where(F.col("hot") & (F.col("place") == 1))
-        .groupBy("norm", "sha")
-        .agg(best.alias("all_id"), F.sum("run_size").alias("all_size"))
-        .select(F.col("sha").alias("hot_sha"), "all_id", "all_size")
+        dealt.where("hot")
+        .groupBy("norm")
+        .agg(best.alias("all_id"), F.count(F.lit(1)).alias("all_size"))
+        .select(F.sha2("norm", 256).alias("hot_sha"), "all_id", "all_size")
     )
     # At most four hot texts per partition, a digest and two numbers each.
     joined = runs.drop("norm").join(F.broadcast(merged), F.col("hot") & (F.col("sha") == F.col("hot_sha")), "left")
