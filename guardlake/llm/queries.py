@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, one per operator, over whole tables."""
 
 import public_tokenizers
-from guardlake.llm import bpe, exact_dedup, mixing, quality, token_counts, token_files, topk
+from guardlake.llm import bpe, exact_dedup, jaccard_join, mixing, quality, token_counts, token_files, topk
 from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
@@ -45,6 +45,10 @@ def op7_mix_sources(spark, sf_dir):
     return mixed.select("row.doc_id", "row.source", "copy", "place", "row.text")
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_join.link_documents(_table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 #: Scores below this are rejected.
 QUALITY_LIMIT = 0.3
 
@@ -61,7 +65,7 @@ def op10_quality(spark, sf_dir):
     )
 
 
-QUERIES = [op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op10_quality]
+QUERIES = [op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op8_jaccard_join, op10_quality]
 
 
 def queries():
