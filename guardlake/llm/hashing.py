@@ -4,8 +4,8 @@ import numpy as np
 import pyarrow as pa
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Two independent hashes: odd bases and values of the bytes.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def mix(x):
@@ -19,35 +19,36 @@ def mix(x):
     return x
 
 
-_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
+_VALUES = [mix(np.arange(1, 257, dtype=np.uint64) + np.uint64(s << 32)) for s in (0, 1)]
 
 
 class _Powers:
     """Powers of the base and of its inverse mod 2^64, as far as texts needed them."""
 
-    def __init__(self):
+    def __init__(self, base):
+        self.base = base
         self.up = self.down = np.ones(1, np.uint64)
 
     def upto(self, n):
         if len(self.up) < n:
             size = max(n, 1 << 20)
-            for name, base in (("up", _BASE), ("down", _INVERSE)):
+            for name, base in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
                 steps = np.full(size, base, np.uint64)
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps, dtype=np.uint64))
         return self.up[:n], self.down[:n]
 
 
-_POWERS = _Powers()
+_POWERS = [_Powers(b) for b in _BASES]
 
 
 class PrefixHash:
     """Polynomial hash of any substring of a byte array (or code point array) in constant time."""
 
-    def __init__(self, data):
+    def __init__(self, data, which=0):
         n = len(data)
-        up, self._down = _POWERS.upto(n + 1)
-        values = _VALUES[data] if data.dtype == np.uint8 else mix(data.astype(np.uint64) + np.uint64(1))
+        up, self._down = _POWERS[which].upto(n + 1)
+        values = _VALUES[which][data] if data.dtype == np.uint8 else mix(data.astype(np.uint64) + np.uint64(1))
         values *= up[:n]
         self._prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(values, out=self._prefix[1:])

@@ -391,3 +391,13 @@ def link_documents(docs, width=5, percent=80, doc_id="doc_id", text="text"):
         sets.join(resolved, (F.col("node") == F.col("of")) & (F.col("n_shingles") > 0), "left")
         .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )
+
+
+def drop_near_copies(docs, width=5, percent=80, doc_id="doc_id", text="text"):
+    """The rows of ``docs`` whose id is their class's ``component_id``, one document of each class.
+
+    Rows with the same id, null included, stay or go together: they stay if one of them does.
+    """
+    linked = link_documents(docs, width, percent, doc_id, text)
+    stays = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id that stays")).distinct()
+    return docs.join(stays, F.col(f"`{doc_id}`").eqNullSafe(F.col("`id that stays`")), "left_semi")

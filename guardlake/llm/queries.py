@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, one per operator, over whole tables."""
 
 import public_tokenizers
-from guardlake.llm import bpe, exact_dedup, jaccard_join, mixing, quality, token_counts, token_files, topk
+from guardlake.llm import bpe, chunk_dedup, exact_dedup, jaccard_join, mixing, quality, suffix_dedup, token_counts, token_files, topk
 from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
@@ -13,6 +13,22 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _digests(cut, *more):
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+        *more,
+    )
+
+
+def op1_suffix_dedup(spark, sf_dir):
+    return _digests(suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=50))
+
+
 def op2_topk_search(spark, sf_dir):
     vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where("id % 100 = 0"), 10)
@@ -49,6 +65,11 @@ def op8_jaccard_join(spark, sf_dir):
     return jaccard_join.link_documents(_table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op9_chunk_dedup(spark, sf_dir):
+    cut = chunk_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return _digests(cut, F.col("kept").cast("string").alias("text"))
+
+
 #: Scores below this are rejected.
 QUALITY_LIMIT = 0.3
 
@@ -65,7 +86,7 @@ def op10_quality(spark, sf_dir):
     )
 
 
-QUERIES = [op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op8_jaccard_join, op10_quality]
+QUERIES = [op1_suffix_dedup, op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op8_jaccard_join, op9_chunk_dedup, op10_quality]
 
 
 def queries():
