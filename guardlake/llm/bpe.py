@@ -3,6 +3,7 @@
 import hashlib
 import heapq
 import json
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,9 @@ from tokenizers import Tokenizer
 from guardlake.llm import words as W
 
 #: Characters of text that are cut and grouped at once, and pre-tokens a worker remembers.
-SLICE, MEMORY = 1 << 20, 400_000
+SLICE, MEMORY = 1 << 20, 600_000
+# Spark's tasks are the parallel part; the library's own threads would only contend.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
 def byte_letters():
@@ -75,9 +78,12 @@ def merge_all(sequences, ranks):
 
 
 class Bpe:
-    """A tokenizer file of the tokenizers library with byte-level letters, read as data."""
+    """A tokenizer file of the tokenizers library with byte-level letters, read as data.
 
-    def __init__(self, text):
+    Pre-tokens are merged here by the pair index or, ``by_library``, by the library.
+    """
+
+    def __init__(self, text, by_library=False):
         spec = json.loads(text)
         model = spec["model"]
         self.vocab = model["vocab"]
@@ -97,8 +103,8 @@ class Bpe:
             self.ranks[self.vocab[a], self.vocab[b]] = (rank, merged)
         if any(made.get(x, -1) >= rank for pair, (rank, _) in self.ranks.items() for x in pair):
             raise ValueError("merges are not in the order in which they were learned")
-        self.library = Tokenizer.from_str(text)
-        self.known = {}
+        self.library, self.by_library = Tokenizer.from_str(text), by_library
+        self.known, self.before = {}, {}
 
     def symbols(self, word):
         """Ids of the single letters of a pre-token."""
@@ -107,12 +113,26 @@ class Bpe:
         return [self.vocab[x] for x in letters]
 
     def encode_words(self, words):
-        """Ids of each pre-token, from the worker's memory or by merging all new ones together."""
-        if len(self.known) > MEMORY:
-            self.known = {}
-        missing = [w for w in words if w not in self.known]
-        self.known.update(zip(missing, merge_all([self.symbols(w) for w in missing], self.ranks)))
-        return [self.known[w] for w in words]
+        """Ids of each pre-token, from the worker's memory or by merging all new ones together.
+
+        The memory has two halves; when the newer one is full, the older is forgotten,
+        so pre-tokens in use stay.
+        """
+        if len(self.known) > MEMORY // 2:
+            self.known, self.before = {}, self.known
+        known, before, missing = self.known, self.before, []
+        for w in words:
+            if w not in known:
+                if w in before:
+                    known[w] = before[w]
+                else:
+                    missing.append(w)
+        if self.by_library:
+            new = [e.ids for e in self.library.encode_batch_fast(missing, add_special_tokens=False)]
+        else:
+            new = merge_all([self.symbols(w) for w in missing], self.ranks)
+        known.update(zip(missing, new))
+        return [known[w] for w in words]
 
     def split_specials(self, text):
         """Pieces of text, and between them the ids of special strings."""
@@ -183,6 +203,8 @@ class Bpe:
 
     def ids_of(self, words):
         """Ids of each word that :meth:`cut` gave; a tuple stands for itself."""
+        if not any(isinstance(w, tuple) for w in words[-len(self.specials) :]):
+            return self.encode_words(words)
         plain = [w for w in words if not isinstance(w, tuple)]
         known = dict(zip(plain, self.encode_words(plain)))
         return [list(w) if isinstance(w, tuple) else known[w] for w in words]
@@ -207,11 +229,11 @@ class Bpe:
 _READ = {}
 
 
-def bpe(text):
+def bpe(text, by_library=False):
     """The tokenizer of that file text, built once per worker."""
-    key = hashlib.sha256(text.encode()).hexdigest()
+    key = hashlib.sha256(text.encode()).hexdigest(), by_library
     if key not in _READ:
-        _READ[key] = Bpe(text)
+        _READ[key] = Bpe(text, by_library)
     return _READ[key]
 
 

@@ -41,7 +41,7 @@ def write_token_files(docs, tokenizer_path, folder, end_id, doc_id="doc_id", tex
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spec = shared_text(spark, tokenizer_path)
-    wide = max([end_id, *bpe(spec.value).names]) >= 1 << 16
+    wide = max([end_id, *bpe(spec.value, by_library=True).names]) >= 1 << 16
     dtype = "<u4" if wide else "<u2"
     ordered = (
         docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -55,7 +55,7 @@ def write_token_files(docs, tokenizer_path, folder, end_id, doc_id="doc_id", tex
         name = f"part-{shard:06d}-{task.taskAttemptId()}"
         store, place = _filesystem(folder)
         store.create_dir(place, recursive=True)
-        model, total, offsets, numbers = bpe(spec.value), 0, [np.zeros(1, np.int64)], []
+        model, total, offsets, numbers = bpe(spec.value, by_library=True), 0, [np.zeros(1, np.int64)], []
         with store.open_output_stream(posixpath.join(place, name + ".bin")) as out:
             for batch in batches:
                 texts = batch.column("text").to_pylist()
