@@ -59,9 +59,35 @@ def confidence_weighted(c, conf):
     return _c(c) * _c(conf)
 
 
+def _halves(x):
+    """A double as the sum of two with half its digits each (Veltkamp)."""
+    t = x * 134217729.0
+    high = t - (t - x)
+    return high, x - high
+
+
 def format_score(c, decimals=1):
-    """Fixed-decimal text; exact decimal ties round half up."""
-    return F.format_string(f"%.{int(decimals)}f", _c(c))
+    """Fixed-decimal text of the exact binary value: the nearest number, away from zero on a tie.
+
+    8.575 is stored a little below and gives 8.57 with two decimals.  The product with
+    the power of ten is split into a rounded and an exact remaining part.
+    """
+    c, decimals = _c(c), int(decimals)
+    scale = 10.0**decimals
+    x = F.abs(c)
+    product = x * F.lit(scale)
+    (xh, xl), (sh, sl) = _halves(x), _halves(scale)
+    rest = ((xh * sh - product) + xh * sl + xl * sh) + xl * sl
+    whole = F.floor(product)
+    number = whole + F.when((product - whole - 0.5) + rest >= 0, 1).otherwise(0)
+    unit = 10**decimals
+    text = number.cast("string")
+    if decimals:
+        cents = number % unit
+        units = ((number - cents) / unit).cast("bigint").cast("string")
+        text = F.concat(units, F.lit("."), F.lpad(cents.cast("string"), decimals, "0"))
+    signed = F.concat(F.when(c < 0, "-").otherwise(""), text)
+    return F.when(product < 2.0**52, signed).otherwise(F.format_string(f"%.{decimals}f", c))
 
 
 def format_dimension_name(c):

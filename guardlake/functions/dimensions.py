@@ -46,19 +46,38 @@ def dimension_map(prefix=""):
     )
 
 
-def weighted_score(weights=None, prefix=""):
+def _scored(dimension, prefix, others):
+    """Score of a dimension: its flat column, or its entry in the map column ``others`` for names of the caller's own."""
+    if dimension in DIMENSIONS:
+        return _prefixed(dimension, prefix)
+    if others is None:
+        raise ValueError(f"dimension {dimension} has no column; name the map that holds it")
+    return F.try_element_at(F.col(others) if isinstance(others, str) else others, F.lit(dimension))
+
+
+def weighted_score(weights=None, prefix="", others=None):
     """Sum of score times weight.
 
     Without weights every scored dimension weighs 1/n.  A dimension missing from
-    ``weights`` counts as 0, and weights are not normalised.
+    ``weights`` counts as 0, and weights are not normalised.  ``others`` is a
+    ``MAP<dimension, score>`` with dimensions beyond the eight columns.
     """
     cols = {d: _prefixed(d, prefix) for d in DIMENSIONS}
     if weights is None:
         present = sum((c.isNotNull().cast("int") for c in cols.values()), F.lit(0))
+        more = None
+        if others is not None:
+            more = F.filter(F.map_values(others), lambda s: s.isNotNull())
+            present = present + F.coalesce(F.size(more), F.lit(0))
         share = F.lit(1.0) / F.nullif(present, F.lit(0))
         terms = [F.coalesce(c * share, F.lit(0.0)) for c in cols.values()]
+        if more is not None:
+            summed = F.aggregate(more, F.lit(0.0), lambda a, s: a + s)
+            terms.append(F.coalesce(summed * share, F.lit(0.0)))
     else:
-        terms = [F.coalesce(cols[d] * F.lit(float(w)), F.lit(0.0)) for d, w in weights.items() if d in cols]
+        # A weight for a dimension that no column holds meets no score.
+        held = {d: w for d, w in weights.items() if d in cols or others is not None}
+        terms = [F.coalesce(_scored(d, prefix, others) * F.lit(float(w)), F.lit(0.0)) for d, w in held.items()]
     total = F.lit(0.0)
     for term in terms:
         total = total + term
@@ -85,16 +104,13 @@ def dimensions_below(threshold=DEFAULT_THRESHOLD, prefix=""):
     return F.array_sort(F.filter(dimension_entries(prefix), lambda e: e["score"] < F.lit(threshold)))
 
 
-def failed_dimensions(thresholds, prefix=""):
+def failed_dimensions(thresholds, prefix="", others=None):
     """Names of dimensions scored strictly below their minimum, in threshold order.
 
-    An unscored dimension passes.
+    An unscored dimension passes.  A threshold on a dimension beyond the eight
+    columns needs ``others``, the ``MAP<dimension, score>`` that holds it.
     """
-    failing = [
-        F.when(_prefixed(d, prefix) < F.lit(float(low)), F.lit(d))
-        for d, low in thresholds.items()
-        if d in DIMENSIONS
-    ]
+    failing = [F.when(_scored(d, prefix, others) < F.lit(float(low)), F.lit(d)) for d, low in thresholds.items()]
     if not failing:
         return F.array().cast("array<string>")
     return F.array_compact(F.array(*failing))

@@ -9,28 +9,53 @@ In a log of request times the answer counts as stored when it was requested.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from guardlake.functions.bands import let
 from guardlake.operators.ordered import CHUNK, ordered_columns, rows_per_chunk, split_points, with_chunks
 from guardlake.schemas import CACHE_TTL_SECONDS
 from guardlake.session import ensure_checkpoint_dir
 
+WALK_BLOCK = 512
 
 
 def request_key(endpoint, body):
-    """Key of a request: endpoint and JSON body with object fields in name order.
+    """Key of a request: endpoint and JSON body with the fields of its top level in name order.
 
-    A body that is not JSON counts as it is.
+    Nested objects keep the order they came in.  A body that is not a JSON object
+    counts as it is.
     """
     endpoint = F.col(endpoint) if isinstance(endpoint, str) else endpoint
     body = F.col(body) if isinstance(body, str) else body
-    canonical = F.coalesce(F.to_json(F.try_parse_json(body)), body, F.lit(""))
+    typed = F.try_parse_json(body)
+    kinds = F.when(F.schema_of_variant(typed).startswith("OBJECT"), typed.cast("map<string,variant>"))
+    raw = F.from_json(body, "map<string,string>")
+
+    def field(name):
+        # A text is told from a number or object that looks the same.
+        kind = F.coalesce(F.schema_of_variant(F.try_element_at(kinds, name)), F.lit("VOID"))
+        value = F.coalesce(F.try_element_at(raw, name), F.lit("null"))
+        return F.to_json(F.struct(name.alias("n"), (kind == "STRING").alias("t"), value.alias("v")))
+
+    fields = F.array_join(F.transform(F.array_sort(F.map_keys(kinds)), field), ",")
+    canonical = F.coalesce(F.when(kinds.isNotNull(), F.concat(F.lit("{"), fields, F.lit("}"))), body, F.lit(""))
     return F.sha2(F.concat(endpoint, F.lit(":"), canonical), 256)
 
 
+def flag(condition):
+    """The condition, true where it is not given, false where it is null."""
+    if condition is None:
+        return F.lit(True)
+    return F.coalesce(F.col(condition) if isinstance(condition, str) else condition, F.lit(False))
+
+
 def dedup_requests(
-    df, key_cols, *, ts="ts", id_col="request_id", ttl_seconds=CACHE_TTL_SECONDS, chunk_rows=None
+    df, key_cols, *, ts="ts", id_col="request_id", ttl_seconds=CACHE_TTL_SECONDS, chunk_rows=None, cacheable=None, ok=None
 ):
     """Add ``answer_id`` (the request whose answer serves this one) and ``from_cache``.
 
+    Only ``cacheable`` requests are served from stored answers, and only those that
+    went ``ok`` store theirs (both conditions; all requests by default).  Other rows
+    pass through as sent; a failed one has no answer.
+
     Requests after a pause longer than TTL are sent for certain; that settles
     nearly all keys.  What is left, long runs without such a pause, is walked per
     run for ordinary keys.  Keys with more than about ``chunk_rows`` requests are
@@ -40,7 +65,9 @@ def dedup_requests(
     """
     keys, ttl = list(key_cols), int(ttl_seconds) * 1_000_000
     size = rows_per_chunk(df, chunk_rows)
-    base = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    known = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    good = flag(ok)
+    base = known.where(flag(cacheable) & good)
     order = ["_t", id_col]
     splits = split_points(base, keys, order, size)
 
@@ -73,14 +100,31 @@ def dedup_requests(
         F.col("_starts") | (F.col("_sent").isNotNull() & first_then)
     )
     rows = rows.withColumn("_miss", miss).drop("_prev", "_run", "_starts", "_cut", "_sent", "_sent_id")
-    out = ordered_columns(rows, keys, order, splits=splits, last_value={"answer_id": (F.col("_miss"), id_col)})
-    return out.withColumn("from_cache", ~F.col("_miss")).drop("_t", "_miss")
+    answer = F.struct(F.col("_t").alias("at"), F.col(id_col).alias("id"))
+    if ok is None:
+        out = ordered_columns(rows, keys, order, splits=splits, last_value={"_answer": (F.col("_miss"), answer)})
+    else:
+        failed = known.where(flag(cacheable) & ~good).withColumns({CHUNK: F.lit(None).cast("int"), "_miss": F.lit(False)})
+        everything = rows.drop(CHUNK).unionByName(failed.drop(CHUNK))
+        out = ordered_columns(everything, keys, order, chunk_rows=size, last_value={"_answer": (F.col("_miss"), answer)})
+    served = F.coalesce(F.col("_t") <= F.col("_answer.at") + ttl, F.lit(False))
+    out = out.withColumns({"answer_id": F.when(served, F.col("_answer.id")), "from_cache": served & ~F.col("_miss")})
+    out = out.drop("_t", "_miss", "_answer")
+    if cacheable is None:
+        return out
+    sent_on = known.where(~flag(cacheable)).withColumns({"answer_id": F.when(good, F.col(id_col)), "from_cache": F.lit(False)})
+    return out.unionByName(sent_on.drop("_t"))
 
 
 def _walk(open_rows, keys, ttl):
-    """Sent requests inside each run, by one pass over its sorted distinct times."""
+    """Sent requests inside each run, by one pass over its sorted distinct times.
+
+    Times are taken in blocks, and what a block sends is kept as one array, so that
+    appending never copies more than a block or the list of blocks.
+    """
     runs = open_rows.groupBy(*keys, "_run").agg(F.array_sort(F.collect_set("_t")).alias("times"))
-    start = F.struct(F.col("_run").alias("last"), F.array().cast("array<bigint>").alias("sent"))
+    none = F.array().cast("array<bigint>")
+    starts = F.sequence(F.lit(1), F.size("times"), F.lit(WALK_BLOCK))
 
     def step(state, t):
         return F.when(
@@ -88,7 +132,14 @@ def _walk(open_rows, keys, ttl):
             F.struct(t.alias("last"), F.array_append(state["sent"], t).alias("sent")),
         ).otherwise(state)
 
-    walked = F.aggregate("times", start, step, lambda state: state["sent"])
+    def block(state, first):
+        return let(
+            F.aggregate(F.slice("times", first, F.lit(WALK_BLOCK)), F.struct(state["last"].alias("last"), none.alias("sent")), step),
+            lambda done: F.struct(done["last"].alias("last"), F.array_append(state["sent"], done["sent"]).alias("sent")),
+        )
+
+    begin = F.struct(F.col("_run").alias("last"), F.array().cast("array<array<bigint>>").alias("sent"))
+    walked = F.aggregate(starts, begin, block, lambda state: F.flatten(state["sent"]))
     return runs.select(*keys, F.explode(walked).alias("_t"))
 
 

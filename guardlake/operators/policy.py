@@ -23,14 +23,15 @@ def _blocked_text(what, failed):
     return F.concat(F.lit(f"{what} blocked: dimensions ["), F.array_join(failed, ", "), F.lit("] below threshold"))
 
 
-def enforce_policy(df, mode, thresholds, *, custom=None, regenerated=None):
+def enforce_policy(df, mode, thresholds, *, custom=None, regenerated=None, others=None):
     """Add ``passed, failed_dimensions, blocked, message, target_score, replacement``.
 
     ``custom`` is a column (or a function of the frame giving one) with the
     replacement in CUSTOM mode; an empty text means none.  ``regenerated`` is the
-    same for REGENERATE mode: the best rewrite available for the row.
+    same for REGENERATE mode: the best rewrite available for the row.  ``others`` names
+    the map with dimensions beyond the eight columns.
     """
-    failed = failed_dimensions(thresholds)
+    failed = failed_dimensions(thresholds, others=others)
     out = df.withColumn("failed_dimensions", failed)
     bad = F.size("failed_dimensions") > 0
     null = F.lit(None).cast("string")
@@ -75,11 +76,11 @@ def split_blocked(df):
     return df.where(~F.col("blocked")), df.where("blocked")
 
 
-def guardrail(df, thresholds=None, prefix=""):
+def guardrail(df, thresholds=None, prefix="", others=None):
     """Add ``allowed`` and ``failed_dimensions`` (null when none); no thresholds allow all."""
     if thresholds is None:
         return df.withColumns({"allowed": F.lit(True), "failed_dimensions": F.lit(None).cast(EMPTY)})
-    failed = failed_dimensions(thresholds, prefix)
+    failed = failed_dimensions(thresholds, prefix, others)
     return df.withColumns(
         {"allowed": F.size(failed) == 0, "failed_dimensions": F.when(F.size(failed) > 0, failed)}
     )

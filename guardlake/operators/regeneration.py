@@ -3,14 +3,17 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from guardlake.operators.ordered import ordered_columns
 from guardlake.schemas import REGENERATION_TTL_MINUTES, TOO_HARMFUL_BELOW
 
 MAX_REGENERATIONS = 5
 
 
-def bounded(max_iterations):
-    """Iterations allowed, between 1 and 5."""
-    return min(max(int(max_iterations), 1), MAX_REGENERATIONS)
+def checked_limit(max_iterations):
+    """Iterations allowed; the service takes 1 to 5."""
+    if not 1 <= int(max_iterations) <= MAX_REGENERATIONS:
+        raise ValueError(f"max_iterations must be between 1 and {MAX_REGENERATIONS}, not {max_iterations}")
+    return int(max_iterations)
 
 
 def iteration_history(candidates, key, target, *, max_iterations=5):
@@ -19,7 +22,7 @@ def iteration_history(candidates, key, target, *, max_iterations=5):
     ``candidates`` has one row per ``(key, iteration)`` counting from 1.  Rows
     past the limit are dropped first, so a key keeps at most five.
     """
-    rows = candidates.where(F.col("iteration").between(1, bounded(max_iterations)))
+    rows = candidates.where(F.col("iteration").between(1, checked_limit(max_iterations)))
     w = Window.partitionBy(key).orderBy("iteration")
     met = F.col("score") >= target
     done = F.max(met).over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -33,14 +36,16 @@ def iteration_history(candidates, key, target, *, max_iterations=5):
     return rows.where(~F.col("_done")).drop("_done")
 
 
-def select_best(candidates, key, target, *, max_iterations=5, carry=("text",)):
+def select_best(candidates, key, target, *, max_iterations=5, carry=("text",), harmful_below=None):
     """One row per key: status, best iteration and its score and ``carry`` columns, iterations left.
 
     Passed when an iteration reaches ``target``; else the limit was reached, or
     another rewrite is awaited.  The best iteration has the highest score, the
-    earlier one on a tie; none is considered after the first that passes.
+    earlier one on a tie; none is considered after the first that passes.  With
+    ``harmful_below`` a content whose first iteration, its own evaluation, scores less
+    is refused: status ``too_harmful``, no iteration used, none left, no best one.
     """
-    limit = bounded(max_iterations)
+    limit = checked_limit(max_iterations)
     rows = candidates.where(F.col("iteration").between(1, limit))
     met = F.col("score") >= target
     payload = F.struct("iteration", "score", *carry)
@@ -49,11 +54,16 @@ def select_best(candidates, key, target, *, max_iterations=5, carry=("text",)):
         F.min(F.when(met, F.col("iteration"))).alias("_first_met"),
         F.min_by(payload, F.when(met, F.col("iteration"))).alias("_passing"),
         F.max_by(payload, F.struct(F.col("score"), -F.col("iteration"))).alias("_highest"),
+        F.min_by("score", "iteration").alias("_own_score"),
     )
-    best = F.coalesce("_passing", "_highest")
-    used = F.coalesce("_first_met", "_last")
+    refused = F.lit(False)
+    if harmful_below is not None:
+        refused = F.coalesce(~not_too_harmful("_own_score", harmful_below), F.lit(False))
+    best = F.when(~refused, F.coalesce("_passing", "_highest"))
+    used = F.when(refused, 0).otherwise(F.coalesce("_first_met", "_last"))
     status = (
-        F.when(F.col("_first_met").isNotNull(), "passed")
+        F.when(refused, "too_harmful")
+        .when(F.col("_first_met").isNotNull(), "passed")
         .when(F.col("_last") >= limit, "max_iterations_reached")
         .otherwise("awaiting_regeneration")
     )
@@ -61,7 +71,7 @@ def select_best(candidates, key, target, *, max_iterations=5, carry=("text",)):
         key,
         status.alias("status"),
         used.alias("iterations_used"),
-        (F.lit(limit) - used).alias("iterations_remaining"),
+        F.when(refused, 0).otherwise(F.lit(limit) - used).alias("iterations_remaining"),
         best["iteration"].alias("best_iteration"),
         best["score"].alias("best_score"),
         *[best[c].alias(f"best_{c}") for c in carry],
@@ -80,17 +90,27 @@ def not_too_harmful(c="score", below=TOO_HARMFUL_BELOW):
 
 
 def expired_sessions(steps, key, ts="ts", minutes=REGENERATION_TTL_MINUTES):
-    """Per external session: last step and whether a step came more than ``minutes`` after the one before.
-
-    External sessions hold at most a handful of steps by the iteration limit.
-    """
-    w = Window.partitionBy(key).orderBy("iteration")
-    late = F.col(ts) > F.lag(ts).over(w) + F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    rows = steps.where(F.col("iteration").between(1, MAX_REGENERATIONS + 1)).withColumn(
-        "_late", F.coalesce(late, F.lit(False))
-    )
+    """Per key: last step and whether any step came more than ``minutes`` after the one before."""
+    rows = ordered_columns(steps, [key], ["iteration", ts], lag={"_before": ts})
+    late = F.col(ts) > F.col("_before") + F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    rows = rows.withColumn("_late", F.coalesce(late, F.lit(False)))
     return rows.groupBy(key).agg(
         F.max(ts).alias("last_step_at"),
         F.bool_or("_late").alias("expired"),
         F.min(F.when(F.col("_late"), F.col("iteration"))).alias("expired_at_iteration"),
     )
+
+
+def regeneration_sessions(steps, key="session_id", ts="ts", *, minutes=REGENERATION_TTL_MINUTES):
+    """One row per external session: ``outcome``, ``steps``, first and last step.
+
+    A step more than ``minutes`` of event time after the one before starts another
+    session.  A session passed if one of its steps has ``met``, else it expired.  The
+    same on a stream, in append mode, for sessions that its watermark has passed.
+    """
+    gap = F.session_window(ts, f"{int(minutes)} minutes")
+    out = steps.groupBy(key, gap.alias("_session")).agg(
+        F.count(F.lit(1)).alias("steps"), F.bool_or("met").alias("_met"), F.min(ts).alias("first_step_at"), F.max(ts).alias("last_step_at")
+    )
+    outcome = F.when(F.col("_met"), "passed").otherwise("expired")
+    return out.select(key, outcome.alias("outcome"), "steps", "first_step_at", "last_step_at")

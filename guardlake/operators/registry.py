@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from guardlake.functions import is_blank
+
 from guardlake.operators.lookups import lookup_join, telling_columns
 
 GENERIC = "generic"
@@ -90,24 +92,35 @@ def list_tools(registry, *, limit=50, offset=0, source=None, risk_level=None, se
     return page.withColumn("total", total).withColumn("has_more", F.col("total") > offset + limit)
 
 
+def split_unnamed(rows):
+    """Rows with a tool name, and the rejected ones without, with ``error`` and ``field``."""
+    blank = is_blank("tool_name")
+    rejected = rows.where(blank).withColumns({"error": F.lit("tool_name is required"), "field": F.lit("tool_name")})
+    return rows.where(~blank), rejected
+
+
 def register_tools(registry, new, *, order_cols=("registered_at",)):
-    """Upsert custom profiles by tool name; the latest registration of a tool wins."""
+    """Upsert custom profiles by tool name; the latest registration of a tool wins.
+
+    Returns the new registry and the rejected registrations, which have no tool name.
+    """
+    new, rejected = split_unnamed(new)
     fields = [c for c in new.columns if c not in ("tool_name", "source") and c not in order_cols]
     latest = (
-        new.where(F.col("tool_name") != "")
-        .groupBy("tool_name")
+        new.groupBy("tool_name")
         .agg(F.max_by(F.struct(*fields), F.struct(*order_cols)).alias("p"))
         .select("tool_name", "p.*")
         .withColumn("source", F.lit("org_custom"))
     )
     custom = F.col("source") == "org_custom"
     kept = registry.where(custom).join(latest.select("tool_name"), "tool_name", "left_anti")
-    return registry.where(~custom).unionByName(kept).unionByName(latest, allowMissingColumns=True)
+    return registry.where(~custom).unionByName(kept).unionByName(latest, allowMissingColumns=True), rejected
 
 
 def delete_tools(registry, names):
-    """Remove custom profiles.  Returns the new registry and one report row per name."""
-    names = names.select("tool_name").where(F.col("tool_name") != "").distinct()
+    """Remove custom profiles.  Returns the new registry, one report row per name, and the rejected rows without a name."""
+    names, rejected = split_unnamed(names)
+    names = names.select("tool_name").distinct()
     custom = F.col("source") == "org_custom"
     kept = registry.where(~custom).unionByName(registry.where(custom).join(names, "tool_name", "left_anti"))
     known = registry.groupBy("tool_name").agg(
@@ -118,4 +131,4 @@ def delete_tools(registry, names):
         F.coalesce("had_custom", F.lit(False)).alias("deleted"),
         F.when(F.col("had_system"), F.col("tool_name")).otherwise(GENERIC).alias("fallback"),
     )
-    return kept, report
+    return kept, report, rejected

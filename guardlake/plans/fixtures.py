@@ -12,11 +12,8 @@ from guardlake.schemas import DIM_COLUMNS, VIOLATION
 from guardlake.sources.readers import read_table
 
 
-SPREAD = {"documents": ("doc_id",), "events": ("event_id",)}
-
-
 def read(spark, sf_dir, table):
-    return read_table(spark, f"{sf_dir}/{table}.parquet", *SPREAD.get(table, ()))
+    return read_table(spark, f"{sf_dir}/{table}.parquet")
 
 
 def k():
@@ -172,14 +169,34 @@ def event_tool_registry(spark, sf_dir):
     return system.unionByName(custom)
 
 
+def opening_texts(spark, sf_dir):
+    """First turn of the conversations that requests quote."""
+    turns = read(spark, sf_dir, "conversations").where(F.col("conv_id") < 50)
+    first = F.min_by("text", "turn").alias("opening")
+    return turns.groupBy(F.col("conv_id").cast("int").alias("quoted")).agg(first)
+
+
 def requests(spark, sf_dir):
-    """A request log: each event asks one of five endpoints."""
-    return requests_from_events(read(spark, sf_dir, "events"))
+    """A request log: each event asks one of five endpoints about the opening of a conversation."""
+    return requests_from_events(read(spark, sf_dir, "events"), opening_texts(spark, sf_dir))
+
 
+def requests_from_events(events, openings):
+    """The same from given events, streaming or not.
 
-def requests_from_events(events):
+    Fields come in either order, which does not matter to a request's key; so do
+    those of the nested object, where it does.
+    """
     K, eid = F.col("k"), F.col("event_id")
-    return events.withColumn("k", k()).select(
+    quoted = events.withColumn("k", k()).withColumn("quoted", K % 50)
+    quoted = quoted.join(openings, "quoted", "left").withColumn("opening", F.coalesce("opening", F.lit("no such text")))
+    content, mode = F.to_json(F.struct(F.col("opening").alias("content"))), F.lit('"mode":"basic"')
+    inner = F.substring(content, 2, F.length(content) - 2)
+    nested = F.when(eid % 5 == 0, ',"meta":{"b":1,"a":2}').otherwise(',"meta":{"a":2,"b":1}')
+    body = F.when(eid % 2 == 0, F.concat(F.lit("{"), inner, F.lit(","), mode, nested, F.lit("}"))).otherwise(
+        F.concat(F.lit("{"), mode, nested, F.lit(","), inner, F.lit("}"))
+    )
+    return quoted.select(
         eid.alias("request_id"),
         "ts",
         F.when(F.col("event_type") == "click", "eval")
@@ -195,6 +212,12 @@ def requests_from_events(events):
         (K % 4 == 0).alias("from_cache"),
         (K * 10 + eid % 10).cast("bigint").alias("duration_ms"),
         F.when(K >= 90, "RateLimitError").when(K >= 85, "TimeoutError").alias("error_type"),
-        F.concat(F.lit('{"mode":"basic","content":"item '), (K % 10).cast("string"), F.lit('"}')).alias("body"),
+        body.alias("body"),
         F.col("user_id"),
     )
+
+
+def regeneration_steps(events):
+    """Events as steps of external regeneration sessions, a user's by one key."""
+    met = F.get_json_object("props", "$.k").cast("int") >= 90
+    return events.select(F.col("user_id").alias("session_id"), "ts", met.alias("met"))

@@ -124,6 +124,12 @@ def failed(thresholds, prefix=""):
     return f"list_filter([{items}], lambda x: x IS NOT NULL)"
 
 
+def fixed(x, decimals):
+    """Fixed-decimal text of the exact value.  printf rounds ties to even, which only multiples of a power of two meet."""
+    bump = 10.0 ** -(decimals + 2)
+    return f"printf('%.{decimals}f', {x} + CASE WHEN {x} * {2 ** (decimals + 1)} % 2 = 1 THEN {bump} ELSE 0 END)"
+
+
 REQUESTS = f"""{EVENTS},
 req AS (
   SELECT event_id AS request_id, ts,
@@ -163,7 +169,7 @@ final AS (SELECT *, reject_reason IS NULL AS accepted FROM attempts)"""
 def _patterns():
     degrade = "\nUNION ALL\n".join(
         f"""SELECT session_id, 'dimension_degradation' AS pattern, 'medium' AS severity, half_ts AS first_seen,
-  'Average {d} score dropped ' || printf('%.1f', drop) || ' points over the session' AS description
+  'Average {d} score dropped ' || {fixed('drop', 1)} || ' points over the session' AS description
   FROM (SELECT session_id, max(total) AS total, round(avg({c}) FILTER (n <= total // 2) - avg({c}) FILTER (n > total // 2), 9) AS drop,
     max(ts) FILTER (n = total // 2 + 1) AS half_ts, max(CASE WHEN n = 1 THEN {c} END) AS first_value FROM calls GROUP BY session_id)
   WHERE total >= 4 AND first_value IS NOT NULL AND drop >= 2.0"""
@@ -279,7 +285,7 @@ SELECT call_id, CASE raw WHEN 'legal_compliance' THEN 'inclusivity' ELSE raw END
   array_to_string(list_transform(string_split(raw, '_'), lambda x: upper(x[1]) || x[2:]), ' ') AS display_name,
   CASE fw WHEN 'ai_act' THEN 'eu_ai_act' WHEN 'euaia' THEN 'eu_ai_act' WHEN 'dpdp' THEN 'india_dpdp' WHEN 'ai_governance' THEN 'india_ai_gov'
     WHEN 'india_ai' THEN 'india_ai_gov' ELSE fw END AS framework,
-  printf('%.1f', score) AS score_text, printf('%.2f', score) AS score_text_2,
+  {fixed('score', 1)} AS score_text, {fixed('score', 2)} AS score_text_2,
   CASE WHEN sev IN ('low', 'medium') THEN 'WARN' WHEN sev = 'high' THEN 'ERROR' END AS level,
   CASE WHEN k % 2 = 0 THEN 8.5 ELSE 7.0 END::DOUBLE AS threshold FROM n""",
     "content_previews": """SELECT doc_id, substring(text, 1, 200) AS preview,
@@ -318,7 +324,7 @@ FROM calls GROUP BY ROLLUP (tool_name, decision)""",
   NULL::DOUBLE AS d_privacy, 'deep' AS mode FROM documents""",
     "custom_callback": f"""WITH {SCORED}, f AS (SELECT *, list_filter([CASE WHEN d_privacy < 7.0 THEN 'privacy' END], lambda x: x IS NOT NULL) AS bad FROM scored)
 SELECT doc_id, len(bad) = 0 AS passed, coalesce(array_to_string(bad, ','), '') AS failed,
-  CASE WHEN len(bad) > 0 AND length(text) % 2 = 0 THEN nullif(substring(text, 1, 5), '') END AS replacement FROM f""",
+  CASE WHEN len(bad) > 0 AND length(text) % 2 = 0 THEN nullif(text, '') END AS replacement FROM f""",
     "evaluate_documents": f"""WITH {SCORED}, v AS (SELECT lang, (70 + p_t + 60) / 30.0 AS s, d_privacy FROM scored JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)
   WHERE NOT regexp_full_match(text, {q(BLANK)}) AND length(text) BETWEEN 10 AND 10000)
 SELECT lang, round(avg(s), 8) AS average_score, min(s) AS min_score, count(*) AS total_evaluations, round(avg(d_privacy), 8) AS avg_d_privacy FROM v GROUP BY lang""",
@@ -503,7 +509,7 @@ UNION ALL SELECT 'left:' || source, FALSE, CAST(count(*) AS VARCHAR) FROM kept G
   row_number() OVER (PARTITION BY doc_id ORDER BY CASE severity WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END, doc_id || ':' || requirement_id) AS rank
   FROM judged WHERE status = 'failed') SELECT doc_id, rank, issue_id, severity, dimension, remediation_deadline_days FROM i WHERE rank <= 3""",
     "compliance_log": f"""WITH {_requirements(7.0)} SELECT doc_id, framework, 'INFO' AS level,
-  '[Compliance] ' || framework || ' | label=' || label || ' | passed=' || requirements_passed || ' | failed=' || requirements_failed AS line FROM labelled_checks
+  '[Compliance] ' || framework || ' | score=' || {fixed('compliance_score', 2)} || ' | label=' || label || ' | passed=' || requirements_passed || ' | failed=' || requirements_failed AS line FROM labelled_checks
 UNION ALL SELECT doc_id, framework, CASE severity WHEN 'high' THEN 'ERROR' ELSE 'WARN' END,
   '[Compliance] [' || framework || '] ' || upper(severity) || ' — Requirement ' || requirement_id || ' is not met (' || article || ')' ||
   CASE WHEN severity = 'high' THEN ' — remediation: {dict(EFFORT)["high"]}' ELSE '' END FROM judged WHERE status = 'failed' AND severity <> 'critical'""",
@@ -514,18 +520,19 @@ t AS (SELECT call_id, CASE WHEN kind = 'social_scoring' THEN 'unacceptable' WHEN
 SELECT call_id, tier, CASE tier WHEN 'unacceptable' THEN 'prohibited decision type' WHEN 'high' THEN 'automated decisions in a high-risk domain'
   WHEN 'limited' THEN 'high-risk domain or automated decisions' ELSE 'no risk indicator' END AS basis,
   CASE tier WHEN 'unacceptable' THEN 'do_not_deploy' WHEN 'high' THEN 'risk_management,human_oversight,logging' WHEN 'limited' THEN 'transparency_notice' ELSE '' END AS obligations FROM t""",
-    "best_iteration": f"""WITH {CANDIDATES}, r AS (SELECT * FROM candidates WHERE score >= 3.0 AND iteration <= 3),
-f AS (SELECT conv_id, min(iteration) FILTER (score >= 8.0) AS met, max(iteration) AS last FROM r GROUP BY conv_id),
-b AS (SELECT r.*, met, last, row_number() OVER (PARTITION BY r.conv_id ORDER BY CASE WHEN met IS NULL THEN -score WHEN iteration = met THEN -1 ELSE 0 END, iteration) AS o FROM r JOIN f USING (conv_id))
-SELECT conv_id, CASE WHEN met IS NOT NULL THEN 'passed' WHEN last >= 3 THEN 'max_iterations_reached' ELSE 'awaiting_regeneration' END AS status,
-  coalesce(met, last) AS iterations_used, 3 - coalesce(met, last) AS iterations_remaining, iteration AS best_iteration, score AS best_score, length(text) AS best_chars FROM b WHERE o = 1""",
+    "best_iteration": f"""WITH {CANDIDATES}, r AS (SELECT * FROM candidates WHERE iteration <= 3),
+f AS (SELECT conv_id, min(iteration) FILTER (score >= 8.0) AS met, max(iteration) AS last, max(score) FILTER (iteration = 1) < 3.0 AS refused FROM r GROUP BY conv_id),
+b AS (SELECT r.*, met, last, refused, row_number() OVER (PARTITION BY r.conv_id ORDER BY CASE WHEN met IS NULL THEN -score WHEN iteration = met THEN -1 ELSE 0 END, iteration) AS o FROM r JOIN f USING (conv_id))
+SELECT conv_id, CASE WHEN refused THEN 'too_harmful' WHEN met IS NOT NULL THEN 'passed' WHEN last >= 3 THEN 'max_iterations_reached' ELSE 'awaiting_regeneration' END AS status,
+  CASE WHEN refused THEN 0 ELSE coalesce(met, last) END AS iterations_used, CASE WHEN refused THEN 0 ELSE 3 - coalesce(met, last) END AS iterations_remaining,
+  CASE WHEN NOT refused THEN iteration END AS best_iteration, CASE WHEN NOT refused THEN score END AS best_score, CASE WHEN NOT refused THEN length(text) END AS best_chars FROM b WHERE o = 1""",
     "iteration_history": f"""WITH {CANDIDATES}, r AS (SELECT *, score - lag(score) OVER (PARTITION BY conv_id ORDER BY iteration) AS d,
   min(CASE WHEN score >= 8.0 THEN iteration END) OVER (PARTITION BY conv_id) AS met FROM candidates WHERE iteration <= 3)
 SELECT conv_id, iteration, score, score >= 8.0 AS thresholds_met, round(d, 8) AS improvement_from_previous FROM r WHERE met IS NULL OR iteration <= met""",
     "regeneration_credits": f"""WITH {CANDIDATES}, r AS (SELECT *, min(CASE WHEN score >= 8.0 THEN iteration END) OVER (PARTITION BY conv_id) AS met FROM candidates WHERE iteration <= 3)
 SELECT conv_id, count(*)::DOUBLE AS evaluations, (count(*) FILTER (iteration > 1) * 1.5)::DOUBLE AS regenerations, (count(*) + count(*) FILTER (iteration > 1) * 1.5)::DOUBLE AS total
 FROM r WHERE met IS NULL OR iteration <= met GROUP BY conv_id""",
-    "expired_regenerations": f"""WITH {CANDIDATES}, t AS (SELECT conv_id, iteration, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(iteration * iteration * 3 + conv_id % 5 AS INT)) AS ts FROM candidates WHERE iteration <= 6),
+    "expired_regenerations": f"""WITH {CANDIDATES}, t AS (SELECT conv_id, iteration, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(iteration * iteration * 3 + conv_id % 5 AS INT)) AS ts FROM candidates),
 l AS (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY conv_id ORDER BY iteration) + INTERVAL 15 MINUTE, FALSE) AS late FROM t)
 SELECT conv_id, max(ts) AS last_step_at, bool_or(late) AS expired, min(iteration) FILTER (late) AS expired_at_iteration FROM l GROUP BY conv_id""",
     "score_fanout": f"""WITH {CALLS}, f AS (
@@ -552,12 +559,18 @@ SELECT 'inc_' || call_id AS incident_id, 'threshold_breach' AS type, CASE WHEN l
 UNION ALL SELECT endpoint, (floor(duration_ms / 100.0) * 100.0)::DOUBLE, count(*), 'request.duration', 'histogram' FROM log GROUP BY ALL""",
     "request_errors": f"WITH {REQUESTS} SELECT endpoint, error_type, count(*) AS errors FROM log WHERE error_type IS NOT NULL GROUP BY ALL",
     "request_dedup": f"""WITH RECURSIVE {REQUESTS},
-keyed AS (SELECT request_id, ts, endpoint || (k % 10) AS key FROM req),
+openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations WHERE conv_id < 50 GROUP BY conv_id),
+keyed AS (SELECT request_id, ts, error_type IS NULL AS ok, endpoint IN ('eval', 'health') AS cacheable,
+  endpoint || ':' || (request_id % 5 = 0) || ':' || coalesce(opening, 'no such text') AS key FROM req LEFT JOIN openings ON quoted = k % 50),
+stored AS (SELECT * FROM keyed WHERE ok AND cacheable),
 chain AS (
-  SELECT key, min(ts) AS t FROM keyed GROUP BY key
-  UNION ALL SELECT key, t FROM (SELECT c.key, (SELECT min(x.ts) FROM keyed x WHERE x.key = c.key AND x.ts > c.t + INTERVAL 3600 SECOND) AS t FROM chain c) WHERE t IS NOT NULL),
-sent AS (SELECT c.key, c.t, min(request_id) AS request_id FROM chain c JOIN keyed r ON r.key = c.key AND r.ts = c.t GROUP BY ALL)
-SELECT r.request_id, s.request_id AS answer_id, r.request_id <> s.request_id AS from_cache FROM keyed r ASOF JOIN sent s ON r.key = s.key AND r.ts >= s.t""",
+  SELECT key, min(ts) AS t FROM stored GROUP BY key
+  UNION ALL SELECT key, t FROM (SELECT c.key, (SELECT min(x.ts) FROM stored x WHERE x.key = c.key AND x.ts > c.t + INTERVAL 3600 SECOND) AS t FROM chain c) WHERE t IS NOT NULL),
+sent AS (SELECT c.key, c.t, min(request_id) AS request_id FROM chain c JOIN stored r ON r.key = c.key AND r.ts = c.t GROUP BY ALL),
+found AS (SELECT r.*, CASE WHEN r.ts <= s.t + INTERVAL 3600 SECOND THEN s.request_id END AS stored_id
+  FROM (SELECT * FROM keyed WHERE cacheable) r ASOF LEFT JOIN sent s ON r.key = s.key AND r.ts >= s.t)
+SELECT request_id, stored_id AS answer_id, coalesce(stored_id <> request_id, FALSE) AS from_cache FROM found
+UNION ALL SELECT request_id, CASE WHEN ok THEN request_id END, FALSE FROM keyed WHERE NOT cacheable""",
     "decode_decisions": f"""WITH {CALLS} SELECT call_id, decision, CASE WHEN k % 9 <> 0 THEN decision_reason ELSE '' END AS decision_reason, CASE WHEN k % 8 <> 0 THEN score ELSE 0.0 END::DOUBLE AS score,
   CASE WHEN k % 8 <> 0 THEN confidence ELSE 0.0 END::DOUBLE AS confidence, '' AS summary, {each("{c}")}, CASE WHEN k % 9 <> 0 AND v_framework IS NOT NULL THEN 1 ELSE 0 END AS violations,
   CASE WHEN k % 9 <> 0 THEN v_severity END AS first_severity, CASE WHEN k % 9 <> 0 THEN coalesce(array_to_string(pii_fields, ','), '') ELSE '' END AS pii_fields, FALSE AS high_stakes, TRUE AS no_policy, suggested_params,
@@ -593,12 +606,15 @@ SELECT call_id, accepted, reject_reason, CASE WHEN NOT accepted THEN NULL WHEN n
   CAST(sum(duration_ms) AS BIGINT) AS duration_total FROM log GROUP BY ALL""",
     "stream_review_queue": f"""WITH {CALLS}, q AS ({each("SELECT call_id, '{d}' AS dimension, {c} AS score FROM calls WHERE {c} < 3.0", " UNION ALL ")})
 SELECT 'rev_' || substring(sha256(call_id || ':' || dimension), 1, 12) AS item_id, call_id AS source_key, dimension, score FROM q""",
-    "stream_request_first_seen": f"""WITH {REQUESTS} SELECT DISTINCT endpoint, '{{"mode":"basic","content":"item ' || (k % 10) || '"}}' AS body FROM req""",
+    "stream_request_first_seen": f"""WITH {REQUESTS}, openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations WHERE conv_id < 50 GROUP BY conv_id)
+SELECT DISTINCT endpoint, coalesce(opening, 'no such text') AS content, request_id % 5 = 0 AS b_first, CAST(1 AS BIGINT) AS let_through FROM req LEFT JOIN openings ON quoted = k % 50""",
 }
-SQL["stream_regenerations"] = f"""WITH {EVENTS}, g AS (
-  SELECT user_id AS session_id, bool_or(k >= 90) AS met, count(*) AS steps, max(ts) AS last FROM ev WHERE event_type = 'signup' GROUP BY user_id),
-m AS (SELECT max(last) - INTERVAL 1 MINUTE AS watermark FROM g)
-SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps FROM g CROSS JOIN m WHERE met OR last + INTERVAL 15 MINUTE <= watermark"""
+SQL["stream_regenerations"] = f"""WITH {EVENTS}, l AS (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 15 MINUTE, TRUE) AS starts FROM ev),
+s AS (SELECT *, sum(starts::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS part FROM l),
+g AS (SELECT user_id AS session_id, part, bool_or(k >= 90) AS met, count(*) AS steps, min(ts) AS first_step_at, max(ts) AS last_step_at FROM s GROUP BY user_id, part),
+m AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM ev)
+SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps, first_step_at, last_step_at FROM g CROSS JOIN m WHERE last_step_at + INTERVAL 15 MINUTE <= watermark"""
+SQL["regeneration_sessions"] = SQL["stream_regenerations"].split(" FROM g CROSS JOIN m")[0] + " FROM g"
 SQL["stream_request_dedup"] = SQL["request_dedup"]
 SQL["encode_endpoints"] = f"""WITH {CALLS}
 SELECT call_id, 'safe-regenerate' AS endpoint, '{{"content":"text ' || call_id || '","max_regenerations":' || (k % 5) || CASE WHEN k % 2 = 0 THEN ',"regeneration_model":"external"' ELSE '' END ||
@@ -609,8 +625,8 @@ UNION ALL SELECT call_id, 'agent/prompt-injection', '{{"content":"hello"' || CAS
 UNION ALL SELECT call_id, 'agent/registry/tools', '{{"tool_name":"' || tool_name || '","risk_level":"high"' || CASE WHEN k % 2 = 0 THEN ',"thresholds":{{"block_below":4.5}}' ELSE '' END || '}}' FROM calls"""
 SQL["decode_multi_compliance"] = f"""WITH {_requirements(7.0)} SELECT doc_id, framework, compliance_score, label, CAST(requirements_checked AS INTEGER) AS requirements_checked,
   CAST(count(*) OVER (PARTITION BY doc_id) AS INTEGER) AS frameworks_evaluated FROM labelled_checks"""
-SQL["cross_framework_log"] = f"""WITH {_requirements(7.0)}, s AS (SELECT doc_id, count(*) AS n, arg_min(framework, {{'s': compliance_score, 'f': framework}}) AS weakest FROM checks GROUP BY doc_id)
-SELECT doc_id, 'INFO' AS level, '[Compliance] Cross-framework summary: frameworks=' || n || ' | weakest=' || weakest AS line FROM s"""
+SQL["cross_framework_log"] = f"""WITH {_requirements(7.0)}, s AS (SELECT doc_id, count(*) AS n, round(avg(compliance_score), 8) AS mean, min(compliance_score) AS low, arg_min(framework, {{'s': compliance_score, 'f': framework}}) AS weakest FROM checks GROUP BY doc_id)
+SELECT doc_id, 'INFO' AS level, '[Compliance] Cross-framework summary: frameworks=' || n || ' | avg_score=' || {fixed('mean', 2)} || ' | weakest=' || weakest || ' (' || {fixed('low', 2)} || ')' AS line FROM s"""
 SQL["blocked_plans"] = f"""WITH {STEPS}, p AS (SELECT plan_id, count(*) AS steps, count(*) FILTER (decision = 'BLOCK') AS b,
   string_agg(CAST(step_index AS VARCHAR), ', ' ORDER BY step_index) FILTER (decision = 'BLOCK') AS idx FROM steps GROUP BY plan_id)
 SELECT plan_id, CASE WHEN b = steps THEN 'BLOCK_ALL' ELSE 'PARTIAL_BLOCK' END AS overall_decision, CAST(b AS INTEGER) AS blocked,

@@ -11,7 +11,7 @@ from guardlake.operators import agent_sessions as agent
 from guardlake.operators import aggregates, compliance, conversations, dedup, guarded, plan_verdicts, policy
 from guardlake.operators import regeneration, registry, scanning, scoring, telemetry, validation
 from guardlake.plans import fixtures as fx
-from guardlake.schemas import DIM_COLUMNS, DIMENSIONS, LOW_CONFIDENCE, SCORE_FIELD
+from guardlake.schemas import CACHED_ENDPOINTS, DIM_COLUMNS, DIMENSIONS, LOW_CONFIDENCE, SCORE_FIELD, TOO_HARMFUL_BELOW
 from guardlake.sources import decode, encode, sinks
 
 AS_OF = "2024-12-31 00:00:00"
@@ -493,7 +493,7 @@ def registry_page(spark, sf):
 
 
 def registry_upsert(spark, sf):
-    out = registry.register_tools(
+    out, _ = registry.register_tools(
         fx.tool_registry(spark, sf),
         fx.tool_registrations(spark, sf),
         order_cols=("registered_at", "order_no", "line_no", "quantity", "description"),
@@ -506,7 +506,7 @@ def registry_delete(spark, sf):
     doomed = table.where(F.col("risk_level") == "critical").unionByName(
         fx.read(spark, sf, "supplier").select(F.col("s_name").alias("tool_name")), allowMissingColumns=True
     )
-    kept, report = registry.delete_tools(table, doomed)
+    kept, report, _ = registry.delete_tools(table, doomed)
     left = kept.groupBy("source").agg(F.count(F.lit(1)).alias("tools"))
     return report.select("tool_name", "deleted", "fallback").unionByName(
         left.select(
@@ -583,7 +583,7 @@ def plugin_scorer(spark, sf):
 def custom_callback(spark, sf):
     @F.pandas_udf("string")
     def rewrite(texts: pd.Series) -> pd.Series:
-        return texts.where(texts.str.len() % 2 == 0, "").str.slice(0, 5)
+        return texts.where(texts.str.len() % 2 == 0, "")
 
     scored = scoring.score(fx.read(spark, sf, "documents").select("doc_id", "text"))
     enforced = policy.enforce_policy(scored, "CUSTOM", {"privacy": 7.0, "safety": 6.0})
@@ -683,11 +683,7 @@ def top_issues(spark, sf):
 
 
 def compliance_log(spark, sf):
-    log = compliance.compliance_log(compliance_matrix(spark, sf), found_issues(spark, sf), "doc_id")
-    lines = log.where(F.col("level") != "INFO").unionByName(
-        log.where(F.col("level") == "INFO").withColumn("line", F.regexp_replace("line", r"score=[0-9.]+ \| ", ""))
-    )
-    return lines
+    return compliance.compliance_log(compliance_matrix(spark, sf), found_issues(spark, sf), "doc_id")
 
 
 def risk_classification(spark, sf):
@@ -705,8 +701,7 @@ def risk_classification(spark, sf):
 
 
 def best_iteration(spark, sf):
-    rows = fx.candidates(spark, sf).where(regeneration.not_too_harmful("score"))
-    out = regeneration.select_best(rows, "conv_id", 8.0, max_iterations=3)
+    out = regeneration.select_best(fx.candidates(spark, sf), "conv_id", 8.0, max_iterations=3, harmful_below=TOO_HARMFUL_BELOW)
     return out.select(
         "conv_id",
         "status",
@@ -745,6 +740,10 @@ def expired_regenerations(spark, sf):
     return regeneration.expired_sessions(rows, "conv_id")
 
 
+def regeneration_sessions(spark, sf):
+    return regeneration.regeneration_sessions(fx.regeneration_steps(fx.read(spark, sf, "events")))
+
+
 # --- sinks -----------------------------------------------------------------
 
 
@@ -858,7 +857,9 @@ def request_errors(spark, sf):
 
 def request_dedup(spark, sf):
     rows = fx.requests(spark, sf).withColumn("key", dedup.request_key("endpoint", "body"))
-    out = dedup.dedup_requests(rows, ["key"], ttl_seconds=3600)
+    out = dedup.dedup_requests(
+        rows, ["key"], ttl_seconds=3600, cacheable=F.col("endpoint").isin(*CACHED_ENDPOINTS), ok=F.col("error_type").isNull()
+    )
     return out.select("request_id", "answer_id", "from_cache")
 
 
@@ -1162,9 +1163,7 @@ def decode_multi_compliance(spark, sf):
 
 def cross_framework_log(spark, sf):
     summary = compliance.cross_framework_summary(compliance_matrix(spark, sf), "doc_id")
-    return compliance.cross_framework_log(summary, "doc_id").select(
-        "doc_id", "level", F.regexp_replace("line", r"avg_score=[0-9.]+ \| | \([0-9.]+\)", "").alias("line")
-    )
+    return compliance.cross_framework_log(summary.withColumn("average_score", r8("average_score")), "doc_id")
 
 
 def blocked_plans(spark, sf):
@@ -1238,6 +1237,7 @@ BATCH = (
     iteration_history,
     regeneration_credits,
     expired_regenerations,
+    regeneration_sessions,
     score_fanout,
     review_queue,
     review_queue_sizes,

@@ -4,15 +4,30 @@ from pyspark.sql import functions as F
 
 from guardlake.operators import dedup, telemetry
 from guardlake.plans import fixtures as fx
-from guardlake.schemas import EVENTS
+from guardlake.schemas import CACHED_ENDPOINTS, EVENTS
 from guardlake.session import scratch_folder
 from guardlake.sources import sinks
 from guardlake.streaming import trackers
 
 
-def event_stream(spark, sf, **options):
-    # As a pattern the path may be one file or a folder of files.
-    return spark.readStream.schema(EVENTS).options(**options).parquet(f"{sf}/events.parque[t]")
+#: Stretches of time the event table is written in, and so the batches a stream sees at least.
+STRETCHES = 3
+
+
+def event_stream(spark, sf, folder):
+    """The whole event table as a stream of files, one stretch of time after the other."""
+    events = fx.read(spark, sf, "events")
+    span = events.select(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    for i in range(STRETCHES):
+        part = events
+        if span.low is not None:
+            step = (span.high - span.low) / STRETCHES
+            late = F.lit(False) if i == STRETCHES - 1 else F.col("ts") >= F.lit(span.low + (i + 1) * step)
+            part = events.where(~late & ((F.col("ts") >= F.lit(span.low + i * step)) | F.lit(i == 0)))
+        part.write.mode("append").parquet(f"{folder}/events")
+    # A small stretch is one file; of a large one several files make a batch.
+    files = max(1, events.rdd.getNumPartitions())
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(f"{folder}/events")
 
 
 def _run(query):
@@ -25,7 +40,7 @@ def _run(query):
 def stream_session_metrics(spark, sf):
     """Running metrics and next depth per user, calls taken as turns."""
     folder = scratch_folder(spark, "session-metrics")
-    turns = fx.calls_from_events(event_stream(spark, sf)).withColumn("at", F.struct("ts", "call_id"))
+    turns = fx.calls_from_events(event_stream(spark, sf, folder)).withColumn("at", F.struct("ts", "call_id"))
     live = trackers.stream_conversation_metrics(turns, "session_id", "at")
     _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint", mode="update"))
     out = trackers.latest(spark, f"{folder}/out", ["session_id"])
@@ -38,7 +53,7 @@ def stream_agent_sessions(spark, sf):
     tracker = trackers.AgentSessionTracker(
         f"{folder}/state", f"{folder}/out", max_calls=40, ttl_minutes=20 * 24 * 60, deep_every_n=7, base_mode="basic"
     )
-    calls = fx.calls_from_events(event_stream(spark, sf))
+    calls = fx.calls_from_events(event_stream(spark, sf, folder))
     _run(tracker.start(calls, f"{folder}/checkpoint"))
     return spark.read.parquet(f"{folder}/out").select("call_id", "accepted", "reject_reason", "mode")
 
@@ -46,7 +61,7 @@ def stream_agent_sessions(spark, sf):
 def stream_request_metrics(spark, sf):
     """Request metrics per five-minute window."""
     folder = scratch_folder(spark, "request-metrics")
-    log = telemetry.request_log(fx.requests_from_events(event_stream(spark, sf)))
+    log = telemetry.request_log(fx.requests_from_events(event_stream(spark, sf, folder), fx.opening_texts(spark, sf)))
     live = trackers.stream_request_metrics(log.withColumn("ts", F.col("ts").cast("timestamp")))
     _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint", mode="update"))
     out = trackers.latest(spark, f"{folder}/out", ["window_start", "endpoint"])
@@ -56,7 +71,7 @@ def stream_request_metrics(spark, sf):
 def stream_review_queue(spark, sf):
     """Review items written batch by batch, one row per item."""
     folder = scratch_folder(spark, "review-queue")
-    calls = fx.calls_from_events(event_stream(spark, sf)).withColumn(
+    calls = fx.calls_from_events(event_stream(spark, sf, folder)).withColumn(
         "note", F.concat(F.lit("call "), F.col("call_id").cast("string"))
     )
 
@@ -70,31 +85,43 @@ def stream_review_queue(spark, sf):
 def stream_request_dedup(spark, sf):
     """Which stored answer serves each request, live and exact."""
     folder = scratch_folder(spark, "request-dedup")
-    rows = fx.requests_from_events(event_stream(spark, sf))
-    tracker = trackers.RequestDedupTracker(f"{folder}/state", f"{folder}/out", ttl_seconds=3600)
+    rows = fx.requests_from_events(event_stream(spark, sf, folder), fx.opening_texts(spark, sf))
+    tracker = trackers.RequestDedupTracker(
+        f"{folder}/state",
+        f"{folder}/out",
+        ttl_seconds=3600,
+        cacheable=F.col("endpoint").isin(*CACHED_ENDPOINTS),
+        ok=F.col("error_type").isNull(),
+    )
     _run(tracker.start(rows.withColumn("key", dedup.request_key("endpoint", "body")), f"{folder}/checkpoint"))
     return spark.read.parquet(f"{folder}/out").select("request_id", "answer_id", "from_cache")
 
 
 def stream_request_first_seen(spark, sf):
-    """Requests let through by Spark's own duplicate filter."""
+    """How often Spark's own duplicate filter lets a request through that it is to pass once."""
     folder = scratch_folder(spark, "request-first-seen")
-    rows = fx.requests_from_events(event_stream(spark, sf)).withColumn("ts", F.col("ts").cast("timestamp"))
-    live = trackers.stream_dedup(rows.withColumn("key", dedup.request_key("endpoint", "body")), ["key"])
+    rows = fx.requests_from_events(event_stream(spark, sf, folder), fx.opening_texts(spark, sf))
+    rows = rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("key", dedup.request_key("endpoint", "body"))
+    live = trackers.stream_dedup(rows, ["key"], ttl_seconds=1000 * 86_400)
     _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/out").select("endpoint", "body").distinct()
+    return (
+        spark.read.parquet(f"{folder}/out")
+        .groupBy(
+            "endpoint",
+            F.get_json_object("body", "$.content").alias("content"),
+            F.contains("body", F.lit('"meta":{"b":1')).alias("b_first"),
+        )
+        .agg(F.count(F.lit(1)).alias("let_through"))
+    )
 
 
 def stream_regenerations(spark, sf):
-    """Users' signups as regeneration steps; a session ends by passing or by silence."""
+    """Users' events as regeneration steps, split into sessions by silence."""
     folder = scratch_folder(spark, "regenerations")
-    steps = event_stream(spark, sf).where(F.col("event_type") == "signup").withColumn("k", fx.k())
-    steps = steps.select(
-        F.col("user_id").alias("session_id"), "ts", F.lit(1).alias("iteration"), (F.col("k") >= 90).alias("met")
-    )
-    live = trackers.stream_regeneration_sessions(steps)
+    live = trackers.stream_regeneration_sessions(fx.regeneration_steps(event_stream(spark, sf, folder)))
     _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/out").select("session_id", "outcome", "steps")
+    out = spark.read.parquet(f"{folder}/out").drop("batch_id")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_step_at", "last_step_at")})
 
 
 STREAMS = (

@@ -60,6 +60,7 @@ MAX_COMPLIANCE_CONTENT = 50_000
 MAX_FRAMEWORKS = 5
 MAX_PLAN_STEPS = 20
 CACHE_TTL_SECONDS = 300
+CACHED_ENDPOINTS = ("eval", "health")
 REGENERATION_TTL_MINUTES = 15
 TOO_HARMFUL_BELOW = 3.0
 

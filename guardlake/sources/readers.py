@@ -1,20 +1,6 @@
 """Table readers."""
 
 
-def spread(df, *keys):
-    """Give a small scan as many tasks as the session has cores.
-
-    A small table may sit in one row group, which one task reads alone.  Tables
-    with at least as many splits as cores, which is any large one, are left as
-    they are: no shuffle is added.  ``df`` must be a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
-def read_table(spark, path, *spread_by):
-    """Parquet table; with keys, spread over the cores if it is small."""
-    df = spark.read.parquet(path)
-    return spread(df, *spread_by) if spread_by else df
+def read_table(spark, path):
+    """Parquet table as its files are split; ``spark.sql.files.maxPartitionBytes`` sets the size of a task's share."""
+    return spark.read.parquet(path)

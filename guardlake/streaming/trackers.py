@@ -6,14 +6,13 @@ rules run per micro-batch with the batch operators on top of a small per-session
 state table.
 """
 
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from guardlake.operators.agent_sessions import ORDER, SESSION, depth_rule, is_critical, reject_reason, ttl_interval
 from guardlake.operators.conversations import mode_rule
-from guardlake.operators.dedup import dedup_requests
+from guardlake.operators.dedup import dedup_requests, flag
 from guardlake.operators.ordered import ordered_columns, rows_per_chunk, split_points
+from guardlake.operators.regeneration import regeneration_sessions
 from guardlake.schemas import CACHE_TTL_SECONDS, DEFAULT_THRESHOLD, REGENERATION_TTL_MINUTES
 
 
@@ -122,23 +121,28 @@ class RequestDedupTracker:
     State holds each key's last sent request while its answer is still valid.
     """
 
-    def __init__(self, state_path, out_path, *, ttl_seconds=CACHE_TTL_SECONDS, ts="ts", id_col="request_id", id_type="bigint"):
+    def __init__(
+        self, state_path, out_path, *, ttl_seconds=CACHE_TTL_SECONDS, ts="ts", id_col="request_id", id_type="bigint", cacheable=None, ok=None
+    ):
         self.store = SlottedState(state_path, f"key string, sent_us bigint, sent_id {id_type}")
         self.out_path, self.ttl, self.ts, self.id_col = out_path, int(ttl_seconds), ts, id_col
+        self.cacheable, self.ok = flag(cacheable), flag(ok)
 
     def process(self, batch, batch_id):
         """``batch`` needs a ``key`` column (see request_key)."""
         prior = self.store.read(batch.sparkSession, batch_id - 1)
         rows = batch.withColumn("_us", F.unix_micros(F.col(self.ts).cast("timestamp"))).join(prior, "key", "left")
-        served = F.coalesce(F.col("_us") <= F.col("sent_us") + self.ttl * 1_000_000, F.lit(False))
+        served = self.cacheable & F.coalesce(F.col("_us") <= F.col("sent_us") + self.ttl * 1_000_000, F.lit(False))
         hits = rows.where(served).withColumns({"answer_id": F.col("sent_id"), "from_cache": F.lit(True)})
-        fresh = dedup_requests(rows.where(~served), ["key"], ts=self.ts, id_col=self.id_col, ttl_seconds=self.ttl)
+        fresh = dedup_requests(
+            rows.where(~served), ["key"], ts=self.ts, id_col=self.id_col, ttl_seconds=self.ttl, cacheable=self.cacheable, ok=self.ok
+        )
         out = hits.unionByName(fresh)
         target = f"{self.out_path}/batch_id={batch_id}"
         out.drop("_us", "sent_us", "sent_id").write.mode("overwrite").parquet(target)
         sent = (
             batch.sparkSession.read.parquet(target)
-            .where(~F.col("from_cache"))
+            .where(~F.col("from_cache") & self.cacheable & self.ok)
             .groupBy("key")
             .agg(F.max(F.struct(F.unix_micros(F.col(self.ts).cast("timestamp")).alias("us"), F.col(self.id_col).alias("id"))).alias("m"))
             .select("key", F.col("m.us").alias("sent_us"), F.col("m.id").alias("sent_id"))
@@ -266,46 +270,11 @@ class AgentSessionTracker:
         )
 
 
-def stream_regeneration_sessions(
-    steps, key="session_id", ts="ts", *, minutes=REGENERATION_TTL_MINUTES, watermark="1 minute", key_type="bigint"
-):
-    """One row per external regeneration session once it has passed or expired.
+def stream_regeneration_sessions(steps, key="session_id", ts="ts", *, minutes=REGENERATION_TTL_MINUTES, watermark="1 minute"):
+    """Live :func:`regeneration_sessions`, split by gaps in event time whatever the batches are.
 
-    A session holds a handful of steps by the iteration limit.  It expires when no
-    step follows within ``minutes`` of the last one.  ``steps`` has ``iteration``
-    and ``met``.
+    A session comes out once the watermark has passed its end.  Steps later than the
+    watermark are left out and counted in the query's progress (``numRowsDroppedByWatermark``).
     """
-    limit_ms = int(minutes) * 60_000
-
-    def update(group, batches, state):
-        if state.hasTimedOut:
-            steps_seen, last_ms, _ = state.get
-            state.remove()
-            yield pd.DataFrame({key: [group[0]], "outcome": ["expired"], "steps": [steps_seen], "last_ms": [last_ms]})
-            return
-        steps_seen, last_ms, done = state.get if state.exists else (0, 0, False)
-        for pdf in batches:
-            steps_seen += len(pdf)
-            last_ms = max(last_ms, int(pdf["_ms"].max()))
-            done = done or bool(pdf["met"].any())
-        if done:
-            if state.exists:
-                state.remove()
-            yield pd.DataFrame({key: [group[0]], "outcome": ["passed"], "steps": [steps_seen], "last_ms": [last_ms]})
-            return
-        state.update((steps_seen, last_ms, done))
-        state.setTimeoutTimestamp(max(last_ms + limit_ms, state.getCurrentWatermarkMs() + 1))
-
-    timed = steps.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
-    timed = timed.withColumn("_ms", F.unix_millis("_ts"))
-    return (
-        timed.select(key, "_ts", "_ms", "met")
-        .groupBy(key)
-        .applyInPandasWithState(
-            update,
-            f"{key} {key_type}, outcome string, steps bigint, last_ms bigint",
-            "steps bigint, last_ms bigint, done boolean",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-    )
+    timed = steps.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    return regeneration_sessions(timed, key, ts, minutes=minutes)

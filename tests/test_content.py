@@ -163,12 +163,15 @@ def candidates(spark, *scores):
         ([5, 8, 9], 3, ("passed", 2, 1, 2, "t2")),
         ([5, 6, 5.5], 3, ("max_iterations_reached", 3, 0, 2, "t2")),
         ([5, 5], 3, ("awaiting_regeneration", 2, 1, 1, "t1")),
-        ([5, 5, 5, 5, 5, 5, 9], 9, ("max_iterations_reached", 5, 0, 1, "t1")),
-        ([5, 9], 0, ("max_iterations_reached", 1, 0, 1, "t1")),
+        ([5, 5, 5, 5, 5, 5, 9], 5, ("max_iterations_reached", 5, 0, 1, "t1")),
+        ([5, 9], 1, ("max_iterations_reached", 1, 0, 1, "t1")),
+        ([5, 6, 2], 3, ("max_iterations_reached", 3, 0, 2, "t2")),
+        ([2.5, 9], 3, ("too_harmful", 0, 0, None, None)),
+        ([2, 1, 1], 3, ("too_harmful", 0, 0, None, None)),
     ],
 )
 def test_select_best(spark, scores, limit, want):
-    r = regeneration.select_best(candidates(spark, *scores), "k", 8.0, max_iterations=limit).first()
+    r = regeneration.select_best(candidates(spark, *scores), "k", 8.0, max_iterations=limit, harmful_below=3.0).first()
     assert (r.status, r.iterations_used, r.iterations_remaining, r.best_iteration, r.best_text) == want
 
 
@@ -176,3 +179,18 @@ def test_history_stops_at_the_first_pass(spark):
     out = regeneration.iteration_history(candidates(spark, 5, 8, 9), "k", 8.0).orderBy("iteration").collect()
     assert [(r.iteration, r.improvement_from_previous, r.thresholds_met) for r in out] == [(1, None, False), (2, 3.0, True)]
     assert candidates(spark, 2.9, 3.0).where(regeneration.not_too_harmful()).count() == 1
+
+
+@pytest.mark.parametrize("limit", [0, 6, 9, -1])
+def test_iteration_limits_outside_the_range_are_refused(spark, limit):
+    for choose in (regeneration.select_best, regeneration.iteration_history):
+        with pytest.raises(ValueError):
+            choose(candidates(spark, 5, 9), "k", 8.0, max_iterations=limit)
+
+
+def test_a_late_pause_expires_a_long_session(spark):
+    minutes = [0, 1, 2, 3, 4, 5, 6, 506, 507]
+    rows = [(1, i + 1, m * 60) for i, m in enumerate(minutes)] + [(2, i + 1, m * 60) for i, m in enumerate([0, 15, 30])]
+    steps = spark.createDataFrame(rows, "k int, iteration int, second int").selectExpr("k", "iteration", "timestamp_seconds(second) ts")
+    got = {r.k: (r.expired, r.expired_at_iteration, r.last_step_at.timestamp()) for r in regeneration.expired_sessions(steps, "k").collect()}
+    assert got[1] == (True, 8, 507 * 60) and got[2] == (False, None, 1800)

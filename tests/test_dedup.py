@@ -47,3 +47,34 @@ def test_request_key_ignores_field_order(spark):
     rows = [('{"b":1,"a":"x"}',), ('{"a":"x","b":1}',), ('{"a":"x","b":"1"}',), ("not json",)]
     keys = [r[0] for r in spark.createDataFrame(rows, "body string").select(request_key(F.lit("eval"), "body")).collect()]
     assert keys[0] == keys[1] and len(set(keys)) == 3
+
+
+def test_request_key_sorts_the_top_level_only(spark):
+    rows = [
+        ('{"b":{"x":1,"y":2},"a":1}',), ('{"a":1,"b":{"x":1,"y":2}}',), ('{"a":1,"b":{"y":2,"x":1}}',), ('{"a":"1","b":{"x":1,"y":2}}',),
+        ('{"a":null}',), ('{"a":"null"}',), ('{"a":"{}"}',), ('{"a":{}}',), ("[1]",), (None,), ("",), ('{"a,b":"c"}',), ('{"a":"b","c":""}',),
+    ]
+    keys = [r[0] for r in spark.createDataFrame(rows, "body string").select(request_key(F.lit("eval"), "body")).collect()]
+    assert keys[0] == keys[1] and keys[9] == keys[10]
+    assert len(set(keys)) == len(keys) - 2
+
+
+def test_only_successful_answers_of_cached_endpoints_are_reused(spark):
+    rows = [
+        (1, 0, "eval", "RateLimitError"), (2, 10, "eval", None), (3, 20, "eval", None), (4, 30, "eval", "TimeoutError"),
+        (5, 311, "eval", "TimeoutError"), (6, 312, "eval", None), (7, 0, "agent", None), (8, 1, "agent", None), (9, 2, "agent", "TimeoutError"),
+    ]
+    df = spark.createDataFrame(rows, "request_id int, second int, endpoint string, error string").withColumn("ts", F.timestamp_seconds("second"))
+    out = dedup_requests(df, ["endpoint"], cacheable=F.col("endpoint") == "eval", ok=F.col("error").isNull())
+    assert {r.request_id: (r.answer_id, r.from_cache) for r in out.collect()} == {
+        1: (None, False), 2: (2, False), 3: (2, True), 4: (2, True), 5: (None, False), 6: (6, False),
+        7: (7, False), 8: (8, False), 9: (None, False),
+    }
+    assert out.columns == [*df.columns, "answer_id", "from_cache"]
+
+
+def test_long_run_in_blocks(spark):
+    n = 20_000
+    df = spark.range(n).selectExpr("id as request_id", "'k' as key", "timestamp_seconds(id * 200) as ts")
+    out = dedup_requests(df, ["key"]).where("from_cache").agg(F.count("*"), F.min("answer_id"), F.max("answer_id")).first()
+    assert tuple(out) == (n // 2, 0, n - 2)

@@ -28,6 +28,32 @@ def test_bands(spark, fn, cases):
 def test_text_functions(spark):
     assert values(spark, C.format_score("s"), [(8.567,), (9.0,)], "s double") == ["8.6", "9.0"]
     assert values(spark, C.format_score("s", 2), [(8.567,)], "s double") == ["8.57"]
+    exact = [(8.575,), (1.005,), (8.345,), (2.675,), (-1.125,), (0.0,), (-0.004,), (10.0,), (0.125,)]
+    assert values(spark, C.format_score("s", 2), exact, "s double") == ["8.57", "1.00", "8.35", "2.67", "-1.13", "0.00", "-0.00", "10.00", "0.13"]
+    assert values(spark, C.format_score("s"), [(1.45,), (8.25,), (0.25,), (9.95,), (99.95,)], "s double") == ["1.4", "8.3", "0.3", "9.9", "100.0"]
+    assert values(spark, C.format_score("s", 0), [(2.5,), (0.5,), (1.4999999999999998,)], "s double") == ["3", "1", "1"]
+
+
+def test_fixed_decimals_are_exact(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    from random import Random
+
+    rng = Random(5)
+    numbers = [rng.choice([rng.uniform(0, 10), rng.randrange(10_001) / 1000, rng.randrange(800) / 64, rng.uniform(0, 1e9)]) for _ in range(4000)]
+    for d in (0, 1, 2, 3):
+        got = values(spark, C.format_score("s", d), [(x,) for x in numbers], "s double")
+        assert got == [str(Decimal(x).quantize(Decimal(1).scaleb(-d), ROUND_HALF_UP)) for x in numbers]
+
+
+def test_dimensions_of_the_callers_own(spark):
+    df = spark.createDataFrame([(9.0, {"tone": 3.0, "depth": 8.0}), (2.0, None)], "d_safety double, more map<string,double>")
+    df = df.select(*[F.lit(None).cast("double").alias(c) for c in DIM_COLUMNS if c != "d_safety"], "d_safety", "more")
+    limits = {"tone": 5.0, "safety": 4.0, "absent": 9.0}
+    assert [r[0] for r in df.select(C.failed_dimensions(limits, others="more")).collect()] == [["tone"], ["safety"]]
+    with pytest.raises(ValueError):
+        C.failed_dimensions(limits)
+    assert [r[0] for r in df.select(C.weighted_score({"tone": 0.5, "safety": 0.5}, others="more")).collect()] == [6.0, 1.0]
+    assert [round(r[0], 9) for r in df.select(C.weighted_score(others="more")).collect()] == [round(20 / 3, 9), 2.0]
     names = [("user_impact",), ("safety",), ("aBC_dEF",), ("",)]
     assert values(spark, C.format_dimension_name("s"), names, "s string") == ["User Impact", "Safety", "ABC DEF", ""]
     assert values(spark, C.normalize_dimension("s"), [("legal_compliance",), ("safety",)], "s string") == ["inclusivity", "safety"]

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from guardlake.plans import oracle, queries, streams
 from tests.compare import compare, connect
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = {**queries.queries(), **streams.queries()}, oracle.SQL
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,7 @@ def con(sf_dir):
 
 def test_every_job_is_registered_once():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -198,12 +198,16 @@ def test_registry(spark):
     assert [(r.tool_name, r.source, r.total, r.has_more) for r in page] == [("b", "org_custom", 4, True), ("b", "system", 4, True)]
     assert registry.list_tools(table, source="org_custom", risk_level="high", search="C").first().tool_name == "c"
     new = spark.createDataFrame([("b", "low", 1), ("b", "critical", 2), ("d", "low", 1), ("", "low", 1)], "tool_name string, risk_level string, registered_at int")
-    out = {(r.tool_name, r.source): r.risk_level for r in registry.register_tools(table, new).collect()}
+    after, rejected = registry.register_tools(table, new)
+    out = {(r.tool_name, r.source): r.risk_level for r in after.collect()}
+    assert [(r.tool_name, r.field) for r in rejected.collect()] == [("", "tool_name")]
     assert out == {
         ("a", "system"): "low", ("b", "system"): "medium", ("b", "org_custom"): "critical",
         ("c", "org_custom"): "high", ("d", "org_custom"): "low",
     }
-    kept, report = registry.delete_tools(table, spark.createDataFrame([("b",), ("c",), ("x",), ("a",)], "tool_name string"))
+    names = spark.createDataFrame([("b",), ("c",), ("x",), ("a",), (" ",), (None,)], "tool_name string")
+    kept, report, rejected = registry.delete_tools(table, names)
+    assert rejected.count() == 2
     assert sorted((r.tool_name, r.source) for r in kept.collect()) == [("a", "system"), ("b", "system")]
     assert sorted((r.tool_name, r.deleted, r.fallback) for r in report.collect()) == [
         ("a", False, "a"), ("b", True, "b"), ("c", True, "generic"), ("x", False, "generic"),

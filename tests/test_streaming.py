@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from guardlake.operators import agent_sessions as agent
-from guardlake.operators import dedup
+from guardlake.operators import dedup, regeneration
 from guardlake.plans import fixtures as fx
 from guardlake.schemas import EVENTS
 from guardlake.sources import sinks
@@ -126,6 +126,26 @@ def test_regeneration_sessions_expire(spark, tmp_path):
     assert got == {(1, "expired", 1), (2, "passed", 2), (3, "passed", 1)}
 
 
+@pytest.mark.parametrize("layout", [[10], [1] * 10, [3, 3, 4], [5, 5]])
+def test_regeneration_sessions_do_not_depend_on_batches(spark, tmp_path, layout):
+    # Steps an hour apart, two on the limit, then a last one that moves the watermark on.
+    seconds = [0, 3600, 7200, 8100, 9001, 10_800, 14_400, 14_500, 15_300, 90_000]
+    rows = [(1 if i < 9 else 9, s, i, s == 8100) for i, s in enumerate(seconds)]
+    path, first = str(tmp_path / "in"), 0
+    for n in layout:
+        write_steps(spark, path, rows[first : first + n])
+        first += n
+    schema = "session_id bigint, iteration int, met boolean, ts timestamp"
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    live = trackers.stream_regeneration_sessions(source)
+    finish(trackers.write_batches(live, str(tmp_path / "out"), str(tmp_path / "c")))
+    batch = regeneration.regeneration_sessions(spark.read.schema(schema).parquet(path)).where("session_id = 1")
+    fields = ["session_id", "outcome", "steps", "first_step_at", "last_step_at"]
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(fields).collect()))
+    assert got == sorted(map(tuple, batch.select(fields).collect()))
+    assert [r[2] for r in sorted(got, key=lambda r: r[3])] == [1, 1, 2, 1, 1, 3]
+
+
 def test_dedup_lets_a_key_through_again_after_its_time(spark, tmp_path):
     path = str(tmp_path / "in")
 
@@ -146,11 +166,12 @@ def test_dedup_lets_a_key_through_again_after_its_time(spark, tmp_path):
 
 def test_dedup_tracker_equals_batch(spark, sf_dir, parts, tmp_path):
     def keyed(rows):
-        return rows.select("request_id", "ts", dedup.request_key("endpoint", "body").alias("key"))
+        return rows.select("request_id", "ts", "endpoint", "error_type", dedup.request_key("endpoint", "body").alias("key"))
 
-    tracker = trackers.RequestDedupTracker(str(tmp_path / "state"), str(tmp_path / "out"), ttl_seconds=3600)
-    finish(tracker.start(keyed(fx.requests_from_events(stream(spark, parts))), str(tmp_path / "c")))
+    conditions = {"cacheable": F.col("endpoint") == "eval", "ok": F.col("error_type").isNull()}
+    tracker = trackers.RequestDedupTracker(str(tmp_path / "state"), str(tmp_path / "out"), ttl_seconds=3600, **conditions)
+    finish(tracker.start(keyed(fx.requests_from_events(stream(spark, parts), fx.opening_texts(spark, sf_dir))), str(tmp_path / "c")))
     got = spark.read.parquet(str(tmp_path / "out")).select("request_id", "answer_id", "from_cache")
-    want = dedup.dedup_requests(keyed(fx.requests(spark, sf_dir)), ["key"], ttl_seconds=3600)
+    want = dedup.dedup_requests(keyed(fx.requests(spark, sf_dir)), ["key"], ttl_seconds=3600, **conditions)
     want = want.select("request_id", "answer_id", "from_cache")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
