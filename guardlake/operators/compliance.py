@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from guardlake.functions import compliance_threshold, format_score, preview, resolve_framework, score_label, severity_level
-from guardlake.schemas import DIMENSIONS, dim_column
+from guardlake.schemas import DIMENSIONS, FRAMEWORK_ALIASES, FRAMEWORKS, dim_column
 
 # Fixed values, ours: framework, requirement id, article, dimension sources, severity when failed.
 REQUIREMENTS = (
@@ -44,9 +44,12 @@ def requirement_catalogue(spark, rows=REQUIREMENTS):
 def expand_frameworks(df, frameworks):
     """One row per content and requested framework, aliases resolved.
 
-    ``frameworks`` is a list of names or an array column.
+    ``frameworks`` is a list of names, which must be known, or an array column, for
+    which ``framework_name_rules`` marks the rows with unknown ones.
     """
     if isinstance(frameworks, (list, tuple)):
+        if unknown := [f for f in frameworks if FRAMEWORK_ALIASES.get(f, f) not in FRAMEWORKS]:
+            raise ValueError(f"unknown frameworks: {', '.join(unknown)}")
         frameworks = F.array(*[F.lit(f) for f in frameworks])
     resolved = F.array_distinct(F.transform(frameworks, resolve_framework))
     return df.withColumn("framework", F.explode(resolved))

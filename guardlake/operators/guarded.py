@@ -14,14 +14,14 @@ from guardlake.sources.sinks import score_fanout
 SCORES = (*DIM_COLUMNS, "score", "confidence")
 
 
-def evaluate_contents(df, text_col="text", *, scorer=rule_scorer, mode="basic", shared=True):
-    """Valid contents scored, and the rejected rows.  ``shared`` scores equal texts once."""
+def evaluate_contents(df, text_col="text", *, scorer=rule_scorer, mode="basic", shared=False):
+    """Valid contents scored, and the rejected rows.  ``shared`` scores equal texts once, for costly scorers."""
     valid, rejected = validate(df, content_rules(text_col))
     scored = (score_distinct if shared else score)(valid, text_col, scorer, mode)
     return scored, rejected
 
 
-def evaluate_and_aggregate(df, *keys, text_col="text", scorer=rule_scorer, shared=True):
+def evaluate_and_aggregate(df, *keys, text_col="text", scorer=rule_scorer, shared=False):
     """Validate, score and aggregate contents by ``keys``."""
     scored, _ = evaluate_contents(df, text_col, scorer=scorer, shared=shared)
     return aggregate_scores(scored, *keys)

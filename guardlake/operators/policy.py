@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guardlake.functions import failed_dimensions, failed_dimensions_by
+from guardlake.operators.lookups import lookup_join, telling_columns
+from guardlake.operators.scanning import scan_tool_results
 from guardlake.schemas import DIM_COLUMNS
 
 EMPTY = "array<string>"
@@ -160,21 +162,22 @@ def _threshold_literal(t):
     )
 
 
-def with_thresholds(df, default=None, per_tool=None, *, tool_col="tool_name"):
+def with_thresholds(df, default=None, per_tool=None, *, tool_col="tool_name", id_cols=None):
     """Add ``thresholds``: each field of the tool's own entry, else the default's.
 
     ``per_tool`` is a dict for configurations, or a table ``(tool_name,
-    block_below, flag_below, dimension_minimums)`` joined by tool name, whose
-    join strategy is left to Spark's own size checks.
+    block_below, flag_below, dimension_minimums)``, one row per tool, joined by
+    tool name; calls of a hot tool are told apart by ``id_cols`` and spread.
     """
     base = _threshold_literal(default)
     own = F.lit(None).cast(THRESHOLD_TYPE)
     if isinstance(per_tool, DataFrame):
         table = per_tool.select(
-            F.col("tool_name").alias("_tool"),
+            F.col("tool_name").alias(tool_col),
             F.struct("block_below", "flag_below", "dimension_minimums").cast(THRESHOLD_TYPE).alias("_own"),
         )
-        df = df.join(table, F.col(tool_col) == F.col("_tool"), "left")
+        default_ids = ["call_id"] if "call_id" in df.columns else telling_columns(df, [tool_col])
+        df = lookup_join(df, table, [tool_col], list(id_cols) if id_cols else default_ids)
         own = F.col("_own")
     elif per_tool:
         cases = None
@@ -189,7 +192,7 @@ def with_thresholds(df, default=None, per_tool=None, *, tool_col="tool_name"):
             for f in ("block_below", "flag_below", "dimension_minimums")
         ]
     )
-    return df.withColumn("thresholds", merged).drop("_own_t", "_base_t", "_tool", "_own")
+    return df.withColumn("thresholds", merged).drop("_own_t", "_base_t", "_own")
 
 
 def agent_policy(df, mode="log_only", default=None, per_tool=None, *, tool_col="tool_name"):
@@ -284,8 +287,13 @@ def guard_calls(df, policy="log_only", *, thresholds=None, params_col="params",
     )
 
 
+def scan_results(guarded):
+    """The calls of :func:`guard_calls` whose result goes on, with the findings in it."""
+    return scan_tool_results(guarded.where(F.col("scan_text").isNotNull()), "scan_text")
+
+
 def observe(df, name):
-    """Count allowed, flagged and blocked rows while the job runs, as named metrics."""
+    """Count allowed, flagged and blocked rows while the job runs, as metrics of that name or ``Observation``."""
     return df.observe(
         name,
         F.count(F.lit(1)).alias("rows"),
@@ -305,6 +313,7 @@ __all__ = [
     "js_number",
     "observe",
     "replace_failed",
+    "scan_results",
     "split_blocked",
     "with_thresholds",
 ]

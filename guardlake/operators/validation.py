@@ -5,8 +5,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from guardlake.functions import is_blank, weights_sum, weights_sum_ok
-from guardlake.schemas import MAX_CONTENT, MAX_FRAMEWORKS, MAX_PLAN_STEPS, MIN_CONTENT
+from guardlake.functions import is_blank, resolve_framework, weights_sum, weights_sum_ok
+from guardlake.schemas import (
+    CONTENT_DOMAINS,
+    FRAMEWORKS,
+    MAX_COMPLIANCE_CONTENT,
+    MAX_CONTENT,
+    MAX_FRAMEWORKS,
+    MAX_PLAN_STEPS,
+    MIN_CONTENT,
+    MODES,
+    USE_CASES,
+)
 
 
 @dataclass
@@ -69,6 +79,37 @@ def content_rules(c, min_len=MIN_CONTENT, max_len=MAX_CONTENT, what="Content"):
     ]
 
 
+def compliance_content_rules(c, max_len=MAX_COMPLIANCE_CONTENT):
+    """Contents of compliance checks may be longer, and as short as one character."""
+    return content_rules(c, 1, max_len)
+
+
+def choice_rules(c, allowed, name):
+    """A value, where given, is one of ``allowed``."""
+    c = _c(c)
+    message = F.concat(F.lit(f"Unknown {name}: "), F.coalesce(c.cast("string"), F.lit("")))
+    return [Rule(f"unknown_{name}", c.isNull() | (c == "") | c.isin(*allowed), message)]
+
+
+def evaluation_option_rules(mode_col="mode", domain_col="domain", usecase_col="usecase"):
+    """Mode, domain and use case of a content evaluation are known ones."""
+    return [
+        *choice_rules(mode_col, MODES, "mode"),
+        *choice_rules(domain_col, CONTENT_DOMAINS, "domain"),
+        *choice_rules(usecase_col, USE_CASES, "usecase"),
+    ]
+
+
+def framework_name_rules(framework_col, frameworks_col):
+    """Every requested framework, aliases resolved, is a known one; an unknown one would meet no requirement."""
+    single, many = _c(framework_col), _c(frameworks_col)
+    unknown = F.filter(
+        F.concat(F.array(F.nullif(single, F.lit(""))), F.coalesce(many, F.array().cast("array<string>"))),
+        lambda f: f.isNotNull() & ~resolve_framework(f).isin(*FRAMEWORKS),
+    )
+    return [Rule("unknown_framework", F.size(unknown) == 0, F.concat(F.lit("Unknown framework: "), F.array_join(unknown, ", ")))]
+
+
 def continue_rules(session_col, content_col):
     """Continuing a regeneration needs a session id and new content."""
     return [

@@ -25,6 +25,15 @@ def agent_calls(spark, sf_dir):
     return calls_from_events(read(spark, sf_dir, "events"))
 
 
+def calls_with_texts(spark, sf_dir):
+    """Calls with the opening of a conversation as ``opening``, and with a ``result``: that text, JSON, or none."""
+    eid = F.col("call_id")
+    calls = agent_calls(spark, sf_dir).withColumn("quoted", F.col("k") % 50)
+    calls = calls.join(opening_texts(spark, sf_dir), "quoted", "left").withColumn("opening", F.coalesce("opening", F.lit("no such text")))
+    result = F.when(eid % 3 == 0, F.col("params")).when(eid % 3 == 1, F.col("opening"))
+    return calls.withColumn("result", result).drop("quoted")
+
+
 def calls_from_events(events):
     ev = events.withColumn("k", k())
     K, eid = F.col("k"), F.col("event_id")
@@ -155,7 +164,7 @@ def event_tool_registry(spark, sf_dir):
         F.when(name.isin("error", "purchase"), "high").when(name == "signup", "medium").otherwise("low").alias("risk_level"),
         F.lit("system").alias("source"),
         F.lit(None).cast(thresholds).alias("thresholds"),
-        null_list.alias("proxy_variable_watch"),
+        F.when(name == "signup", F.array(F.lit("zip"), F.lit("k"))).alias("proxy_variable_watch"),
         null_list.alias("pii_fields_watch"),
     )
     custom = tools.where(name == "purchase").select(

@@ -60,6 +60,10 @@ calls AS (
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
   count(*) OVER (PARTITION BY user_id) AS total
   FROM ev)"""
+OPENINGS = "openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations WHERE conv_id < 50 GROUP BY conv_id)"
+TEXT_CALLS = f"""{CALLS}, {OPENINGS},
+text_calls AS (SELECT *, CASE call_id % 3 WHEN 0 THEN params WHEN 1 THEN opening END AS result FROM (
+  SELECT calls.*, coalesce(opening, 'no such text') AS opening FROM calls LEFT JOIN openings ON quoted = k % 50))"""
 TURNS = f"""turns AS (
   SELECT conv_id, turn, role, text,
   ((length(text) * 7 + turn * 13 + conv_id * 5) % 101) / 10.0 AS score,
@@ -315,7 +319,10 @@ SELECT call_id, CASE WHEN abs(total_w - 100.0) > 1.0 THEN 'weights_sum' END AS w
     WHEN n_frameworks > 5 THEN 'frameworks_too_many' END AS framework_error,
   CASE WHEN k % 11 = 0 THEN 'tool_name_required' WHEN k % 13 = 0 THEN 'tool_params_object' END AS tool_error,
   CASE WHEN k % 11 = 0 THEN 'tool_name_required' WHEN k % 2 <> 0 AND k % 3 <> 0 THEN 'tool_result_empty' END AS result_error,
-  CASE WHEN k % 17 = 0 THEN 'session_id_required' WHEN k % 4 = 0 THEN 'empty_content' END AS continue_error FROM x""",
+  CASE WHEN k % 17 = 0 THEN 'session_id_required' WHEN k % 4 = 0 THEN 'empty_content' END AS continue_error,
+  CASE WHEN k % 6 = 0 THEN 'unknown_mode' WHEN k % 7 = 0 THEN 'unknown_domain' WHEN k % 8 = 0 THEN 'unknown_usecase' END AS option_error,
+  CASE WHEN k % 9 = 0 OR k % 10 = 0 THEN 'unknown_framework' END AS framework_name_error,
+  CASE WHEN k % 6 = 0 THEN 'empty_content' WHEN k % 6 = 5 THEN 'content_too_long' END AS compliance_error FROM x""",
     "aggregate_scores": f"""WITH {CALLS} SELECT tool_name, round(avg(score), 8) AS average_score, min(score) AS min_score, max(score) AS max_score,
   count(*) AS total_evaluations, {AVERAGES} FROM calls GROUP BY tool_name""",
     "aggregate_scores_rollup": f"""WITH {CALLS} SELECT tool_name, decision, round(avg(score), 8) AS average_score, count(*) AS total_evaluations
@@ -400,11 +407,21 @@ SELECT mode, call_id, len(f) = 0 AS passed, coalesce(array_to_string(f, ','), ''
   coalesce(array_to_string(bad, ','), '') AS violated FROM jj""",
     "agent_session_policy": f"""WITH {CALLS}, j AS (SELECT *, decision = 'BLOCK' OR score < 2.5 AS b FROM calls), jj AS (SELECT *, NOT b AND (decision = 'FLAG' OR score < 6.5) AS f FROM j)
 SELECT session_id, count(*) FILTER (b) AS blocked, count(*) FILTER (f) AS flagged, count(*) FILTER (NOT b AND NOT f) AS allowed FROM jj GROUP BY session_id""",
-    "agent_guard_params": f"""WITH {CALLS}, m(policy) AS (VALUES ('log_only'), ('block'), ('suggest_fix'), ('auto_fix')),
-j AS (SELECT *, decision = 'BLOCK' OR score < 4.0 AS blocked FROM calls CROSS JOIN m),
+    "agent_guard_scan": f"""WITH {TEXT_CALLS}, documents AS (SELECT call_id AS doc_id, result AS text, call_id % 3 = 0 AS as_json FROM text_calls
+  WHERE result IS NOT NULL AND NOT (decision = 'BLOCK' OR score < 4.0)), {SCAN}
+SELECT a.doc_id AS call_id, CASE WHEN as_json THEN 'json' ELSE 'text' END AS scan_format, pii_found, attack_type, recommended_action, risk_level AS result_risk
+FROM acted a JOIN documents d USING (doc_id)""",
+    "agent_policy_table": f"""WITH {CALLS}, t AS (SELECT *, CASE tool_name WHEN 'purchase' THEN 6.0 WHEN 'click' THEN 3.0 ELSE 4.0 END AS b,
+  CASE tool_name WHEN 'purchase' THEN 8.0 WHEN 'signup' THEN 9.5 ELSE 7.0 END AS f FROM calls),
+v AS (SELECT call_id, decision = 'BLOCK' OR score < b AS blocked, decision = 'FLAG' OR score < f AS doubtful FROM t)
+SELECT call_id, blocked, NOT blocked AND doubtful AS flagged, NOT blocked AND NOT doubtful AS allowed, blocked AS halted FROM v""",
+    "observed_policy": f"""WITH {CALLS}, j AS (SELECT *, decision = 'BLOCK' OR score < 2.5 AS b FROM calls), jj AS (SELECT *, NOT b AND (decision = 'FLAG' OR score < 6.5) AS f FROM j)
+SELECT count(*) AS rows, count(*) FILTER (b) AS blocked, count(*) FILTER (f) AS flagged, count(*) FILTER (NOT b AND NOT f) AS allowed FROM jj""",
+    "agent_guard_params": f"""WITH {TEXT_CALLS}, m(policy) AS (VALUES ('log_only'), ('block'), ('suggest_fix'), ('auto_fix')),
+j AS (SELECT *, decision = 'BLOCK' OR score < 4.0 AS blocked FROM text_calls CROSS JOIN m),
 s AS (SELECT *, blocked AND policy IN ('suggest_fix', 'auto_fix') AND suggested_params IS NOT NULL AS swapped, NOT (blocked AND policy = 'block') AS executed FROM j)
 SELECT policy, call_id, blocked, swapped, executed, CASE WHEN NOT executed THEN NULL WHEN swapped THEN suggested_params ELSE params END AS effective_params,
-  CASE WHEN executed THEN 'json' END AS scan_format FROM s""",
+  CASE WHEN executed THEN CASE call_id % 3 WHEN 0 THEN 'json' WHEN 1 THEN 'text' END END AS scan_format FROM s""",
     "agent_mode": f"""WITH {CALLS}, t AS (SELECT *, max(CASE WHEN decision <> 'FLAG' THEN n END) OVER (PARTITION BY session_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clear FROM calls)
 SELECT call_id, n - 1 AS prior_calls, n - 1 - coalesce(clear, 0) AS flag_run,
   CASE WHEN n - 1 - coalesce(clear, 0) >= 3 OR (n > 1 AND (n - 1) % 7 = 0) THEN 'deep' ELSE 'basic' END AS mode FROM t""",
@@ -465,10 +482,10 @@ SELECT plan_id, steps, CASE WHEN steps > 20 THEN 'plan_too_long' END AS error_co
   CASE WHEN steps <= 20 THEN coalesce(idx, '') END AS blocked_indices FROM p""",
     "tool_profiles": f"""WITH {CALLS} SELECT call_id, tool_name AS profile_name, CASE WHEN tool_name IN ('error', 'purchase') THEN 'high' WHEN tool_name = 'signup' THEN 'medium' ELSE 'low' END AS profile_risk_level,
   CASE WHEN tool_name = 'purchase' THEN 'org_custom' ELSE 'system' END AS profile_source, CASE WHEN tool_name = 'purchase' THEN 6.0 END::DOUBLE AS block_below FROM calls""",
-    "tool_call_assessment": f"""WITH {CALLS}, a AS (SELECT *, tool_name = 'purchase' AS hit, k % 2 = 0 AS hs, CASE WHEN tool_name = 'purchase' THEN 6.0 ELSE 4.0 END::DOUBLE AS bb,
+    "tool_call_assessment": f"""WITH {CALLS}, a AS (SELECT *, tool_name = 'purchase' AS hit, tool_name = 'signup' AS proxy, k % 2 = 0 AS hs, CASE WHEN tool_name = 'purchase' THEN 6.0 ELSE 4.0 END::DOUBLE AS bb,
   CASE WHEN tool_name = 'purchase' THEN 8.0 ELSE 7.0 END::DOUBLE AS fb FROM calls)
-SELECT call_id, CASE WHEN hit THEN 'k' ELSE '' END AS pii_hits, hs AS high_stakes, bb AS block_below, fb AS flag_below,
-  CASE WHEN score < bb THEN 'BLOCK' WHEN score < fb OR hit OR (tool_name IN ('error', 'purchase') AND hs) THEN 'FLAG' ELSE 'ALLOW' END AS decision FROM a""",
+SELECT call_id, CASE WHEN proxy THEN 'k' ELSE '' END AS proxy_hits, CASE WHEN hit THEN 'k' ELSE '' END AS pii_hits, hs AS high_stakes, bb AS block_below, fb AS flag_below,
+  CASE WHEN score < bb THEN 'BLOCK' WHEN score < fb OR hit OR proxy OR (tool_name IN ('error', 'purchase') AND hs) THEN 'FLAG' ELSE 'ALLOW' END AS decision FROM a""",
     "registry_page": """WITH r AS (
   SELECT replace(p_name, ' ', '_') || '_' || p_partkey AS tool_name, 'high' AS risk_level, 'org_custom' AS source, p_type AS description
   FROM part WHERE p_size > 25 AND p_size <= 40 AND p_brand LIKE 'Brand#1%' AND contains(lower(p_name), 'red')),
@@ -581,6 +598,10 @@ UNION ALL SELECT request_id, CASE WHEN ok THEN request_id END, FALSE FROM keyed
     "decode_plan_steps": f"""WITH {STEPS} SELECT plan_id, call_id, step_index, tool_name, decision, CASE WHEN call_id % 6 <> 0 THEN score ELSE 0.0 END::DOUBLE AS score, credits FROM steps""",
     "decode_tool_profiles": f"""WITH {REGISTRY} SELECT tool_name, risk_level, source, CASE WHEN source = 'org_custom' THEN 4.0 END::DOUBLE AS block_below FROM reg""",
     "decode_compliance_results": f"""WITH {_requirements(7.0)} SELECT doc_id, framework, count(*) OVER (PARTITION BY doc_id, framework) AS requirements_checked, requirement_id, article, status, 7.0::DOUBLE AS threshold FROM judged""",
+    "decode_compliance_issues": f"""WITH {_requirements(7.0)} SELECT doc_id, framework, doc_id || ':' || requirement_id AS issue_id, severity, dims[1] AS dimension,
+  CAST(CASE severity {" ".join(f"WHEN '{s}' THEN {d}" for s, d in DEADLINE_DAYS)} END AS INTEGER) AS remediation_deadline_days FROM judged WHERE status = 'failed'""",
+    "json_log": f"""WITH {CALLS} SELECT call_id, decision, score FROM calls WHERE call_id % 10 <> 3
+UNION ALL SELECT NULL, substring('{{"call_id":' || call_id || ',"decision"', 1, 12), NULL FROM calls WHERE call_id % 10 = 3""",
     "decode_regenerations": f"""WITH {CANDIDATES}, r AS (SELECT *, min(CASE WHEN score >= 8.0 THEN iteration END) OVER (PARTITION BY conv_id) AS met FROM candidates WHERE iteration <= 3)
 SELECT conv_id, iteration - 1 AS position, iteration, length(text) AS chars, score >= 8.0 AS thresholds_met FROM r WHERE met IS NULL OR iteration <= met""",
     "extracted_answers": """SELECT v AS vendor, conv_id, turn, length(text) + CASE WHEN v = 'blocks' THEN 1 ELSE 0 END AS chars, length(text) AS prompt_tokens,
@@ -592,11 +613,11 @@ FROM conversations CROSS JOIN (VALUES ('choices'), ('blocks'), ('candidates')) f
     "llm_guard": f"""WITH {TURNS}, g AS (SELECT *, turn % 5 = 0 OR conv_id % 4 = 0 AS skipped FROM turns WHERE role = 'assistant')
 SELECT conv_id, turn, skipped, NOT skipped AND d_safety < 4.0 AS blocked, CASE WHEN skipped THEN 0.0 ELSE score END::DOUBLE AS score, CASE WHEN skipped THEN 0.0 ELSE confidence END::DOUBLE AS confidence,
   CASE WHEN NOT skipped THEN d_safety END AS d_safety, CASE WHEN NOT skipped AND d_safety < 4.0 THEN 'response blocked: dimensions [safety] below threshold' END AS message FROM g""",
-    "encode_requests": f"""WITH {CALLS} SELECT call_id, 'eval' AS endpoint, '{{"content":"content ' || call_id || '"' || CASE WHEN k % 3 = 0 THEN ',"mode":"deep"' ELSE '' END ||
-  CASE WHEN k % 5 = 0 THEN ',"dimensions":[]' ELSE '' END || CASE WHEN k % 2 = 0 THEN ',"include_issues":false' ELSE '' END || '}}' AS body FROM calls""",
+    "encode_requests": f"""WITH {TEXT_CALLS} SELECT call_id, 'eval' AS endpoint, '{{"content":' || to_json(opening)::VARCHAR || CASE WHEN k % 3 = 0 THEN ',"mode":"deep"' ELSE '' END ||
+  CASE WHEN k % 5 = 0 THEN ',"dimensions":[]' ELSE '' END || CASE WHEN k % 2 = 0 THEN ',"include_issues":false' ELSE '' END || '}}' AS body FROM text_calls""",
     "encode_tool_calls": f"""WITH {CALLS} SELECT call_id, 'agent/tool-call' AS endpoint, '{{"tool_name":"' || tool_name || '","tool_params":{{"k":' || k || '}}}}' AS body FROM calls""",
-    "encode_compliance": f"""WITH {CALLS} SELECT call_id, 'compliance/check' AS endpoint, '{{"content":"some content",' || CASE WHEN k % 2 = 0 THEN '"framework":"india_dpdp"' ELSE '"frameworks":["eu_ai_act","gdpr"]' END ||
-  CASE WHEN k % 4 = 0 THEN ',"strict_mode":false' ELSE '' END || '}}' AS body FROM calls""",
+    "encode_compliance": f"""WITH {TEXT_CALLS} SELECT call_id, 'compliance/check' AS endpoint, '{{"content":' || to_json(opening)::VARCHAR || ',' || CASE WHEN k % 2 = 0 THEN '"framework":"india_dpdp"' ELSE '"frameworks":["eu_ai_act","gdpr"]' END ||
+  CASE WHEN k % 4 = 0 THEN ',"strict_mode":false' ELSE '' END || '}}' AS body FROM text_calls""",
     "stream_session_metrics": f"""WITH {CALLS}, g AS (SELECT session_id, count(*) AS turn_count, round(avg(score), 8) AS average_score, min(score) AS min_score, max(score) AS max_score,
   count(*) FILTER (score >= 7.0) AS passing, count(*) FILTER (score < 7.0) AS below_threshold_count, max(CASE WHEN n = total THEN score END) AS last_score FROM calls GROUP BY session_id)
 SELECT *, CASE WHEN (turn_count + 1) % 5 = 0 OR last_score < 7.0 THEN 'deep' ELSE 'basic' END AS next_mode FROM g""",
@@ -616,12 +637,12 @@ m AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM ev)
 SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps, first_step_at, last_step_at FROM g CROSS JOIN m WHERE last_step_at + INTERVAL 15 MINUTE <= watermark"""
 SQL["regeneration_sessions"] = SQL["stream_regenerations"].split(" FROM g CROSS JOIN m")[0] + " FROM g"
 SQL["stream_request_dedup"] = SQL["request_dedup"]
-SQL["encode_endpoints"] = f"""WITH {CALLS}
-SELECT call_id, 'safe-regenerate' AS endpoint, '{{"content":"text ' || call_id || '","max_regenerations":' || (k % 5) || CASE WHEN k % 2 = 0 THEN ',"regeneration_model":"external"' ELSE '' END ||
-  CASE WHEN k % 3 = 0 THEN ',"policy_hint":{{"tone":"calm"}}' ELSE '' END || '}}' AS body FROM calls
-UNION ALL SELECT call_id, 'safe-regenerate/continue', '{{"session_id":"' || call_id || '","regenerated_content":"better"}}' FROM calls
+SQL["encode_endpoints"] = f"""WITH {TEXT_CALLS}
+SELECT call_id, 'safe-regenerate' AS endpoint, '{{"content":' || to_json(opening)::VARCHAR || ',"max_regenerations":' || (k % 5) || CASE WHEN k % 2 = 0 THEN ',"regeneration_model":"external"' ELSE '' END ||
+  CASE WHEN k % 3 = 0 THEN ',"policy_hint":{{"tone":"calm"}}' ELSE '' END || '}}' AS body FROM text_calls
+UNION ALL SELECT call_id, 'safe-regenerate/continue', '{{"session_id":"' || call_id || '","regenerated_content":' || to_json(opening)::VARCHAR || '}}' FROM text_calls
 UNION ALL SELECT call_id, 'agent/tool-result', '{{"tool_name":"' || tool_name || '","tool_result":{{"data":{{"k":' || k || '}}}}' || CASE WHEN k % 2 = 0 THEN ',"checks":["pii"]' ELSE '' END || '}}' FROM calls
-UNION ALL SELECT call_id, 'agent/prompt-injection', '{{"content":"hello"' || CASE WHEN k % 2 = 0 THEN ',"content_source":"user_input"' ELSE '' END || '}}' FROM calls
+UNION ALL SELECT call_id, 'agent/prompt-injection', '{{"content":' || to_json(opening)::VARCHAR || CASE WHEN k % 2 = 0 THEN ',"content_source":"user_input"' ELSE '' END || '}}' FROM text_calls
 UNION ALL SELECT call_id, 'agent/registry/tools', '{{"tool_name":"' || tool_name || '","risk_level":"high"' || CASE WHEN k % 2 = 0 THEN ',"thresholds":{{"block_below":4.5}}' ELSE '' END || '}}' FROM calls"""
 SQL["decode_multi_compliance"] = f"""WITH {_requirements(7.0)} SELECT doc_id, framework, compliance_score, label, CAST(requirements_checked AS INTEGER) AS requirements_checked,
   CAST(count(*) OVER (PARTITION BY doc_id) AS INTEGER) AS frameworks_evaluated FROM labelled_checks"""

@@ -4,6 +4,7 @@ Results hold scalars only: lists are joined to text, means rounded to 8 digits.
 """
 
 import pandas as pd
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from guardlake import functions as C
@@ -12,6 +13,7 @@ from guardlake.operators import aggregates, compliance, conversations, dedup, gu
 from guardlake.operators import regeneration, registry, scanning, scoring, telemetry, validation
 from guardlake.plans import fixtures as fx
 from guardlake.schemas import CACHED_ENDPOINTS, DIM_COLUMNS, DIMENSIONS, LOW_CONFIDENCE, SCORE_FIELD, TOO_HARMFUL_BELOW
+from guardlake.session import scratch_folder
 from guardlake.sources import decode, encode, sinks
 
 AS_OF = "2024-12-31 00:00:00"
@@ -151,6 +153,12 @@ def request_validation(spark, sf):
             "raw": F.when(K % 2 == 0, "x"),
             "data": F.when(K % 3 == 0, "{}"),
             "session": F.when(K % 17 != 0, "s"),
+            "mode": F.when(K % 6 == 0, "fast").when(K % 6 == 1, "deep"),
+            "domain": F.when(K % 7 == 0, "hr").when(K % 7 == 1, "code").otherwise(""),
+            "usecase": F.when(K % 8 == 0, "poetry").otherwise("chatbot"),
+            "framework_asked": F.when(K % 9 == 0, "sox").when(K % 9 == 1, "dpdp"),
+            "frameworks_asked": F.when(K % 10 == 0, F.array(F.lit("ai_act"), F.lit("iso"))),
+            "long_content": F.repeat(F.lit("x"), (K % 3) * 25_000 + (K % 2)),
             "content": F.when(K % 4 == 0, "  \t").otherwise("text"),
         }
     )
@@ -161,6 +169,9 @@ def request_validation(spark, sf):
         "tool_error": validation.tool_call_rules("tool", "tool_params"),
         "result_error": validation.tool_result_rules("tool", "raw", "data"),
         "continue_error": validation.continue_rules("session", "content"),
+        "option_error": validation.evaluation_option_rules(),
+        "framework_name_error": validation.framework_name_rules("framework_asked", "frameworks_asked"),
+        "compliance_error": validation.compliance_content_rules("long_content"),
     }
     for name, rules in checks.items():
         rows = validation.annotate(rows, rules).withColumnRenamed("error_code", name).drop("error_message")
@@ -319,7 +330,7 @@ def agent_guard_params(spark, sf):
     parts = []
     for mode in ("log_only", "block", "suggest_fix", "auto_fix"):
         out = policy.guard_calls(
-            fx.agent_calls(spark, sf), mode, thresholds={"block_below": 4.0}, result_col="params"
+            fx.calls_with_texts(spark, sf), mode, thresholds={"block_below": 4.0}, result_col="result"
         )
         parts.append(
             out.select(
@@ -329,6 +340,36 @@ def agent_guard_params(spark, sf):
     return _union(parts)
 
 
+def agent_guard_scan(spark, sf):
+    """Findings in the results that guarded calls pass on."""
+    guarded_calls = policy.guard_calls(fx.calls_with_texts(spark, sf), "block", thresholds={"block_below": 4.0}, result_col="result")
+    return policy.scan_results(guarded_calls).select(
+        "call_id", "scan_format", "pii_found", "attack_type", "recommended_action", F.col("risk_level").alias("result_risk")
+    )
+
+
+def agent_policy_table(spark, sf):
+    """Verdicts by thresholds that come as a table, a row per tool seen in the events."""
+    tool = F.col("tool_name")
+    tools = fx.read(spark, sf, "events").groupBy(F.col("event_type").alias("tool_name")).agg(F.count(F.lit(1)).alias("calls"))
+    limits = tools.where(tool.isin("purchase", "signup", "click")).select(
+        "tool_name",
+        F.when(tool == "purchase", 6.0).when(tool == "click", 3.0).alias("block_below"),
+        F.when(tool == "purchase", 8.0).when(tool == "signup", 9.5).alias("flag_below"),
+        F.lit(None).cast("array<struct<dim:string,min:double>>").alias("dimension_minimums"),
+    )
+    out = policy.agent_policy(fx.agent_calls(spark, sf), "block", {"block_below": 4.0, "flag_below": 7.0}, limits)
+    return out.select("call_id", "blocked", "flagged", "allowed", "halted")
+
+
+def observed_policy(spark, sf):
+    """Counts of verdicts, taken while the calls are written elsewhere."""
+    seen = Observation("policy")
+    out = policy.agent_policy(fx.agent_calls(spark, sf), "log_only", {"block_below": 2.5, "flag_below": 6.5})
+    policy.observe(out, seen).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([seen.get], "rows bigint, blocked bigint, flagged bigint, allowed bigint")
+
+
 # --- agent sessions --------------------------------------------------------
 
 
@@ -483,7 +524,9 @@ def tool_profiles(spark, sf):
 def tool_call_assessment(spark, sf):
     calls = fx.agent_calls(spark, sf).withColumn("domain", F.when(F.col("k") % 2 == 0, "finance").otherwise("general"))
     out = registry.assess_tool_calls(calls.drop("decision"), fx.event_tool_registry(spark, sf))
-    return out.select("call_id", joined("pii_hits").alias("pii_hits"), "high_stakes", "block_below", "flag_below", "decision")
+    return out.select(
+        "call_id", joined("proxy_hits").alias("proxy_hits"), joined("pii_hits").alias("pii_hits"), "high_stakes", "block_below", "flag_below", "decision"
+    )
 
 
 def registry_page(spark, sf):
@@ -999,6 +1042,35 @@ def decode_compliance_results(spark, sf):
     )
 
 
+def decode_compliance_issues(spark, sf):
+    """Issues written as JSON and read back, one row each."""
+    issue = F.struct(F.col("issue_id").alias("id"), "severity", "dimension", "remediation_deadline_days")
+    body = found_issues(spark, sf).groupBy("doc_id", "framework").agg(
+        F.to_json(F.struct(F.first("framework").alias("framework"), F.array_sort(F.collect_list(issue)).alias("issues"))).alias("json")
+    )
+    out = decode.decode_compliance(body.drop("framework"), "json")
+    return decode.explode_issues(out, "doc_id", "framework").select(
+        "doc_id", "framework", F.col("id").alias("issue_id"), "severity", "dimension", "remediation_deadline_days"
+    )
+
+
+def json_log(spark, sf):
+    """Calls written as JSON lines with some lines cut short, read back, and the good ones written and read as JSON."""
+    folder = scratch_folder(spark, "json-log")
+    line = F.to_json(F.struct("call_id", "decision", F.col("score").cast("double").alias("score")))
+    cut = F.when(F.col("call_id") % 10 == 3, F.substring(line, 1, 12)).otherwise(line)
+    sinks.append_lines(fx.agent_calls(spark, sf).select(cut.alias("line")), f"{folder}/lines")
+    schema = "call_id BIGINT, decision STRING, score DOUBLE"
+    rows = decode.read_json_log(spark, f"{folder}/lines", schema)
+    bad = F.col("_corrupt_record").isNotNull()
+    sinks.append_json(rows.where(~bad).drop("_corrupt_record"), f"{folder}/good")
+    good = decode.read_json_log(spark, f"{folder}/good", schema).drop("_corrupt_record")
+    broken = decode.read_text_log(spark, f"{folder}/lines").where(~F.col("value").endswith("}"))
+    return good.unionByName(
+        broken.select(F.lit(None).cast("bigint").alias("call_id"), F.col("value").alias("decision"), F.lit(None).cast("double").alias("score"))
+    )
+
+
 def decode_regenerations(spark, sf):
     history = regeneration.iteration_history(fx.candidates(spark, sf), "conv_id", 8.0, max_iterations=3)
     body = history.groupBy("conv_id").agg(
@@ -1073,9 +1145,9 @@ def llm_guard(spark, sf):
 
 
 def encode_requests(spark, sf):
-    rows = fx.agent_calls(spark, sf).select(
+    rows = fx.calls_with_texts(spark, sf).select(
         "call_id",
-        F.concat(F.lit("content "), F.col("call_id").cast("string")).alias("content"),
+        F.col("opening").alias("content"),
         F.when(F.col("k") % 3 == 0, "deep").when(F.col("k") % 3 == 1, "").alias("mode"),
         F.when(F.col("k") % 5 == 0, F.array().cast("array<string>")).alias("dimensions"),
         F.when(F.col("k") % 2 == 0, F.lit(False)).alias("include_issues"),
@@ -1091,9 +1163,9 @@ def encode_tool_calls(spark, sf):
 
 
 def encode_compliance(spark, sf):
-    rows = fx.agent_calls(spark, sf).select(
+    rows = fx.calls_with_texts(spark, sf).select(
         "call_id",
-        F.lit("some content").alias("content"),
+        F.col("opening").alias("content"),
         F.when(F.col("k") % 2 == 0, "dpdp").alias("framework"),
         F.array(F.lit("ai_act"), F.lit("gdpr")).alias("frameworks"),
         F.when(F.col("k") % 4 == 0, F.lit(False)).alias("strict_mode"),
@@ -1104,22 +1176,22 @@ def encode_compliance(spark, sf):
 def encode_endpoints(spark, sf):
     """Bodies of the remaining endpoints for every call."""
     K = F.col("k")
-    calls = fx.agent_calls(spark, sf)
+    calls = fx.calls_with_texts(spark, sf)
     number = F.col("call_id").cast("string")
     bodies = {
         "safe-regenerate": {
-            "content": F.concat(F.lit("text "), number),
+            "content": F.col("opening"),
             "max_regenerations": K % 5,
             "regeneration_model": F.when(K % 2 == 0, "external"),
             "policy_hint": F.when(K % 3 == 0, '{"tone":"calm"}'),
         },
-        "safe-regenerate/continue": {"session_id": number, "regenerated_content": F.lit("better")},
+        "safe-regenerate/continue": {"session_id": number, "regenerated_content": F.col("opening")},
         "agent/tool-result": {
             "tool_name": F.col("tool_name"),
             "tool_result": F.concat(F.lit('{"data":'), F.col("params"), F.lit("}")),
             "checks": F.when(K % 2 == 0, F.array(F.lit("pii"))),
         },
-        "agent/prompt-injection": {"content": F.lit("hello"), "content_source": F.when(K % 2 == 0, "user_input").otherwise("")},
+        "agent/prompt-injection": {"content": F.col("opening"), "content_source": F.when(K % 2 == 0, "user_input").otherwise("")},
         "agent/registry/tools": {
             "tool_name": F.col("tool_name"),
             "risk_level": F.lit("high"),
@@ -1192,6 +1264,9 @@ BATCH = (
     agent_policy_check,
     agent_session_policy,
     agent_guard_params,
+    agent_guard_scan,
+    agent_policy_table,
+    observed_policy,
     agent_mode,
     agent_accepted_prefix,
     agent_accepted_no_block,
@@ -1254,6 +1329,8 @@ BATCH = (
     decode_plan_steps,
     decode_tool_profiles,
     decode_compliance_results,
+    decode_compliance_issues,
+    json_log,
     decode_regenerations,
     extracted_answers,
     token_usage,
