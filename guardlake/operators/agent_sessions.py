@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from guardlake.functions import format_score
 from guardlake.operators.ordered import CHUNK, ordered_columns
 from guardlake.schemas import DIM_COLUMNS, DIMENSIONS
-from guardlake.session import ensure_checkpoint_dir
 
 SESSION = ["session_id"]
 ORDER = ["ts", "call_id"]
@@ -84,12 +83,8 @@ def reject_reason(n, critical_at, expired, max_calls, block_after_critical):
 
 
 def close_sessions(calls, as_of, *, chunk_rows=None, **limits):
-    """Final summary of every session over its accepted calls, with status and closing time.
-
-    The attempts feed three aggregates, so they are checkpointed first.
-    """
-    ensure_checkpoint_dir(calls.sparkSession)
-    attempts = accept_calls(calls, chunk_rows=chunk_rows, **limits).checkpoint()
+    """Final summary of every session over its accepted calls, with status and closing time."""
+    attempts = accept_calls(calls, chunk_rows=chunk_rows, **limits)
     return risk_summary(
         attempts.where("accepted"), as_of, status=session_status(attempts), chunk_rows=chunk_rows
     )

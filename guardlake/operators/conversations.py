@@ -37,20 +37,33 @@ def pair_turns(df, key, order, *, role_col="role", input_role="user", output_rol
     """Pair each input turn with the turn after it when that is an output turn.
 
     ``carry`` lists the columns brought over as ``out_<name>``.  Input turns
-    without an output keep null.
+    without an output keep null.  Only keys, order and role go through the ordered
+    windows; what is carried, texts as a rule, is joined by key and place.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    lead = {"_next_role": role_col}
-    following = ordered_columns(
-        df, keys, order, chunk_rows=chunk_rows, lead={**lead, "_next": F.struct(*carry)}
+    at = [order] if isinstance(order, str) else list(order)
+    lead = {"_next_role": role_col, "_next": F.struct(*at)}
+    places = ordered_columns(df.select(*keys, *at, role_col), keys, at, chunk_rows=chunk_rows, lead=lead)
+    places = places.where((F.col(role_col) == input_role) & (F.col("_next_role") == output_role)).select(
+        *[F.col(c).alias(f"_of_{c}") for c in (*keys, *at)], *[F.col(f"_next.{c}").alias(f"_then_{c}") for c in at], F.lit(True).alias("_answered")
     )
-    answered = F.col("_next_role") == output_role
-    return (
-        following.where(F.col(role_col) == input_role)
-        .withColumns({f"out_{c}": F.when(answered, F.col("_next")[c]) for c in carry})
-        .withColumn("answered", F.coalesce(answered, F.lit(False)))
-        .drop("_next_role", "_next")
+    outputs = df.where(F.col(role_col) == output_role).select(
+        *[F.col(c).alias(f"_out_{c}") for c in (*keys, *at)], *[F.col(c).alias(f"out_{c}") for c in carry]
     )
+    rows = df.where(F.col(role_col) == input_role)
+    rows = rows.join(places, _all_equal([(c, f"_of_{c}") for c in (*keys, *at)]), "left")
+    rows = rows.join(
+        outputs, _all_equal([*((c, f"_out_{c}") for c in keys), *((f"_then_{c}", f"_out_{c}") for c in at)]) & F.col("_answered"), "left"
+    )
+    return rows.select(*df.columns, *[f"out_{c}" for c in carry], F.coalesce("_answered", F.lit(False)).alias("answered"))
+
+
+def _all_equal(pairs):
+    same = None
+    for a, b in pairs:
+        part = F.col(a).eqNullSafe(F.col(b))
+        same = part if same is None else same & part
+    return same
 
 
 def since_reset(df, resets, key, ts="ts", reset_ts="reset_at", *, chunk_rows=None):

@@ -260,20 +260,32 @@ def guardrail_pairs(spark, sf):
 def guard_turn_policies(spark, sf):
     pairs = turn_pairs(spark, sf).where("answered")
     limits = {"privacy": 4.0, "fairness": 3.0}
-    parts = []
-    for mode, options in (
-        ("BLOCK", {}),
-        ("LOG_ONLY", {}),
-        ("CUSTOM", {"custom": F.when(F.col("turn") % 2 == 0, F.lit(""))}),
-        ("REGENERATE", {"regenerated": F.lit("rewritten")}),
-    ):
-        out = policy.guard_turns(pairs, None, limits, policy=mode, **options)
-        parts.append(
-            out.select(
-                F.lit(mode).alias("policy"), "conv_id", "turn", "blocked", "message", F.length("result").alias("result_chars")
-            )
-        )
-    return _union(parts)
+    options = {
+        "BLOCK": {},
+        "LOG_ONLY": {},
+        "CUSTOM": {"custom": F.when(F.col("turn") % 2 == 0, F.lit(""))},
+        "REGENERATE": {"regenerated": F.lit("rewritten")},
+    }
+    variants = {m: lambda df, m=m, o=o: policy.guard_turns(df, None, limits, policy=m, **o) for m, o in options.items()}
+    out = side_by_side(pairs, variants, ["blocked", "message", "result"])
+    return out.select(
+        F.col("variant").alias("policy"), "conv_id", "turn", "blocked", "message", F.length("result").alias("result_chars")
+    )
+
+
+def side_by_side(df, variants, fields):
+    """``df`` once per variant, with the fields the variant's function adds; read in one pass.
+
+    ``variants`` maps a name to a function from frame to frame that keeps rows as they are.
+    """
+    kept, out = df.columns, df
+    for i, add in enumerate(variants.values()):
+        out = add(out).withColumnsRenamed({c: f"_{i}_{c}" for c in fields})
+    entries = [
+        F.struct(F.lit(name).alias("variant"), *[F.col(f"_{i}_{c}").alias(c) for c in fields])
+        for i, name in enumerate(variants)
+    ]
+    return out.select(*kept, F.inline(F.array(*entries)))
 
 
 def _union(parts):
@@ -286,22 +298,13 @@ def _union(parts):
 def policy_enforce(spark, sf):
     calls = fx.agent_calls(spark, sf)
     rewrite = F.when(F.col("k") % 2 == 0, F.concat(F.lit("rewrite "), F.col("call_id").cast("string"))).otherwise("")
-    parts = []
-    for mode in ("LOG_ONLY", "BLOCK", "REGENERATE", "CUSTOM"):
-        out = policy.enforce_policy(calls, mode, THRESHOLDS, custom=rewrite, regenerated=rewrite)
-        parts.append(
-            out.select(
-                F.lit(mode).alias("mode"),
-                "call_id",
-                "passed",
-                joined("failed_dimensions").alias("failed"),
-                "blocked",
-                "message",
-                "target_score",
-                "replacement",
-            )
-        )
-    return _union(parts)
+    variants = {
+        mode: lambda df, mode=mode: policy.enforce_policy(df, mode, THRESHOLDS, custom=rewrite, regenerated=rewrite)
+        for mode in ("LOG_ONLY", "BLOCK", "REGENERATE", "CUSTOM")
+    }
+    fields = ["passed", "failed_dimensions", "blocked", "message", "target_score", "replacement"]
+    out = side_by_side(calls, variants, fields).withColumn("failed", joined("failed_dimensions"))
+    return out.select(F.col("variant").alias("mode"), "call_id", "failed", *[f for f in fields if f != "failed_dimensions"])
 
 
 def agent_policy_check(spark, sf):
@@ -327,17 +330,13 @@ def agent_session_policy(spark, sf):
 
 
 def agent_guard_params(spark, sf):
-    parts = []
-    for mode in ("log_only", "block", "suggest_fix", "auto_fix"):
-        out = policy.guard_calls(
-            fx.calls_with_texts(spark, sf), mode, thresholds={"block_below": 4.0}, result_col="result"
-        )
-        parts.append(
-            out.select(
-                F.lit(mode).alias("policy"), "call_id", "blocked", "swapped", "executed", "effective_params", "scan_format"
-            )
-        )
-    return _union(parts)
+    variants = {
+        mode: lambda df, mode=mode: policy.guard_calls(df, mode, thresholds={"block_below": 4.0}, result_col="result")
+        for mode in ("log_only", "block", "suggest_fix", "auto_fix")
+    }
+    fields = ["blocked", "swapped", "executed", "effective_params", "scan_format"]
+    out = side_by_side(fx.calls_with_texts(spark, sf), variants, fields)
+    return out.select(F.col("variant").alias("policy"), "call_id", *fields)
 
 
 def agent_guard_scan(spark, sf):
