@@ -264,8 +264,9 @@ def _pattern(name, description, severity, first_seen):
     )
 
 
-def _patterns(as_of):
+def _patterns(as_of, score_word):
     """Array of the patterns found, in the order they are tested."""
+    # The wording of the descriptions, but for ``score_word``.
     pii, calls = F.col("pii_calls"), F.col("calls")
     repeated = F.when(
         pii >= 3,
@@ -280,7 +281,7 @@ def _patterns(as_of):
         (calls >= 3) & (F.col("drops") >= 3),
         _pattern(
             "escalating_risk_scores",
-            F.concat(F.lit(f"{SCORE_WORD} dropped in "), F.col("drops"), F.lit(" consecutive calls")),
+            F.concat(F.lit(f"{score_word} dropped in "), F.col("drops"), F.lit(" consecutive calls")),
             "high",
             F.col("second_ts"),
         ),
@@ -333,12 +334,13 @@ def _patterns(as_of):
     )
 
 
-def risk_summary(calls, as_of, *, status=None, chunk_rows=None):
+def risk_summary(calls, as_of, *, status=None, chunk_rows=None, score_word=SCORE_WORD):
     """One row per session: counts, current risk, trend, dimension means,
     patterns, exposure, credits, duration.
 
     ``as_of`` (a timestamp column or literal) stands for the time of asking.
     ``status`` is the result of :func:`session_status`; without it sessions are active.
+    ``score_word`` is what pattern texts call the score.
     """
     as_of = (F.lit(as_of) if not hasattr(as_of, "alias") else as_of).cast("timestamp_ntz")
     exposure = (
@@ -377,7 +379,7 @@ def risk_summary(calls, as_of, *, status=None, chunk_rows=None):
         F.coalesce(F.col("recent_sum") / F.nullif(F.col("recent_n"), F.lit(0)), F.lit(0.0)).alias("current_risk_score"),
         _trend().alias("risk_trend"),
         *averages,
-        _patterns(as_of).alias("patterns"),
+        _patterns(as_of, score_word).alias("patterns"),
         F.coalesce(
             "exposure",
             F.array().cast("array<struct<framework:string,violations:bigint,warnings:bigint,risk_tier:string>>"),
@@ -389,9 +391,9 @@ def risk_summary(calls, as_of, *, status=None, chunk_rows=None):
     )
 
 
-def detect_patterns(calls, as_of, *, chunk_rows=None):
+def detect_patterns(calls, as_of, *, chunk_rows=None, score_word=SCORE_WORD):
     """One row per session and pattern, ``ordinal`` counting from 0."""
-    found = risk_summary(calls, as_of, chunk_rows=chunk_rows)
+    found = risk_summary(calls, as_of, chunk_rows=chunk_rows, score_word=score_word)
     return found.select(*SESSION, F.posexplode("patterns").alias("ordinal", "p")).select(*SESSION, "ordinal", "p.*")
 
 

@@ -47,6 +47,7 @@ def plan_verdict(steps, *, plan_col="plan_id", max_steps=MAX_PLAN_STEPS):
     all_blocked = F.col("blocked_steps") == F.col("steps")
     any_blocked = F.col("blocked_steps") > 0
     n, k = F.col("steps").cast("string"), F.col("blocked_steps")
+    # The wording of the summary and the names of the decisions.
     summary = (
         F.when(all_blocked, F.concat(F.lit("All "), n, F.lit(" steps are blocked.")))
         .when(

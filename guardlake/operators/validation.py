@@ -1,4 +1,7 @@
-"""Validation rules: rows are marked or split off, never failed."""
+"""Validation rules: rows are marked or split off, never failed.
+
+The wording of the messages is a fixed value where callers are known to read it.
+"""
 
 from dataclasses import dataclass
 

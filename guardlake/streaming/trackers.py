@@ -17,7 +17,12 @@ from guardlake.schemas import CACHE_TTL_SECONDS, DEFAULT_THRESHOLD, REGENERATION
 
 
 def stream_conversation_metrics(turns, key="conv_id", order="turn", *, threshold=DEFAULT_THRESHOLD, deep_every=5):
-    """Running metrics per conversation and the depth its next turn needs (update or complete mode)."""
+    """Running metrics per conversation and the depth its next turn needs (update or complete mode).
+
+    Turns marked as not ``recorded``, input checks, do not count.
+    """
+    if "recorded" in turns.columns:
+        turns = turns.where("recorded")
     out = turns.groupBy(key).agg(
         F.count(F.lit(1)).alias("turn_count"),
         F.avg("score").alias("average_score"),
