@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 from guardlake.llm.hashing import PrefixHash, blocks, groups, mix, utf8
-from guardlake.llm.routing import counts, in_batches, packed
+from guardlake.llm.routing import counts, from_bytes, in_batches, packed
 from guardlake.llm.spans import SCHEMA, covered, without
 
 #: Gear values of the bytes; a position is a candidate for a cut if the top CUT_BITS of its hash are zero.
@@ -123,7 +123,7 @@ def remove_repeats(docs, shortest_run=64, doc_id="doc_id", text="text"):
         )
 
     def decide(key, table):
-        d1, d2, ids = ([np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("d1", "<u8"), ("d2", "<u8"), ("ids", "<i8")))
+        d1, d2, ids = ([from_bytes(x, t) for x in table.column(c).to_pylist()] for c, t in (("d1", "<u8"), ("d2", "<u8"), ("ids", "<i8")))
         sizes = np.array([len(x) for x in d1])
         later = later_than_first((np.concatenate(d1), np.concatenate(d2)), np.concatenate(ids))
         ends = np.cumsum(sizes)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from guardlake.llm.chunk_dedup import later_than_first
 from guardlake.llm.hashing import PrefixHash, blocks, groups, mix, ranges, utf8
-from guardlake.llm.routing import counts, in_batches, packed
+from guardlake.llm.routing import as_bytes, counts, from_bytes, in_batches, packed
 from guardlake.llm.spans import SCHEMA, covered, without
 from pyspark.sql import functions as F
 
@@ -304,7 +304,7 @@ def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY
         return pa.Table.from_pydict(rows_of(NEW, key, rows), sent_schema)
 
     def joined(table, column, dtype):
-        parts = [np.frombuffer(x, dtype) for x in table.column(column).to_pylist()]
+        parts = [from_bytes(x, dtype) for x in table.column(column).to_pylist()]
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
     def answered(table, sizes, found):
@@ -340,7 +340,7 @@ def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY
         for a, b in zip(edges, np.append(edges[1:], len(bucket))):
             some = slice(a, b)
             arrays = [keys[some], behind[some], batch.id[runs[some]], batch.number[runs[some]].astype("<i8")]
-            rows.append((int(bucket[a]), [*(x.tobytes() for x in arrays), batch.data[body[upto[a] : upto[b]]].tobytes()]))
+            rows.append((int(bucket[a]), [*(as_bytes(x) for x in arrays), batch.data[body[upto[a] : upto[b]]].tobytes()]))
         first = pa.Table.from_pydict(rows_of(SORT, key, rows), sent_schema)
         _, _, _, h1, h2, ids = batch.singles(answer)
         rows = [(b, [*x, b"", b""]) for b, x in packed((h1 % np.uint64(buckets)).astype(np.int64), [h1, h2, ids])]
