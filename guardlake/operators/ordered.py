@@ -25,6 +25,7 @@ CHUNK = "_chunk"
 ROWS_PER_CHUNK = 1 << 20
 ROWS_PER_CHUNK_CONF = "spark.guardlake.rowsPerChunk"
 EVENING = 4
+# Binary search over at most 2^21 - 1 split rows of a key, which 2^41 rows would fill at the default size.
 _STEPS = [1 << k for k in range(20, -1, -1)]
 
 
