@@ -357,7 +357,8 @@ def link_documents(docs, width=5, percent=80, doc_id="doc_id", text="text"):
     near.join(weights, "part").write.parquet(f"{folder}/near")
     near = spark.read.parquet(f"{folder}/near")
     body = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    texts = near.join(body, near.rep.eqNullSafe(body.doc_id)).select("node", "part", "tiles", "text")
+    # Both sides by id at every size; Spark would broadcast the nodes of a small corpus and not those of a large one.
+    texts = near.join(body.hint("merge"), near.rep.eqNullSafe(body.doc_id)).select("node", "part", "tiles", "text")
     texts.withColumn("main", F.col("node") == F.col("part")).write.parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
