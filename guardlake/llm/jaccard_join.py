@@ -401,4 +401,4 @@ def drop_near_copies(docs, width=5, percent=80, doc_id="doc_id", text="text"):
     """
     linked = link_documents(docs, width, percent, doc_id, text)
     stays = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id that stays")).distinct()
-    return docs.join(stays, F.col(f"`{doc_id}`").eqNullSafe(F.col("`id that stays`")), "left_semi")
+    return docs.hint("merge").join(stays, F.col(f"`{doc_id}`").eqNullSafe(F.col("`id that stays`")), "left_semi")
