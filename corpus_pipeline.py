@@ -7,6 +7,7 @@ returns token ids.
 import public_tokenizers
 from guardlake.llm import bpe, exact_dedup, jaccard_join, mixing, quality
 from guardlake.llm.queries import QUALITY_LIMIT, SOURCE_WEIGHTS
+from guardlake.llm.tables import written
 from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
@@ -58,6 +59,5 @@ def run(spark, sf_dir):
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs.write.parquet(f"{folder}/{k}")
-            docs = spark.read.parquet(f"{folder}/{k}")
+            docs = written(docs, f"{folder}/{k}")
     return docs

@@ -1,5 +1,6 @@
 """Connected components of a table of edges."""
 
+from guardlake.llm.tables import written
 from pyspark.sql import functions as F
 
 
@@ -12,11 +13,9 @@ def components(edges, folder):
     no group of its own task.  Each round is written to ``folder``, a new folder
     that all executors share.  Edges from a node to itself are left out.
     """
-    spark = edges.sparkSession
 
     def saved(frame, name):
-        frame.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+        return written(frame, f"{folder}/{name}")
 
     def digest(frame):
         return tuple(frame.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

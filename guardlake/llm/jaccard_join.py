@@ -7,6 +7,7 @@ import pyarrow as pa
 from guardlake.llm.components import components
 from guardlake.llm.hashing import PrefixHash, blocks, groups, mix, ranges, utf8
 from guardlake.llm.routing import counts, packed
+from guardlake.llm.tables import written
 from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
@@ -341,9 +342,7 @@ def link_documents(docs, width=5, percent=80, doc_id="doc_id", text="text"):
     spark = docs.sparkSession
     threshold = Threshold(percent)
     folder = scratch_folder(spark, "jaccard-join")
-    sets_path = f"{folder}/sets"
-    document_sets(docs, width, doc_id, text).write.parquet(sets_path)
-    sets = spark.read.parquet(sets_path)
+    sets = written(document_sets(docs, width, doc_id, text), f"{folder}/sets")
     reps = (
         sets.where("n_shingles > 0")
         .groupBy("node")
@@ -354,19 +353,15 @@ def link_documents(docs, width=5, percent=80, doc_id="doc_id", text="text"):
     weights = near.groupBy("part").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("shingles"))
     tiles = F.ceil(F.greatest(F.col("sets") / TILE_SETS, F.col("shingles") / TILE_SHINGLES)).cast("int")
     weights = weights.select("part", tiles.alias("tiles"))
-    near.join(weights, "part").write.parquet(f"{folder}/near")
-    near = spark.read.parquet(f"{folder}/near")
+    near = written(near.join(weights, "part"), f"{folder}/near")
     body = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # Both sides by id at every size; Spark would broadcast the nodes of a small corpus and not those of a large one.
     texts = near.join(body.hint("merge"), near.rep.eqNullSafe(body.doc_id)).select("node", "part", "tiles", "text")
-    texts.withColumn("main", F.col("node") == F.col("part")).write.parquet(f"{folder}/texts")
-    texts = spark.read.parquet(f"{folder}/texts")
+    texts = written(texts.withColumn("main", F.col("node") == F.col("part")), f"{folder}/texts")
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     every = F.sequence(F.lit(0), F.col("tiles") - 1)
     dealt = texts.withColumn("tile", F.explode(F.when(F.col("main"), every).otherwise(F.array(tile))))
-    links = dealt.groupBy("part", "tile").applyInArrow(_tile(width, threshold), LINKS)
-    links.write.parquet(f"{folder}/links")
-    links = spark.read.parquet(f"{folder}/links")
+    links = written(dealt.groupBy("part", "tile").applyInArrow(_tile(width, threshold), LINKS), f"{folder}/links")
     # Sets of components with several tiles: those outside the first set's class meet every tile.
     several = texts.where("tiles > 1").join(
         links.groupBy(F.col("a").alias("node")).agg(F.max("leads").alias("leads")), "node"
@@ -378,8 +373,7 @@ def link_documents(docs, width=5, percent=80, doc_id="doc_id", text="text"):
     right = several.join(stray_tiles, "part").withColumn("stray_tile", F.explode(F.sequence(F.lit(0), F.col("stray_tiles") - 1)))
     right = right.select("part", tile.alias("tile"), "stray_tile", "node", "text", F.col("leads").alias("main"))
     crossed = left.union(right).groupBy("part", "tile", "stray_tile").applyInArrow(_tile(width, threshold), LINKS)
-    crossed.write.parquet(f"{folder}/crossed")
-    all_links = links.union(spark.read.parquet(f"{folder}/crossed")).select("a", "b")
+    all_links = links.union(written(crossed, f"{folder}/crossed")).select("a", "b")
     classes = components(all_links, f"{folder}/classes")
     named = classes.join(reps, "node").select("node", "label", "rep")
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
