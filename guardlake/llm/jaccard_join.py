@@ -8,6 +8,7 @@ from guardlake.llm.components import components
 from guardlake.llm.hashing import PrefixHash, blocks, groups, mix, ranges, utf8
 from guardlake.llm.routing import counts, packed
 from guardlake.llm.tables import written
+from guardlake.operators.lookups import lookup_join
 from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
@@ -378,14 +379,13 @@ def link_documents(docs, width=5, percent=80, doc_id="doc_id", text="text"):
     named = classes.join(reps, "node").select("node", "label", "rep")
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_node = named.join(smallest, "label").select(F.col("node").alias("of"), "component_id")
-    single = reps.select(F.col("node").alias("single"), "rep")
-    resolved = single.join(by_node, F.col("single") == F.col("of"), "left").select(
-        F.col("single").alias("of"), F.coalesce("component_id", "rep").alias("component_id")
-    )
-    return (
-        sets.join(resolved, (F.col("node") == F.col("of")) & (F.col("n_shingles") > 0), "left")
-        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    resolved = reps.join(by_node, F.col("node") == F.col("of"), "left").select(
+        "node", F.coalesce("component_id", "rep").alias("component_id")
     )
+    # Equal sets may be very many; their rows are spread by id.
+    classed = lookup_join(sets, resolved, ["node"], ["doc_id"])
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return classed.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
 def drop_near_copies(docs, width=5, percent=80, doc_id="doc_id", text="text"):
