@@ -229,10 +229,14 @@ class Batch:
     def singles(self, answer):
         """Strings of the runs that are dealt out one by one: position, id, and the number of each among distinct ones."""
         runs = self.lead[answer == SINGLE]
-        position = ranges(self.start[runs], self.number[runs])
-        ids = np.repeat(self.id[runs], self.number[runs])
-        ends = position + self.length
-        h1, h2 = PrefixHash(self.data).of(position, ends), PrefixHash(self.data, 1).of(position, ends)
+        number = self.number[runs]
+        position = ranges(self.start[runs], number)
+        ids = np.repeat(self.id[runs], number)
+        # Hashes of the runs' own bytes only; a batch has few such runs, as a rule none.
+        lengths = number - 1 + self.length
+        body = self.data[ranges(self.start[runs], lengths)]
+        begin = ranges(np.cumsum(lengths) - lengths, number)
+        h1, h2 = (PrefixHash(body, which).of(begin, begin + self.length) for which in (0, 1))
         order = np.lexsort((position, ids, h2, h1))
         h1, h2 = h1[order], h2[order]
         new = np.ones(len(order), bool)
