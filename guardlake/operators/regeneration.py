@@ -1,8 +1,11 @@
 """Choosing among rewrites of a content.  Texts are supplied, never generated."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from guardlake.functions.dimensions import failed_dimensions
 from guardlake.operators.ordered import ordered_columns
 from guardlake.schemas import REGENERATION_TTL_MINUTES, TOO_HARMFUL_BELOW
 
@@ -16,19 +19,47 @@ def checked_limit(max_iterations):
     return int(max_iterations)
 
 
-def iteration_history(candidates, key, target, *, max_iterations=5):
-    """Iterations that were run, with ``thresholds_met`` and ``improvement_from_previous``.
+def _meets(target, others=None):
+    """Columns: whether an iteration meets its thresholds, and the dimensions that fail.
+
+    ``target`` is the least score, or a mapping as the service takes it, such as
+    ``{"overall": {"score": 8.0, "confidence": 0.5}, "safety": {"score": 7.0}}``; a number
+    stands for its score.  A missing confidence fails, an unscored dimension passes.
+    """
+    if not isinstance(target, Mapping):
+        target = {"overall": target}
+    limits = {name: low if isinstance(low, Mapping) else {"score": low} for name, low in target.items()}
+    overall = limits.pop("overall", {})
+    for name, low in [("overall", overall), *limits.items()]:
+        unknown = set(low) - ({"score", "confidence"} if name == "overall" else {"score"})
+        if unknown:
+            raise ValueError(f"no threshold on {', '.join(sorted(unknown))} of {name}")
+    met = F.col("score") >= overall["score"] if "score" in overall else F.lit(True)
+    if "confidence" in overall:
+        met &= F.coalesce(F.col("confidence") >= overall["confidence"], F.lit(False))
+    failing = failed_dimensions({name: low["score"] for name, low in limits.items() if "score" in low}, others=others)
+    if limits:
+        met &= F.size(failing) == 0
+    return met, failing
+
+
+def iteration_history(candidates, key, target, *, max_iterations=5, others=None):
+    """Iterations that were run, with ``thresholds_met``, ``failing_dimensions`` and ``improvement_from_previous``.
+
+    ``target`` is the least score or a mapping of thresholds, see :func:`_meets`;
+    ``others`` names the map with dimensions beyond the eight columns.
 
     ``candidates`` has one row per ``(key, iteration)`` counting from 1.  Rows
     past the limit are dropped first, so a key keeps at most five.
     """
     rows = candidates.where(F.col("iteration").between(1, checked_limit(max_iterations)))
     w = Window.partitionBy(key).orderBy("iteration")
-    met = F.col("score") >= target
+    met, failing = _meets(target, others)
     done = F.max(met).over(w.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumns(
         {
             "thresholds_met": met,
+            "failing_dimensions": failing,
             "improvement_from_previous": F.col("score") - F.lag("score").over(w),
             "_done": F.coalesce(done, F.lit(False)),
         }
@@ -36,10 +67,10 @@ def iteration_history(candidates, key, target, *, max_iterations=5):
     return rows.where(~F.col("_done")).drop("_done")
 
 
-def select_best(candidates, key, target, *, max_iterations=5, carry=("text",), harmful_below=None):
+def select_best(candidates, key, target, *, max_iterations=5, carry=("text",), harmful_below=None, others=None):
     """One row per key: status, best iteration and its score and ``carry`` columns, iterations left.
 
-    Passed when an iteration reaches ``target``; else the limit was reached, or
+    Passed when an iteration meets ``target``, as in :func:`iteration_history`; else the limit was reached, or
     another rewrite is awaited.  The best iteration has the highest score, the
     earlier one on a tie; none is considered after the first that passes.  With
     ``harmful_below`` a content whose first iteration, its own evaluation, scores less
@@ -47,7 +78,7 @@ def select_best(candidates, key, target, *, max_iterations=5, carry=("text",), h
     """
     limit = checked_limit(max_iterations)
     rows = candidates.where(F.col("iteration").between(1, limit))
-    met = F.col("score") >= target
+    met, _ = _meets(target, others)
     payload = F.struct("iteration", "score", *carry)
     out = rows.groupBy(key).agg(
         F.max("iteration").alias("_last"),
@@ -78,9 +109,9 @@ def select_best(candidates, key, target, *, max_iterations=5, carry=("text",), h
     )
 
 
-def attach_best(df, candidates, key, target, *, max_iterations=1, text_col="text"):
+def attach_best(df, candidates, key, target, *, max_iterations=1, text_col="text", others=None):
     """Add ``regenerated``, the best rewrite supplied for each row's key, null where there is none."""
-    best = select_best(candidates, key, target, max_iterations=max_iterations, carry=(text_col,))
+    best = select_best(candidates, key, target, max_iterations=max_iterations, carry=(text_col,), others=others)
     return df.join(best.select(key, F.col(f"best_{text_col}").alias("regenerated")), key, "left")
 
 
