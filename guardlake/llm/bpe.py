@@ -103,8 +103,9 @@ class Bpe:
             self.ranks[self.vocab[a], self.vocab[b]] = (rank, merged)
         if any(made.get(x, -1) >= rank for pair, (rank, _) in self.ranks.items() for x in pair):
             raise ValueError("merges are not in the order in which they were learned")
+        self.decoder = (spec.get("decoder") or {}).get("type")
         self.library, self.by_library = Tokenizer.from_str(text), by_library
-        self.known, self.before = {}, {}
+        self.known, self.before, self.raw = {}, {}, {}
 
     def symbols(self, word):
         """Ids of the single letters of a pre-token."""
@@ -221,9 +222,28 @@ class Bpe:
         upto = np.concatenate([[0], np.cumsum(per_word)])
         return out, upto[bounds]
 
+    def shown(self, ids):
+        """What the file's decoder makes of a run of ids, for :meth:`joined`.
+
+        Without a decoder the library joins the tokens by blanks; the byte-level
+        one maps letters back to bytes and leaves a token with other letters as it is.
+        """
+        if self.decoder is None:
+            return " ".join([self.names[i] for i in ids])
+        if self.decoder != "ByteLevel":
+            raise ValueError(f"decoder {self.decoder} is not supported")
+        if not self.raw:
+            back = {c: b for b, c in enumerate(LETTERS)}
+            self.raw = {i: bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for i, t in self.names.items()}
+        return b"".join([self.raw[i] for i in ids])
+
+    def joined(self, parts):
+        """Text of consecutive runs; bytes that are no UTF-8 are replaced, as the library does."""
+        return " ".join(parts) if self.decoder is None else b"".join(parts).decode("utf-8", "replace")
+
     def decode(self, ids):
-        """Text of the ids; without a decoder in the file the library joins the tokens by blanks."""
-        return " ".join([self.names[i] for i in ids])
+        """Text of the ids."""
+        return self.joined([self.shown(ids)])
 
 
 _READ = {}
@@ -307,9 +327,9 @@ def digest_documents(docs, tokenizer_path, doc_id="doc_id", text="text"):
             for a, b in slices(texts):
                 words, numbers, bounds = model.cut(texts[a:b])
                 ids = model.ids_of(words)
-                # Both sides join by a blank, so a text's is the join of its words'.
+                # A text's numerals and what it shows are the join of its words'.
                 numerals = [" ".join(map(str, x)) for x in ids]
-                shown = [model.decode(x) for x in ids]
+                shown = [model.shown(x) for x in ids]
                 lengths = np.concatenate([[0], np.cumsum(np.array([len(x) for x in ids], np.int64)[numbers])]) if ids else np.zeros(1, np.int64)
                 counts = np.diff(lengths[bounds])
                 numbers = numbers.tolist()
@@ -317,7 +337,7 @@ def digest_documents(docs, tokenizer_path, doc_id="doc_id", text="text"):
                 for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                     own = numbers[s:e]
                     first.append(hashlib.sha256(" ".join([numerals[k] for k in own]).encode()).hexdigest())
-                    second.append(hashlib.sha256(" ".join([shown[k] for k in own]).encode()).hexdigest())
+                    second.append(hashlib.sha256(model.joined([shown[k] for k in own]).encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(counts, pa.int64()), pa.array(first), pa.array(second)],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
