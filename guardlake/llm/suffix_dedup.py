@@ -4,7 +4,7 @@ Sorting every suffix of a corpus would move many times its bytes, so the suffixe
 are first placed: among the LENGTH bytes at any position the substring of K bytes
 with the smallest hash is its anchor, and neighbouring positions with one anchor
 form a run.  Equal strings have equal anchors equally far behind them.  A run
-whose anchor and bytes (128 bits of hash) occurred in an earlier document is repeated
+whose anchor and bytes (64 bits of hash each) occurred in an earlier document is repeated
 as a whole, and an anchor that occurs in one surrounding only repeats nothing.
 What is left, anchors in several surroundings, is decided by the suffix sort.
 """
