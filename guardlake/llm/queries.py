@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, one per operator, over whole tables."""
 
 import public_tokenizers
-from guardlake.llm import bpe, chunk_dedup, exact_dedup, jaccard_join, mixing, quality, suffix_dedup, token_counts, token_files, topk
+from guardlake.llm import bpe, chunk_dedup, exact_dedup, jaccard_join, mixing, periodic_runs, quality, suffix_dedup, token_counts, token_files, topk
 from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
@@ -86,7 +86,46 @@ def op10_quality(spark, sf_dir):
     )
 
 
-QUERIES = [op1_suffix_dedup, op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op8_jaccard_join, op9_chunk_dedup, op10_quality]
+def stretched(docs, doc_id="doc_id", text="text"):
+    """(doc_id, text): of the ids whose crc32 ends in 0, the text's later words repeat a stretch of it.
+
+    With h the crc32, g = h div 10 and n words, word a + i becomes word a + i % p,
+    where a = g % n and p = 1 + (n - a) div (3 + g % 8).  Other texts, and those
+    of null ids, stay as they are.
+    """
+    h = F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary"))
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.filter(F.split(F.when(chosen, body).otherwise(""), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    frame = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), body.alias("text"), F.floor(h / 10).alias("g"), chosen.alias("chosen"), words.alias("words"))
+    frame = frame.withColumn("n", F.size("words").cast("long")).withColumn("chosen", F.col("chosen") & (F.col("n") > 0))
+    frame = frame.withColumn("a", F.when(F.col("chosen"), F.col("g") % F.col("n"))).withColumn(
+        "p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    )
+    a, p, n = (F.col(c).cast("int") for c in "apn")
+    head = F.slice("words", F.lit(1), a)
+    tail = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    made = F.array_join(F.slice(F.concat(head, tail), F.lit(1), n), " ")
+    return frame.select("doc_id", F.when(F.col("chosen"), made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    marked = periodic_runs.collapse_runs(stretched(_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return marked.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = [op1_suffix_dedup, op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op8_jaccard_join, op9_chunk_dedup, op10_quality, op11_periodic_runs]
 
 
 def queries():
