@@ -53,3 +53,47 @@ SELECT doc_id, source, c.copy::INTEGER AS copy,
        {_uniform("'42-place:' || coalesce(doc_id::VARCHAR, '') || ':' || c.copy")} AS place, text
 FROM counted, range(1, copies + 1) c(copy)
 """
+
+# Percentages of the rules, as plain numbers.
+_GRAMS = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
+
+
+def _covered(n):
+    """Words of w in n-grams that occur twice or more (two), and in those that occurred earlier (again)."""
+    frame = f"(PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"""
+g{n} AS (
+  SELECT doc_id, sum(chars) FILTER (again) AS chars{n}, count(*) FILTER (two) AS words{n} FROM (
+    SELECT doc_id, chars, bool_or(g IS NOT NULL AND k > 1) OVER {frame} AS again,
+           bool_or(g IS NOT NULL AND c > 1) OVER {frame} AS two
+    FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS k, count(*) OVER (PARTITION BY doc_id, g) AS c
+      FROM (SELECT doc_id, i, chars, CASE WHEN i + {n - 1} <= len(ws) THEN array_to_string(ws[i : i + {n - 1}], ' ') END AS g FROM w)
+    )
+  ) GROUP BY doc_id
+)"""
+
+
+_SPACE = r"[\x20\x09-\x0D]"
+SQL["op12_repetition_rules"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+w AS (SELECT doc_id, ws, i, length(ws[i]) AS chars FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM s)),
+{",".join(_covered(n) for n in _GRAMS)},
+l AS (
+  SELECT doc_id, count(*) AS n_dup_lines, sum(length(bare)) AS dup_line_chars FROM (
+    SELECT doc_id, regexp_replace(line, '{_SPACE}+', '', 'g') AS bare,
+           row_number() OVER (PARTITION BY doc_id, line ORDER BY j) AS k
+    FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS j FROM d)
+  ) WHERE k > 1 AND bare <> '' GROUP BY doc_id
+), m AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(words8, 0) AS n_repeat_words, coalesce(dup_line_chars, 0)::BIGINT AS dup_line_chars,
+         {", ".join(f"coalesce(chars{n}, 0)::BIGINT AS dup_{n}gram_chars" for n in _GRAMS)}
+  FROM s LEFT JOIN l USING (doc_id) {" ".join(f"LEFT JOIN g{n} USING (doc_id)" for n in _GRAMS)}
+), b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND 100 * dup_line_chars <= 20 * word_chars
+  {" ".join(f"AND 100 * dup_{n}gram_chars <= {p} * word_chars" for n, p in _GRAMS.items())} AS kept
+FROM b
+"""
