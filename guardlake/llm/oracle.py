@@ -97,3 +97,22 @@ SELECT *, NOT base_failed AND 100 * dup_line_chars <= 20 * word_chars
   {" ".join(f"AND 100 * dup_{n}gram_chars <= {p} * word_chars" for n, p in _GRAMS.items())} AS kept
 FROM b
 """
+
+_TERMS = f"regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+SQL["op13_ranked_search"] = f"""
+WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+l AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM l),
+w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM f, g GROUP BY term
+), q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term) JOIN l USING (doc_id), g GROUP BY item_id, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""

@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, one per operator, over whole tables."""
 
 import public_tokenizers
-from guardlake.llm import bpe, chunk_dedup, exact_dedup, jaccard_join, mixing, periodic_runs, quality, repetition_rules, suffix_dedup, token_counts, token_files, topk
+from guardlake.llm import best_positions, bpe, chunk_dedup, exact_dedup, jaccard_join, mixing, periodic_runs, quality, repetition_rules, suffix_dedup, token_counts, token_files, topk
 from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
@@ -129,7 +129,11 @@ def op12_repetition_rules(spark, sf_dir):
     return repetition_rules.repetition(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_suffix_dedup, op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op8_jaccard_join, op9_chunk_dedup, op10_quality, op11_periodic_runs, op12_repetition_rules]
+def op13_ranked_search(spark, sf_dir):
+    return best_positions.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+QUERIES = [op1_suffix_dedup, op2_topk_search, op3_bpe, op4_token_files, op5_token_counts, op6_exact_dedup, op7_mix_sources, op8_jaccard_join, op9_chunk_dedup, op10_quality, op11_periodic_runs, op12_repetition_rules, op13_ranked_search]
 
 
 def queries():

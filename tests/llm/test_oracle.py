@@ -21,7 +21,7 @@ def test_same_as_sql(spark, sf_dir, name):
 
 def test_one_query_per_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
