@@ -4,17 +4,23 @@ An answer stored at time t serves equal requests up to and including t + TTL; a
 hit does not extend it.  So the requests of a key that are really sent form a
 greedy chain: each is the first request later than the one before it plus TTL.
 In a log of request times the answer counts as stored when it was requested.
+
+A key's time is cut into chunks of ``SPAN`` times to live.  What a chunk makes of
+an answer stored before it is a step function, worked out chunk by chunk; a scan
+over the chunks of a key joins them, and hands each chunk the answer it begins
+with.  Requests are then answered chunk by chunk.
 """
 
-from pyspark.sql import Window
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from guardlake.functions.bands import let
-from guardlake.operators.ordered import CHUNK, ordered_columns, rows_per_chunk, split_points, with_chunks
+from guardlake.operators import reuse_chain as chain
 from guardlake.schemas import CACHE_TTL_SECONDS
-from guardlake.session import ensure_checkpoint_dir
 
-WALK_BLOCK = 512
+#: Times to live in a chunk of a key's time; an answer reaches into the next chunk at most.
+SPAN = 16
+GROUP = ["_g", "_chunk"]
 
 
 def request_key(endpoint, body):
@@ -47,138 +53,113 @@ def flag(condition):
     return F.coalesce(F.col(condition) if isinstance(condition, str) else condition, F.lit(False))
 
 
-def dedup_requests(
-    df, key_cols, *, ts="ts", id_col="request_id", ttl_seconds=CACHE_TTL_SECONDS, chunk_rows=None, cacheable=None, ok=None
-):
+def key_digest(keys):
+    """Binary digest of the key columns, null-safe."""
+    fields = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    return F.unhex(F.sha2(F.to_json(fields), 256))
+
+
+def dedup_requests(df, key_cols, *, ts="ts", id_col="request_id", ttl_seconds=CACHE_TTL_SECONDS, cacheable=None, ok=None):
     """Add ``answer_id`` (the request whose answer serves this one) and ``from_cache``.
 
     Only ``cacheable`` requests are served from stored answers, and only those that
-    went ``ok`` store theirs (both conditions; all requests by default).  Other rows
-    pass through as sent; a failed one has no answer.
-
-    Requests after a pause longer than TTL are sent for certain; that settles
-    nearly all keys.  What is left, long runs without such a pause, is walked per
-    run for ordinary keys.  Keys with more than about ``chunk_rows`` requests are
-    solved by pointer doubling instead, in a number of joins logarithmic in the
-    chain length, so that no task has to hold a whole key.  Looking for such keys
-    runs one small job when the frame is built.
+    went ``ok`` store theirs (both conditions; all requests by default).  Other rows,
+    and rows without a time, pass through as sent; a failed one has no answer.  Of
+    several requests at one time the one of smallest id is sent.
+
+    One plan for every key: digest, time, id and flag of the requests are dealt out
+    by key and chunk of time, twice; the chunks' step functions by key; the answers
+    join the rows by digest, time and id.  A task holds a chunk of a key, 16
+    bytes a request, whatever share of the rows the key has.
     """
-    keys, ttl = list(key_cols), int(ttl_seconds) * 1_000_000
-    size = rows_per_chunk(df, chunk_rows)
-    known = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    ttl = int(ttl_seconds) * 1_000_000
+    width = SPAN * ttl or 1
     good = flag(ok)
-    base = known.where(flag(cacheable) & good)
-    order = ["_t", id_col]
-    splits = split_points(base, keys, order, size)
-
-    # Runs are only used for keys in one chunk, where plain windows see all rows.
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    rows = with_chunks(base, keys, order, splits, cut_flag="_cut")
-    rows = rows.withColumn("_prev", F.lag("_t").over(w))
-    rows = rows.withColumn("_starts", F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > ttl))
-    rows = rows.withColumn("_run", F.last(F.when(F.col("_starts"), F.col("_t")), ignorenulls=True).over(w))
-
-    late = rows.where(~F.col("_cut") & (F.col("_t") - F.col("_run") > ttl)).select(*keys, "_run", "_t")
-    sent = _walk(late, keys, ttl)
-    sent = sent.withColumn("_id", F.lit(None).cast(dict(df.dtypes)[id_col]))
-    if not splits.isEmpty():
-        times = with_chunks(base, keys, order, splits, "inner").groupBy(*keys, "_t").agg(F.min(id_col).alias("_id"))
-        sent = sent.unionByName(_double(times, keys, ttl, size))
-    sent = sent.select(
-        *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
-        F.col("_t").alias("_sent"),
-        F.col("_id").alias("_sent_id"),
-    )
-
-    match = F.col("_t") == F.col("_sent")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_s{i}"))
-    rows = rows.join(sent, match, "left").drop(*[f"_s{i}" for i in range(len(keys))])
-    # Of several requests at one time the first is sent.
-    first_then = F.col("_prev").isNull() | (F.col("_prev") < F.col("_t"))
-    miss = F.when(F.col("_cut"), F.col(id_col).eqNullSafe(F.col("_sent_id"))).otherwise(
-        F.col("_starts") | (F.col("_sent").isNotNull() & first_then)
-    )
-    rows = rows.withColumn("_miss", miss).drop("_prev", "_run", "_starts", "_cut", "_sent", "_sent_id")
-    answer = F.struct(F.col("_t").alias("at"), F.col(id_col).alias("id"))
-    if ok is None:
-        out = ordered_columns(rows, keys, order, splits=splits, last_value={"_answer": (F.col("_miss"), answer)})
-    else:
-        failed = known.where(flag(cacheable) & ~good).withColumns({CHUNK: F.lit(None).cast("int"), "_miss": F.lit(False)})
-        everything = rows.drop(CHUNK).unionByName(failed.drop(CHUNK))
-        out = ordered_columns(everything, keys, order, chunk_rows=size, last_value={"_answer": (F.col("_miss"), answer)})
-    served = F.coalesce(F.col("_t") <= F.col("_answer.at") + ttl, F.lit(False))
-    out = out.withColumns({"answer_id": F.when(served, F.col("_answer.id")), "from_cache": served & ~F.col("_miss")})
-    out = out.drop("_t", "_miss", "_answer")
-    if cacheable is None:
-        return out
-    sent_on = known.where(~flag(cacheable)).withColumns({"answer_id": F.when(good, F.col(id_col)), "from_cache": F.lit(False)})
-    return out.unionByName(sent_on.drop("_t"))
-
-
-def _walk(open_rows, keys, ttl):
-    """Sent requests inside each run, by one pass over its sorted distinct times.
-
-    Times are taken in blocks, and what a block sends is kept as one array, so that
-    appending never copies more than a block or the list of blocks.
-    """
-    runs = open_rows.groupBy(*keys, "_run").agg(F.array_sort(F.collect_set("_t")).alias("times"))
-    none = F.array().cast("array<bigint>")
-    starts = F.sequence(F.lit(1), F.size("times"), F.lit(WALK_BLOCK))
-
-    def step(state, t):
-        return F.when(
-            t > state["last"] + ttl,
-            F.struct(t.alias("last"), F.array_append(state["sent"], t).alias("sent")),
-        ).otherwise(state)
-
-    def block(state, first):
-        return let(
-            F.aggregate(F.slice("times", first, F.lit(WALK_BLOCK)), F.struct(state["last"].alias("last"), none.alias("sent")), step),
-            lambda done: F.struct(done["last"].alias("last"), F.array_append(state["sent"], done["sent"]).alias("sent")),
-        )
-
-    begin = F.struct(F.col("_run").alias("last"), F.array().cast("array<array<bigint>>").alias("sent"))
-    walked = F.aggregate(starts, begin, block, lambda state: F.flatten(state["sent"]))
-    return runs.select(*keys, F.explode(walked).alias("_t"))
-
-
-def _double(times, keys, ttl, size):
-    """Sent requests of cut keys by pointer doubling; ``times`` has each distinct request time with its first id."""
-    ensure_checkpoint_dir(times.sparkSession)
-    times = times.checkpoint()
-    nodes = times.select(*keys, "_t")
-    points = nodes.select(*keys, F.col("_t").alias("at"), F.lit(0).alias("probe"), F.col("_t").alias("src"))
-    probes = nodes.select(*keys, (F.col("_t") + ttl).alias("at"), F.lit(1).alias("probe"), F.col("_t").alias("src"))
-    merged = ordered_columns(
-        points.unionByName(probes),
-        keys,
-        ["at", "probe"],
-        chunk_rows=size,
-        next_value={"to": (F.col("probe") == 0, "at")},
+    known = df.withColumns({"_us": F.unix_micros(F.col(ts).cast("timestamp")), "_g": key_digest(key_cols)})
+    asked = flag(cacheable) & F.col("_us").isNotNull()
+    chunk = F.col("_us") - F.pmod("_us", F.lit(width))
+    narrow = known.where(asked).select("_g", chunk.alias("_chunk"), "_us", F.col(id_col).alias("_id"), good.alias("_ok"))
+    id_type = dict(df.dtypes)[id_col]
+    begins = _entries(narrow.where("_ok").drop("_ok"), ttl, width, id_type)
+    everything = narrow.withColumn("_given", F.lit(False)).unionByName(
+        begins.withColumns({"_ok": F.lit(False), "_given": F.lit(True)})
     )
-    jump = merged.where((F.col("probe") == 1) & F.col("to").isNotNull()).select(*keys, F.col("src").alias("_t"), "to")
-    levels = [jump.checkpoint()]
-    while True:
-        last = levels[-1]
-        nxt = last.select(*[F.col(k).alias(f"_j{i}") for i, k in enumerate(keys)], F.col("_t").alias("_via"), F.col("to").alias("_far"))
-        cond = F.col("to") == F.col("_via")
-        for i, k in enumerate(keys):
-            cond = cond & F.col(k).eqNullSafe(F.col(f"_j{i}"))
-        twice = last.join(nxt, cond).select(*keys, "_t", F.col("_far").alias("to")).checkpoint()
-        if twice.isEmpty():
-            break
-        levels.append(twice)
-    reached = nodes.groupBy(*keys).agg(F.min("_t").alias("_t"))
-    for level in reversed(levels):
-        hop = level.select(*[F.col(k).alias(f"_j{i}") for i, k in enumerate(keys)], F.col("_t").alias("_via"), "to")
-        cond = F.col("_t") == F.col("_via")
-        for i, k in enumerate(keys):
-            cond = cond & F.col(k).eqNullSafe(F.col(f"_j{i}"))
-        further = reached.join(hop, cond).select(*keys, F.col("to").alias("_t"))
-        reached = reached.unionByName(further).checkpoint()
-    same = F.col("_t") == F.col("_via")
-    hit = reached.distinct().select(*[F.col(k).alias(f"_j{i}") for i, k in enumerate(keys)], F.col("_t").alias("_via"))
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_j{i}"))
-    return times.join(hit, same, "left_semi")
+    answered = _in_groups(everything).mapInArrow(_answer(ttl), f"_g binary, _us long, _id {id_type}, _answer {id_type}, _hit boolean")
+    answered = answered.select(F.col("_g").alias("_ag"), F.col("_us").alias("_at"), F.col("_id").alias("_aid"), "_answer", "_hit")
+    match = (F.col("_g") == F.col("_ag")) & (F.col("_us") == F.col("_at")) & F.col(id_col).eqNullSafe(F.col("_aid"))
+    out = known.join(answered, match, "left")
+    return out.withColumns(
+        {
+            "answer_id": F.when(asked, F.col("_answer")).when(good, F.col(id_col)),
+            "from_cache": asked & F.coalesce("_hit", F.lit(False)),
+        }
+    ).drop("_us", "_g", "_ag", "_at", "_aid", "_answer", "_hit")
+
+
+def _in_groups(rows):
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "_us", "_id")
+
+
+def _slices(batches, ttl):
+    """(table of whole groups, where they begin, times), a line of 64 bits at a time."""
+    for table in chain.complete_groups(batches, GROUP):
+        starts, us = chain.group_starts(table, GROUP), np.asarray(table.column("_us"))
+        for a, b in chain.bounded(starts, us, ttl):
+            low, high = starts[a], starts[b] if b < len(starts) else len(us)
+            yield table.slice(low, high - low).combine_chunks(), starts[a:b] - low, us[low:high]
+
+
+def _entries(stored, ttl, width, id_type):
+    """(digest, chunk, time, id) of the answer with which a chunk begins, where there is one."""
+
+    def steps(batches):
+        for table, starts, us in _slices(batches, ttl):
+            group, threshold, sent = chain.exits(starts, us, ttl)
+            bounds = np.searchsorted(group, np.arange(len(starts) + 1)).astype(np.int32)
+            nothing = sent < 0
+            row = pa.array(np.maximum(sent, 0), mask=nothing)
+            columns = [table.column(c).take(pa.array(starts)).combine_chunks() for c in GROUP]
+            for values in (pa.array(threshold), pa.array(us[np.maximum(sent, 0)], mask=nothing), table.column("_id").combine_chunks().take(row)):
+                columns.append(pa.ListArray.from_arrays(pa.array(bounds), values))
+            yield pa.RecordBatch.from_arrays(columns, [*GROUP, "upto", "sent_us", "sent_id"])
+
+    def scan(batches):
+        digest, at, expiry, least = None, None, None, np.iinfo(np.int64).min
+        for batch in batches:
+            found = []
+            for g, chunk, upto, sent_us, sent_id in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+                # An answer from an earlier chunk than the one before has run out.
+                entering = expiry if g == digest and at == chunk else least
+                step = np.searchsorted(np.array(upto, np.int64), max(entering, least), "right") - 1
+                digest, at, expiry = g, chunk + width, None
+                if sent_us[step] is not None and sent_us[step] + ttl >= at:
+                    expiry = sent_us[step] + ttl
+                    found.append((g, at, sent_us[step], sent_id[step]))
+                expiry = least if expiry is None else expiry
+            columns = list(zip(*found)) or [[]] * 4
+            ids = batch.schema.field("sent_id").type.value_type
+            arrays = [pa.array(list(c), t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64(), ids))]
+            yield pa.RecordBatch.from_arrays(arrays, [*GROUP, "_us", "_id"])
+
+    functions = _in_groups(stored).mapInArrow(steps, f"_g binary, _chunk long, upto array<long>, sent_us array<long>, sent_id array<{id_type}>")
+    by_key = functions.repartition("_g").sortWithinPartitions(*GROUP)
+    return by_key.mapInArrow(scan, f"_g binary, _chunk long, _us long, _id {id_type}")
+
+
+def _answer(ttl):
+    def answer(batches):
+        for table, starts, us in _slices(batches, ttl):
+            given, stores = (np.asarray(table.column(c).combine_chunks().fill_null(False)) for c in ("_given", "_ok"))
+            serving, sent = chain.answers(starts, us, stores, given, ttl)
+            ids = table.column("_id").combine_chunks()
+            answer = ids.take(pa.array(np.maximum(serving, 0), mask=serving < 0))
+            # Rows alike in key, time and id are one request.
+            again = np.zeros(len(us), bool)
+            codes = np.asarray(ids.dictionary_encode().indices.fill_null(-1))
+            again[1:] = (us[1:] == us[:-1]) & (codes[1:] == codes[:-1])
+            again[starts] = False
+            keep = pa.array(np.flatnonzero(~given & ~again))
+            columns = [table.column("_g").combine_chunks(), pa.array(us), ids, answer, pa.array((serving >= 0) & ~sent)]
+            yield pa.RecordBatch.from_arrays([c.take(keep) for c in columns], ["_g", "_us", "_id", "_answer", "_hit"])
+
+    return answer

@@ -6,6 +6,7 @@ and divided last, so Spark and another engine give the same doubles.
 
 from pyspark.sql import functions as F
 
+from guardlake.operators.lookups import lookup_join
 from guardlake.operators.ordered import ordered_columns
 from guardlake.operators.scoring import SIGNALS, with_signals
 from guardlake.schemas import DIM_COLUMNS, VIOLATION
@@ -28,8 +29,9 @@ def agent_calls(spark, sf_dir):
 def calls_with_texts(spark, sf_dir):
     """Calls with the opening of a conversation as ``opening``, and with a ``result``: that text, JSON, or none."""
     eid = F.col("call_id")
-    calls = agent_calls(spark, sf_dir).withColumn("quoted", F.col("k") % 50)
-    calls = calls.join(opening_texts(spark, sf_dir), "quoted", "left").withColumn("opening", F.coalesce("opening", F.lit("no such text")))
+    openings = opening_texts(spark, sf_dir)
+    calls = lookup_join(quoting(agent_calls(spark, sf_dir), openings, "call_id"), openings, ["quoted"], ["call_id"])
+    calls = calls.withColumn("opening", F.coalesce("opening", F.lit("no such text")))
     result = F.when(eid % 3 == 0, F.col("params")).when(eid % 3 == 1, F.col("opening"))
     return calls.withColumn("result", result).drop("quoted")
 
@@ -179,10 +181,16 @@ def event_tool_registry(spark, sf_dir):
 
 
 def opening_texts(spark, sf_dir):
-    """First turn of the conversations that requests quote."""
-    turns = read(spark, sf_dir, "conversations").where(F.col("conv_id") < 50)
+    """First turn of every conversation."""
     first = F.min_by("text", "turn").alias("opening")
-    return turns.groupBy(F.col("conv_id").cast("int").alias("quoted")).agg(first)
+    return read(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("quoted")).agg(first)
+
+
+def quoting(rows, openings, event_id):
+    """Add ``quoted``, a conversation of the whole table: the first one for a third of all rows, which is hot."""
+    size = openings.select((F.max("quoted") + 1).alias("_conversations"))  # one row
+    other = F.col(event_id) % F.col("_conversations")
+    return rows.join(F.broadcast(size)).withColumn("quoted", F.when(F.col("k") % 3 == 0, 0).otherwise(other)).drop("_conversations")
 
 
 def requests(spark, sf_dir):
@@ -197,7 +205,7 @@ def requests_from_events(events, openings):
     those of the nested object, where it does.
     """
     K, eid = F.col("k"), F.col("event_id")
-    quoted = events.withColumn("k", k()).withColumn("quoted", K % 50)
+    quoted = quoting(events.withColumn("k", k()), openings, "event_id")
     quoted = quoted.join(openings, "quoted", "left").withColumn("opening", F.coalesce("opening", F.lit("no such text")))
     content, mode = F.to_json(F.struct(F.col("opening").alias("content"))), F.lit('"mode":"basic"')
     inner = F.substring(content, 2, F.length(content) - 2)

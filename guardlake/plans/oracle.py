@@ -60,10 +60,11 @@ calls AS (
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
   count(*) OVER (PARTITION BY user_id) AS total
   FROM ev)"""
-OPENINGS = "openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations WHERE conv_id < 50 GROUP BY conv_id)"
+QUOTED = "CASE WHEN k % 3 = 0 THEN 0 ELSE {} % (SELECT max(conv_id) + 1 FROM conversations) END"
+OPENINGS = "openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations GROUP BY conv_id)"
 TEXT_CALLS = f"""{CALLS}, {OPENINGS},
 text_calls AS (SELECT *, CASE call_id % 3 WHEN 0 THEN params WHEN 1 THEN opening END AS result FROM (
-  SELECT calls.*, coalesce(opening, 'no such text') AS opening FROM calls LEFT JOIN openings ON quoted = k % 50))"""
+  SELECT calls.*, coalesce(opening, 'no such text') AS opening FROM calls LEFT JOIN openings ON quoted = {QUOTED.format("call_id")}))"""
 TURNS = f"""turns AS (
   SELECT conv_id, turn, role, text,
   ((length(text) * 7 + turn * 13 + conv_id * 5) % 101) / 10.0 AS score,
@@ -576,9 +577,9 @@ SELECT 'inc_' || call_id AS incident_id, 'threshold_breach' AS type, CASE WHEN l
 UNION ALL SELECT endpoint, (floor(duration_ms / 100.0) * 100.0)::DOUBLE, count(*), 'request.duration', 'histogram' FROM log GROUP BY ALL""",
     "request_errors": f"WITH {REQUESTS} SELECT endpoint, error_type, count(*) AS errors FROM log WHERE error_type IS NOT NULL GROUP BY ALL",
     "request_dedup": f"""WITH RECURSIVE {REQUESTS},
-openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations WHERE conv_id < 50 GROUP BY conv_id),
+openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations GROUP BY conv_id),
 keyed AS (SELECT request_id, ts, error_type IS NULL AS ok, endpoint IN ('eval', 'health') AS cacheable,
-  endpoint || ':' || (request_id % 5 = 0) || ':' || coalesce(opening, 'no such text') AS key FROM req LEFT JOIN openings ON quoted = k % 50),
+  endpoint || ':' || (request_id % 5 = 0) || ':' || coalesce(opening, 'no such text') AS key FROM req LEFT JOIN openings ON quoted = {QUOTED.format("request_id")}),
 stored AS (SELECT * FROM keyed WHERE ok AND cacheable),
 chain AS (
   SELECT key, min(ts) AS t FROM stored GROUP BY key
@@ -627,8 +628,8 @@ SELECT call_id, accepted, reject_reason, CASE WHEN NOT accepted THEN NULL WHEN n
   CAST(sum(duration_ms) AS BIGINT) AS duration_total FROM log GROUP BY ALL""",
     "stream_review_queue": f"""WITH {CALLS}, q AS ({each("SELECT call_id, '{d}' AS dimension, {c} AS score FROM calls WHERE {c} < 3.0", " UNION ALL ")})
 SELECT 'rev_' || substring(sha256(call_id || ':' || dimension), 1, 12) AS item_id, call_id AS source_key, dimension, score FROM q""",
-    "stream_request_first_seen": f"""WITH {REQUESTS}, openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations WHERE conv_id < 50 GROUP BY conv_id)
-SELECT DISTINCT endpoint, coalesce(opening, 'no such text') AS content, request_id % 5 = 0 AS b_first, CAST(1 AS BIGINT) AS let_through FROM req LEFT JOIN openings ON quoted = k % 50""",
+    "stream_request_first_seen": f"""WITH {REQUESTS}, openings AS (SELECT conv_id AS quoted, arg_min(text, turn) AS opening FROM conversations GROUP BY conv_id)
+SELECT DISTINCT endpoint, coalesce(opening, 'no such text') AS content, request_id % 5 = 0 AS b_first, CAST(1 AS BIGINT) AS let_through FROM req LEFT JOIN openings ON quoted = {QUOTED.format("request_id")}""",
 }
 SQL["stream_regenerations"] = f"""WITH {EVENTS}, l AS (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 15 MINUTE, TRUE) AS starts FROM ev),
 s AS (SELECT *, sum(starts::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS part FROM l),
