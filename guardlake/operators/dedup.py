@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from guardlake.functions.bands import let
 from guardlake.operators import reuse_chain as chain
 from guardlake.schemas import CACHE_TTL_SECONDS
 
@@ -33,16 +34,21 @@ def request_key(endpoint, body):
     body = F.col(body) if isinstance(body, str) else body
     typed = F.try_parse_json(body)
     kinds = F.when(F.schema_of_variant(typed).startswith("OBJECT"), typed.cast("map<string,variant>"))
-    raw = F.from_json(body, "map<string,string>")
+    types = F.transform_values(kinds, lambda _, v: F.coalesce(F.schema_of_variant(v), F.lit("VOID")) == "STRING")
+    parsed = F.struct(types.alias("texts"), F.from_json(body, "map<string,string>").alias("raw"))
 
-    def field(name):
+    def field(name, fields):
         # A text is told from a number or object that looks the same.
-        kind = F.coalesce(F.schema_of_variant(F.try_element_at(kinds, name)), F.lit("VOID"))
-        value = F.coalesce(F.try_element_at(raw, name), F.lit("null"))
-        return F.to_json(F.struct(name.alias("n"), (kind == "STRING").alias("t"), value.alias("v")))
+        value = F.coalesce(F.try_element_at(fields["raw"], name), F.lit("null"))
+        return F.to_json(F.struct(name.alias("n"), F.try_element_at(fields["texts"], name).alias("t"), value.alias("v")))
 
-    fields = F.array_join(F.transform(F.array_sort(F.map_keys(kinds)), field), ",")
-    canonical = F.coalesce(F.when(kinds.isNotNull(), F.concat(F.lit("{"), fields, F.lit("}"))), body, F.lit(""))
+    def listed(fields):
+        names = F.array_sort(F.map_keys(fields["texts"]))
+        every = F.array_join(F.transform(names, lambda name: field(name, fields)), ",")
+        return F.when(fields["texts"].isNotNull(), F.concat(F.lit("{"), every, F.lit("}")))
+
+    # Bound once; inside a lambda an expression is worked out anew for each field.
+    canonical = F.coalesce(let(parsed, listed), body, F.lit(""))
     return F.sha2(F.concat(endpoint, F.lit(":"), canonical), 256)
 
 
