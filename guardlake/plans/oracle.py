@@ -171,32 +171,32 @@ attempts AS (
 final AS (SELECT *, reject_reason IS NULL AS accepted FROM attempts)"""
 
 
-def _patterns():
+def _patterns(base=CALLS, calls="calls"):
     degrade = "\nUNION ALL\n".join(
         f"""SELECT session_id, 'dimension_degradation' AS pattern, 'medium' AS severity, half_ts AS first_seen,
   'Average {d} score dropped ' || {fixed('drop', 1)} || ' points over the session' AS description
   FROM (SELECT session_id, max(total) AS total, round(avg({c}) FILTER (n <= total // 2) - avg({c}) FILTER (n > total // 2), 9) AS drop,
-    max(ts) FILTER (n = total // 2 + 1) AS half_ts, max(CASE WHEN n = 1 THEN {c} END) AS first_value FROM calls GROUP BY session_id)
+    max(ts) FILTER (n = total // 2 + 1) AS half_ts, max(CASE WHEN n = 1 THEN {c} END) AS first_value FROM {calls} GROUP BY session_id)
   WHERE total >= 4 AND first_value IS NOT NULL AND drop >= 2.0"""
         for d, c in zip(DIMENSIONS, DIM_COLUMNS)
     )
-    return f"""{CALLS},
-lagged AS (SELECT *, lag(score) OVER (PARTITION BY session_id ORDER BY n) AS prev FROM calls),
-firsts AS (SELECT session_id, tool_name, min(n) AS b FROM calls WHERE decision = 'BLOCK' GROUP BY ALL)
+    return f"""{base},
+lagged AS (SELECT *, lag(score) OVER (PARTITION BY session_id ORDER BY n) AS prev FROM {calls}),
+firsts AS (SELECT session_id, tool_name, min(n) AS b FROM {calls} WHERE decision = 'BLOCK' GROUP BY ALL)
 SELECT session_id, 'repeated_pii_access' AS pattern, 'high' AS severity, min(ts) FILTER (len(pii_fields) > 0) AS first_seen,
   'Tool accessed PII fields in ' || count(*) FILTER (len(pii_fields) > 0) || ' of ' || count(*) || ' calls' AS description
-FROM calls GROUP BY session_id HAVING count(*) FILTER (len(pii_fields) > 0) >= 3
+FROM {calls} GROUP BY session_id HAVING count(*) FILTER (len(pii_fields) > 0) >= 3
 UNION ALL
 SELECT session_id, 'escalating_risk_scores', 'high', min(ts) FILTER (n = 2),
   'Score dropped in ' || count(*) FILTER (score < prev) || ' consecutive calls'
 FROM lagged GROUP BY session_id HAVING count(*) >= 3 AND count(*) FILTER (score < prev) >= 3
 UNION ALL
 SELECT c.session_id, 'blocked_retry', 'medium', min(c.ts), 'Tool "' || c.tool_name || '" was blocked and called again'
-FROM calls c JOIN firsts f ON c.session_id = f.session_id AND c.tool_name = f.tool_name AND c.n > f.b GROUP BY c.session_id, c.tool_name
+FROM {calls} c JOIN firsts f ON c.session_id = f.session_id AND c.tool_name = f.tool_name AND c.n > f.b GROUP BY c.session_id, c.tool_name
 UNION ALL
 SELECT session_id, 'compliance_accumulation', 'high', TIMESTAMP '{AS_OF}',
   count(DISTINCT v_framework || ':' || v_article) || ' distinct compliance violations accumulated across the session'
-FROM calls GROUP BY session_id HAVING count(DISTINCT v_framework || ':' || v_article) > 3
+FROM {calls} GROUP BY session_id HAVING count(DISTINCT v_framework || ':' || v_article) > 3
 UNION ALL
 {degrade}"""
 
@@ -638,6 +638,10 @@ m AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM ev)
 SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps, first_step_at, last_step_at FROM g CROSS JOIN m WHERE last_step_at + INTERVAL 15 MINUTE <= watermark"""
 SQL["regeneration_sessions"] = SQL["stream_regenerations"].split(" FROM g CROSS JOIN m")[0] + " FROM g"
 SQL["stream_request_dedup"] = SQL["request_dedup"]
+_KEPT = f"""{_accepted(40, 20 * 24 * 60, True)},
+kept AS (SELECT * REPLACE (row_number() OVER (PARTITION BY session_id ORDER BY n) AS n, count(*) OVER (PARTITION BY session_id) AS total) FROM final WHERE accepted)"""
+SQL["stream_agent_patterns"] = "WITH " + _patterns(_KEPT, "kept")
+SQL["stream_agent_summaries"] = f"SELECT * EXCLUDE (duration_seconds) FROM ({SQL['agent_closed_summary']})"
 SQL["encode_endpoints"] = f"""WITH {TEXT_CALLS}
 SELECT call_id, 'safe-regenerate' AS endpoint, '{{"content":' || to_json(opening)::VARCHAR || ',"max_regenerations":' || (k % 5) || CASE WHEN k % 2 = 0 THEN ',"regeneration_model":"external"' ELSE '' END ||
   CASE WHEN k % 3 = 0 THEN ',"policy_hint":{{"tone":"calm"}}' ELSE '' END || '}}' AS body FROM text_calls

@@ -7,7 +7,10 @@ from guardlake.plans import fixtures as fx
 from guardlake.schemas import CACHED_ENDPOINTS, EVENTS
 from guardlake.session import scratch_folder
 from guardlake.sources import sinks
-from guardlake.streaming import trackers
+from guardlake.streaming import live, trackers
+
+#: Microseconds of 2024-12-31, the time of asking.
+AS_OF_US = 1_735_603_200_000_000
 
 
 #: Stretches of time the event table is written in, and so the batches a stream sees at least.
@@ -41,29 +44,52 @@ def stream_session_metrics(spark, sf):
     """Running metrics and next depth per user, calls taken as turns."""
     folder = scratch_folder(spark, "session-metrics")
     turns = fx.calls_from_events(event_stream(spark, sf, folder)).withColumn("at", F.struct("ts", "call_id"))
-    live = trackers.stream_conversation_metrics(turns, "session_id", "at")
-    _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint", mode="update"))
+    running = trackers.stream_conversation_metrics(turns, "session_id", "at")
+    _run(trackers.write_batches(running, f"{folder}/out", f"{folder}/checkpoint", mode="update"))
     out = trackers.latest(spark, f"{folder}/out", ["session_id"])
     return out.withColumn("average_score", F.round("average_score", 8))
 
 
+def _live_sessions(spark, sf, name):
+    folder = scratch_folder(spark, name)
+    day = 24 * 60
+    sessions = live.stream_agent_sessions(
+        fx.calls_from_events(event_stream(spark, sf, folder)),
+        max_calls=40,
+        ttl_minutes=20 * day,
+        deep_every_n=7,
+        base_mode="basic",
+        forget_minutes=60 * day,
+        as_of=AS_OF_US,
+    )
+    _run(trackers.write_batches(sessions, f"{folder}/out", f"{folder}/checkpoint"))
+    return f"{folder}/out"
+
+
 def stream_agent_sessions(spark, sf):
     """Depth and acceptance of every call, live."""
-    folder = scratch_folder(spark, "agent-sessions")
-    tracker = trackers.AgentSessionTracker(
-        f"{folder}/state", f"{folder}/out", max_calls=40, ttl_minutes=20 * 24 * 60, deep_every_n=7, base_mode="basic"
-    )
-    calls = fx.calls_from_events(event_stream(spark, sf, folder))
-    _run(tracker.start(calls, f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/out").select("call_id", "accepted", "reject_reason", "mode")
+    out = live.session_calls(spark, _live_sessions(spark, sf, "agent-sessions"))
+    return out.select("call_id", "accepted", "reject_reason", "mode")
+
+
+def stream_agent_patterns(spark, sf):
+    """Patterns of every session over its accepted calls, live."""
+    out = live.session_summaries(spark, _live_sessions(spark, sf, "agent-patterns"))
+    return out.select("session_id", F.inline("patterns"))
+
+
+def stream_agent_summaries(spark, sf):
+    """Figures of every session over its accepted calls, live."""
+    out = live.session_summaries(spark, _live_sessions(spark, sf, "agent-summaries"))
+    return out.select("session_id", "status", "closed_at", "total_tool_calls", "risk_trend", F.round("total_credits", 6).alias("total_credits"))
 
 
 def stream_request_metrics(spark, sf):
     """Request metrics per five-minute window."""
     folder = scratch_folder(spark, "request-metrics")
     log = telemetry.request_log(fx.requests_from_events(event_stream(spark, sf, folder), fx.opening_texts(spark, sf)))
-    live = trackers.stream_request_metrics(log.withColumn("ts", F.col("ts").cast("timestamp")))
-    _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint", mode="update"))
+    running = trackers.stream_request_metrics(log.withColumn("ts", F.col("ts").cast("timestamp")))
+    _run(trackers.write_batches(running, f"{folder}/out", f"{folder}/checkpoint", mode="update"))
     out = trackers.latest(spark, f"{folder}/out", ["window_start", "endpoint"])
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
@@ -86,14 +112,14 @@ def stream_request_dedup(spark, sf):
     """Which stored answer serves each request, live and exact."""
     folder = scratch_folder(spark, "request-dedup")
     rows = fx.requests_from_events(event_stream(spark, sf, folder), fx.opening_texts(spark, sf))
-    tracker = trackers.RequestDedupTracker(
-        f"{folder}/state",
-        f"{folder}/out",
+    answered = live.stream_request_reuse(
+        rows.withColumn("key", dedup.request_key("endpoint", "body")),
+        ["key"],
         ttl_seconds=3600,
         cacheable=F.col("endpoint").isin(*CACHED_ENDPOINTS),
         ok=F.col("error_type").isNull(),
     )
-    _run(tracker.start(rows.withColumn("key", dedup.request_key("endpoint", "body")), f"{folder}/checkpoint"))
+    _run(trackers.write_batches(answered, f"{folder}/out", f"{folder}/checkpoint"))
     return spark.read.parquet(f"{folder}/out").select("request_id", "answer_id", "from_cache")
 
 
@@ -102,8 +128,8 @@ def stream_request_first_seen(spark, sf):
     folder = scratch_folder(spark, "request-first-seen")
     rows = fx.requests_from_events(event_stream(spark, sf, folder), fx.opening_texts(spark, sf))
     rows = rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("key", dedup.request_key("endpoint", "body"))
-    live = trackers.stream_dedup(rows, ["key"], ttl_seconds=1000 * 86_400)
-    _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint"))
+    running = trackers.stream_dedup(rows, ["key"], ttl_seconds=1000 * 86_400)
+    _run(trackers.write_batches(running, f"{folder}/out", f"{folder}/checkpoint"))
     return (
         spark.read.parquet(f"{folder}/out")
         .groupBy(
@@ -118,8 +144,8 @@ def stream_request_first_seen(spark, sf):
 def stream_regenerations(spark, sf):
     """Users' events as regeneration steps, split into sessions by silence."""
     folder = scratch_folder(spark, "regenerations")
-    live = trackers.stream_regeneration_sessions(fx.regeneration_steps(event_stream(spark, sf, folder)))
-    _run(trackers.write_batches(live, f"{folder}/out", f"{folder}/checkpoint"))
+    running = trackers.stream_regeneration_sessions(fx.regeneration_steps(event_stream(spark, sf, folder)))
+    _run(trackers.write_batches(running, f"{folder}/out", f"{folder}/checkpoint"))
     out = spark.read.parquet(f"{folder}/out").drop("batch_id")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_step_at", "last_step_at")})
 
@@ -127,6 +153,8 @@ def stream_regenerations(spark, sf):
 STREAMS = (
     stream_session_metrics,
     stream_agent_sessions,
+    stream_agent_patterns,
+    stream_agent_summaries,
     stream_request_metrics,
     stream_review_queue,
     stream_request_dedup,

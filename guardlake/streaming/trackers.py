@@ -1,19 +1,16 @@
 """Live trackers over streams.
 
 Running figures are streaming aggregates, which combine rows before they are
-shuffled, so a hot session does not burden one task.  Order-dependent session
-rules run per micro-batch with the batch operators on top of a small per-session
-state table.
+shuffled, so a hot session does not burden one task.  Order-dependent rules with
+state per key are in :mod:`guardlake.streaming.live`.
 """
 
 from pyspark.sql import functions as F
 
-from guardlake.operators.agent_sessions import ORDER, SESSION, depth_rule, is_critical, reject_reason, ttl_interval
 from guardlake.operators.conversations import mode_rule
-from guardlake.operators.dedup import dedup_requests, flag
-from guardlake.operators.ordered import ordered_columns, rows_per_chunk, split_points
 from guardlake.operators.regeneration import regeneration_sessions
 from guardlake.schemas import CACHE_TTL_SECONDS, DEFAULT_THRESHOLD, REGENERATION_TTL_MINUTES
+from guardlake.streaming.live import start_stateful
 
 
 def stream_conversation_metrics(turns, key="conv_id", order="turn", *, threshold=DEFAULT_THRESHOLD, deep_every=5):
@@ -42,7 +39,7 @@ def stream_dedup(requests, key_cols, ts="ts", *, ttl_seconds=CACHE_TTL_SECONDS):
 
     Approximates the exact chain: a key is let through again only in a batch that
     starts after the watermark passed its first sighting by the time to live.
-    :class:`RequestDedupTracker` is exact.
+    :func:`~guardlake.streaming.live.stream_request_reuse` is exact.
     """
     return requests.withWatermark(ts, f"{int(ttl_seconds)} seconds").dropDuplicatesWithinWatermark(list(key_cols))
 
@@ -78,13 +75,8 @@ def write_batches(stream, path, checkpoint, *, transform=None, mode="append", ob
             observer(batch.sparkSession.read.parquet(target), batch_id)
 
     options = trigger or {"availableNow": True}
-    return (
-        stream.writeStream.foreachBatch(store)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**options)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(store).outputMode(mode).option("checkpointLocation", checkpoint).trigger(**options)
+    return start_stateful(stream.sparkSession, writer.start)
 
 
 def latest(spark, path, keys):
@@ -100,181 +92,6 @@ def distinct_items(spark, path, id_col="item_id"):
     return rows.groupBy(id_col).agg(F.any_value(F.struct(*[c for c in rows.columns if c != id_col])).alias("r")).select(id_col, "r.*")
 
 
-class SlottedState:
-    """Small per-key table carried from batch to batch.
-
-    Batch n writes slot n mod 3 and reads that of batch n-1, so a replayed batch
-    finds its input unchanged and old versions take no further room.
-    """
-
-    def __init__(self, path, schema):
-        self.path, self.schema = path, schema
-
-    def read(self, spark, batch_id):
-        """State after a batch; empty before the first."""
-        if batch_id < 0:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(f"{self.path}/slot={batch_id % 3}")
-
-    def write(self, df, batch_id):
-        df.write.mode("overwrite").parquet(f"{self.path}/slot={batch_id % 3}")
-
-
-class RequestDedupTracker:
-    """Live request dedup with the exact time-to-live chain, batches taken in arrival order.
-
-    State holds each key's last sent request while its answer is still valid.
-    """
-
-    def __init__(
-        self, state_path, out_path, *, ttl_seconds=CACHE_TTL_SECONDS, ts="ts", id_col="request_id", id_type="bigint", cacheable=None, ok=None
-    ):
-        self.store = SlottedState(state_path, f"key string, sent_us bigint, sent_id {id_type}")
-        self.out_path, self.ttl, self.ts, self.id_col = out_path, int(ttl_seconds), ts, id_col
-        self.cacheable, self.ok = flag(cacheable), flag(ok)
-
-    def process(self, batch, batch_id):
-        """``batch`` needs a ``key`` column (see request_key)."""
-        prior = self.store.read(batch.sparkSession, batch_id - 1)
-        rows = batch.withColumn("_us", F.unix_micros(F.col(self.ts).cast("timestamp"))).join(prior, "key", "left")
-        served = self.cacheable & F.coalesce(F.col("_us") <= F.col("sent_us") + self.ttl * 1_000_000, F.lit(False))
-        hits = rows.where(served).withColumns({"answer_id": F.col("sent_id"), "from_cache": F.lit(True)})
-        fresh = dedup_requests(
-            rows.where(~served), ["key"], ts=self.ts, id_col=self.id_col, ttl_seconds=self.ttl, cacheable=self.cacheable, ok=self.ok
-        )
-        out = hits.unionByName(fresh)
-        target = f"{self.out_path}/batch_id={batch_id}"
-        out.drop("_us", "sent_us", "sent_id").write.mode("overwrite").parquet(target)
-        sent = (
-            batch.sparkSession.read.parquet(target)
-            .where(~F.col("from_cache") & self.cacheable & self.ok)
-            .groupBy("key")
-            .agg(F.max(F.struct(F.unix_micros(F.col(self.ts).cast("timestamp")).alias("us"), F.col(self.id_col).alias("id"))).alias("m"))
-            .select("key", F.col("m.us").alias("sent_us"), F.col("m.id").alias("sent_id"))
-        )
-        state = prior.join(sent.select("key"), "key", "left_anti").unionByName(sent)
-        newest = state.select(F.max("sent_us")).scalar()
-        self.store.write(state.where(F.col("sent_us") >= newest - self.ttl * 1_000_000), batch_id)
-
-    def start(self, requests, checkpoint, **trigger):
-        return (
-            requests.writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True}))
-            .start()
-        )
-
-
-STATE = (
-    "session_id bigint, started_at timestamp_ntz, attempts bigint, flag_run bigint, "
-    "critical_at bigint, closed_at timestamp_ntz, last_seen timestamp_ntz"
-)
-
-
-class AgentSessionTracker:
-    """Live agent sessions: depth, acceptance and closing of each call as it arrives.
-
-    Per micro-batch the positions inside the batch come from the skew-safe
-    ordered columns and are shifted by the session's state, one row per session.
-    Sessions silent for longer than ``forget_minutes`` of event time leave the
-    state.
-    """
-
-    def __init__(
-        self,
-        state_path,
-        out_path,
-        *,
-        max_calls=100,
-        ttl_minutes=720,
-        block_after_critical=True,
-        deep_every_n=0,
-        escalate_after_flags=3,
-        base_mode=None,
-        forget_minutes=None,
-        state_schema=STATE,
-    ):
-        self.store, self.out_path = SlottedState(state_path, state_schema), out_path
-        self.max_calls, self.ttl_minutes = max_calls, ttl_minutes
-        self.block_after_critical = block_after_critical
-        self.depth = (deep_every_n, escalate_after_flags, base_mode)
-        self.forget_minutes = forget_minutes
-
-    def state(self, spark, batch_id):
-        return self.store.read(spark, batch_id)
-
-    def process(self, batch, batch_id):
-        spark = batch.sparkSession
-        prior = self.state(spark, batch_id - 1)
-        renamed = prior.select(*SESSION, *[F.col(c).alias(f"s_{c}") for c in prior.columns if c not in SESSION])
-        seen = F.coalesce(F.col("s_attempts"), F.lit(0))
-        calls = batch.join(renamed, SESSION, "left")
-
-        not_flag = ~F.col("decision").eqNullSafe(F.lit("FLAG"))
-        rows = ordered_columns(
-            calls,
-            SESSION,
-            ORDER,
-            splits=split_points(batch, SESSION, ORDER, rows_per_chunk(batch)),
-            number="_n",
-            first={"_first": "ts"},
-            last_position={"_clear": not_flag},
-            first_position={"_critical": is_critical()},
-        )
-        started = F.coalesce(F.col("s_started_at"), F.col("_first"))
-        rows = rows.withColumn("_started", started)
-        expired = F.col("ts") >= started + ttl_interval(self.ttl_minutes)
-        n = seen + F.col("_n")
-        critical_at = F.coalesce(F.col("s_critical_at"), seen + F.col("_critical"))
-        reason = reject_reason(n, critical_at, expired, self.max_calls, self.block_after_critical)
-        run = F.when(F.col("_clear").isNotNull(), F.col("_n") - 1 - F.col("_clear")).otherwise(
-            F.col("_n") - 1 + F.coalesce(F.col("s_flag_run"), F.lit(0))
-        )
-        out = rows.withColumns(
-            {
-                "reject_reason": reason,
-                "attempt": n,
-                "flag_run": run,
-                "mode": F.when(reason.isNull(), depth_rule(n - 1, run, *self.depth)),
-            }
-        ).withColumn("accepted", F.col("reject_reason").isNull())
-        helper = ["_n", "_first", "_clear", "_critical", "_started"]
-        out.drop(*helper, *[c for c in renamed.columns if c not in SESSION]).write.mode("overwrite").parquet(
-            f"{self.out_path}/batch_id={batch_id}"
-        )
-        self._advance(out.withColumn("_seen", seen), prior, batch_id)
-
-    def _advance(self, rows, prior, batch_id):
-        clear = ~F.col("decision").eqNullSafe(F.lit("FLAG"))
-        closing = F.col("reject_reason").isin("max_tool_calls", "ttl_expired")
-        count = F.count(F.lit(1))
-        last_clear = F.max(F.when(clear, F.col("_n")))
-        new = rows.groupBy(*SESSION).agg(
-            F.any_value("_started").alias("started_at"),
-            (F.max("_seen") + count).alias("attempts"),
-            F.coalesce(count - last_clear, count + F.coalesce(F.max("s_flag_run"), F.lit(0))).alias("flag_run"),
-            F.coalesce(F.max("s_critical_at"), F.min(F.when(is_critical(), F.col("attempt")))).alias("critical_at"),
-            F.coalesce(F.max("s_closed_at"), F.min(F.when(closing, F.col("ts")))).alias("closed_at"),
-            F.greatest(F.max("ts"), F.max("s_last_seen")).alias("last_seen"),
-        )
-        kept = prior.join(new.select(*SESSION), SESSION, "left_anti")
-        state = kept.unionByName(new)
-        if self.forget_minutes is not None:
-            newest = state.select(F.max("last_seen")).scalar()
-            state = state.where(
-                F.col("last_seen") >= newest - F.expr(f"INTERVAL {int(self.forget_minutes)} MINUTES")
-            )
-        self.store.write(state, batch_id)
-
-    def start(self, calls, checkpoint, **trigger):
-        return (
-            calls.writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True}))
-            .start()
-        )
-
-
 def stream_regeneration_sessions(steps, key="session_id", ts="ts", *, minutes=REGENERATION_TTL_MINUTES, watermark="1 minute"):
     """Live :func:`regeneration_sessions`, split by gaps in event time whatever the batches are.
 
