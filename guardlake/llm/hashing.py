@@ -4,6 +4,9 @@ import numpy as np
 import pyarrow as pa
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: Longest string that is one polynomial; longer ones are chained from such pieces by a mixing step.
+#: Long strings of two letters can be built whose polynomials modulo 2^64 agree for every odd base.
+PIECE = 64
 #: Two independent hashes: odd bases and values of the bytes.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -53,16 +56,33 @@ class PrefixHash:
         self._prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(values, out=self._prefix[1:])
 
+    def _polynomial(self, start, end):
+        return (self._prefix[end] - self._prefix[start]) * self._down[start]
+
     def windows(self, length):
         """Raw hash of every substring of that length."""
-        p = self._prefix
-        out = p[length:] - p[: len(p) - length]
-        out *= self._down[: len(out)]
+        p, n = self._prefix, len(self._prefix) - length
+        piece = min(length, PIECE)
+        out = p[piece : piece + n] - p[:n]
+        out *= self._down[:n]
+        for done in range(PIECE, length, PIECE):
+            upto = min(done + PIECE, length)
+            out = mix(out) * _M1 + (p[upto : upto + n] - p[done : done + n]) * self._down[done : done + n]
         return out
 
     def raw(self, start, end):
         """Raw hash of [start, end); equal strings have equal hashes wherever they lie."""
-        return (self._prefix[end] - self._prefix[start]) * self._down[start]
+        length = end - start
+        if not np.size(length) or np.max(length) <= PIECE:
+            return self._polynomial(start, end)
+        out = self._polynomial(start, np.minimum(end, start + PIECE))
+        more, done = np.flatnonzero(length > PIECE), PIECE
+        while len(more):
+            at = start[more] + done
+            out[more] = mix(out[more]) * _M1 + self._polynomial(at, np.minimum(end[more], at + PIECE))
+            done += PIECE
+            more = more[length[more] > done]
+        return out
 
     def of(self, start, end):
         """Mixed hash of [start, end), length included."""
