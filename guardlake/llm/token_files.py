@@ -10,6 +10,7 @@ row per shard with its base, the number of ids in the shards before it.
 import json
 import posixpath
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +19,84 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from guardlake.llm.bpe import bpe, shared_text, slices
+from guardlake.llm.hashing import ranges
+from guardlake.llm.words import byte_pattern, plain
 
 #: Stands for a null document id in ``.doc``.
 NO_ID = np.iinfo(np.int64).min
 #: Ids that a reader handles at once.
 READ = 1 << 20
+#: Pre-tokens in a worker's table, some 200 bytes each.
+REMEMBERED = 1_000_000
 
 
 def _filesystem(folder):
     return fs.FileSystem.from_uri(folder)
 
 
+class FlatEncoder:
+    """Ids of texts through a worker's table of pre-tokens: where each one's ids lie in one flat array.
+
+    Texts are cut by the compiled pattern, or by the tokenizer's own steps where
+    they hold special strings or characters past its tables; pre-tokens that the
+    table lacks are merged by the library's model.  A table of ``REMEMBERED``
+    pre-tokens is begun anew.
+    """
+
+    def __init__(self, model, end_id):
+        self.model, self.end = model, (end_id,)
+        self.clear()
+
+    def clear(self):
+        self.table = {self.end: 0}
+        self.flat, self.starts, self.lengths = (np.array([x], np.int64) for x in (self.end[0], 0, 1))
+
+    def pre_tokens(self, text):
+        """Pre-tokens of a text; a special string is the tuple of its id."""
+        model = self.model
+        if model.lower or not plain(text) or any(s in text for s in model.specials):
+            words, numbers, _ = model.cut([text])
+            return [words[k] for k in numbers.tolist()]
+        return byte_pattern().findall(text)
+
+    def encode(self, texts):
+        """Flat ids, the end id behind each text's, and where each text's begin, with the total at the end."""
+        if len(self.table) > REMEMBERED:
+            self.clear()
+        tokens, bounds = [], [0]
+        for text in texts:
+            tokens += self.pre_tokens(text)
+            tokens.append(self.end)
+            bounds.append(len(tokens))
+        place = np.fromiter(map(self.table.get, tokens, repeat(-1)), np.int64, len(tokens))
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            self.learn(list(dict.fromkeys([tokens[i] for i in missing.tolist()])))
+            place[missing] = [self.table[tokens[i]] for i in missing.tolist()]
+        lengths = self.lengths[place]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        return self.flat[ranges(self.starts[place], lengths)], upto[bounds]
+
+    def learn(self, words):
+        ids, lengths = self.model.library_ids(words)
+        first = len(self.starts)
+        self.table.update(zip(words, range(first, first + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, ids])
+
+
+_ENCODERS = {}
+
+
+def encoder(text, end_id):
+    """The encoder of that tokenizer file, built once per worker."""
+    key = hash(text), end_id
+    if key not in _ENCODERS:
+        _ENCODERS[key] = FlatEncoder(bpe(text, by_library=True), end_id)
+    return _ENCODERS[key]
+
+
 def write_token_files(docs, tokenizer_path, folder, end_id, doc_id="doc_id", text="text", partitions=None):
     """Encode whole texts and write them in ascending order of id, one shard per range of ids.
 
@@ -55,16 +123,15 @@ def write_token_files(docs, tokenizer_path, folder, end_id, doc_id="doc_id", tex
         name = f"part-{shard:06d}-{task.taskAttemptId()}"
         store, place = _filesystem(folder)
         store.create_dir(place, recursive=True)
-        model, total, offsets, numbers = bpe(spec.value, by_library=True), 0, [np.zeros(1, np.int64)], []
+        model, total, offsets, numbers = encoder(spec.value, end_id), 0, [np.zeros(1, np.int64)], []
         with store.open_output_stream(posixpath.join(place, name + ".bin")) as out:
             for batch in batches:
                 texts = batch.column("text").to_pylist()
                 numbers.append(np.asarray(batch.column("doc_id").fill_null(NO_ID), "<i8"))
                 for a, b in slices(texts):
                     ids, bounds = model.encode(texts[a:b])
-                    ids = np.insert(ids, bounds[1:], end_id)
                     out.write(ids.astype(dtype).tobytes())
-                    offsets.append(total + bounds[1:] + np.arange(1, b - a + 1))
+                    offsets.append(total + bounds[1:])
                     total += len(ids)
         for ending, arrays in ((".idx", offsets), (".doc", numbers)):
             with store.open_output_stream(posixpath.join(place, name + ending)) as out:

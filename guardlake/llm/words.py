@@ -124,6 +124,23 @@ def cut_bytes(cps, bounds):
     return starts[order], ends[order]
 
 
+@cache
+def byte_pattern():
+    """The ``byte`` pattern for plain pieces, its classes written out below the limit."""
+
+    def members(kind):
+        at = np.flatnonzero(classes() == kind)
+        first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+        last = np.append(first[1:], len(at)) - 1
+        return "".join(f"\\u{at[a]:04x}-\\u{at[b]:04x}" for a, b in zip(first, last))
+
+    space, letter, number = (members(k) for k in (SPACE, LETTER, NUMBER))
+    # Contractions begin with an apostrophe and words do not, so words may be tried first.
+    return re.compile(
+        f" ?[{letter}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    )
+
+
 def decoded(cps, starts, ends):
     """The substrings as a list of str."""
     lengths = ends - starts
