@@ -137,13 +137,13 @@ class Bpe:
 
     def library_ids(self, words):
         """Flat ids of pre-tokens as the library's model merges them, and how many each has; a tuple stands for itself."""
-        tokenize, suffix, flat, counts = self.library.model.tokenize, self.suffix, [], []
+        tokenize, flat, counts = self.library.model.tokenize, [], []
         for w in words:
             if isinstance(w, tuple):
                 ids = w
             else:
                 # Bytes as the letters that stand for them.
-                ids = [t.id for t in tokenize(w.encode("utf-8", "surrogatepass").decode("latin-1").translate(LETTERS) + suffix)]
+                ids = [t.id for t in tokenize(w.encode("utf-8", "surrogatepass").decode("latin-1").translate(LETTERS))]
             flat += ids
             counts.append(len(ids))
         return np.array(flat, np.int64), np.array(counts, np.int64)
