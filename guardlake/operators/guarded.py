@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from guardlake.functions import failed_dimensions, is_blank
 from guardlake.operators.aggregates import aggregate_scores
 from guardlake.operators.policy import guard_llm_log, guard_turns
-from guardlake.operators.scoring import rule_scorer, score, score_distinct, upgrade_low_confidence
+from guardlake.operators.scoring import rule_scorer, score, score_distinct, score_where
 from guardlake.operators.validation import content_rules, validate
 from guardlake.schemas import DIM_COLUMNS
 from guardlake.sources.decode import extract_llm_response
@@ -44,38 +44,23 @@ def guard_conversations(
     thresholds a side is not scored at all.  ``upgrade_below`` re-scores outputs of
     low confidence at full depth.  Blank texts are not scored and count as passing.
     """
-    rows = _scored_side(pairs, "text", "", scorer, input_thresholds, None)
-    if input_thresholds:
-        bad = F.size(failed_dimensions(input_thresholds)) > 0
-    else:
-        bad = F.lit(False)
-    rows = rows.withColumn("_bad", bad)
-    stopped = rows.where("_bad")
-    going = _scored_side(rows.where(~F.col("_bad")), "out_text", "out_", scorer, output_thresholds, upgrade_below)
-    rows = going.unionByName(stopped, allowMissingColumns=True).drop("_bad")
+    rows = _scored_side(pairs, "text", "", scorer, input_thresholds, F.lit(True), None)
+    bad = F.size(failed_dimensions(input_thresholds)) > 0 if input_thresholds else F.lit(False)
+    rows = _scored_side(rows, "out_text", "out_", scorer, output_thresholds, ~bad, upgrade_below)
     return guard_turns(
         rows, input_thresholds, output_thresholds, policy=policy, custom=custom, regenerated=regenerated
     )
 
 
-def _scored_side(rows, text_col, prefix, scorer, thresholds, upgrade_below):
-    names = {c: f"{prefix}{c}" for c in SCORES}
+def _scored_side(rows, text_col, prefix, scorer, thresholds, going, upgrade_below):
+    """Scores of one side where its turn comes and it has a text; all rows go through once."""
     if not thresholds:
-        return rows.withColumns({n: F.lit(None).cast("double") for n in names.values()})
-    kept = rows.columns
-    has_text = ~is_blank(text_col)
-    # The scorer's own columns go under working names, so both sides can be scored.
-    hidden = {c: f"_kept_{c}" for c in SCORES if c in kept}
-    work = rows.withColumnsRenamed(hidden)
-    scored = score(work.where(has_text), text_col, scorer)
-    if upgrade_below is not None:
-        scored = upgrade_low_confidence(scored, text_col, scorer, upgrade_below)
-    scored = scored.select(
-        *[F.col(hidden.get(c, c)).alias(c) for c in kept], *[F.col(c).alias(n) for c, n in names.items()]
-    )
-    return scored.unionByName(rows.where(~has_text), allowMissingColumns=True)
-
-
+        return rows.withColumns({f"{prefix}{c}": F.lit(None).cast("double") for c in SCORES})
+    rows = score_where(rows, going & ~is_blank(text_col), text_col, scorer, prefix=prefix)
+    if upgrade_below is None:
+        return rows
+    low = F.col(f"{prefix}confidence") < upgrade_below
+    return score_where(rows, low, text_col, scorer, "deep", prefix=prefix)
 
 
 def guard_answers(df, json_col, vendor, thresholds=None, *, scorer=rule_scorer, skip_col=None, mode="basic"):
@@ -85,10 +70,7 @@ def guard_answers(df, json_col, vendor, thresholds=None, *, scorer=rule_scorer,
     if skip_col:
         skip = skip | F.coalesce(F.col(skip_col), F.lit(False))
     rows = rows.withColumn("_skip", skip)
-    # The filter stands below the scorer, which may be a Python function.
-    scored = score(rows.where(~F.col("_skip")), "content", scorer, mode)
-    scored = scored.select(*rows.columns, *SCORES)
-    everything = scored.unionByName(rows.where("_skip"), allowMissingColumns=True)
+    everything = score_where(rows, ~F.col("_skip"), "content", scorer, mode)
     return guard_llm_log(everything, thresholds, skip_col="_skip").drop("_skip")
 
 

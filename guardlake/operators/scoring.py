@@ -5,6 +5,10 @@ A scorer is ``scorer(df, text_col, mode) -> df`` that adds ``score``,
 its rules are this project's, not a model.
 """
 
+from collections.abc import Iterator
+from uuid import uuid4
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -90,25 +94,108 @@ def rule_scorer(df, text_col="text", mode="basic"):
     )
 
 
+FIELDS = ["score", "confidence", *DIM_COLUMNS]
+SCORED = ", ".join(f"{f} double" for f in FIELDS)
+#: Models by scorer, in a Python worker.
+_MODELS = {}
+
+
+def _scored(found, texts):
+    """Fields in order, for all texts; ``found`` has those of the texts that are not null."""
+    return found.reindex(columns=FIELDS).astype("float64").set_axis(texts.index[texts.notna()]).reindex(texts.index)
+
+
+def _with_scored(df, scored):
+    out = df.withColumn("_scored", scored)
+    return out.withColumns({f: F.col(f"_scored.{f}") for f in FIELDS}).drop("_scored")
+
+
 def pandas_scorer(fn):
     """Scorer from ``fn(texts, mode) -> DataFrame`` over batches of texts, for outside models.
 
-    ``fn`` gets a pandas Series and returns a pandas DataFrame with ``score``,
-    ``confidence`` and any ``d_*`` columns; absent dimensions stay unscored.
+    ``fn`` gets a pandas Series without nulls and returns a pandas DataFrame with
+    ``score``, ``confidence`` and any ``d_*`` columns; absent dimensions stay unscored,
+    and so do null texts.
     """
-    fields = ["score", "confidence", *DIM_COLUMNS]
 
     def scorer(df, text_col, mode):
-        @F.pandas_udf(", ".join(f"{f} double" for f in fields))
+        @F.pandas_udf(SCORED)
         def run(texts: pd.Series) -> pd.DataFrame:
-            return fn(texts, mode).reindex(columns=fields).astype("float64")
+            return _scored(fn(texts[texts.notna()], mode), texts)
+
+        return _with_scored(df, run(F.col(text_col)))
+
+    return scorer
+
+
+def built(key, setup):
+    """The model of that key in this Python worker; set up when it is first asked for."""
+    if key not in _MODELS:
+        _MODELS[key] = setup()
+    return _MODELS[key]
+
 
-        out = df.withColumn("_scored", run(F.col(text_col)))
-        return out.withColumns({f: F.col(f"_scored.{f}") for f in fields}).drop("_scored")
+def text_runs(texts, batch_bytes):
+    """Cut texts into runs of at most ``batch_bytes`` of UTF-8; a longer text is a run by itself."""
+    sizes = np.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], np.int64)
+    upto, first = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(upto, upto[first] + batch_bytes, "right")) - 1)
+        yield texts.iloc[first:last]
+        first = last
+
+
+def model_scorer(setup, fn, *, batch_bytes=1 << 20):
+    """Scorer by a model that is costly to set up, from ``fn(model, texts, mode) -> DataFrame``.
+
+    ``setup()`` runs once in each Python worker, however many tasks, batches and
+    sides of a guard the worker sees.  ``fn`` gets runs of texts without nulls, of at
+    most ``batch_bytes`` each, and returns what :func:`pandas_scorer` asks for.  Null
+    texts are left unscored; a longer text is a run by itself; partitions without
+    texts set up nothing.
+    """
+    key = uuid4().hex
+
+    def scorer(df, text_col, mode):
+        @F.pandas_udf(SCORED)
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for texts in batches:
+                there = texts[texts.notna()]
+                parts = [fn(built(key, setup), some, mode).reindex(columns=FIELDS) for some in text_runs(there, batch_bytes)]
+                found = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=FIELDS)
+                yield _scored(found, texts)
+
+        return _with_scored(df, run(F.col(text_col)))
 
     return scorer
 
 
+def score_where(df, condition, text_col="text", scorer=rule_scorer, mode="basic", *, prefix=""):
+    """Score the rows that meet a condition, in one pass over all of them.
+
+    Adds ``<prefix>score``, ``<prefix>confidence`` and ``<prefix>d_*``; columns of these
+    names keep their values in other rows, otherwise those are null there.  Rows are
+    neither split off nor joined: the scorer sees their texts as null, which a
+    Python scorer passes over.
+    """
+    names = {c: f"{prefix}{c}" for c in FIELDS}
+    own = {c: f"_own_{c}" for c in df.columns if c in FIELDS or c in names.values()}
+    work = df.withColumn("_wanted", F.coalesce(condition, F.lit(False))).withColumnsRenamed(own)
+    if text_col in df.columns:
+        work = work.withColumn("_wanted_text", F.when(F.col("_wanted"), F.col(own.get(text_col, text_col))))
+        text_col = "_wanted_text"
+    scored = scorer(work, text_col, mode)
+    source = {n: c for c, n in names.items() if c in scored.columns}
+
+    def column(c):
+        if c not in source:  # no score, or one that this scorer does not give
+            return F.col(own.get(c, c)).alias(c)
+        new = F.when(F.col("_wanted"), F.col(source[c]))
+        return (new.otherwise(F.col(own[c])) if c in df.columns else new).alias(c)
+
+    return scored.select(*[column(c) for c in [*df.columns, *(n for n in source if n not in df.columns)]])
+
+
 def score(df, text_col="text", scorer=rule_scorer, mode="basic", *, dimensions=None, weights=None):
     """Run a scorer and note the depth it ran at.
 
@@ -145,8 +232,7 @@ def upgrade_low_confidence(df, text_col="text", scorer=rule_scorer, below=LOW_CO
 
     ``df`` is a scored table; its other rows pass through untouched.
     """
-    low = F.coalesce(F.col("confidence") < below, F.lit(False))
-    added = [c for c in df.columns if c in (*DIM_COLUMNS, "score", "confidence", "mode")]
-    redo = score(df.where(low).drop(*added), text_col, scorer, "deep").withColumn("upgraded", F.lit(True))
-    keep = df.where(~low).withColumn("upgraded", F.lit(False))
-    return keep.unionByName(redo.select(*keep.columns))
+    base = df.withColumn("upgraded", F.coalesce(F.col("confidence") < below, F.lit(False)))
+    out = score_where(base, F.col("upgraded"), text_col, scorer, "deep")
+    mode = F.when(F.col("upgraded"), "deep").otherwise(F.col("mode") if "mode" in df.columns else None)
+    return out.withColumn("mode", mode).select(*df.columns, *([] if "mode" in df.columns else ["mode"]), "upgraded")

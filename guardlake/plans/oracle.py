@@ -638,6 +638,27 @@ m AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM ev)
 SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps, first_step_at, last_step_at FROM g CROSS JOIN m WHERE last_step_at + INTERVAL 15 MINUTE <= watermark"""
 SQL["regeneration_sessions"] = SQL["stream_regenerations"].split(" FROM g CROSS JOIN m")[0] + " FROM g"
 SQL["stream_request_dedup"] = SQL["request_dedup"]
+SQL["model_scorer"] = """SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN (length(text) % 101) / 10.0 END::DOUBLE AS score, CASE WHEN doc_id % 5 <> 0 THEN 0.5 END::DOUBLE AS confidence,
+  CASE WHEN doc_id % 5 <> 0 THEN 0.9 END::DOUBLE AS deep_confidence, CASE WHEN doc_id % 5 <> 0 THEN 1.0 END::DOUBLE AS set_ups, CASE WHEN doc_id % 5 <> 0 THEN 1.0 END::DOUBLE AS deep_set_ups FROM documents"""
+
+
+def _chained(conversations, order, periodic):
+    """Turn by turn: a turn is deep if its number says so or the score before it is low."""
+    return f"""WITH RECURSIVE t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY {order}) AS turn_number FROM ({conversations})),
+r AS (
+  SELECT conv_id, turn_number, CASE WHEN {periodic} THEN 'deep' ELSE 'basic' END AS mode,
+    (length(text) % CASE WHEN {periodic} THEN 89 ELSE 101 END) / 10.0 AS score FROM t WHERE turn_number = 1
+  UNION ALL
+  SELECT conv_id, turn_number, CASE WHEN deep THEN 'deep' ELSE 'basic' END, (size % CASE WHEN deep THEN 89 ELSE 101 END) / 10.0
+  FROM (SELECT t.conv_id, t.turn_number, length(t.text) AS size, r.score < 7.0 OR {periodic.replace("turn_number", "t.turn_number")} AS deep
+        FROM r JOIN t ON t.conv_id = r.conv_id AND t.turn_number = r.turn_number + 1))"""
+
+
+SQL["conversation_scoring"] = f"""{_chained("SELECT conv_id, turn, text FROM conversations", "turn", "turn_number % 5 = 0")}
+SELECT conv_id, turn, turn_number, mode, score, CASE mode WHEN 'deep' THEN 0.9 ELSE 0.5 END::DOUBLE AS confidence FROM r JOIN t USING (conv_id, turn_number)"""
+_SPREAD = "SELECT CASE WHEN (conv_id * 8 + turn) % 3 = 0 THEN -1 ELSE conv_id END AS conv_id, conv_id AS part, turn, text FROM conversations"
+SQL["conversation_scoring_chained"] = f"""{_chained(_SPREAD, "part, turn", "FALSE")}
+SELECT conv_id, part, turn, turn_number, mode, score FROM r JOIN t USING (conv_id, turn_number)"""
 _KEPT = f"""{_accepted(40, 20 * 24 * 60, True)},
 kept AS (SELECT * REPLACE (row_number() OVER (PARTITION BY session_id ORDER BY n) AS n, count(*) OVER (PARTITION BY session_id) AS total) FROM final WHERE accepted)"""
 SQL["stream_agent_patterns"] = "WITH " + _patterns(_KEPT, "kept")

@@ -3,6 +3,9 @@
 Results hold scalars only: lists are joined to text, means rounded to 8 digits.
 """
 
+from functools import partial
+from uuid import uuid4
+
 import pandas as pd
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -622,6 +625,52 @@ def plugin_scorer(spark, sf):
     return out.select("doc_id", "score", "confidence", "d_safety", "d_privacy", "mode")
 
 
+_SET_UPS = {}
+
+
+def set_up_model(run):
+    """Stand-in for a model that takes long to load; counts how often this worker loads it for a run of the job."""
+    _SET_UPS[run] = _SET_UPS.get(run, 0) + 1
+    return {"set_ups": _SET_UPS[run]}
+
+
+def loaded_model(model, texts, mode):
+    size = texts.str.len()
+    confidence = 0.5 if mode == "basic" else 0.9
+    return pd.DataFrame({"score": (size % 101) / 10.0, "confidence": confidence, "d_reliability": float(model["set_ups"])})
+
+
+def model_scorer(spark, sf):
+    """A model set up once per worker scores questions and, where those pass, answers; both calls share it."""
+    scorer = scoring.model_scorer(partial(set_up_model, uuid4().hex), loaded_model, batch_bytes=10_000)
+    docs = fx.read(spark, sf, "documents").select("doc_id", "text")
+    first = scoring.score_where(docs, F.col("doc_id") % 5 != 0, scorer=scorer)
+    out = scoring.score_where(first, F.col("confidence") < LOW_CONFIDENCE, scorer=scorer, mode="deep", prefix="deep_")
+    return out.select("doc_id", "score", "confidence", "deep_confidence", F.col("d_reliability").alias("set_ups"), F.col("deep_d_reliability").alias("deep_set_ups"))
+
+
+def depth_model(df, text_col, mode):
+    """Scores by text length, lower at full depth."""
+    tenths = F.length(text_col) % (101 if mode == "basic" else 89)
+    return df.withColumns({"score": tenths / F.lit(10.0), "confidence": F.lit(0.5 if mode == "basic" else 0.9)})
+
+
+def conversation_scoring(spark, sf):
+    """Turns scored at the depth that their number and the score before them ask for."""
+    turns = fx.read(spark, sf, "conversations").select("conv_id", "turn", "text")
+    out = conversations.score_conversations(turns, "conv_id", "turn", depth_model)
+    return out.select("conv_id", "turn", "turn_number", "mode", "score", "confidence")
+
+
+def conversation_scoring_chained(spark, sf):
+    """The same without turns that are deep by their number; a third of the turns lie in one conversation."""
+    turns = fx.read(spark, sf, "conversations").select("conv_id", "turn", "text")
+    hot = (F.col("conv_id") * 8 + F.col("turn")) % 3 == 0
+    turns = turns.select(F.when(hot, -1).otherwise(F.col("conv_id")).alias("conv_id"), F.col("conv_id").alias("part"), "turn", "text")
+    out = conversations.score_conversations(turns, "conv_id", ["part", "turn"], depth_model, deep_every=0)
+    return out.select("conv_id", "part", "turn", "turn_number", "mode", "score")
+
+
 def custom_callback(spark, sf):
     @F.pandas_udf("string")
     def rewrite(texts: pd.Series) -> pd.Series:
@@ -1293,6 +1342,9 @@ BATCH = (
     low_confidence_upgrade,
     score_distinct,
     plugin_scorer,
+    model_scorer,
+    conversation_scoring,
+    conversation_scoring_chained,
     custom_callback,
     evaluate_documents,
     guarded_conversations,
