@@ -322,8 +322,7 @@ SELECT call_id, CASE WHEN abs(total_w - 100.0) > 1.0 THEN 'weights_sum' END AS w
   CASE WHEN k % 11 = 0 THEN 'tool_name_required' WHEN k % 2 <> 0 AND k % 3 <> 0 THEN 'tool_result_empty' END AS result_error,
   CASE WHEN k % 17 = 0 THEN 'session_id_required' WHEN k % 4 = 0 THEN 'empty_content' END AS continue_error,
   CASE WHEN k % 6 = 0 THEN 'unknown_mode' WHEN k % 7 = 0 THEN 'unknown_domain' WHEN k % 8 = 0 THEN 'unknown_usecase' END AS option_error,
-  CASE WHEN k % 9 = 0 OR k % 10 = 0 THEN 'unknown_framework' END AS framework_name_error,
-  CASE WHEN k % 6 = 0 THEN 'empty_content' WHEN k % 6 = 5 THEN 'content_too_long' END AS compliance_error FROM x""",
+  CASE WHEN k % 9 = 0 OR k % 10 = 0 THEN 'unknown_framework' END AS framework_name_error FROM x""",
     "aggregate_scores": f"""WITH {CALLS} SELECT tool_name, round(avg(score), 8) AS average_score, min(score) AS min_score, max(score) AS max_score,
   count(*) AS total_evaluations, {AVERAGES} FROM calls GROUP BY tool_name""",
     "aggregate_scores_rollup": f"""WITH {CALLS} SELECT tool_name, decision, round(avg(score), 8) AS average_score, count(*) AS total_evaluations
@@ -638,6 +637,16 @@ m AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM ev)
 SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps, first_step_at, last_step_at FROM g CROSS JOIN m WHERE last_step_at + INTERVAL 15 MINUTE <= watermark"""
 SQL["regeneration_sessions"] = SQL["stream_regenerations"].split(" FROM g CROSS JOIN m")[0] + " FROM g"
 SQL["stream_request_dedup"] = SQL["request_dedup"]
+_LONG = "CASE WHEN regexp_full_match(text, {blank}) THEN 'empty_content' WHEN length(text) < 1 THEN 'content_too_short' WHEN length(text) > {most} THEN 'content_too_long' END AS {name}"
+SQL["compliance_content_validation"] = f"""SELECT doc_id, {_LONG.format(blank=q(BLANK), most=50_000, name="error")}, {_LONG.format(blank=q(BLANK), most=2000, name="narrow_error")} FROM documents"""
+SQL["iteration_thresholds"] = f"""WITH {CANDIDATES}, m AS (SELECT *, score >= 5.0 AND confidence >= 0.6 AND coalesce(d_safety >= 3.0, TRUE) AND coalesce(d_privacy >= 6.0, TRUE) AS ok,
+  concat_ws(',', CASE WHEN d_safety < 3.0 THEN 'safety' END, CASE WHEN d_privacy < 6.0 THEN 'privacy' END) AS failing FROM candidates WHERE iteration <= 4),
+b AS (SELECT conv_id, min(iteration) FILTER (ok) AS met, max(iteration) AS last, arg_max(iteration, {{'s': score, 'i': -iteration}}) AS highest FROM m GROUP BY conv_id)
+SELECT conv_id, iteration, ok AS thresholds_met, failing, CASE WHEN met IS NOT NULL THEN 'passed' WHEN last >= 4 THEN 'max_iterations_reached' ELSE 'awaiting_regeneration' END AS status,
+  coalesce(met, highest) AS best_iteration FROM m JOIN b USING (conv_id) WHERE met IS NULL OR iteration <= met"""
+SQL["stream_observed_policy"] = f"""WITH {CALLS} SELECT count(*) AS "rows", count(*) FILTER (decision = 'BLOCK' OR score < 2.5) AS blocked,
+  count(*) FILTER (NOT (decision = 'BLOCK' OR score < 2.5) AND (decision = 'FLAG' OR score < 6.5)) AS flagged,
+  count(*) FILTER (NOT (decision = 'BLOCK' OR score < 2.5) AND NOT (decision = 'FLAG' OR score < 6.5)) AS allowed FROM calls"""
 SQL["model_scorer"] = """SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN (length(text) % 101) / 10.0 END::DOUBLE AS score, CASE WHEN doc_id % 5 <> 0 THEN 0.5 END::DOUBLE AS confidence,
   CASE WHEN doc_id % 5 <> 0 THEN 0.9 END::DOUBLE AS deep_confidence, CASE WHEN doc_id % 5 <> 0 THEN 1.0 END::DOUBLE AS set_ups, CASE WHEN doc_id % 5 <> 0 THEN 1.0 END::DOUBLE AS deep_set_ups FROM documents"""
 

@@ -139,6 +139,14 @@ def content_validation(spark, sf):
     )
 
 
+def compliance_content_validation(spark, sf):
+    """Which documents a compliance check takes, by the service's limit and by a narrower one."""
+    docs = fx.read(spark, sf, "documents").select("doc_id", "text")
+    for name, rules in (("error", validation.compliance_content_rules("text")), ("narrow_error", validation.compliance_content_rules("text", 2000))):
+        docs = validation.annotate(docs, rules).withColumnRenamed("error_code", name).drop("error_message")
+    return docs.drop("text")
+
+
 def rejected_content(spark, sf):
     _, rejected = validation.validate(fx.read(spark, sf, "documents"), validation.content_rules("text"))
     return rejected.select("doc_id", "n_chars", "error_code")
@@ -161,7 +169,6 @@ def request_validation(spark, sf):
             "usecase": F.when(K % 8 == 0, "poetry").otherwise("chatbot"),
             "framework_asked": F.when(K % 9 == 0, "sox").when(K % 9 == 1, "dpdp"),
             "frameworks_asked": F.when(K % 10 == 0, F.array(F.lit("ai_act"), F.lit("iso"))),
-            "long_content": F.repeat(F.lit("x"), (K % 3) * 25_000 + (K % 2)),
             "content": F.when(K % 4 == 0, "  \t").otherwise("text"),
         }
     )
@@ -174,7 +181,6 @@ def request_validation(spark, sf):
         "continue_error": validation.continue_rules("session", "content"),
         "option_error": validation.evaluation_option_rules(),
         "framework_name_error": validation.framework_name_rules("framework_asked", "frameworks_asked"),
-        "compliance_error": validation.compliance_content_rules("long_content"),
     }
     for name, rules in checks.items():
         rows = validation.annotate(rows, rules).withColumnRenamed("error_code", name).drop("error_message")
@@ -811,6 +817,15 @@ def iteration_history(spark, sf):
     )
 
 
+def iteration_thresholds(spark, sf):
+    """Rewrites judged by confidence and single dimensions as well as by the overall score."""
+    limits = {"overall": {"score": 5.0, "confidence": 0.6}, "safety": {"score": 3.0}, "privacy": {"score": 6.0}}
+    history = regeneration.iteration_history(fx.candidates(spark, sf), "conv_id", limits, max_iterations=4)
+    best = regeneration.select_best(fx.candidates(spark, sf), "conv_id", limits, max_iterations=4, carry=())
+    out = history.join(best.select("conv_id", "status", "best_iteration"), "conv_id")
+    return out.select("conv_id", "iteration", "thresholds_met", joined("failing_dimensions").alias("failing"), "status", "best_iteration")
+
+
 def regeneration_credits(spark, sf):
     history = regeneration.iteration_history(fx.candidates(spark, sf), "conv_id", 8.0, max_iterations=3)
     spent = history.select(
@@ -1298,6 +1313,7 @@ BATCH = (
     weighted_and_extremes,
     weight_normalization,
     content_validation,
+    compliance_content_validation,
     rejected_content,
     request_validation,
     aggregate_scores,
@@ -1361,6 +1377,7 @@ BATCH = (
     risk_classification,
     best_iteration,
     iteration_history,
+    iteration_thresholds,
     regeneration_credits,
     expired_regenerations,
     regeneration_sessions,

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from guardlake.operators import dedup, telemetry
+from guardlake.operators import dedup, policy, telemetry
 from guardlake.plans import fixtures as fx
 from guardlake.schemas import CACHED_ENDPOINTS, EVENTS
 from guardlake.session import scratch_folder
@@ -84,6 +84,22 @@ def stream_agent_summaries(spark, sf):
     return out.select("session_id", "status", "closed_at", "total_tool_calls", "risk_trend", F.round("total_credits", 6).alias("total_credits"))
 
 
+def stream_observed_policy(spark, sf):
+    """Counts of verdicts, taken batch by batch while the calls are written."""
+    folder = scratch_folder(spark, "observed-policy")
+    calls = fx.calls_from_events(event_stream(spark, sf, folder))
+    judged = policy.observe(policy.agent_policy(calls, "log_only", {"block_below": 2.5, "flag_below": 6.5}), "policy")
+    seen = trackers.ObservedBatches("policy")
+    spark.streams.addListener(seen)
+    try:
+        _run(trackers.write_batches(judged.select("call_id", "blocked", "flagged"), f"{folder}/out", f"{folder}/checkpoint"))
+        seen.ended.wait(60)
+    finally:
+        spark.streams.removeListener(seen)
+    counts = [seen.totals.get(c, 0) for c in ("rows", "blocked", "flagged", "allowed")]
+    return spark.createDataFrame([counts], "rows bigint, blocked bigint, flagged bigint, allowed bigint")
+
+
 def stream_request_metrics(spark, sf):
     """Request metrics per five-minute window."""
     folder = scratch_folder(spark, "request-metrics")
@@ -155,6 +171,7 @@ STREAMS = (
     stream_agent_sessions,
     stream_agent_patterns,
     stream_agent_summaries,
+    stream_observed_policy,
     stream_request_metrics,
     stream_review_queue,
     stream_request_dedup,

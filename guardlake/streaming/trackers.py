@@ -5,7 +5,10 @@ shuffled, so a hot session does not burden one task.  Order-dependent rules with
 state per key are in :mod:`guardlake.streaming.live`.
 """
 
+from threading import Event
+
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from guardlake.operators.conversations import mode_rule
 from guardlake.operators.regeneration import regeneration_sessions
@@ -79,6 +82,38 @@ def write_batches(stream, path, checkpoint, *, transform=None, mode="append", ob
     return start_stateful(stream.sparkSession, writer.start)
 
 
+class ObservedBatches(StreamingQueryListener):
+    """Hands the metrics of :func:`~guardlake.operators.policy.observe` on, micro-batch by micro-batch.
+
+    ``on_batch(batch_id, counts)`` is called for every batch of a query that has
+    metrics of that name, with a dict of them; ``totals`` adds them up.  ``ended``
+    is set once a query of the name has stopped, after its last batch.
+    """
+
+    def __init__(self, name, on_batch=None):
+        self.name, self.on_batch, self.totals, self.ended = name, on_batch, {}, Event()
+        self._queries = set()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        row = progress.observedMetrics.get(self.name)
+        if row is None:
+            return
+        self._queries.add(progress.runId)
+        counts = row.asDict()
+        for k, v in counts.items():
+            self.totals[k] = self.totals.get(k, 0) + (v or 0)
+        if self.on_batch:
+            self.on_batch(progress.batchId, counts)
+
+    def onQueryTerminated(self, event):
+        if event.runId in self._queries:
+            self.ended.set()
+
+
 def latest(spark, path, keys):
     """Current rows of a table written in update mode: the newest batch of each key wins."""
     rows = spark.read.parquet(path)
