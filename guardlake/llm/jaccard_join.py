@@ -91,64 +91,48 @@ class Threshold:
 
 
 def tile_families(size, threshold):
-    """For sets of these sizes: (rows, family, parts) of their own band and of the borders they lie at.
+    """For sets of these sizes: (rows, family) of their own band and of the borders they lie at.
 
-    Bands double in size.  Linked sets lie in one band or on either side of a
-    border within reach of it; each family has more parts than linked sets have
-    differences, so linked sets agree in a whole part.
+    Bands double in size.  Linked sets lie in one band or on either side of a border
+    within reach of it.
     """
     band = np.frexp(size.astype(np.float64))[1].astype(np.int64)  # 2^(band-1) <= size < 2^band
-
-    def parts(total):
-        most = threshold.difference(total)
-        return most + 1 + np.where(most > 0, 2 + most // 20, 0)
-
     below = (np.int64(1) << (band - 1)) - 1  # largest size of the band before
     above = (np.int64(1) << band) - 1
-    every = np.arange(len(size))
-    yield every, band * 2, parts(2 * above)
+    yield np.arange(len(size)), band * 2
     at = np.flatnonzero((below > 0) & (size <= threshold.partner(below)))
-    yield at, (band * 2 - 1)[at], parts(below + threshold.partner(below))[at]
+    yield at, (band * 2 - 1)[at]
     at = np.flatnonzero(threshold.partner(size) > above)
-    yield at, (band * 2 + 1)[at], parts(above + threshold.partner(above))[at]
+    yield at, (band * 2 + 1)[at]
 
 
-def tile_keys(values, bounds, threshold):
+def tile_keys(values, bounds, rank, threshold):
     """(set, key) pairs such that linked sets share a key.
 
-    The range of hashes is cut into the family's number of parts; the key is a
-    hash of family, part and the elements in it.  Empty parts count only for sets with
-    so many of them that the others might all differ.
+    ``rank`` says in how many sets an element occurs, coarsely but alike for
+    equal elements; 1 stands for this set alone.  Of sets ordered by rank and
+    element, linked ones share an element among the first that they can do
+    without; elements of this set alone are no keys.  A key is a hash of the
+    family and the element.
     """
     size = np.diff(bounds)
+    owner = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((values, rank, owner))
+    place = np.arange(len(values)) - np.repeat(bounds[:-1], size)
+    # A linked set has at least ``own`` elements of this one, so it has one of the others and one more.
+    own = -(-size * threshold.percent // 100)
+    first = order[place < (size - own + 1)[owner]]
+    first = first[rank[first] > 1]
+    owner, element = owner[first], values[first]
+    family_of = np.zeros(len(size), np.int64)
+    sets, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     full = np.flatnonzero(size > 0)
-    sets, keys = [], []
-    for rows, family, parts in tile_families(size[full], threshold):
-        rows = full[rows]
-        if not len(rows):
-            continue
-        at = ranges(bounds[rows], size[rows])
-        per = np.repeat(np.arange(len(rows)), size[rows])
-        h = values[at]
-        part = ((h >> np.uint64(32)) * parts[per].astype(np.uint64)) >> np.uint64(32)
-        new = np.concatenate([[True], (per[1:] != per[:-1]) | (part[1:] != part[:-1])])
-        start = np.flatnonzero(new)
-        sums = np.add.reduceat(mix(h ^ _K), start)
-        owner, number = per[start], part[start]
-        base = mix(family.astype(np.uint64) * _K + parts.astype(np.uint64))
-        sets.append(rows[owner])
-        keys.append(mix(sums + mix(base[owner] + number)))
-        filled = np.bincount(owner, minlength=len(rows))
-        reach = size[rows] + threshold.partner(size[rows])
-        poor = np.flatnonzero(filled < threshold.difference(reach) + 1)
-        poor = poor[filled[poor] < parts[poor]]
-        if len(poor):
-            every, which = ranges(np.zeros(len(poor), np.int64), parts[poor]), np.repeat(poor, parts[poor])
-            used = np.isin(which * (1 << 40) + every, owner * (1 << 40) + number.astype(np.int64))
-            sets.append(rows[which[~used]])
-            keys.append(mix(mix(base[which[~used]] + every[~used].astype(np.uint64)) ^ _K))
-    if not sets:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    for rows, family in tile_families(size[full], threshold):
+        family_of[:] = -1
+        family_of[full[rows]] = family
+        use = family_of[owner] >= 0
+        sets.append(owner[use])
+        keys.append(mix(element[use] ^ mix(family_of[owner[use]].astype(np.uint64) * _K)))
     return np.concatenate(sets), np.concatenate(keys)
 
 
@@ -216,45 +200,78 @@ def document_sets(docs, width, doc_id="doc_id", text="text"):
     return slim.mapInArrow(measure, "doc_id long, n_shingles long, node binary")
 
 
-def candidate_edges(docs, width, threshold, text="text"):
+def _batch_sets(table, width):
+    """Distinct sets of a batch in the order of their digests: digests, values, bounds."""
+    digests, parts, sizes = [np.zeros((0, 2), np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for _, _, values, bounds in _blocks_of_sets(table.column("text"), width):
+        d = np.stack(set_digests(values, bounds), 1)
+        order, firsts, _ = groups(d[:, 0], d[:, 1])
+        chosen = order[firsts]
+        chosen = chosen[np.diff(bounds)[chosen] > 0]
+        digests.append(d[chosen])
+        sizes.append(np.diff(bounds)[chosen])
+        parts.append(values[ranges(bounds[chosen], sizes[-1])])
+    d, size = np.concatenate(digests), np.concatenate(sizes)
+    values, at = np.concatenate(parts), np.cumsum(size) - size
+    order, firsts, _ = groups(d[:, 0], d[:, 1])
+    chosen = order[firsts] if len(order) else order
+    return d[chosen], values[ranges(at[chosen], size[chosen])], np.concatenate([[0], np.cumsum(size[chosen])])
+
+
+#: Occurrences beyond this are told apart no further.
+COMMON = 255
+
+
+def candidate_edges(docs, width, threshold, text="text", doc_id="doc_id"):
     """(a, b) edges between nodes that connect all sets sharing a tile key.
 
-    A task sends one set per key, with edges from it to the task's others, so
-    that a key gets at most one entry from each task.
+    Documents are dealt into batches by a hash of id and text.  A batch sends each
+    of its shingles once with the number of its sets that have it, and gets back how
+    common the shingle is in all; then its sets' keys follow.  Of keys it sends one
+    set each, with edges from it to its others, so that a key gets at most one
+    entry from each batch, and a shingle too.
     """
-    _, buckets = counts(docs.sparkSession)
-    slim = docs.select(F.col(f"`{text}`").alias("text"))
+    n, buckets = counts(docs.sparkSession)
+    slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    dealt = slim.select("text", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int").alias("batch"))
+
+    def send(key, table):
+        _, values, _ = _batch_sets(table, width)
+        shingles, times = np.unique(values, return_counts=True)
+        times = np.minimum(times, COMMON).astype(np.uint8)
+        rows = list(packed((shingles % np.uint64(buckets)).astype(np.int64), [shingles, times]))
+        return pa.table(
+            {
+                "bucket": pa.array([b for b, _ in rows], pa.int32()),
+                "batch": pa.array([key[0].as_py()] * len(rows), pa.int32()),
+                "shingles": pa.array([x[0] for _, x in rows], pa.binary()),
+                "times": pa.array([x[1] for _, x in rows], pa.binary()),
+            }
+        )
 
-    def keyed(batches):
-        digests, sets, keys, total = [], [], [], 0
-        for batch in batches:
-            for _, _, values, bounds in _blocks_of_sets(batch.column("text"), width):
-                d = np.stack(set_digests(values, bounds), 1)
-                s, k = tile_keys(values, bounds, threshold)
-                digests.append(d)
-                sets.append(s + total)
-                keys.append(k)
-                total += len(d)
-        if not total:
-            return
-        d, s, k = np.concatenate(digests), np.concatenate(sets), np.concatenate(keys)
-        order, firsts, group = groups(d[:, 0], d[:, 1])
-        number = np.empty(total, np.int64)
-        number[order] = group
-        nodes = d[order[firsts]]  # in the order of their digests, so the smallest number is the smallest node
-        order, firsts, group = groups(k, number[s])
-        s, k, lead = number[s][order], k[order], np.zeros(len(order), bool)
-        new = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else lead
-        leader = s[np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))] if len(s) else s
-        pairs = np.unique(np.stack([leader, s], 1)[leader != s], axis=0)
-        table = nodes.astype("<u8").tobytes()
-        if len(pairs):
-            # Edges of this task: a bucket of their own, below zero.
-            yield _packed_row(-1 - int(nodes[0, 0] % np.uint64(buckets)), b"", pairs.astype("<u4").tobytes(), table)
-        bucket = (k[new] % np.uint64(buckets)).astype(np.int64)
-        for b, (key, who) in packed(bucket, [k[new], s[new].astype("<u4")]):
-            used, who = np.unique(np.frombuffer(who, "<u4"), return_inverse=True)
-            yield _packed_row(b, key, who.astype("<u4").tobytes(), nodes[used].astype("<u8").tobytes())
+    def count(table):
+        shingles = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
+        times = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("times").to_pylist()]).astype(np.int64)
+        _, which = np.unique(np.concatenate(shingles), return_inverse=True)
+        total = np.minimum(np.bincount(which, times)[which], COMMON).astype(np.uint8)
+        ends = np.cumsum([len(x) for x in shingles])
+        found = [total[e - len(x) : e].tobytes() for x, e in zip(shingles, ends)]
+        return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "rank": pa.array(found, pa.binary())})
+
+    def keyed(key, table, answers):
+        if not table.num_rows:
+            return pa.table({c: pa.array([], t) for c, t in _PACKED})
+        nodes, values, bounds = _batch_sets(table, width)
+        shingles = np.unique(values)
+        bucket = (shingles % np.uint64(buckets)).astype(np.int64)
+        given = dict(zip(answers.column("bucket").to_pylist(), answers.column("rank").to_pylist())) if len(values) else {}
+        rank = np.zeros(len(shingles), np.uint8)
+        rank[np.argsort(bucket, kind="stable")] = np.concatenate(
+            [np.zeros(0, np.uint8), *(np.frombuffer(given[b], np.uint8) for b in np.unique(bucket))]
+        )
+        s, k = tile_keys(values, bounds, rank[np.searchsorted(shingles, values)], threshold)
+        rows = list(_packed_edges(nodes, s, k, buckets, key[0].as_py()))
+        return pa.table({c: pa.array([r[i] for r in rows], t) for i, (c, t) in enumerate(_PACKED)})
 
     def connect(table):
         rows = zip(*(table.column(c).to_pylist() for c in ("bucket", "key", "who", "nodes")))
@@ -275,18 +292,35 @@ def candidate_edges(docs, width, threshold, text="text"):
             leader = w[np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))]
             differ = (leader != w).any(1)
             found.append(np.unique(np.hstack([leader[differ], w[differ]]), axis=0))
-        e = np.concatenate(found)
+        e = np.concatenate([np.zeros((0, 4), np.uint64), *found])
         return pa.table({"a": _node(e[:, 0], e[:, 1]), "b": _node(e[:, 2], e[:, 3])})
 
-    rows = slim.mapInArrow(keyed, "bucket int, key binary, who binary, nodes binary")
+    sent = dealt.groupBy("batch").applyInArrow(send, "bucket int, batch int, shingles binary, times binary")
+    counted = sent.groupBy("bucket").applyInArrow(count, "batch int, bucket int, rank binary")
+    rows = dealt.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(keyed, "bucket int, key binary, who binary, nodes binary")
     return rows.groupBy("bucket").applyInArrow(connect, "a binary, b binary")
 
 
-def _packed_row(bucket, key, who, nodes):
-    return pa.RecordBatch.from_arrays(
-        [pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in (key, who, nodes))],
-        ["bucket", "key", "who", "nodes"],
-    )
+_PACKED = [("bucket", pa.int32()), ("key", pa.binary()), ("who", pa.binary()), ("nodes", pa.binary())]
+
+
+def _packed_edges(nodes, s, k, buckets, batch):
+    """Rows of :func:`candidate_edges` for sets s with keys k; ``nodes`` are digests in ascending order."""
+    order, _, _ = groups(k, s)
+    s, k = s[order], k[order]
+    if not len(k):
+        return
+    new = np.concatenate([[True], k[1:] != k[:-1]])
+    leader = s[np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))]
+    pairs = np.unique(np.stack([leader, s], 1)[leader != s], axis=0)
+    if len(pairs):
+        # Edges of this batch: a bucket of their own, below zero.
+        used, pairs = np.unique(pairs, return_inverse=True)
+        yield -1 - batch, b"", pairs.reshape(-1, 2).astype("<u4").tobytes(), nodes[used].astype("<u8").tobytes()
+    bucket = (k[new] % np.uint64(buckets)).astype(np.int64)
+    for b, (key, who) in packed(bucket, [k[new], s[new].astype("<u4")]):
+        used, who = np.unique(np.frombuffer(who, "<u4"), return_inverse=True)
+        yield b, key, who.astype("<u4").tobytes(), nodes[used].astype("<u8").tobytes()
 
 
 LINKS = "a binary, b binary, leads boolean"
@@ -349,12 +383,13 @@ def link_documents(docs, width=5, percent=80, doc_id="doc_id", text="text"):
         .groupBy("node")
         .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"), F.count("doc_id").alias("with_id"))
     )
-    edges = candidate_edges(docs, width, threshold, text)
+    edges = candidate_edges(docs, width, threshold, text, doc_id)
     near = components(edges, f"{folder}/candidates").withColumnRenamed("label", "part").join(reps, "node")
     weights = near.groupBy("part").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("shingles"))
     tiles = F.ceil(F.greatest(F.col("sets") / TILE_SETS, F.col("shingles") / TILE_SHINGLES)).cast("int")
     weights = weights.select("part", tiles.alias("tiles"))
-    near = written(near.join(weights, "part"), f"{folder}/near")
+    # A component may be most of all nodes.
+    near = written(lookup_join(near, weights, ["part"], ["node"]), f"{folder}/near")
     body = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # Both sides by id at every size; Spark would broadcast the nodes of a small corpus and not those of a large one.
     texts = near.join(body.hint("merge"), near.rep.eqNullSafe(body.doc_id)).select("node", "part", "tiles", "text")

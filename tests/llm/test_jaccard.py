@@ -94,20 +94,34 @@ def test_linked_sets_share_a_key(percent):
                 b = np.unique(np.append(b, rng.integers(0, 1 << 63, dtype=np.uint64)))
         both = len(np.intersect1d(a, b))
         if 100 * both >= percent * (len(a) + len(b) - both):
-            _, one = jaccard_join.tile_keys(a, np.array([0, len(a)]), threshold)
-            _, two = jaccard_join.tile_keys(b, np.array([0, len(b)]), threshold)
+            # Any numbers of occurrences will do that are alike in both sets and above 1 for common elements.
+            every = np.union1d(a, b)
+            times = rng.integers(1, 9, len(every)).astype(np.uint8)
+            times[np.isin(every, a) & np.isin(every, b)] += 1
+            one, two = (jaccard_join.tile_keys(x, np.array([0, len(x)]), times[np.searchsorted(every, x)], threshold)[1] for x in (a, b))
             assert np.isin(one, two).any(), (len(a), len(b), both)
 
 
-def test_sparse_parts_still_meet():
-    # All elements in one part of many: whole parts are empty on both sides.
+def test_elements_of_one_set_are_no_keys():
     rng = np.random.default_rng(4)
-    a = np.sort(rng.integers(0, 1 << 40, 200, dtype=np.uint64))
-    b = np.unique(np.append(a[:-5], rng.integers(0, 1 << 40, 5, dtype=np.uint64)))
-    threshold = jaccard_join.Threshold(80)
-    _, one = jaccard_join.tile_keys(a, np.array([0, len(a)]), threshold)
-    _, two = jaccard_join.tile_keys(b, np.array([0, len(b)]), threshold)
-    assert np.isin(one, two).any()
+    values = np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64))
+    bounds, threshold = np.array([0, 120, 120, len(values)]), jaccard_join.Threshold(80)
+    assert len(jaccard_join.tile_keys(values, bounds, np.ones(len(values), np.uint8), threshold)[1]) == 0
+    # 25 of 120 elements are enough, and 24 of them are this set's alone.
+    times = np.full(len(values), 9, np.uint8)
+    times[:24] = 1
+    sets, _ = jaccard_join.tile_keys(values, bounds, times, threshold)
+    assert (sets == 0).sum() in (1, 2)
+
+
+def test_common_passages_make_no_candidates(spark):
+    rng = random.Random(7)
+    shared = " ".join(f"common{i}" for i in range(60))
+    texts = [" ".join([shared, *(f"own{i}x{rng.random()}" for _ in range(60))]) for i in range(80)]
+    texts += [texts[0] + " more", shared]
+    docs = documents(spark, texts)
+    edges = jaccard_join.candidate_edges(docs, 5, jaccard_join.Threshold(80)).collect()
+    assert len({x for e in edges for x in (bytes(e.a), bytes(e.b)) if e.a != e.b}) == 2
 
 
 def test_components(spark):
