@@ -637,6 +637,8 @@ m AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM ev)
 SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps, first_step_at, last_step_at FROM g CROSS JOIN m WHERE last_step_at + INTERVAL 15 MINUTE <= watermark"""
 SQL["regeneration_sessions"] = SQL["stream_regenerations"].split(" FROM g CROSS JOIN m")[0] + " FROM g"
 SQL["stream_request_dedup"] = SQL["request_dedup"]
+SQL["stream_incidents"] = SQL["incidents"]
+SQL["stream_score_fanout"] = SQL["score_fanout"]
 _LONG = "CASE WHEN regexp_full_match(text, {blank}) THEN 'empty_content' WHEN length(text) < 1 THEN 'content_too_short' WHEN length(text) > {most} THEN 'content_too_long' END AS {name}"
 SQL["compliance_content_validation"] = f"""SELECT doc_id, {_LONG.format(blank=q(BLANK), most=50_000, name="error")}, {_LONG.format(blank=q(BLANK), most=2000, name="narrow_error")} FROM documents"""
 SQL["iteration_thresholds"] = f"""WITH {CANDIDATES}, m AS (SELECT *, score >= 5.0 AND confidence >= 0.6 AND coalesce(d_safety >= 3.0, TRUE) AND coalesce(d_privacy >= 6.0, TRUE) AS ok,

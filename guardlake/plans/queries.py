@@ -854,7 +854,11 @@ def regeneration_sessions(spark, sf):
 
 
 def scored_events(spark, sf):
-    return fx.agent_calls(spark, sf).withColumns(
+    return scored_calls(fx.agent_calls(spark, sf))
+
+
+def scored_calls(calls):
+    return calls.withColumns(
         {
             "met": F.when(F.col("k") % 3 != 0, F.col("score") >= 7.0),
             "note": F.concat(F.lit("call "), F.col("call_id").cast("string")),
@@ -864,8 +868,12 @@ def scored_events(spark, sf):
 
 
 def score_fanout(spark, sf):
+    return score_rows(scored_events(spark, sf))
+
+
+def score_rows(scored):
     return sinks.score_fanout(
-        scored_events(spark, sf),
+        scored,
         "call_id",
         threshold_met_col="met",
         comment_col="note",
@@ -899,8 +907,8 @@ def review_pending(spark, sf):
     return drained.unionByName(left).unionByName(safety)
 
 
-def incident_rows(spark, sf):
-    bad = policy.enforce_policy(fx.agent_calls(spark, sf), "LOG_ONLY", {"safety": 1.0, "privacy": 1.0}).where(~F.col("passed"))
+def incident_rows(calls):
+    bad = policy.enforce_policy(calls, "LOG_ONLY", {"safety": 1.0, "privacy": 1.0}).where(~F.col("passed"))
     rows = bad.select(
         F.concat(F.lit("inc_"), F.col("call_id").cast("string")).alias("id"),
         F.lit("threshold_breach").alias("kind"),
@@ -924,7 +932,11 @@ def incident_rows(spark, sf):
 
 
 def incidents(spark, sf):
-    return incident_rows(spark, sf).select(
+    return incident_columns(incident_rows(fx.agent_calls(spark, sf)))
+
+
+def incident_columns(rows):
+    return rows.select(
         "incident_id",
         "type",
         "severity",

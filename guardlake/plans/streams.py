@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from guardlake.operators import dedup, policy, telemetry
 from guardlake.plans import fixtures as fx
+from guardlake.plans import queries as batch
 from guardlake.schemas import CACHED_ENDPOINTS, EVENTS
 from guardlake.session import scratch_folder
 from guardlake.sources import sinks
-from guardlake.streaming import live, trackers
+from guardlake.streaming import committed, live, trackers
 
 #: Microseconds of 2024-12-31, the time of asking.
 AS_OF_US = 1_735_603_200_000_000
@@ -110,18 +111,32 @@ def stream_request_metrics(spark, sf):
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def _committed(spark, sf, name, rows_of):
+    """Rows made of each call, written live to a committed table and read back."""
+    folder = scratch_folder(spark, name)
+    rows = rows_of(fx.calls_from_events(event_stream(spark, sf, folder)))
+    _run(committed.write_committed(rows, f"{folder}/out", f"{folder}/checkpoint"))
+    return committed.read_committed(spark, f"{folder}/out", rows.schema)
+
+
 def stream_review_queue(spark, sf):
-    """Review items written batch by batch, one row per item."""
-    folder = scratch_folder(spark, "review-queue")
-    calls = fx.calls_from_events(event_stream(spark, sf, folder)).withColumn(
-        "note", F.concat(F.lit("call "), F.col("call_id").cast("string"))
-    )
+    """Review items written batch by batch."""
+
+    def items(calls):
+        noted = calls.withColumn("note", F.concat(F.lit("call "), F.col("call_id").cast("string")))
+        return sinks.review_items(noted, "call_id", "note", threshold=3.0)
+
+    return _committed(spark, sf, "review-queue", items).select("item_id", "source_key", "dimension", "score")
+
+
+def stream_incidents(spark, sf):
+    """Incident records written batch by batch."""
+    return batch.incident_columns(_committed(spark, sf, "incidents", batch.incident_rows))
 
-    def items(batch):
-        return sinks.review_items(batch, "call_id", "note", threshold=3.0)
 
-    _run(trackers.write_batches(calls, f"{folder}/out", f"{folder}/checkpoint", transform=items))
-    return trackers.distinct_items(spark, f"{folder}/out").select("item_id", "source_key", "dimension", "score")
+def stream_score_fanout(spark, sf):
+    """Score rows written batch by batch."""
+    return _committed(spark, sf, "score-fanout", lambda calls: batch.score_rows(batch.scored_calls(calls)))
 
 
 def stream_request_dedup(spark, sf):
@@ -174,6 +189,8 @@ STREAMS = (
     stream_observed_policy,
     stream_request_metrics,
     stream_review_queue,
+    stream_incidents,
+    stream_score_fanout,
     stream_request_dedup,
     stream_request_first_seen,
     stream_regenerations,
