@@ -78,8 +78,8 @@ def assess_tool_calls(calls, registry, *, block_below=4.0, flag_below=7.0, high_
     return out.withColumn("decision", F.when(blocked, "BLOCK").when(flagged, "FLAG").otherwise("ALLOW"))
 
 
-def list_tools(registry, *, limit=50, offset=0, source=None, risk_level=None, search=None):
-    """One page of the registry by tool name, with ``total`` and ``has_more`` on each row."""
+def matching_tools(registry, *, source=None, risk_level=None, search=None):
+    """Tools by source, risk level and a text in their name, each where given."""
     found = registry
     if source and source != "all":
         found = found.where(F.col("source") == source)
@@ -87,6 +87,15 @@ def list_tools(registry, *, limit=50, offset=0, source=None, risk_level=None, se
         found = found.where(F.col("risk_level") == risk_level)
     if search:
         found = found.where(F.contains(F.lower("tool_name"), F.lit(search.lower())))
+    return found
+
+
+def list_tools(registry, *, limit=50, offset=0, source=None, risk_level=None, search=None):
+    """One page of the registry by tool name, with ``total`` and ``has_more`` on each row.
+
+    Keeps ``offset + limit`` rows a task; :mod:`guardlake.operators.registry_pages` seeks deep pages.
+    """
+    found = matching_tools(registry, source=source, risk_level=risk_level, search=search)
     total = found.select(F.count(F.lit(1))).scalar()
     page = found.orderBy("tool_name", "source").offset(offset).limit(limit)
     return page.withColumn("total", total).withColumn("has_more", F.col("total") > offset + limit)

@@ -275,6 +275,9 @@ lim2 AS (SELECT *, bb::DOUBLE AS b, fb::DOUBLE AS f FROM lim),
 j AS (SELECT *, decision = 'BLOCK' OR score < b OR len(bad) > 0 AS blocked FROM lim2),
 jj AS (SELECT *, NOT blocked AND (decision = 'FLAG' OR score < f) AS flagged FROM j)"""
 
+REGISTRY_TOOLS = """tools AS (SELECT replace(p_name, ' ', '_') || '_' || p_partkey AS tool_name,
+  CASE WHEN p_size <= 12 THEN 'low' WHEN p_size <= 25 THEN 'medium' WHEN p_size <= 40 THEN 'high' ELSE 'critical' END AS risk_level,
+  CASE WHEN p_brand LIKE 'Brand#1%' THEN 'org_custom' ELSE 'system' END AS source, p_type AS description FROM part)"""
 SQL = {
     "score_bands": f"""WITH {CALLS} SELECT call_id,
   CASE WHEN score >= 8 THEN 'Excellent' WHEN score >= 6 THEN 'Good' WHEN score >= 4 THEN 'Fair' WHEN score >= 2 THEN 'Poor' ELSE 'Critical' END AS label,
@@ -637,6 +640,9 @@ m AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM ev)
 SELECT session_id, CASE WHEN met THEN 'passed' ELSE 'expired' END AS outcome, steps, first_step_at, last_step_at FROM g CROSS JOIN m WHERE last_step_at + INTERVAL 15 MINUTE <= watermark"""
 SQL["regeneration_sessions"] = SQL["stream_regenerations"].split(" FROM g CROSS JOIN m")[0] + " FROM g"
 SQL["stream_request_dedup"] = SQL["request_dedup"]
+SQL["registry_seek"] = f"""WITH {REGISTRY_TOOLS}
+SELECT * FROM (SELECT *, 'deep' AS page, count(*) OVER () AS total, count(*) OVER () > 190 AS has_more FROM tools ORDER BY tool_name, source LIMIT 70 OFFSET 120)
+UNION ALL BY NAME SELECT *, 'some' AS page FROM ({SQL["registry_page"]})"""
 SQL["stream_incidents"] = SQL["incidents"]
 SQL["stream_score_fanout"] = SQL["score_fanout"]
 _LONG = "CASE WHEN regexp_full_match(text, {blank}) THEN 'empty_content' WHEN length(text) < 1 THEN 'content_too_short' WHEN length(text) > {most} THEN 'content_too_long' END AS {name}"

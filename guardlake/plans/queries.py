@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from guardlake import functions as C
 from guardlake.operators import agent_sessions as agent
 from guardlake.operators import aggregates, compliance, conversations, dedup, guarded, plan_verdicts, policy
-from guardlake.operators import regeneration, registry, scanning, scoring, telemetry, validation
+from guardlake.operators import regeneration, registry, registry_pages, scanning, scoring, telemetry, validation
 from guardlake.plans import fixtures as fx
 from guardlake.schemas import CACHED_ENDPOINTS, DIM_COLUMNS, DIMENSIONS, LOW_CONFIDENCE, SCORE_FIELD, TOO_HARMFUL_BELOW
 from guardlake.session import scratch_folder
@@ -543,6 +543,15 @@ def registry_page(spark, sf):
     )
 
 
+def registry_seek(spark, sf):
+    """A filtered page and a deep one, from a registry written in ranges."""
+    folder = scratch_folder(spark, "registry-pages")
+    registry_pages.write_pages(fx.tool_registry(spark, sf), folder)
+    some = registry_pages.seek_page(spark, folder, limit=50, offset=10, source="org_custom", risk_level="high", search="RED")
+    deep = registry_pages.seek_page(spark, folder, limit=70, offset=120)
+    return some.withColumn("page", F.lit("some")).unionByName(deep.withColumn("page", F.lit("deep")))
+
+
 def registry_upsert(spark, sf):
     out, _ = registry.register_tools(
         fx.tool_registry(spark, sf),
@@ -1360,6 +1369,7 @@ BATCH = (
     tool_profiles,
     tool_call_assessment,
     registry_page,
+    registry_seek,
     registry_upsert,
     registry_delete,
     pii_scan,
