@@ -13,6 +13,8 @@ from guardlake.session import scratch_folder
 from pyspark.sql import functions as F
 
 _K = np.uint64(0xD6E8FEB86659FD93)
+#: Bytes of text whose shingles are worked out at once, at some 150 bytes each.
+SLICE = 1 << 18
 #: Words of 64 bits in a set's bitmap.
 BITMAP = 8
 #: Sets, and shingles of all of them, that one tile task should hold.
@@ -176,7 +178,7 @@ def link_classes(values, bounds, threshold, label):
 
 def _blocks_of_sets(column, width):
     data, offsets = utf8(column)
-    for a, b in blocks(offsets, each=64):
+    for a, b in blocks(offsets, SLICE, each=64):
         values, bounds = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
         yield a, b, values, bounds
 
@@ -200,6 +202,11 @@ def document_sets(docs, width, doc_id="doc_id", text="text"):
     return slim.mapInArrow(measure, "doc_id long, n_shingles long, node binary")
 
 
+def _views(column, dtype):
+    """Numbers of each entry of a binary column, without copying them."""
+    return [np.frombuffer(x.as_buffer(), dtype) for x in column]
+
+
 def _batch_sets(table, width):
     """Distinct sets of a batch in the order of their digests: digests, values, bounds."""
     digests, parts, sizes = [np.zeros((0, 2), np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -250,12 +257,17 @@ def candidate_edges(docs, width, threshold, text="text", doc_id="doc_id"):
         )
 
     def count(table):
-        shingles = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
-        times = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("times").to_pylist()]).astype(np.int64)
-        _, which = np.unique(np.concatenate(shingles), return_inverse=True)
-        total = np.minimum(np.bincount(which, times)[which], COMMON).astype(np.uint8)
-        ends = np.cumsum([len(x) for x in shingles])
-        found = [total[e - len(x) : e].tobytes() for x, e in zip(shingles, ends)]
+        shingles, times = (_views(table.column(c), t) for c, t in (("shingles", "<u8"), ("times", np.uint8)))
+        sizes = [len(x) for x in shingles]
+        every, times = np.concatenate(shingles), np.concatenate(times)
+        order = np.argsort(every)
+        every = every[order]
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        total = np.minimum(np.add.reduceat(times[order].astype(np.int64), first), COMMON).astype(np.uint8)
+        rank = np.empty(len(every), np.uint8)
+        rank[order] = np.repeat(total, np.diff(np.append(first, len(every))))
+        ends = np.cumsum(sizes)
+        found = [rank[e - n : e].tobytes() for n, e in zip(sizes, ends)]
         return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "rank": pa.array(found, pa.binary())})
 
     def keyed(key, table, answers):
