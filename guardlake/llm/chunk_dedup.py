@@ -92,16 +92,16 @@ def later_than_first(keys, ids):
     return later
 
 
-def remove_repeats(docs, shortest_run=64, doc_id="doc_id", text="text", whole_documents=False):
+def remove_repeats(docs, shortest_run=64, doc_id="doc_id", text="text", whole_documents=True):
     """Drop chunks that occurred before; (doc_id, n_bytes, spans, kept) per row, by ``spans.SCHEMA``.
 
     Chunks end where a gear rolling hash of the last 32 bytes says so, so equal
     passages are cut equally wherever they lie, from their second chunk on.  Of
     chunks with the same 128-bit digest the first stays: smallest id, then
     first in the text.  Later ones are removed where runs of them reach
-    ``shortest_run`` bytes, so that chance repeats of a few words stay; with
-    ``whole_documents`` also where a run is all of its document, however short.  ``kept``
-    is the UTF-8 text that is left.
+    ``shortest_run`` bytes, so that chance repeats of a few words stay, and, unless
+    ``whole_documents`` is false, where a run is all of its document, however short.
+    ``kept`` is the UTF-8 text that is left.
 
     A batch of documents sends one entry per distinct chunk, so a very common
     chunk is one entry per batch.  Defined cases: a null text counts as empty;

@@ -134,7 +134,7 @@ def slow_dedup(rows, shortest):
             if again and run is None:
                 run = a
             if not again and run is not None:
-                if a - run >= shortest:
+                if a - run >= shortest or (run == 0 and a == len(b)):
                     mask[run:a] = True
                 run = None
         yield i, b, mask
