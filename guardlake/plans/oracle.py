@@ -643,6 +643,17 @@ SQL["stream_request_dedup"] = SQL["request_dedup"]
 SQL["registry_seek"] = f"""WITH {REGISTRY_TOOLS}
 SELECT * FROM (SELECT *, 'deep' AS page, count(*) OVER () AS total, count(*) OVER () > 190 AS has_more FROM tools ORDER BY tool_name, source LIMIT 70 OFFSET 120)
 UNION ALL BY NAME SELECT *, 'some' AS page FROM ({SQL["registry_page"]})"""
+SQL["stream_guarded_turns"] = f"""WITH {TURNS},
+m AS (SELECT *, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id * 10 + turn + CASE WHEN role = 'assistant' AND conv_id % 7 = 3 THEN 60 ELSE 0 END) AS ts FROM turns),
+i AS (SELECT * FROM m WHERE role = 'user'), o AS (SELECT * FROM m WHERE role = 'assistant'),
+mark AS (SELECT least((SELECT max(ts) FROM i), (SELECT max(ts) FROM o)) - INTERVAL 10 MINUTE AS passed),
+j AS (SELECT coalesce(i.conv_id, o.conv_id) AS conv_id, coalesce(i.turn, o.turn - 1) AS turn, i.turn IS NOT NULL AND o.turn IS NOT NULL AS answered, i.turn IS NULL AS late,
+  i.d_safety AS in_safety, o.d_privacy, o.d_fairness, i.ts AS in_ts, o.ts AS out_ts
+  FROM i FULL JOIN o ON i.conv_id = o.conv_id AND o.turn = i.turn + 1 AND o.ts BETWEEN i.ts AND i.ts + INTERVAL 5 MINUTE)
+SELECT conv_id, turn, answered, late, CASE WHEN in_safety < 3.0 THEN 'input' WHEN d_privacy < 4.0 OR d_fairness < 3.0 THEN 'output' END AS stage,
+  coalesce(in_safety < 3.0, FALSE) OR coalesce(d_privacy < 4.0 OR d_fairness < 3.0, FALSE) AS blocked,
+  CASE WHEN in_safety < 3.0 THEN 'safety' ELSE concat_ws(',', CASE WHEN d_privacy < 4.0 THEN 'privacy' END, CASE WHEN d_fairness < 3.0 THEN 'fairness' END) END AS failed
+FROM j, mark WHERE answered OR in_ts + INTERVAL 5 MINUTE < passed OR (late AND out_ts < passed)"""
 SQL["stream_incidents"] = SQL["incidents"]
 SQL["stream_score_fanout"] = SQL["score_fanout"]
 _LONG = "CASE WHEN regexp_full_match(text, {blank}) THEN 'empty_content' WHEN length(text) < 1 THEN 'content_too_short' WHEN length(text) > {most} THEN 'content_too_long' END AS {name}"

@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from guardlake.operators import dedup, policy, telemetry
 from guardlake.plans import fixtures as fx
 from guardlake.plans import queries as batch
-from guardlake.schemas import CACHED_ENDPOINTS, EVENTS
+from guardlake.schemas import CACHED_ENDPOINTS, DIM_COLUMNS, EVENTS
 from guardlake.session import scratch_folder
 from guardlake.sources import sinks
-from guardlake.streaming import committed, live, trackers
+from guardlake.streaming import committed, live, pairs, trackers
 
 #: Microseconds of 2024-12-31, the time of asking.
 AS_OF_US = 1_735_603_200_000_000
@@ -20,18 +20,22 @@ STRETCHES = 3
 
 def event_stream(spark, sf, folder):
     """The whole event table as a stream of files, one stretch of time after the other."""
-    events = fx.read(spark, sf, "events")
-    span = events.select(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    return timed_stream(spark, fx.read(spark, sf, "events"), folder, EVENTS)
+
+
+def timed_stream(spark, rows, folder, schema):
+    """Rows with a time ``ts`` as a stream of files, one stretch of time after the other."""
+    span = rows.select(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
     for i in range(STRETCHES):
-        part = events
+        part = rows
         if span.low is not None:
             step = (span.high - span.low) / STRETCHES
             late = F.lit(False) if i == STRETCHES - 1 else F.col("ts") >= F.lit(span.low + (i + 1) * step)
-            part = events.where(~late & ((F.col("ts") >= F.lit(span.low + i * step)) | F.lit(i == 0)))
+            part = rows.where(~late & ((F.col("ts") >= F.lit(span.low + i * step)) | F.lit(i == 0)))
         part.write.mode("append").parquet(f"{folder}/events")
     # A small stretch is one file; of a large one several files make a batch.
-    files = max(1, events.rdd.getNumPartitions())
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(f"{folder}/events")
+    files = max(1, rows.rdd.getNumPartitions())
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/events")
 
 
 def _run(query):
@@ -101,6 +105,22 @@ def stream_observed_policy(spark, sf):
     return spark.createDataFrame([counts], "rows bigint, blocked bigint, flagged bigint, allowed bigint")
 
 
+def stream_guarded_turns(spark, sf):
+    """Turns paired as they come and guarded; inputs without an answer come out when their time is over."""
+    folder = scratch_folder(spark, "guarded-turns")
+    # A conversation begins every ten minutes and has a turn a minute; every seventh answer takes an hour.
+    rows = fx.turn_evaluations(spark, sf).drop("text", "confidence")
+    slow = (F.col("role") == "assistant") & (F.col("conv_id") % 7 == 3)
+    minutes = F.col("conv_id") * 10 + F.col("turn") + F.when(slow, 60).otherwise(0)
+    rows = rows.withColumn("ts", F.timestamp_seconds(F.lit(1_704_067_200) + minutes * 60).cast("timestamp_ntz"))
+    turns = timed_stream(spark, rows, folder, rows.schema)
+    paired = pairs.stream_turn_pairs(turns, "conv_id", carry=["score", *DIM_COLUMNS], within="5 MINUTES")
+    guarded = policy.guard_turns(paired, {"safety": 3.0}, {"privacy": 4.0, "fairness": 3.0}, output_col="out_score")
+    _run(trackers.write_batches(guarded, f"{folder}/out", f"{folder}/checkpoint"))
+    out = spark.read.parquet(f"{folder}/out")
+    return out.select("conv_id", "turn", "answered", "late", "stage", "blocked", F.array_join("failed_dimensions", ",").alias("failed"))
+
+
 def stream_request_metrics(spark, sf):
     """Request metrics per five-minute window."""
     folder = scratch_folder(spark, "request-metrics")
@@ -187,6 +207,7 @@ STREAMS = (
     stream_agent_patterns,
     stream_agent_summaries,
     stream_observed_policy,
+    stream_guarded_turns,
     stream_request_metrics,
     stream_review_queue,
     stream_incidents,
