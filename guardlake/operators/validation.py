@@ -64,19 +64,22 @@ def validate(df, rules):
 
 
 def content_rules(c, min_len=MIN_CONTENT, max_len=MAX_CONTENT, what="Content"):
-    """Content is not blank and its length is within bounds."""
+    """Content is not blank and its length is within bounds.
+
+    A character takes one to four bytes, so most texts pass by their bytes and only the rest need counting.
+    """
     c = _c(c)
-    size = F.length(c)
+    size, n_bytes = F.length(c), F.octet_length(c)
     return [
         Rule("empty_content", ~is_blank(c), f"{what} cannot be empty"),
         Rule(
             "content_too_short",
-            size >= min_len,
+            (n_bytes >= 4 * min_len) | (size >= min_len),
             F.concat(F.lit(f"{what} needs at least {min_len} characters, has "), size.cast("string")),
         ),
         Rule(
             "content_too_long",
-            size <= max_len,
+            (n_bytes <= max_len) | (size <= max_len),
             F.concat(F.lit(f"{what} allows at most {max_len} characters, has "), size.cast("string")),
         ),
     ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from guardlake.operators import aggregates, compliance, regeneration, scanning, scoring, validation
 from guardlake.operators.conversations import check_inputs, conversation_mode
+from guardlake.plans import fixtures, queries
 from guardlake.schemas import DIM_COLUMNS
 
 
@@ -126,6 +127,22 @@ def test_content_and_framework_rules(spark):
     assert codes == [None, "framework_required", "frameworks_empty", None, "frameworks_too_many", None, "framework_required"]
 
 
+@pytest.mark.parametrize("char", ["x", "é", "€", "😀"])
+def test_content_bounds_are_in_characters(spark, char):
+    df = texts(spark, *[char * n for n in range(1, 40)])
+    codes = [r.error_code for r in validation.annotate(df, validation.content_rules("text", 3, 6)).orderBy("id").collect()]
+    assert codes == ["content_too_short" if n < 3 else "content_too_long" if n > 6 else None for n in range(1, 40)]
+
+
+def test_every_request_has_its_compliance_content_checked(spark, sf_dir):
+    calls = fixtures.agent_calls(spark, sf_dir).select("call_id", "k")
+    rows = queries.request_validation(spark, sf_dir).join(calls, "call_id").select("k", "compliance_error").collect()
+    assert len(rows) == calls.count() and {r.k % 6 for r in rows} == set(range(6))
+    for r in rows:
+        size = r.k % 3 * 25_000 + r.k % 2
+        assert r.compliance_error == ("empty_content" if size == 0 else "content_too_long" if size > 50_000 else None)
+
+
 def scored(spark, **dims):
     row = (1, 5.0, *[dims.get(c[2:]) for c in DIM_COLUMNS])
     return spark.createDataFrame([row], "doc int, score double, " + ", ".join(f"{c} double" for c in DIM_COLUMNS))
