@@ -13,13 +13,18 @@ import numpy as np
 import pyarrow as pa
 from guardlake.llm.chunk_dedup import later_than_first
 from guardlake.llm.hashing import PrefixHash, blocks, groups, mix, ranges, utf8
-from guardlake.llm.routing import as_bytes, counts, from_bytes, in_batches, packed
+from guardlake.llm.routing import as_bytes, counts, dealt, documents, from_bytes, grown, ids_as_bytes, ids_from_bytes, in_packed_batches, shrunk
 from guardlake.llm.spans import SCHEMA, covered, without
 from pyspark.sql import functions as F
 
 #: Surroundings of an anchor that a batch sends, and that all batches may send together,
 #: before the anchor's strings are dealt out by their own hashes instead.
 MANY_HERE, MANY = 16, 4096
+#: Strings that the suffix sort takes at a time, so that its arrays stay some tens of MB.
+STRINGS = 1 << 18
+#: Bits of an anchor's hash that go out besides its bucket.  Anchors that agree in them only share a segment of the
+#: suffix sort; a bucket has about a million entries, so few do.
+KEY_BITS = 32
 _PLACES = np.uint64((1 << 32) - 1)
 #: Answers about a run: nothing repeated, all repeated, ask the suffix sort, ask string by string.
 NEW, REPEATED, SORT, SINGLE = range(4)
@@ -172,7 +177,7 @@ def anchor_runs(data, offsets, length, k):
 class Batch:
     """A batch of documents in order, its runs, and what it sends about them."""
 
-    def __init__(self, table, length, k, buckets, many_here):
+    def __init__(self, table, length, k, buckets, many_here, key_bits=KEY_BITS):
         self.table = table = table.sort_by([("id", "ascending"), ("text", "ascending")])
         self.ids = np.asarray(table.column("id"))
         self.data, self.offsets = utf8(table.column("text"))
@@ -199,17 +204,28 @@ class Batch:
         anchor_of = np.cumsum(new) - 1
         crowded = np.bincount(anchor_of)[anchor_of] > many_here if len(new) else new
         # Of a crowded anchor one entry goes out, without surroundings.
-        self.sent = np.flatnonzero(~crowded | new)
-        self.speaks_for = np.searchsorted(self.sent, np.arange(len(new)), "right") - 1
-        self.key, self.content = lead_key[self.sent], np.where(crowded, 0, content[self.lead])[self.sent]
-        self.crowded, self.lead_key = crowded, lead_key
-        bucket = (self.key % np.uint64(buckets)).astype(np.int64)
-        self.order, self.bucket = np.argsort(bucket, kind="stable"), bucket
+        sent = np.flatnonzero(~crowded | new)
+        speaks_for = np.searchsorted(sent, np.arange(len(new)), "right") - 1
+        # Entries go out in the order of their runs, so that ids ascend.
+        entry_at = np.full(len(order), -1)
+        entry_at[self.lead[sent]] = np.arange(len(sent))
+        by_run = entry_at[entry_at >= 0]
+        number = np.empty(len(sent), np.int64)
+        number[by_run] = np.arange(len(sent))
+        self.sent, self.speaks_for = sent[by_run], number[speaks_for]
+        self.content = np.where(crowded, 0, content[self.lead])[self.sent]
+        self.crowded = crowded
+        # Anchors by bucket and by a number within it.
+        self.lead_bucket = (lead_key % np.uint64(buckets)).astype(np.int64)
+        self.lead_key = (lead_key // np.uint64(buckets) & np.uint64((1 << key_bits) - 1)).astype("<u4")
+        self.bucket = self.lead_bucket[self.sent]
+        self.order = np.argsort(self.bucket, kind="stable")
 
     def entries(self):
-        """(bucket, [key, content, id, crowded]) in packed form."""
+        """(bucket, [key, content, id, crowded]) as bytes."""
         crowded = self.crowded[self.sent].astype(np.uint8)
-        return packed(self.bucket, [self.key, self.content, self.id[self.lead[self.sent]], crowded])
+        for b, (key, content, ids, flags) in dealt(self.bucket, [self.lead_key[self.sent], self.content, self.id[self.lead[self.sent]], crowded]):
+            yield b, [key.tobytes(), content.tobytes(), ids_as_bytes(ids), flags.tobytes()]
 
     def answers(self, given):
         """Answer for each entry from the packed answers by bucket."""
@@ -221,9 +237,9 @@ class Batch:
         return found[self.speaks_for] if len(found) else found
 
     def to_sort(self, answer):
-        """Leading runs whose strings the suffix sort has to decide: those told so, in packed order."""
-        runs = self.lead[answer == SORT]
-        bucket = (self.lead_key[answer == SORT] % np.uint64(self.buckets)).astype(np.int64)
+        """Leading runs whose strings the suffix sort has to decide: those told so, by bucket and then in their order."""
+        runs = np.sort(self.lead[answer == SORT])
+        bucket = self.lead_bucket[self.entry[runs]]
         return runs[np.argsort(bucket, kind="stable")], np.sort(bucket)
 
     def singles(self, answer):
@@ -268,7 +284,7 @@ def decide_entries(key, content, ids, crowded, many_at_all):
     return out
 
 
-def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY_HERE, many=MANY):
+def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY_HERE, many=MANY, key_bits=KEY_BITS):
     """Remove each byte inside a ``length``-byte string that also starts in a document with a smaller id.
 
     (doc_id, n_bytes, spans, kept) per row, by ``spans.SCHEMA``; ``kept`` are the remaining
@@ -278,6 +294,9 @@ def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY
     Work is dealt by anchors; a batch of documents sends one entry per anchor and
     surrounding, and anchors in very many surroundings are dealt out by the
     strings themselves, so no key gathers more than a few entries per batch.
+    Documents, ids and runs move compressed, and of an anchor's hash only its
+    bucket and ``key_bits`` (at most 32) go out.  Equal strings agree in these;
+    where different anchors do, their strings are compared like others.
 
     Defined cases: a null text counts as empty; null ids come after all others;
     rows with the same id do not repeat each other; the empty table gives no rows.
@@ -286,7 +305,7 @@ def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY
         raise ValueError("strings of less than 8 bytes are not worth removing")
     k = max(4, length * 2 // 5)
     batches, buckets = counts(docs.sparkSession)
-    dealt = in_batches(docs, batches, doc_id, text)
+    pieces = in_packed_batches(docs, batches, doc_id, text)
 
     def rows_of(kind, key, rows):
         columns = {"a": pa.binary(), "b": pa.binary(), "ids": pa.binary(), "extra": pa.binary(), "body": pa.binary()}
@@ -304,24 +323,26 @@ def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY
     answer_ddl = "kind int, bucket int, batch int, answer binary"
 
     def send(key, table):
-        rows = [(b, [*x, b""]) for b, x in Batch(table, length, k, buckets, many_here).entries()]
+        rows = [(b, [*x, b""]) for b, x in Batch(documents(table), length, k, buckets, many_here, key_bits).entries()]
         return pa.Table.from_pydict(rows_of(NEW, key, rows), sent_schema)
 
-    def joined(table, column, dtype):
-        parts = [from_bytes(x, dtype) for x in table.column(column).to_pylist()]
+    def joined(table, column, dtype, read=from_bytes):
+        parts = [read(x, dtype) for x in table.column(column).to_pylist()]
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
+    def joined_ids(table):
+        return np.concatenate([ids_from_bytes(x) for x in table.column("ids").to_pylist()])
+
     def answered(table, sizes, found):
         ends = np.cumsum(sizes)
         parts = [found[e - s : e].tobytes() for s, e in zip(sizes, ends)]
         return pa.table({**{c: table.column(c) for c in ("kind", "bucket", "batch")}, "answer": pa.array(parts, pa.binary())})
 
     def decide(table):
-        keys, sizes = joined(table, "a", "<u8")
+        keys, sizes = joined(table, "a", "<u4")
         contents, _ = joined(table, "b", "<u8")
-        ids, _ = joined(table, "ids", "<i8")
         crowded, _ = joined(table, "extra", np.uint8)
-        return answered(table, sizes, decide_entries(keys, contents, ids, crowded, many))
+        return answered(table, sizes, decide_entries(keys, contents, joined_ids(table), crowded, many))
 
     def by_kind(answers):
         found = {}
@@ -332,7 +353,7 @@ def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY
     def ask(key, table, answers):
         if not len(table):
             return sent_schema.empty_table()
-        batch = Batch(table, length, k, buckets, many_here)
+        batch = Batch(documents(table), length, k, buckets, many_here, key_bits)
         answer = batch.answers(by_kind(answers).get(NEW, {}))
         runs, bucket = batch.to_sort(answer)
         body = ranges(batch.start[runs], batch.number[runs] - 1 + length)
@@ -343,38 +364,49 @@ def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY
         edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else bucket
         for a, b in zip(edges, np.append(edges[1:], len(bucket))):
             some = slice(a, b)
-            arrays = [keys[some], behind[some], batch.id[runs[some]], batch.number[runs[some]].astype("<i8")]
-            rows.append((int(bucket[a]), [*(as_bytes(x) for x in arrays), batch.data[body[upto[a] : upto[b]]].tobytes()]))
+            number = batch.number[runs[some]].astype("<i8")
+            bodies = shrunk(batch.data[body[upto[a] : upto[b]]].tobytes())
+            rows.append((int(bucket[a]), [keys[some].tobytes(), as_bytes(behind[some]), ids_as_bytes(batch.id[runs[some]]), as_bytes(number), bodies]))
         first = pa.Table.from_pydict(rows_of(SORT, key, rows), sent_schema)
         _, _, _, h1, h2, ids = batch.singles(answer)
-        rows = [(b, [*x, b"", b""]) for b, x in packed((h1 % np.uint64(buckets)).astype(np.int64), [h1, h2, ids])]
+        rows = [
+            (b, [x.tobytes(), y.tobytes(), ids_as_bytes(i), b"", b""])
+            for b, (x, y, i) in dealt((h1 % np.uint64(buckets)).astype(np.int64), [h1, h2, ids])
+        ]
         return pa.concat_tables([first, pa.Table.from_pydict(rows_of(SINGLE, key, rows), sent_schema)])
 
     def settle(key, table):
-        a, sizes = joined(table, "a", "<u8")
-        ids, _ = joined(table, "ids", "<i8")
+        ids = joined_ids(table)
         if key[0].as_py() == SINGLE:
+            a, sizes = joined(table, "a", "<u8")
             b, _ = joined(table, "b", "<u8")
             return answered(table, sizes, later_than_first((a, b), ids).astype(np.uint8))
+        a, sizes = joined(table, "a", "<u4")
         behind, _ = joined(table, "b", "<i8")
         number, _ = joined(table, "extra", "<i8")
-        text, _ = joined(table, "body", np.uint8)
+        text, _ = joined(table, "body", np.uint8, lambda x, dtype: np.frombuffer(grown(x), dtype))
         lengths = number - 1 + length
-        begin = np.cumsum(lengths) - lengths
-        run = np.repeat(np.arange(len(number)), number)
-        step = ranges(np.zeros(len(number), np.int64), number)
-        # Only strings equally far before the same anchor can be equal.
-        distance = behind[run] - step
-        order, _, segment = groups(a[run], distance)
-        found = np.zeros(len(run), np.uint8)
-        found[order] = repeated_suffixes(text, (begin[run] + step)[order], segment, ids[run][order], length)
+        begin, first = np.cumsum(lengths) - lengths, np.cumsum(number) - number
+        found = np.zeros(int(number.sum()), np.uint8)
+        # Whole anchors, about STRINGS strings at a time.
+        by_key, edges, _ = groups(a)
+        edges = np.append(edges, len(a))
+        for x, y in blocks(np.concatenate([[0], np.cumsum(number[by_key])])[edges], STRINGS):
+            some = by_key[edges[x] : edges[y]]
+            at = np.cumsum(lengths[some]) - lengths[some]
+            run, step = np.repeat(np.arange(len(some)), number[some]), ranges(np.zeros(len(some), np.int64), number[some])
+            # Only strings equally far before the same anchor can be equal.
+            order, _, segment = groups(a[some][run], behind[some][run] - step)
+            body = text[ranges(begin[some], lengths[some])]
+            again = repeated_suffixes(body, (at[run] + step)[order], segment, ids[some][run][order], length)
+            found[(first[some][run] + step)[order]] = again
         per_row = np.add.reduceat(number, np.cumsum(sizes) - sizes)
         return answered(table, per_row, found)
 
     def finish(key, table, answers):
         if not len(table):
             return without(table.column("doc_id"), np.zeros(0, np.uint8), np.zeros(1, np.int64), np.zeros(0, bool))
-        batch = Batch(table, length, k, buckets, many_here)
+        batch = Batch(documents(table), length, k, buckets, many_here, key_bits)
         given = by_kind(answers)
         answer = batch.answers(given.get(NEW, {}))
         all_of = batch.follows | (answer == REPEATED)[batch.entry] if len(batch.start) else np.zeros(0, bool)
@@ -411,10 +443,10 @@ def remove_repeats(docs, length=50, doc_id="doc_id", text="text", many_here=MANY
         taken = covered(len(batch.data), np.concatenate(starts), np.concatenate(ends))
         return without(batch.table.column("doc_id"), batch.data, batch.offsets, taken)
 
-    sent = dealt.groupBy("batch").applyInArrow(send, sent_ddl)
+    sent = pieces.groupBy("batch").applyInArrow(send, sent_ddl)
     # Dealt by batch once, for the two steps that read them.
     decided = sent.groupBy("bucket").applyInArrow(decide, answer_ddl).repartition(F.col("batch"))
-    asked = dealt.groupBy("batch").cogroup(decided.groupBy("batch")).applyInArrow(ask, sent_ddl)
+    asked = pieces.groupBy("batch").cogroup(decided.groupBy("batch")).applyInArrow(ask, sent_ddl)
     settled = asked.groupBy("kind", "bucket").applyInArrow(settle, answer_ddl)
     answers = decided.union(settled)
-    return dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, SCHEMA)
+    return pieces.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, SCHEMA)
